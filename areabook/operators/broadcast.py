@@ -1,0 +1,14 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast when `df` has at most `max_rows` rows; otherwise leave
+    the join to a shuffle (and to AQE, which re-checks sizes at run time).
+    Only for stored dimension tables: the check runs `limit(max_rows+1).count()`."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
