@@ -97,6 +97,15 @@ def to_stage(col) -> Column:
     return _c(col).cast(STAGE_TYPE)
 
 
+def stage_double(col) -> Column:
+    """A DOUBLE result as a stage value: x * 10^8 rounded half away from zero,
+    then scaled back as an exact decimal. Rounding the binary value this way
+    (not its shortest decimal string, which a plain cast uses) gives the same
+    8th decimal as other engines' double-to-decimal casts."""
+    p = _c(col).cast("double") * F.lit(1e8)
+    return (F.round(p, 0).cast("decimal(28,0)") * F.lit(Decimal("0.00000001"))).cast(STAGE_TYPE)
+
+
 def round_half_up(col, digits: int) -> Column:
     """round(x, digits) half away from zero on the decimal value of x."""
     return F.round(_c(col).cast("decimal(38,10)"), digits)

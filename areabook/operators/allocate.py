@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import STAGE_TYPE, round_half_up, scale_millions, to_stage
+from areabook.functions.columns import STAGE_TYPE, round_half_up, scale_millions, stage_double, to_stage
 from areabook.plans.rules import AllocLine
 
 HEAD_OFFICE = "00"
@@ -43,10 +43,13 @@ def allocate_line(rule_sums: DataFrame, line: AllocLine, share: DataFrame, month
     pool = pools.select("pool").scalar()
     x = direct.join(share, "area_code", "left")
     alloc = F.col("direct") + F.col("share") * pool
-    alloc = round_half_up(alloc, 2) if line.post_round else alloc
-    value = F.when(F.col("area_code") == HEAD_OFFICE, F.col("direct")).otherwise(alloc)
+    head = F.col("area_code") == HEAD_OFFICE
+    if line.post_round:
+        value = to_stage(F.when(head, F.col("direct")).otherwise(round_half_up(alloc, 2)))
+    else:
+        value = stage_double(F.when(head, F.col("direct").cast("double")).otherwise(alloc))
     return x.select(F.lit(line.fin_id).alias("fin_id"), "area_code",
-                    to_stage(value).alias("value"), F.lit(month).alias("month_key"))
+                    value.alias("value"), F.lit(month).alias("month_key"))
 
 
 def funding_lines(rule_sums: DataFrame, lines, revenue_rule: str, card_income: DataFrame,
@@ -65,6 +68,6 @@ def funding_lines(rule_sums: DataFrame, lines, revenue_rule: str, card_income: D
     for fin_id, rule in lines:
         cost = pools.filter(F.col("rule") == rule).select("company").scalar()
         rows = card_income.select(F.lit(fin_id).alias("fin_id"), "area_code",
-                                  to_stage(cost * share).alias("value"), F.lit(month).alias("month_key"))
+                                  stage_double(cost * share).alias("value"), F.lit(month).alias("month_key"))
         out = rows if out is None else out.unionByName(rows)
     return out

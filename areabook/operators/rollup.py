@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import to_stage
+from areabook.functions.columns import stage_double, to_stage
 
 
 def rollup(rows: DataFrame, parent: int, children: Iterable[int], month: int) -> DataFrame:
@@ -37,5 +37,5 @@ def guarded_percent(left: DataFrame, right: DataFrame, num: str, den: str, fin_i
     j = left.join(right, "area_code", "left")
     v = F.when(F.col(den) == 0, F.lit(0.0)).otherwise(
         F.try_divide(F.col(num).cast("double") * 100, F.col(den).cast("double")))
-    return j.select(F.lit(fin_id).alias("fin_id"), "area_code", to_stage(v).alias("value"),
+    return j.select(F.lit(fin_id).alias("fin_id"), "area_code", stage_double(v).alias("value"),
                     F.lit(month).alias("month_key"))
