@@ -1,2 +1,68 @@
-def kpi_a(*a, **k):
-    raise NotImplementedError
+"""JOB3, scorecard A: KPI ranks of area sales managers, criteria types,
+type and overall scores and ranks (refreshes summary A first)."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from areabook.operators.broadcast import broadcast_if_small
+from areabook.operators.drivers import npl_ratio_a
+from areabook.operators.kpi import area_employees, employee_kpi
+from areabook.operators.rank import rank_by
+from areabook.operators.scorecard import rank_area_metrics, scores, spread_to_employees
+from areabook.plans import rules as R
+from areabook.plans import summary_a as SA
+from areabook.plans.staging import Stager, union_all
+from areabook.sources.inputs import Inputs
+
+COLUMNS = ["month_key", "area_code", "employee_id", "criteria_code", "value", "rank_kpi",
+           "criteria_type_name", "type_score", "overall_score", "type_rank", "overall_rank"]
+
+
+@dataclass
+class KpiA:
+    summary: SA.SummaryA
+    employee_ranks: DataFrame   # KA1
+    area_metrics: DataFrame     # KA2 + KA3 (area level)
+    level1: DataFrame           # KA1 + KA4
+    result: DataFrame
+
+
+def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> KpiA:
+    st = Stager(inputs.kpi.sparkSession, "kpi_a")
+    sa = SA.build(inputs, month, rules, stager=st)
+    emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
+    ka1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)
+    employees = area_employees(emp_kpi)
+
+    npl = npl_ratio_a(sa.loan_area).select("area_code", F.lit(R.KPI_A_NPL_CODE).alias("criteria_code"),
+                                           "value")
+    fin_code = F.lit(None).cast("string")
+    for code, fin in R.KPI_A_AREA_CRITERIA:
+        fin_code = F.when(F.col("fin_id") == fin, F.lit(code)).otherwise(fin_code)
+    fins = (sa.result.filter(F.col("fin_id").isin(*[f for _, f in R.KPI_A_AREA_CRITERIA])
+                             & (F.col("area_code") != "00") & (F.col("month_key") == month))
+            .select("area_code", fin_code.alias("criteria_code"), F.col("value").cast("double").alias("value")))
+    area_metrics = st.stage(npl.unionByName(fins), "area_metrics")
+    ranked = rank_area_metrics(area_metrics, employees, {R.KPI_A_NPL_CODE: ("dense_rank", True)},
+                               ("dense_rank", False), st)
+    level1 = ka1.unionByName(spread_to_employees(ranked, employees))
+    dim = broadcast_if_small(inputs.dim_criteria, 100_000)
+    x = level1.join(dim, "criteria_code")
+    x = st.stage(scores(x, ["employee_id"], "criteria_type_name"), "scored")
+    x = rank_by(x, "type_score", ["criteria_type_name"], descending=True, dense=True, out="type_rank",
+                stager=st)
+    x = rank_by(x, "overall_score", descending=True, dense=True, out="overall_rank", stager=st)
+    result = x.select(F.lit(month).alias("month_key"), "area_code", "employee_id", "criteria_code",
+                      F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"),
+                      "criteria_type_name", F.col("type_score").cast("long"),
+                      F.col("overall_score").cast("long"), "type_rank", "overall_rank")
+    return KpiA(sa, ka1, area_metrics, level1, result)
+
+
+def kpi_a(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+    """fact_monthly_report_kpi_asm rows of variant A for `month`."""
+    return build(inputs, month, rules).result

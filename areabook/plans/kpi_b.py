@@ -1,2 +1,76 @@
-def kpi_b(*a, **k):
-    raise NotImplementedError
+"""JOB4, scorecard B: level-1 KPI ranks, level-2 group scores (SC, FN) and
+the overall score, each ranked (refreshes summary B first)."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from areabook.operators.broadcast import broadcast_if_small
+from areabook.operators.kpi import area_employees, employee_kpi
+from areabook.operators.rank import rank_by
+from areabook.operators.scorecard import rank_area_metrics, spread_to_employees
+from areabook.plans import rules as R
+from areabook.plans import summary_b as SB
+from areabook.plans.staging import Stager, union_all
+from areabook.sources.inputs import Inputs
+
+COLUMNS = ["month_key", "area_code", "employee_id", "criteria_code", "value", "rank_kpi"]
+KEYS = ["month_key", "area_code", "employee_id"]
+
+
+@dataclass
+class KpiB:
+    summary: SB.SummaryB
+    level1: DataFrame
+    level2: DataFrame
+    overall: DataFrame
+    result: DataFrame
+
+
+def _out(df: DataFrame) -> DataFrame:
+    return df.select(F.col("month_key").cast("int"), "area_code", "employee_id", "criteria_code",
+                     F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"))
+
+
+def build(inputs: Inputs, month: int) -> KpiB:
+    st = Stager(inputs.kpi.sparkSession, "kpi_b")
+    sb = SB.build(inputs, month, stager=st)
+    emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
+    kb1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)
+    employees = area_employees(emp_kpi)
+
+    parts = []
+    for code, fin, absolute, _, _ in R.KPI_B_AREA_CRITERIA:
+        v = F.col("value").cast("double")
+        parts.append(sb.result.filter((F.col("fin_id") == fin) & (F.col("area_code") != "00")
+                                      & (F.col("month_key") == month))
+                     .select("area_code", F.lit(code).alias("criteria_code"),
+                             (F.abs(v) if absolute else v).alias("value")))
+    dim = broadcast_if_small(inputs.dim_criteria_xlsx, 100_000)
+    area_metrics = st.stage(union_all(parts).join(dim, "criteria_code"), "area_metrics")
+    methods = {code: (method, asc) for code, _, _, method, asc in R.KPI_B_AREA_CRITERIA}
+    ranked = rank_area_metrics(area_metrics, employees, methods, ("dense_rank", False), st)
+    level1 = kb1.unionByName(spread_to_employees(ranked, employees)).withColumn("month_key", F.lit(month))
+    level1 = st.stage(_out(level1), "level1")
+
+    level2_parts = []
+    for g in R.KPI_B_GROUPS:
+        sums = (level1.filter(F.col("criteria_code").contains(g) & (F.col("month_key") == month))
+                .groupBy(*KEYS).agg(F.sum("rank_kpi").alias("value"))
+                .withColumn("criteria_code", F.lit(g)))
+        level2_parts.append(rank_by(sums, "value", out="rank_kpi", stager=st))
+    level2 = st.stage(_out(union_all(level2_parts)), "level2")
+    ov = (level2.filter(F.col("criteria_code").isin(*R.KPI_B_GROUPS) & (F.col("month_key") == month))
+          .groupBy(*KEYS).agg(F.sum("value").alias("value"))
+          .withColumn("criteria_code", F.lit(R.KPI_B_OVERALL)))
+    overall = _out(rank_by(ov, "value", out="rank_kpi", stager=st))
+    result = union_all([level1, level2, overall])
+    return KpiB(sb, level1, level2, overall, result)
+
+
+def kpi_b(inputs: Inputs, month: int) -> DataFrame:
+    """fact_monthly_report_kpi_asm rows of variant B for `month`."""
+    return build(inputs, month).result

@@ -9,6 +9,7 @@ plan, and a lost executor only costs the level being written."""
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from functools import reduce
 
@@ -24,9 +25,10 @@ class Stager:
         self.spark = spark
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.root = f"{base}/areabook/{job}-{uuid.uuid4().hex[:12]}"
+        self._seq = itertools.count(1)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
+        path = f"{self.root}/{next(self._seq):03d}-{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
