@@ -32,16 +32,18 @@ def ctes_a(month: int) -> dict[str, str]:
     fins = " union all ".join(
         f"select area_code, '{code}' as criteria_code, cast(value as double) as value from summary_a"
         f" where fin_id = {fin} and area_code <> '00' and month_key = {m}" for code, fin in R.KPI_A_AREA_CRITERIA)
-    c["ka"] = (
+    c["npl_a"] = npl
+    c["ka1"] = (
         f"select area_code, employee_id, kpi_code as criteria_code, {_avg('value')} as value,"
         f" rank() over (partition by kpi_code order by {_avg('value')} desc nulls first) as rank_kpi"
-        f" from px_kpi where month_report <= {m} and value is not null group by area_code, employee_id, kpi_code"
-        f" union all"
+        f" from px_kpi where month_report <= {m} and value is not null group by area_code, employee_id, kpi_code")
+    c["ka"] = (
+        f"select * from ka1 union all"
         f" select a.area_code, b.employee_id, criteria_code, value,"
         f" case when criteria_code = '{R.KPI_A_NPL_CODE}'"
         f" then dense_rank() over (partition by criteria_code order by value asc nulls last)"
         f" else dense_rank() over (partition by criteria_code order by value desc nulls first) end as rank_kpi"
-        f" from ({npl} union all {fins}) a join ({EMP.format(m=m)}) b on a.area_code = b.area_code")
+        f" from (select * from npl_a union all {fins}) a join ({EMP.format(m=m)}) b on a.area_code = b.area_code")
     c["kx"] = ("select x.*, y.criteria_type_name,"
                " sum(rank_kpi) over (partition by x.employee_id, y.criteria_type_name) as type_score,"
                " sum(rank_kpi) over (partition by x.employee_id) as overall_score"
