@@ -90,7 +90,7 @@ def _driver_headcount(spark, sf_dir) -> DataFrame:
 
 
 def _npl_three_way(spark, sf_dir) -> DataFrame:
-    return npl_ratio_a(_build(spark, sf_dir, "a").loan_area)
+    return npl_ratio_a(_build(spark, sf_dir, "a").loan_area).select("area_code", "value")
 
 
 def _kpi_cols(df: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def _kpi_cols(df: DataFrame) -> DataFrame:
 
 
 def _drivers_b(spark, sf_dir) -> DataFrame:
-    return _build(spark, sf_dir, "b").drivers
+    return _build(spark, sf_dir, "b").drivers.drop("month_key")
 
 
 def _month_republish(spark, sf_dir) -> DataFrame:

@@ -48,10 +48,11 @@ def loan_month_area(loan: DataFrame, month: int) -> DataFrame:
             ))
 
 
-def loan_area(month_area: DataFrame) -> DataFrame:
-    """One row per area: the averages of monthly totals and card counts."""
+def loan_area(month_area: DataFrame, month: int) -> DataFrame:
+    """One row per area (report month `month`): the averages of monthly totals
+    and card counts."""
     both = (F.col("n_dnx") > 0) & (F.col("n_wo") > 0)   # month kept by the 3-way inner join
-    return month_area.groupBy("area_code").agg(
+    return month_area.groupBy(F.lit(month).alias("month_key"), "area_code").agg(
         avg_of("b1").alias("avg_b1"),
         avg_of("b2").alias("avg_b2"),
         avg_of("b2_5").alias("avg_b2_5"),
@@ -71,13 +72,23 @@ def loan_area(month_area: DataFrame) -> DataFrame:
 
 
 def with_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> DataFrame:
-    """Add `out = value / sum(value over all areas)` for each out -> (value, rounded)."""
-    totals = area_table.select(*[F.sum(v).alias(f"_t_{o}") for o, (v, _) in specs.items()])
-    cols = []
-    for o, (v, rounded) in specs.items():
-        total = totals.select(f"_t_{o}").scalar()
-        cols.append(share_of_total(F.col(v), total, rounded).alias(o))
-    return area_table.select("*", *cols)
+    """Add `out = value / sum(value over the month's areas)` for each
+    out -> (value column, rounded). The totals are one grouped row per month,
+    joined back on month_key."""
+    totals = area_table.groupBy("month_key").agg(
+        *[F.sum(F.col(v).cast("double")).alias(f"_t_{o}") for o, (v, _) in specs.items()])
+    j = area_table.join(totals, "month_key")
+    return j.select(*area_table.columns,
+                    *[share_of_total(F.col(v), F.col(f"_t_{o}"), r).alias(o) for o, (v, r) in specs.items()])
+
+
+def long_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> DataFrame:
+    """(month_key, driver, area_code, share) for each driver of a per-area table."""
+    wide = with_shares(area_table.select("month_key", "area_code", *{c for c, _ in specs.values()}),
+                       {f"_s_{k}": v for k, v in specs.items()})
+    packed = F.array(*[F.struct(F.lit(k).alias("driver"), F.col(f"_s_{k}").alias("share")) for k in specs])
+    return wide.select("month_key", "area_code", F.inline(packed)).select(
+        "month_key", "driver", "area_code", "share")
 
 
 # Summary-A drivers: name -> (column of loan_area, share rounded?)
@@ -103,7 +114,7 @@ def driver_share(area_table: DataFrame, driver: str, specs=LOAN_DRIVERS_A) -> Da
     """(area_code, share) of one loan-book driver; areas whose driver value is
     NULL keep a NULL share (they exist in the grouped driver table)."""
     col, rounded = specs[driver]
-    return with_shares(area_table.select("area_code", col), {"share": (col, rounded)}) \
+    return with_shares(area_table.select("month_key", "area_code", col), {"share": (col, rounded)}) \
         .select("area_code", "share")
 
 
@@ -111,17 +122,17 @@ def npl_ratio_a(area_table: DataFrame) -> DataFrame:
     """S04 of scorecard A: (avg dnx + avg wo) / (avg dnck + avg wo) over the
     months having both bucket 3-5 rows and write-off rows; other areas drop."""
     t = area_table.filter(F.col("npl_months") > 0)
-    return t.select("area_code", F.try_divide(F.col("npl_dnx") + F.col("npl_wo"),
+    return t.select("month_key", "area_code", F.try_divide(F.col("npl_dnx") + F.col("npl_wo"),
                                               F.col("npl_dnck") + F.col("npl_wo")).alias("value"))
 
 
 def npl_ratio_b(area_table: DataFrame) -> DataFrame:
     """B26: zero-filled averages over every month of the area."""
-    return area_table.select("area_code", F.try_divide(F.col("avg_dnx0") + F.col("avg_wo0"),
+    return area_table.select("month_key", "area_code", F.try_divide(F.col("avg_dnx0") + F.col("avg_wo0"),
                                                        F.col("avg_all") + F.col("avg_wo0")).alias("value"))
 
 
 def writeoff_ratio_b(area_table: DataFrame) -> DataFrame:
     """B27: avg wo / (avg dnck + avg wo)."""
-    return area_table.select("area_code", F.try_divide(F.col("avg_wo0"),
+    return area_table.select("month_key", "area_code", F.try_divide(F.col("avg_wo0"),
                                                        F.col("avg_all") + F.col("avg_wo0")).alias("value"))

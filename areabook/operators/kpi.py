@@ -13,14 +13,14 @@ def headcount_cumulative(kpi: DataFrame, month: int) -> DataFrame:
     included. countDistinct plans as a two-phase aggregate (dedupe on
     (area, employee) map-side, then count), so a hot area costs no skew."""
     return (kpi.filter(F.col("month_report") <= month)
-            .groupBy("area_code")
+            .groupBy(F.lit(month).alias("month_key"), "area_code")
             .agg(F.countDistinct("employee_id").alias("headcount")))
 
 
 def headcount_in_month(kpi: DataFrame, month: int) -> DataFrame:
     """(area_code, headcount): distinct employees with a value in `month`."""
     return (kpi.filter((F.col("month_report") == month) & F.col("value").isNotNull())
-            .groupBy("area_code")
+            .groupBy(F.lit(month).alias("month_key"), "area_code")
             .agg(F.countDistinct("employee_id").alias("headcount")))
 
 
@@ -30,7 +30,7 @@ def headcount_monthly_avg(kpi: DataFrame, month: int) -> DataFrame:
     monthly = (kpi.filter((F.col("month_report") <= month) & F.col("value").isNotNull())
                .groupBy("area_code", "month_report")
                .agg(F.countDistinct("employee_id").alias("n")))
-    return monthly.groupBy("area_code").agg(avg_of("n").alias("avg_headcount"))
+    return monthly.groupBy(F.lit(month).alias("month_key"), "area_code").agg(avg_of("n").alias("avg_headcount"))
 
 
 def employee_kpi(kpi: DataFrame, month: int, code_col: str) -> DataFrame:

@@ -53,7 +53,8 @@ def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
 
 
 def ledger_rule_sums(ledger: DataFrame, month: int, accounts: Sequence[AccountRule]) -> DataFrame:
-    """Rows (rule, area_code, direct_sum, n_rows, head_sum) for month <= `month`.
+    """Rows (month_key, rule, area_code, direct_sum, n_rows, head_sum) for
+    ledger dates up to report month `month`.
 
     direct_sum: sum(amount) of the area's rows matching the rule's direct list
     (NULL if the matches carry no amount); n_rows: number of such rows (an area
@@ -75,9 +76,9 @@ def ledger_rule_sums(ledger: DataFrame, month: int, accounts: Sequence[AccountRu
         aggs += [F.sum(F.when(d, amount)).alias(f"d{i}"),
                  F.count_if(d).alias(f"n{i}"),
                  F.sum(F.when(head & p, amount)).alias(f"p{i}")]
-    wide = rows.groupBy("area_code").agg(*aggs)
+    wide = rows.groupBy(F.lit(month).alias("month_key"), "area_code").agg(*aggs)
     packed = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.col(f"d{i}").alias("direct_sum"),
                                 F.col(f"n{i}").alias("n_rows"), F.col(f"p{i}").alias("head_sum"))
                        for i, r in enumerate(accounts)])
-    return wide.select("area_code", F.inline(packed)).select(
-        "rule", "area_code", "direct_sum", "n_rows", "head_sum")
+    return wide.select("month_key", "area_code", F.inline(packed)).select(
+        "month_key", "rule", "area_code", "direct_sum", "n_rows", "head_sum")

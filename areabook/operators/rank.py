@@ -39,14 +39,20 @@ def _order(col: str, descending: bool, nulls_first: bool) -> Column:
 def rank_by(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), *,
             descending: bool = False, dense: bool = False, weight_col: str | None = None,
             nulls_first: bool | None = None, out: str = "rank",
-            stager: Stager | None = None, partitions: int | None = None) -> DataFrame:
+            stager: Stager | None = None, partitions: int | None = None,
+            bounded: bool = False) -> DataFrame:
     """`df` plus column `out` = rank()/dense_rank() over (partition by
     partition_cols order by order_col [desc]). `weight_col`: each row stands
-    for that many rows (rank only)."""
+    for that many rows (rank only).
+
+    bounded=True is for tables whose size does not grow with the data (one
+    row per area and criterion): a plain window, no staging."""
     spark = df.sparkSession
     pc = list(partition_cols)
     if nulls_first is None:
         nulls_first = descending
+    if bounded:
+        return _rank_small(df, order_col, pc, descending, dense, weight_col, nulls_first, out)
     st = stager or Stager(spark, "rank")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -85,3 +91,14 @@ def rank_by(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), *
     keys_ = pc + [order_col]
     cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys_]
     return left.join(right, cond).select("l.*", F.col(f"r.{out}").cast("long").alias(out))
+
+
+def _rank_small(df, order_col, pc, descending, dense, weight_col, nulls_first, out) -> DataFrame:
+    order = _order(order_col, descending, nulls_first)
+    w = Window.partitionBy(*pc).orderBy(order)
+    if dense:
+        return df.withColumn(out, F.dense_rank().over(w).cast("long"))
+    weight = F.lit(1).cast("long") if weight_col is None else F.col(weight_col).cast("long")
+    upto = F.sum(weight).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    peers = F.sum(weight).over(Window.partitionBy(*pc, order_col))
+    return df.withColumn(out, (upto - peers + 1).cast("long"))

@@ -3,39 +3,57 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import stage_double, to_stage
 
 
-def rollup(rows: DataFrame, parent: int, children: Iterable[int], month: int) -> DataFrame:
-    """Parent line = sum of its child lines per area (areas having any child)."""
-    return (rows.filter(F.col("fin_id").isin(*children) & (F.col("month_key") == month))
-            .groupBy("month_key", "area_code")
-            .agg(F.sum("value").alias("value"))
-            .select(F.lit(parent).alias("fin_id"), "area_code", to_stage("value").alias("value"),
-                    "month_key"))
-
-
-def line_values(rows: DataFrame, fin_ids: Iterable[int], name: str, month: int,
-                aggregate: bool = True) -> DataFrame:
-    """(area_code, name) from the listed lines: summed per area, or the line's
-    rows as they are (one per area) when `aggregate` is False."""
-    r = rows.filter(F.col("fin_id").isin(*fin_ids) & (F.col("month_key") == month))
-    if aggregate:
-        return r.groupBy("area_code").agg(F.sum("value").alias(name))
-    return r.select("area_code", F.col("value").alias(name))
-
-
-def guarded_percent(left: DataFrame, right: DataFrame, num: str, den: str, fin_id: int,
-                    month: int) -> DataFrame:
-    """Rows of `left` (left join `right` on area): 0 when den = 0, else
-    num x 100 / den (NULL when a side is missing)."""
-    j = left.join(right, "area_code", "left")
-    v = F.when(F.col(den) == 0, F.lit(0.0)).otherwise(
-        F.try_divide(F.col(num).cast("double") * 100, F.col(den).cast("double")))
-    return j.select(F.lit(fin_id).alias("fin_id"), "area_code", stage_double(v).alias("value"),
-                    F.lit(month).alias("month_key"))
+def closure(rollups: Sequence[tuple[int, Sequence[int]]]) -> list[tuple[int, int]]:
+    """(ancestor, leaf) pairs of the roll-up tree: a parent sums the leaves
+    under it, so all levels come out of one grouped sum (exact for decimals)."""
+    children = {p: list(cs) for p, cs in rollups}
+
+    def leaves(n, seen=()):
+        if n not in children or n in seen:
+            return [n]
+        out = []
+        for c in children[n]:
+            out += leaves(c, seen + (n,))
+        return out
+    return sorted({(p, leaf) for p in children for leaf in leaves(p)})
+
+
+def rollup_all(spark: SparkSession, rows: DataFrame, rollups, parents: Sequence[int]) -> DataFrame:
+    """Rows of each parent in `parents` = sum of its leaves per (month, area),
+    for areas having any leaf row. Leaves must all be present in `rows`."""
+    pairs = [(p, leaf) for p, leaf in closure(rollups) if p in parents]
+    tree = F.broadcast(spark.createDataFrame(pairs, "parent int, leaf int"))
+    return (rows.join(tree, rows.fin_id == tree.leaf)
+            .groupBy("parent", "month_key", "area_code")
+            .agg(to_stage(F.sum("value")).alias("value"))
+            .select(F.col("parent").alias("fin_id"), "area_code", "value", "month_key"))
+
+
+def percent_ratios(rows: DataFrame, specs) -> DataFrame:
+    """Ratio lines `0 if den = 0 else num x 100 / den` for every spec at once.
+
+    specs: (fin_id, base_ids, num_ids, den_ids, base_is_den). A row exists for
+    an area having a row in `base_ids`; num/den are sums of the listed lines
+    (NULL when the area has none of them)."""
+    fin, v = F.col("fin_id"), F.col("value")
+    aggs, outs = [], []
+    for i, (fid, base, num, den, _) in enumerate(specs):
+        aggs += [F.count_if(fin.isin(*base)).alias(f"b{i}"),
+                 F.sum(F.when(fin.isin(*num), v)).alias(f"n{i}"),
+                 F.sum(F.when(fin.isin(*den), v)).alias(f"d{i}")]
+        d, n = F.col(f"d{i}"), F.col(f"n{i}")
+        val = F.when(d == 0, F.lit(0.0)).otherwise(
+            F.try_divide(n.cast("double") * 100, d.cast("double")))
+        outs.append(F.struct(F.lit(fid).alias("fin_id"), (F.col(f"b{i}") > 0).alias("_keep"),
+                             stage_double(val).alias("value")))
+    wide = rows.groupBy("month_key", "area_code").agg(*aggs)
+    return (wide.select("month_key", "area_code", F.inline(F.array(*outs)))
+            .filter("_keep").select("fin_id", "area_code", "value", "month_key"))

@@ -31,11 +31,11 @@ def rank_area_metrics(area_rows: DataFrame, employees: DataFrame, methods: dict[
     for (method, asc), codes in groups.items():
         sub = rows.filter(F.col("criteria_code").isin(*codes))
         parts.append(rank_by(sub, "value", ["criteria_code"], descending=not asc, dense=method == "dense_rank",
-                             weight_col="_n_emp", out="rank_kpi", stager=stager))
+                             weight_col="_n_emp", out="rank_kpi", stager=stager, bounded=True))
     method, asc = default
     rest = rows.filter(~F.col("criteria_code").isin(*listed)) if listed else rows
     parts.append(rank_by(rest, "value", ["criteria_code"], descending=not asc, dense=method == "dense_rank",
-                         weight_col="_n_emp", out="rank_kpi", stager=stager))
+                         weight_col="_n_emp", out="rank_kpi", stager=stager, bounded=True))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

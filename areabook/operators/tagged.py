@@ -9,11 +9,11 @@ HEAD_FLAG = "HEAD"
 
 
 def line_area_sums(balance_txn: DataFrame, month: int) -> DataFrame:
-    """(fin_id_lv3, area_code, value, value_head, n_head) cumulative to `month`:
+    """(month_key, fin_id_lv3, area_code, value, value_head, n_head) cumulative to `month`:
     the area's sum over all rows and over head-office rows, in one aggregate."""
     head = F.col("dvml_head") == HEAD_FLAG
     return (balance_txn.filter(F.col("month_key") <= month)
-            .groupBy("fin_id_lv3", "area_code")
+            .groupBy(F.lit(month).alias("month_key"), "fin_id_lv3", "area_code")
             .agg(F.sum("amount").alias("value"),
                  F.sum(F.when(head, F.col("amount"))).alias("value_head"),
                  F.count_if(head).alias("n_head")))

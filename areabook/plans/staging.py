@@ -10,6 +10,9 @@ plan, and a lost executor only costs the level being written."""
 from __future__ import annotations
 
 import itertools
+import os
+import sys
+import time
 import uuid
 from functools import reduce
 
@@ -17,6 +20,8 @@ from pyspark.sql import DataFrame
 
 from areabook.session import ensure_checkpoint_dir
 
+_TRACE = bool(os.environ.get("AREABOOK_TRACE"))
+
 
 class Stager:
     """Writes the stages of one job run under <checkpoint dir>/areabook/<run id>/."""
@@ -29,7 +34,10 @@ class Stager:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{next(self._seq):03d}-{name}"
+        t = time.perf_counter()
         df.write.mode("overwrite").parquet(path)
+        if _TRACE:
+            print(f"[stage] {path.rsplit('/', 1)[-1]} {time.perf_counter() - t:.2f}s", file=sys.stderr)
         return self.spark.read.parquet(path)
 
 

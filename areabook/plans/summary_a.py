@@ -1,19 +1,30 @@
 """JOB1, summary A: per-area P&L lines from the raw ledger, allocated,
-rolled up and turned into ratios for one month (cumulative)."""
+rolled up and turned into ratios for one month (cumulative).
+
+Stages (each written once, see plans.staging):
+  1. rule sums   one scan of the ledger -> (month, rule, area) sums
+  2. loan area   one scan of the loan book -> per-area driver averages
+  3. headcount   distinct employees per area (line 2)
+  4. shares      every driver's per-area share, long format
+  5. lines       lines 2, 14-18, 25-27, 29-32, 9 (one join chain)
+  6. funding     line 4 and funding lines 20-22
+  7. totals      roll-ups 5, 6, 8, 7, 1 and ratios 10-13
+"""
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import to_stage
-from areabook.operators.allocate import allocate_line, funding_lines
-from areabook.operators.drivers import driver_share, loan_area, loan_month_area, with_shares
+from areabook.operators.allocate import allocate_lines, funding_lines
+from areabook.operators.drivers import LOAN_DRIVERS_A, loan_area, loan_month_area, long_shares
 from areabook.operators.kpi import headcount_cumulative
 from areabook.operators.ledger import ledger_rule_sums
-from areabook.operators.rollup import guarded_percent, line_values, rollup
+from areabook.operators.rollup import percent_ratios, rollup_all
 from areabook.plans import rules as R
 from areabook.plans.staging import Stager, union_all
 from areabook.sources.inputs import Inputs
@@ -21,71 +32,56 @@ from areabook.sources.inputs import Inputs
 
 @dataclass
 class SummaryA:
-    rule_sums: DataFrame       # (rule, area, direct_sum, n_rows, head_sum)
+    rule_sums: DataFrame       # (month_key, rule, area_code, direct_sum, n_rows, head_sum)
     loan_area: DataFrame       # per-area loan-book drivers
-    headcount: DataFrame       # (area_code, headcount)
-    headcount_rows: DataFrame  # line 2
+    headcount: DataFrame       # (month_key, area_code, headcount)
+    shares: DataFrame          # (month_key, driver, area_code, share)
     lines: DataFrame           # lines 2, 14-18, 25-27, 29-32, 9
-    card_income: DataFrame     # line 4
-    funding: DataFrame         # lines 20-22
-    totals: DataFrame          # lines 5, 6, 8, 7, 1
-    ratios: DataFrame          # lines 10-13
+    funding: DataFrame         # lines 4, 20-22
+    totals: DataFrame          # lines 5, 6, 8, 7, 1, 10-13
     result: DataFrame          # everything, as stored
 
 
-def _rows(df: DataFrame) -> DataFrame:
-    return df.select("fin_id", "area_code", "value", "month_key")
+def ratio_specs():
+    """(fin_id, base lines, numerator lines, denominator lines, _) of the ratios."""
+    return [
+        (R.CIR_FIN_A, (7,), (8,), (7,), True),
+        (R.MARGIN_FIN_A, (1,), (1,), R.MARGIN_DEN_IDS_A, False),
+        (R.CAPITAL_FIN_A, (1,), (1,), R.MARGIN_DEN_IDS_A, False),
+        (R.PER_HEAD_FIN_A, (R.HEADCOUNT_FIN_A,), (1,), (R.HEADCOUNT_FIN_A,), True),
+    ]
 
 
 def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A,
           stager: Stager | None = None) -> SummaryA:
-    st = stager or Stager(inputs.ledger.sparkSession, "summary_a")
-
-    def small_stage(df, _n=[0]):
-        _n[0] += 1
-        return st.stage(df, f"s{_n[0]:02d}")
-
-    rs = small_stage(ledger_rule_sums(inputs.ledger, month, rules.accounts))
-    la = small_stage(loan_area(loan_month_area(inputs.loan, month)))
-    hc = small_stage(headcount_cumulative(inputs.kpi, month))
+    spark = inputs.ledger.sparkSession
+    st = stager or Stager(spark, "summary_a")
+    seq = itertools.count(1)
+
+    def stage(df):
+        return st.stage(df, f"a{next(seq):02d}")
+
+    rs = stage(ledger_rule_sums(inputs.ledger, month, rules.accounts))
+    la = stage(loan_area(loan_month_area(inputs.loan, month), month))
+    hc = stage(headcount_cumulative(inputs.kpi, month))
+
+    drivers = {d for d in (ln.driver for ln in rules.alloc_lines) if d != "headcount"}
+    shares = stage(union_all([
+        long_shares(la, {d: LOAN_DRIVERS_A[d] for d in sorted(drivers)}),
+        long_shares(hc, {"headcount": ("headcount", False)}),
+    ]))
     hc_rows = hc.select(F.lit(R.HEADCOUNT_FIN_A).alias("fin_id"), "area_code",
-                        to_stage("headcount").alias("value"), F.lit(month).alias("month_key"))
-    hc_share = with_shares(hc, {"share": ("headcount", False)}).select("area_code", "share")
-
-    shares = {}
-    alloc = []
-    for line in rules.alloc_lines:
-        if line.driver not in shares:
-            shares[line.driver] = hc_share if line.driver == "headcount" else driver_share(la, line.driver)
-        alloc.append(allocate_line(rs, line, shares[line.driver], month))
-    lines = small_stage(union_all([hc_rows] + alloc))
-
-    parents = dict(rules.rollups)
-    a4 = small_stage(rollup(lines, 4, parents[4], month))
-    funding = small_stage(funding_lines(rs, rules.funding_lines, rules.funding_revenue,
-                                        a4.select("area_code", "value"), month))
-    lvl2 = union_all([lines, a4, funding])
-    a5, a6, a8 = (rollup(lvl2, p, parents[p], month) for p in (5, 6, 8))
-    lvl3 = small_stage(union_all([lvl2, a5, a6, a8]))
-    a7 = rollup(lvl3, 7, parents[7], month)
-    lvl4 = union_all([lvl3, a7])
-    a1 = rollup(lvl4, 1, parents[1], month)
-    lvl5 = small_stage(union_all([lvl4, a1]))
-
-    def vals(ids, name, aggregate=True):
-        return line_values(lvl5, ids, name, month, aggregate)
-
-    cir = guarded_percent(vals([7], "tn", False), vals([8], "cp", False), "cp", "tn", R.CIR_FIN_A, month)
-    margin_l, margin_r = vals([1], "lntt"), vals(R.MARGIN_DEN_IDS_A, "tn")
-    margin = guarded_percent(margin_l, margin_r, "lntt", "tn", R.MARGIN_FIN_A, month)
-    capital = guarded_percent(margin_l, margin_r, "lntt", "tn", R.CAPITAL_FIN_A, month)
-    per_head = guarded_percent(vals([R.HEADCOUNT_FIN_A], "slns", False), vals([1], "lntt", False),
-                               "lntt", "slns", R.PER_HEAD_FIN_A, month)
-    ratios = union_all([cir, margin, capital, per_head])
-    ratios = small_stage(ratios)
-    result = union_all([lvl5, ratios])
-    return SummaryA(rs, la, hc, hc_rows, lines, a4, funding,
-                    union_all([a5, a6, a8, a7, a1]), ratios, result)
+                        to_stage("headcount").alias("value"), "month_key")
+    lines = stage(union_all([hc_rows, allocate_lines(rs, rules.alloc_lines, shares)]))
+
+    a4 = rollup_all(spark, lines, rules.rollups, [4])
+    funding = stage(union_all([a4, funding_lines(rs, rules.funding_lines, rules.funding_revenue,
+                                                 a4.select("area_code", "value", "month_key"))]))
+    leaves = union_all([lines, funding])
+    sums = rollup_all(spark, leaves, rules.rollups, [5, 6, 8, 7, 1])
+    totals = stage(union_all([sums, percent_ratios(union_all([leaves, sums]), ratio_specs())]))
+    result = union_all([lines, funding, totals])
+    return SummaryA(rs, la, hc, shares, lines, funding, totals, result)
 
 
 def summary_a(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:

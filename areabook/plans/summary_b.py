@@ -31,11 +31,11 @@ class SummaryB:
     result: DataFrame
 
 
-def _tall(fin_id, area, value, month, double=True):
+def _tall(fin_id, area, value, month_key, double=True):
     """Tall metric row; `double`: the value is a DOUBLE result (else exact)."""
     return [F.lit(fin_id).alias("fin_id") if isinstance(fin_id, int) else fin_id.alias("fin_id"),
             area.alias("area_code"), (stage_double(value) if double else to_stage(value)).alias("value"),
-            F.lit(month).alias("month_key")]
+            month_key.alias("month_key")]
 
 
 def build(inputs: Inputs, month: int, stager: Stager | None = None) -> SummaryB:
@@ -46,45 +46,48 @@ def build(inputs: Inputs, month: int, stager: Stager | None = None) -> SummaryB:
         return st.stage(df, f"b{next(seq):02d}")
 
     ls = stage(line_area_sums(inputs.balance_txn, month))
-    la = stage(loan_area(loan_month_area(inputs.loan, month)))
-    hc21 = headcount_in_month(inputs.kpi, month)
-    b21 = stage(hc21.select(*_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), month, False)))
+    la = stage(loan_area(loan_month_area(inputs.loan, month), month))
+    b21 = stage(headcount_in_month(inputs.kpi, month).select(
+        *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), False)))
     avg_hc = stage(headcount_monthly_avg(inputs.kpi, month))
 
     # drivers: loan-book shares (areas of the loan book) x headcount share, inner
-    loan_shares = with_shares(la.select("area_code", *{c for c, _ in LOAN_DRIVERS_B.values()}),
+    loan_shares = with_shares(la.select("month_key", "area_code", *{c for c, _ in LOAN_DRIVERS_B.values()}),
                               {f"s_{k}": v for k, v in LOAN_DRIVERS_B.items()})
     hc_share = with_shares(avg_hc, {f"s_{R.B_DEFAULT_DRIVER}": ("avg_headcount", True)})
-    drivers = stage(loan_shares.join(hc_share, "area_code")
-                    .select("area_code", *[f"s_{k}" for k in LOAN_DRIVERS_B], f"s_{R.B_DEFAULT_DRIVER}"))
+    drivers = stage(loan_shares.join(hc_share, ["month_key", "area_code"])
+                    .select("month_key", "area_code", *[f"s_{k}" for k in LOAN_DRIVERS_B],
+                            f"s_{R.B_DEFAULT_DRIVER}"))
 
     # allocated lines: area rows x head pool of the same line (joined on the line only)
-    a = ls.filter(F.col("fin_id_lv3").isin(*R.B_ALLOC_LINES)).select("fin_id_lv3", "area_code", "value")
-    b = ls.filter(F.col("n_head") > 0).select("fin_id_lv3", "value_head")
-    x = a.join(b, "fin_id_lv3").join(drivers, "area_code")
+    a = ls.filter(F.col("fin_id_lv3").isin(*R.B_ALLOC_LINES)).select("month_key", "fin_id_lv3", "area_code",
+                                                                      "value")
+    b = ls.filter(F.col("n_head") > 0).select("month_key", "fin_id_lv3", "value_head")
+    x = a.join(b, ["month_key", "fin_id_lv3"]).join(drivers, ["month_key", "area_code"])
     share = F.col(f"s_{R.B_DEFAULT_DRIVER}")
     for line, drv in sorted(R.B_LINE_DRIVER.items(), reverse=True):
         share = F.when(F.col("fin_id_lv3") == line, F.col(f"s_{drv}")).otherwise(share)
     alloc = stage(x.select(*_tall(F.col("fin_id_lv3"), F.col("area_code"),
-                                  F.col("value") + F.col("value_head") * share, month)))
-
-    # funding lines: head pool of each line x area card income / (revenue + total income)
-    heads = ls.filter(F.col("n_head") > 0).groupBy("fin_id_lv3").agg(F.sum("value_head").alias("pool"))
+                                  F.col("value") + F.col("value_head") * share, F.col("month_key"))))
+
+    # funding lines: head pool of each line x area income / (funding revenue + total income).
+    # Each area row is repeated per configured line (explode), pools joined on (month, line).
+    heads = (ls.filter(F.col("n_head") > 0).groupBy("month_key", "fin_id_lv3")
+             .agg(F.sum("value_head").alias("pool")))
+    revenue = heads.filter(F.col("fin_id_lv3") == R.B_FUNDING_REVENUE_LINE).select(
+        "month_key", F.col("pool").alias("revenue"))
     income = (alloc.filter(F.col("fin_id").isin(*R.B_INCOME_LINES))
-              .groupBy("area_code").agg(F.sum("value").alias("inc")))
-    revenue_rows = heads.filter(F.col("fin_id_lv3") == R.B_FUNDING_REVENUE_LINE)
-    revenue = revenue_rows.select("pool").scalar()
-    n_revenue = revenue_rows.select(F.count(F.lit(1))).scalar()
-    total = income.select(to_stage(F.sum("inc"))).scalar()
-    inc_share = F.try_divide(F.col("inc").cast("double"), (revenue + total).cast("double"))
-    fund = []
-    for line in R.B_FUNDING_LINES:
-        line_rows = heads.filter(F.col("fin_id_lv3") == line)
-        pool = line_rows.select("pool").scalar()
-        n_line = line_rows.select(F.count(F.lit(1))).scalar()
-        fund.append(income.filter((n_line > 0) & (n_revenue > 0)).select(
-            *_tall(line, F.col("area_code"), round_half_up(pool * inc_share * 1, 0), month, False)))
-    funding = stage(union_all(fund))
+              .groupBy("month_key", "area_code").agg(F.sum("value").alias("inc")))
+    total = income.groupBy("month_key").agg(to_stage(F.sum("inc")).alias("total"))
+    per_line = F.array(*[F.lit(f) for f in R.B_FUNDING_LINES])
+    y = (income.select("month_key", "area_code", "inc", F.explode(per_line).alias("fin_id_lv3"))
+         .join(heads, ["month_key", "fin_id_lv3"])
+         .join(revenue, "month_key")
+         .join(total, "month_key"))
+    inc_share = F.try_divide(F.col("inc").cast("double"), (F.col("revenue") + F.col("total")).cast("double"))
+    funding = stage(y.select(*_tall(F.col("fin_id_lv3"), F.col("area_code"),
+                                    round_half_up(F.col("pool") * inc_share * 1, 0), F.col("month_key"),
+                                    False)))
 
     lvl = union_all([b21, alloc, funding])
     fin, v = F.col("fin_id"), F.col("value")
@@ -92,24 +95,23 @@ def build(inputs: Inputs, month: int, stager: Stager | None = None) -> SummaryB:
     def csum(cond):
         return F.sum(F.when(cond, v).otherwise(0))
 
-    k = lvl.filter(F.col("month_key") == month).groupBy("area_code").agg(
+    k = lvl.filter(F.col("month_key") == month).groupBy("month_key", "area_code").agg(
         csum(fin.between(*R.B_TN_RANGE)).alias("tn"),
         csum(fin.between(*R.B_CP_RANGE)).alias("cp"),
         csum(fin.between(*R.B_LN_RANGE)).alias("ln"),
         csum(fin.isin(*R.B_MARGIN_DEN_IDS)).alias("tn2"),
         csum(fin.isin(*R.B_CAPITAL_DEN_IDS)).alias("cp2"))
-    area = F.col("area_code")
-    ratios = union_all([
-        k.select(*_tall(R.B_CIR_FIN, area, ratio(-F.col("cp"), F.col("tn")), month)),
-        k.select(*_tall(R.B_MARGIN_FIN, area, ratio(F.col("ln"), F.col("tn2")), month)),
-        k.select(*_tall(R.B_CAPITAL_FIN, area, ratio(-F.col("ln"), F.col("cp2")), month)),
-        k.join(avg_hc, "area_code").select(
+    area, mk = F.col("area_code"), F.col("month_key")
+    ratios = stage(union_all([
+        k.select(*_tall(R.B_CIR_FIN, area, ratio(-F.col("cp"), F.col("tn")), mk)),
+        k.select(*_tall(R.B_MARGIN_FIN, area, ratio(F.col("ln"), F.col("tn2")), mk)),
+        k.select(*_tall(R.B_CAPITAL_FIN, area, ratio(-F.col("ln"), F.col("cp2")), mk)),
+        k.join(avg_hc, ["month_key", "area_code"]).select(
             *_tall(R.B_PER_HEAD_FIN, area, F.try_divide(F.col("ln").cast("double"), F.col("avg_headcount")),
-                   month)),
-        npl_ratio_b(la).select(*_tall(R.B_NPL_FIN, area, F.col("value"), month)),
-        writeoff_ratio_b(la).select(*_tall(R.B_WO_FIN, area, F.col("value"), month)),
-    ])
-    ratios = stage(ratios)
+                   mk)),
+        npl_ratio_b(la).select(*_tall(R.B_NPL_FIN, area, F.col("value"), mk)),
+        writeoff_ratio_b(la).select(*_tall(R.B_WO_FIN, area, F.col("value"), mk)),
+    ]))
     result = union_all([b21, alloc, funding, ratios])
     return SummaryB(ls, la, b21, drivers, alloc, funding, ratios, result)
 

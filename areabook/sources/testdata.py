@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import month_key_of
-from areabook.operators.broadcast import broadcast_if_small
 from areabook.plans import rules
 from areabook.sources import schemas
 from areabook.sources.inputs import Inputs
@@ -20,7 +19,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 def _customer_area(spark, sf_dir) -> DataFrame:
     cust = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    nation = broadcast_if_small(_read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"), 10_000)
+    # nation: a few hundred bytes on disk; the planner's file-size check broadcasts it
+    nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     return cust.join(nation, cust.c_nationkey == nation.n_nationkey)
 
 

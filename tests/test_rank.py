@@ -41,3 +41,16 @@ def test_weighted_rank(spark):
     df = spark.createDataFrame([("x", 1.0, 2), ("y", 1.0, 3), ("z", 5.0, 1)], "a string, v double, n long")
     got = {r.a: r.rk for r in rank_by(df, "v", weight_col="n", out="rk").collect()}
     assert got == {"x": 1, "y": 1, "z": 6}
+
+
+@pytest.mark.parametrize("desc", [False, True])
+@pytest.mark.parametrize("dense", [False, True])
+def test_bounded_path_matches(spark, data, desc, dense):
+    got = rank_by(data, "v", ["p"], descending=desc, dense=dense, out="r", bounded=True)
+    assert {r.id: r.r for r in got.select("id", "r").collect()} == _window(data, desc, dense, True)
+
+
+def test_weighted_rank_bounded(spark):
+    df = spark.createDataFrame([("x", 1.0, 2), ("y", 1.0, 3), ("z", 5.0, 1)], "a string, v double, n long")
+    got = {r.a: r.rk for r in rank_by(df, "v", weight_col="n", out="rk", bounded=True).collect()}
+    assert got == {"x": 1, "y": 1, "z": 6}
