@@ -3,6 +3,7 @@ type and overall scores and ranks (refreshes summary A first)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -33,8 +34,11 @@ class KpiA:
 
 def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> KpiA:
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
-    sa = SA.build(inputs, month, rules, stager=st)
-    emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
+    # the summary refresh and the per-employee KPI averages are independent
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st))
+        emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
+        sa = summary.result()
     ka1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)
     employees = area_employees(emp_kpi)
 

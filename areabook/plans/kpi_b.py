@@ -3,6 +3,7 @@ the overall score, each ranked (refreshes summary B first)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -37,8 +38,11 @@ def _out(df: DataFrame) -> DataFrame:
 
 def build(inputs: Inputs, month: int) -> KpiB:
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
-    sb = SB.build(inputs, month, stager=st)
-    emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
+    # the summary refresh and the per-employee KPI averages are independent
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        summary = pool.submit(lambda: SB.build(inputs, month, stager=st))
+        emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
+        sb = summary.result()
     kb1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)
     employees = area_employees(emp_kpi)
 

@@ -14,6 +14,7 @@ import os
 import sys
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -41,5 +42,13 @@ class Stager:
         return self.spark.read.parquet(path)
 
 
+    def stage_all(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write independent stages concurrently (one Spark job per thread;
+        the scheduler runs them side by side)."""
+        with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+            futures = {k: pool.submit(self.stage, df, k) for k, df in frames.items()}
+            return {k: f.result() for k, f in futures.items()}
+
+
 def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -61,9 +61,10 @@ def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A,
     def stage(df):
         return st.stage(df, f"a{next(seq):02d}")
 
-    rs = stage(ledger_rule_sums(inputs.ledger, month, rules.accounts))
-    la = stage(loan_area(loan_month_area(inputs.loan, month), month))
-    hc = stage(headcount_cumulative(inputs.kpi, month))
+    first = st.stage_all({"rule_sums": ledger_rule_sums(inputs.ledger, month, rules.accounts),
+                          "loan_area": loan_area(loan_month_area(inputs.loan, month), month),
+                          "headcount": headcount_cumulative(inputs.kpi, month)})
+    rs, la, hc = first["rule_sums"], first["loan_area"], first["headcount"]
 
     drivers = {d for d in (ln.driver for ln in rules.alloc_lines) if d != "headcount"}
     shares = stage(union_all([

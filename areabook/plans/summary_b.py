@@ -45,11 +45,13 @@ def build(inputs: Inputs, month: int, stager: Stager | None = None) -> SummaryB:
     def stage(df):
         return st.stage(df, f"b{next(seq):02d}")
 
-    ls = stage(line_area_sums(inputs.balance_txn, month))
-    la = stage(loan_area(loan_month_area(inputs.loan, month), month))
-    b21 = stage(headcount_in_month(inputs.kpi, month).select(
-        *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), False)))
-    avg_hc = stage(headcount_monthly_avg(inputs.kpi, month))
+    first = st.stage_all({
+        "line_sums": line_area_sums(inputs.balance_txn, month),
+        "loan_area": loan_area(loan_month_area(inputs.loan, month), month),
+        "headcount": headcount_in_month(inputs.kpi, month).select(
+            *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), False)),
+        "avg_headcount": headcount_monthly_avg(inputs.kpi, month)})
+    ls, la, b21, avg_hc = (first[k] for k in ("line_sums", "loan_area", "headcount", "avg_headcount"))
 
     # drivers: loan-book shares (areas of the loan book) x headcount share, inner
     loan_shares = with_shares(la.select("month_key", "area_code", *{c for c, _ in LOAN_DRIVERS_B.values()}),
