@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.operators.broadcast import broadcast_if_small
 from areabook.operators.drivers import npl_ratio_a
 from areabook.operators.kpi import area_employees, employee_kpi
 from areabook.operators.rank import rank_by
@@ -54,7 +53,7 @@ def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> Kpi
     ranked = rank_area_metrics(area_metrics, employees, {R.KPI_A_NPL_CODE: ("dense_rank", True)},
                                ("dense_rank", False), st)
     level1 = ka1.unionByName(spread_to_employees(ranked, employees))
-    dim = broadcast_if_small(inputs.dim_criteria, 100_000)
+    dim = inputs.dim_criteria   # a stored dimension: the planner broadcasts it by its size
     x = level1.join(dim, "criteria_code")
     x = st.stage(scores(x, ["employee_id"], "criteria_type_name"), "scored")
     x = rank_by(x, "type_score", ["criteria_type_name"], descending=True, dense=True, out="type_rank",

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.operators.broadcast import broadcast_if_small
 from areabook.operators.kpi import area_employees, employee_kpi
 from areabook.operators.rank import rank_by
 from areabook.operators.scorecard import rank_area_metrics, spread_to_employees
@@ -53,7 +52,7 @@ def build(inputs: Inputs, month: int) -> KpiB:
                                       & (F.col("month_key") == month))
                      .select("area_code", F.lit(code).alias("criteria_code"),
                              (F.abs(v) if absolute else v).alias("value")))
-    dim = broadcast_if_small(inputs.dim_criteria_xlsx, 100_000)
+    dim = inputs.dim_criteria_xlsx   # a stored dimension: broadcast by the planner's size check
     area_metrics = st.stage(union_all(parts).join(dim, "criteria_code"), "area_metrics")
     methods = {code: (method, asc) for code, _, _, method, asc in R.KPI_B_AREA_CRITERIA}
     ranked = rank_area_metrics(area_metrics, employees, methods, ("dense_rank", False), st)

@@ -5,10 +5,10 @@ Stages (each written once, see plans.staging):
   1. rule sums   one scan of the ledger -> (month, rule, area) sums
   2. loan area   one scan of the loan book -> per-area driver averages
   3. headcount   distinct employees per area (line 2)
-  4. shares      every driver's per-area share, long format
-  5. lines       lines 2, 14-18, 25-27, 29-32, 9 (one join chain)
-  6. funding     line 4 and funding lines 20-22
-  7. totals      roll-ups 5, 6, 8, 7, 1 and ratios 10-13
+  4. lines       every driver's per-area share (long format), then lines
+                 2, 14-18, 25-27, 29-32, 9 in one join chain
+  5. upper       line 4, funding lines 20-22, roll-ups 5, 6, 8, 7, 1 and
+                 ratios 10-13
 """
 
 from __future__ import annotations
@@ -67,21 +67,24 @@ def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A,
     rs, la, hc = first["rule_sums"], first["loan_area"], first["headcount"]
 
     drivers = {d for d in (ln.driver for ln in rules.alloc_lines) if d != "headcount"}
-    shares = stage(union_all([
+    shares = union_all([
         long_shares(la, {d: LOAN_DRIVERS_A[d] for d in sorted(drivers)}),
         long_shares(hc, {"headcount": ("headcount", False)}),
-    ]))
+    ])
     hc_rows = hc.select(F.lit(R.HEADCOUNT_FIN_A).alias("fin_id"), "area_code",
                         to_stage("headcount").alias("value"), "month_key")
     lines = stage(union_all([hc_rows, allocate_lines(rs, rules.alloc_lines, shares)]))
 
+    # upper levels: all small, one stage (plans stay small: they read the staged lines)
     a4 = rollup_all(spark, lines, rules.rollups, [4])
-    funding = stage(union_all([a4, funding_lines(rs, rules.funding_lines, rules.funding_revenue,
-                                                 a4.select("area_code", "value", "month_key"))]))
+    funding = union_all([a4, funding_lines(rs, rules.funding_lines, rules.funding_revenue,
+                                           a4.select("area_code", "value", "month_key"))])
     leaves = union_all([lines, funding])
     sums = rollup_all(spark, leaves, rules.rollups, [5, 6, 8, 7, 1])
-    totals = stage(union_all([sums, percent_ratios(union_all([leaves, sums]), ratio_specs())]))
-    result = union_all([lines, funding, totals])
+    upper = stage(union_all([funding, sums, percent_ratios(union_all([leaves, sums]), ratio_specs())]))
+    funding = upper.filter(F.col("fin_id").isin(4, *[f for f, _ in rules.funding_lines]))
+    totals = upper.filter(~F.col("fin_id").isin(4, *[f for f, _ in rules.funding_lines]))
+    result = union_all([lines, upper])
     return SummaryA(rs, la, hc, shares, lines, funding, totals, result)
 
 
