@@ -36,23 +36,15 @@ def _order(col: str, descending: bool, nulls_first: bool) -> Column:
     return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
 
 
-def rank_by(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), *,
-            descending: bool = False, dense: bool = False, weight_col: str | None = None,
-            nulls_first: bool | None = None, out: str = "rank",
-            stager: Stager | None = None, partitions: int | None = None,
-            bounded: bool = False) -> DataFrame:
-    """`df` plus column `out` = rank()/dense_rank() over (partition by
-    partition_cols order by order_col [desc]). `weight_col`: each row stands
-    for that many rows (rank only).
-
-    bounded=True is for tables whose size does not grow with the data (one
-    row per area and criterion): a plain window, no staging."""
+def rank_table(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), *,
+               descending: bool = False, dense: bool = False, weight_col: str | None = None,
+               nulls_first: bool | None = None, out: str = "rank",
+               stager: Stager | None = None, partitions: int | None = None) -> DataFrame:
+    """(partition_cols..., order_col, out): the rank of every distinct key."""
     spark = df.sparkSession
     pc = list(partition_cols)
     if nulls_first is None:
         nulls_first = descending
-    if bounded:
-        return _rank_small(df, order_col, pc, descending, dense, weight_col, nulls_first, out)
     st = stager or Stager(spark, "rank")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -73,26 +65,51 @@ def rank_by(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), *
     local = st.stage(local, f"rank-{out}")
 
     totals = local.select("_pid", "_tot").distinct()
+    # one row per range partition: bounded by the partition count
     offsets = totals.select(
         "_pid",
         F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0).cast("long")).alias("_off"))
     glob = local.join(F.broadcast(offsets), "_pid").select(
         *pc, order_col, (F.col("_off") + F.col("_before")).alias("_ahead"))
-    if pc:
-        start = glob.groupBy(*pc).agg(F.min("_ahead").alias("_start"))
-        g, s = glob.alias("g"), start.alias("s")
-        cond = [F.col(f"g.{c}").eqNullSafe(F.col(f"s.{c}")) for c in pc]
-        ranks = g.join(s, cond).select(*[F.col(f"g.{c}").alias(c) for c in pc], F.col(f"g.{order_col}"),
-                                       (F.col("_ahead") - F.col("_start") + 1).alias(out))
-    else:
-        ranks = glob.select(order_col, (F.col("_ahead") + 1).alias(out))
+    if not pc:
+        return glob.select(order_col, (F.col("_ahead") + 1).cast("long").alias(out))
+    start = glob.groupBy(*pc).agg(F.min("_ahead").alias("_start"))
+    g, s = glob.alias("g"), start.alias("s")
+    cond = [F.col(f"g.{c}").eqNullSafe(F.col(f"s.{c}")) for c in pc]
+    return g.join(s, cond).select(*[F.col(f"g.{c}").alias(c) for c in pc], F.col(f"g.{order_col}"),
+                                  (F.col("_ahead") - F.col("_start") + 1).cast("long").alias(out))
+
+
+def join_rank(df: DataFrame, ranks: DataFrame, order_col: str, partition_cols: Sequence[str], out: str) -> DataFrame:
+    """Attach a rank table to its rows (null-safe on the keys)."""
     left, right = df.alias("l"), ranks.alias("r")
-    keys_ = pc + [order_col]
+    keys_ = list(partition_cols) + [order_col]
     cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys_]
     return left.join(right, cond).select("l.*", F.col(f"r.{out}").cast("long").alias(out))
 
 
+def rank_by(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), *,
+            descending: bool = False, dense: bool = False, weight_col: str | None = None,
+            nulls_first: bool | None = None, out: str = "rank",
+            stager: Stager | None = None, partitions: int | None = None,
+            bounded: bool = False) -> DataFrame:
+    """`df` plus column `out` = rank()/dense_rank() over (partition by
+    partition_cols order by order_col [desc]). `weight_col`: each row stands
+    for that many rows (rank only).
+
+    bounded=True is for tables whose size does not grow with the data (one
+    row per area and criterion): a plain window, no staging."""
+    pc = list(partition_cols)
+    if nulls_first is None:
+        nulls_first = descending
+    if bounded:
+        return _rank_small(df, order_col, pc, descending, dense, weight_col, nulls_first, out)
+    ranks = rank_table(df, order_col, pc, descending=descending, dense=dense, weight_col=weight_col,
+                       nulls_first=nulls_first, out=out, stager=stager, partitions=partitions)
+    return join_rank(df, ranks, order_col, pc, out)
+
+
 def _rank_small(df, order_col, pc, descending, dense, weight_col, nulls_first, out) -> DataFrame:
     order = _order(order_col, descending, nulls_first)
     w = Window.partitionBy(*pc).orderBy(order)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from areabook.operators.drivers import npl_ratio_a
 from areabook.operators.kpi import area_employees, employee_kpi
-from areabook.operators.rank import rank_by
+from areabook.operators.rank import join_rank, rank_by, rank_table
 from areabook.operators.scorecard import rank_area_metrics, scores, spread_to_employees
 from areabook.plans import rules as R
 from areabook.plans import summary_a as SA
@@ -56,9 +56,14 @@ def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> Kpi
     dim = inputs.dim_criteria   # a stored dimension: the planner broadcasts it by its size
     x = level1.join(dim, "criteria_code")
     x = st.stage(scores(x, ["employee_id"], "criteria_type_name"), "scored")
-    x = rank_by(x, "type_score", ["criteria_type_name"], descending=True, dense=True, out="type_rank",
-                stager=st)
-    x = rank_by(x, "overall_score", descending=True, dense=True, out="overall_rank", stager=st)
+    # the two score ranks are independent: build both rank tables side by side
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        by_type = pool.submit(rank_table, x, "type_score", ["criteria_type_name"], descending=True,
+                              dense=True, out="type_rank", stager=st)
+        overall = pool.submit(rank_table, x, "overall_score", descending=True, dense=True,
+                              out="overall_rank", stager=st)
+        x = join_rank(x, by_type.result(), "type_score", ["criteria_type_name"], "type_rank")
+        x = join_rank(x, overall.result(), "overall_score", [], "overall_rank")
     result = x.select(F.lit(month).alias("month_key"), "area_code", "employee_id", "criteria_code",
                       F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"),
                       "criteria_type_name", F.col("type_score").cast("long"),

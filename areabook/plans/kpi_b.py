@@ -59,12 +59,14 @@ def build(inputs: Inputs, month: int) -> KpiB:
     level1 = kb1.unionByName(spread_to_employees(ranked, employees)).withColumn("month_key", F.lit(month))
     level1 = st.stage(_out(level1), "level1")
 
-    level2_parts = []
-    for g in R.KPI_B_GROUPS:
+    def level2_group(g):
         sums = (level1.filter(F.col("criteria_code").contains(g) & (F.col("month_key") == month))
                 .groupBy(*KEYS).agg(F.sum("rank_kpi").alias("value"))
                 .withColumn("criteria_code", F.lit(g)))
-        level2_parts.append(rank_by(sums, "value", out="rank_kpi", stager=st))
+        return rank_by(sums, "value", out="rank_kpi", stager=st)
+
+    with ThreadPoolExecutor(max_workers=len(R.KPI_B_GROUPS)) as pool:   # independent groups
+        level2_parts = list(pool.map(level2_group, R.KPI_B_GROUPS))
     level2 = st.stage(_out(union_all(level2_parts)), "level2")
     ov = (level2.filter(F.col("criteria_code").isin(*R.KPI_B_GROUPS) & (F.col("month_key") == month))
           .groupBy(*KEYS).agg(F.sum("value").alias("value"))
