@@ -15,8 +15,10 @@ from areabook.sources.inputs import Inputs
 
 # lineitem x orders is a fact-to-fact join: always a shuffle join on the order
 # key, never a broadcast of either side (at small scale the planner's size
-# estimate would otherwise broadcast lineitem from a single task).
-FACT_JOIN = "shuffle_hash"
+# estimate would otherwise broadcast lineitem from a single task). Sort-merge
+# spills at any size; AQE turns it into a shuffled hash join when the shuffle
+# partitions are small (spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold).
+FACT_JOIN = "merge"
 
 
 _SCANS: dict[tuple, DataFrame] = {}
