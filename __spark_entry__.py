@@ -32,6 +32,8 @@ from areabook.sources import testdata
 
 MONTH = R.TEST_MONTH
 RULES = R.PROXY_RULES_A
+# a backfill of several report months in one pass (the ledger is still read once)
+BACKFILL_MONTHS = (199806, 199812)
 
 # One build per (session, data folder, job) is shared by the queries that
 # read its stages (the stages are durable parquet tables).
@@ -43,6 +45,7 @@ def _build(spark: SparkSession, sf_dir: str, job: str):
     if key not in _BUILDS:
         inputs = testdata.inputs(spark, sf_dir)
         _BUILDS[key] = {"a": lambda: SA.build(inputs, MONTH, RULES),
+                        "a_backfill": lambda: SA.build(inputs, list(BACKFILL_MONTHS), RULES),
                         "b": lambda: SB.build(inputs, MONTH),
                         "ka": lambda: KA.build(inputs, MONTH, RULES),
                         "kb": lambda: KB.build(inputs, MONTH)}[job]()
@@ -146,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ratio_capital": _fins("a", (R.CAPITAL_FIN_A,)),
         "ratio_per_head": _fins("a", (R.PER_HEAD_FIN_A,)),
         "summary_a": lambda s, d: _tall(_build(s, d, "a").result),
+        "summary_a_backfill": lambda s, d: _tall(_build(s, d, "a_backfill").result),
         "npl_three_way": _npl_three_way,
         "kpi_employee_rank": lambda s, d: _kpi_cols(_build(s, d, "ka").employee_ranks),
         "kpi_a_level1": lambda s, d: _kpi_cols(_build(s, d, "ka").level1),
@@ -225,6 +229,8 @@ def oracle_sql() -> dict[str, str]:
         "ratio_capital": _sql_fins(qa, "summary_a", (R.CAPITAL_FIN_A,)),
         "ratio_per_head": _sql_fins(qa, "summary_a", (R.PER_HEAD_FIN_A,)),
         "summary_a": qa(A.out("summary_a")),
+        "summary_a_backfill": " union all ".join(
+            f"select * from ({A.query(bm, A.out('summary_a'), RULES)})" for bm in BACKFILL_MONTHS),
         "npl_three_way": K.query_a(m, "select area_code, value from npl_a"),
         "kpi_employee_rank": K.query_a(m, kpi_cols + "ka1"),
         "kpi_a_level1": K.query_a(m, kpi_cols + "ka"),

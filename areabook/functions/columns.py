@@ -59,6 +59,20 @@ def month_end_exclusive(month: int) -> Column:
     return F.lit(bound.isoformat()).cast("timestamp_ntz")
 
 
+def as_months(month) -> list[int]:
+    """A report month or a list of them, as a sorted list of yyyymm ints."""
+    if isinstance(month, int):
+        return [month]
+    return sorted({int(m) for m in month})
+
+
+def report_months_from(ym, months) -> Column:
+    """The report months (of `months`) that a row of month `ym` counts in:
+    every report month at or after it (the report is cumulative). Explode it
+    to spread monthly partial aggregates to their report months."""
+    return F.filter(F.array(*[F.lit(int(m)) for m in as_months(months)]), lambda m: m >= _c(ym))
+
+
 _LONG_MAX = 2**63 - 1
 
 

@@ -11,21 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import avg_of, share_of_total, yyyymm_year_text
+from areabook.functions.columns import as_months, avg_of, report_months_from, share_of_total, yyyymm_year_text
 
 
-def loan_month_area(loan: DataFrame, month: int) -> DataFrame:
-    """One pass over the loan book, cumulative to `month`: per (kpi_month, area).
+def _years(months) -> list[str]:
+    return sorted({str(m)[:4] for m in as_months(months)})
+
+
+def loan_month_area(loan: DataFrame, month) -> DataFrame:
+    """One pass over the loan book, cumulative to `month` (or the last of a
+    list of months): per (kpi_month, area).
 
     Two families of columns: "present-only" sums (NULL when no row of the kind
     exists, so averages run over the months where the kind exists) and
-    "zero-filled" sums (0 when absent, averages over every month of the area)."""
+    "zero-filled" sums (0 when absent, averages over every month of the area).
+    Write-off sums depend on the report year (write-off year >= report year),
+    so they are kept per report year (`wo__<year>` ...)."""
+    months = as_months(month)
     op = F.col("outstanding_principal")
     b = F.col("max_bucket")
     wbp = F.col("write_off_balance_principal")
-    wo_pred = yyyymm_year_text("write_off_month") >= F.lit(str(int(month))[:4])
     b345 = b.isin(3, 4, 5)
-    return (loan.filter(F.col("kpi_month") <= month)
+    per_year = []
+    for y in _years(months):
+        wo_pred = yyyymm_year_text("write_off_month") >= F.lit(y)
+        per_year += [F.sum(F.when(wo_pred, wbp)).alias(f"wo__{y}"),
+                     F.count_if(wo_pred).alias(f"n_wo__{y}"),
+                     F.sum(F.when(wo_pred, wbp).otherwise(0)).alias(f"wo0__{y}")]
+    return (loan.filter(F.col("kpi_month") <= months[-1])
             .groupBy("kpi_month", "area_code")
             .agg(
                 # present-only
@@ -36,23 +49,36 @@ def loan_month_area(loan: DataFrame, month: int) -> DataFrame:
                 F.sum(F.when(op.isNotNull(), F.col("psdn"))).alias("psdn_nn"),
                 F.sum(F.when(b345, op)).alias("dnx"),
                 F.count_if(b345).alias("n_dnx"),
-                F.sum(F.when(wo_pred, wbp)).alias("wo"),
-                F.count_if(wo_pred).alias("n_wo"),
                 # zero-filled
                 F.sum(F.when(b == 1, op).otherwise(0)).alias("wo_1"),
                 F.sum(F.when(b == 2, op).otherwise(0)).alias("wo_2"),
                 F.sum(F.when(b >= 2, op).otherwise(0)).alias("wo_2_5"),
                 F.sum(F.col("psdn")).alias("psdn"),
                 F.sum(F.when(b345, op).otherwise(0)).alias("dnx0"),
-                F.sum(F.when(wo_pred, wbp).otherwise(0)).alias("wo0"),
+                *per_year,
             ))
 
 
-def loan_area(month_area: DataFrame, month: int) -> DataFrame:
-    """One row per area (report month `month`): the averages of monthly totals
-    and card counts."""
+def loan_area(month_area: DataFrame, month) -> DataFrame:
+    """One row per (report month, area): the averages of monthly totals and
+    card counts over the months up to the report month. Each (kpi_month,
+    area) row is spread to the report months at or after it (a small table:
+    months x areas)."""
+    months = as_months(month)
+    years = _years(months)
+    spread = month_area.select("*", F.explode(report_months_from("kpi_month", months)).alias("month_key"))
+    report_year = F.substring(F.col("month_key").cast("string"), 1, 4)
+
+    def of_year(name):
+        out = F.lit(None)
+        for y in years:
+            out = F.when(report_year == y, F.col(f"{name}__{y}")).otherwise(out)
+        return out
+
+    spread = spread.select("*", of_year("wo").alias("wo"), of_year("n_wo").alias("n_wo"),
+                           of_year("wo0").alias("wo0"))
     both = (F.col("n_dnx") > 0) & (F.col("n_wo") > 0)   # month kept by the 3-way inner join
-    return month_area.groupBy(F.lit(month).alias("month_key"), "area_code").agg(
+    return spread.groupBy("month_key", "area_code").agg(
         avg_of("b1").alias("avg_b1"),
         avg_of("b2").alias("avg_b2"),
         avg_of("b2_5").alias("avg_b2_5"),

@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import avg_of
-
-
-def headcount_cumulative(kpi: DataFrame, month: int) -> DataFrame:
-    """(area_code, headcount): distinct employees up to `month`, NULL values
-    included. countDistinct plans as a two-phase aggregate (dedupe on
-    (area, employee) map-side, then count), so a hot area costs no skew."""
-    return (kpi.filter(F.col("month_report") <= month)
-            .groupBy(F.lit(month).alias("month_key"), "area_code")
-            .agg(F.countDistinct("employee_id").alias("headcount")))
+from areabook.functions.columns import as_months, avg_of, report_months_from
+
+
+def headcount_cumulative(kpi: DataFrame, month) -> DataFrame:
+    """(month_key, area_code, headcount): distinct employees up to `month`,
+    NULL values included. countDistinct plans as a two-phase aggregate (dedupe
+    on (area, employee) map-side, then count), so a hot area costs no skew.
+    For a list of months: each employee's first month per area, spread to the
+    report months at or after it, counted."""
+    months = as_months(month)
+    facts = kpi.filter(F.col("month_report") <= months[-1])
+    if len(months) == 1:
+        return (facts.groupBy(F.lit(months[0]).alias("month_key"), "area_code")
+                .agg(F.countDistinct("employee_id").alias("headcount")))
+    first = facts.groupBy("area_code", "employee_id").agg(F.min("month_report").alias("_first"))
+    return (first.select("area_code", F.explode(report_months_from("_first", months)).alias("month_key"))
+            .groupBy("month_key", "area_code").agg(F.count(F.lit(1)).alias("headcount")))
 
 
 def headcount_in_month(kpi: DataFrame, month: int) -> DataFrame:

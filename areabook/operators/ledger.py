@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import area_of, digits_prefix, is_head, month_end_exclusive
+from areabook.functions.columns import (area_of, as_months, digits_prefix, is_head, month_end_exclusive,
+                                        month_key_of, report_months_from)
 from areabook.plans.rules import AccountRule
 
 
@@ -52,22 +53,26 @@ def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
     return pred
 
 
-def ledger_rule_sums(ledger: DataFrame, month: int, accounts: Sequence[AccountRule]) -> DataFrame:
+def ledger_rule_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule]) -> DataFrame:
     """Rows (month_key, rule, area_code, direct_sum, n_rows, head_sum) for
-    ledger dates up to report month `month`.
+    ledger dates up to report month `month` (or each of a list of months: the
+    ledger is still read once, aggregated per calendar month, and the monthly
+    sums are spread to the report months at or after them).
 
     direct_sum: sum(amount) of the area's rows matching the rule's direct list
     (NULL if the matches carry no amount); n_rows: number of such rows (an area
     appears for a rule only when n_rows > 0, as a grouped sum would);
     head_sum: sum(amount) of head-office rows of the area matching the pool list.
     Amounts are unscaled DECIMAL sums."""
+    months = as_months(month)
     acct = F.col("account_code")
     any_rule = any_rule_predicate(accounts, acct)
     rows = (ledger
-            .filter(F.col("transaction_date") < month_end_exclusive(month))
+            .filter(F.col("transaction_date") < month_end_exclusive(months[-1]))
             .filter(any_rule)
             .select(area_of("analysis_code").alias("area_code"),
                     is_head("analysis_code").alias("_head"),
+                    month_key_of("transaction_date").alias("_ym"),
                     acct, F.col("amount")))
     amount, head = F.col("amount"), F.col("_head")
     aggs = []
@@ -76,7 +81,13 @@ def ledger_rule_sums(ledger: DataFrame, month: int, accounts: Sequence[AccountRu
         aggs += [F.sum(F.when(d, amount)).alias(f"d{i}"),
                  F.count_if(d).alias(f"n{i}"),
                  F.sum(F.when(head & p, amount)).alias(f"p{i}")]
-    wide = rows.groupBy(F.lit(month).alias("month_key"), "area_code").agg(*aggs)
+    if len(months) == 1:
+        wide = rows.groupBy(F.lit(months[0]).alias("month_key"), "area_code").agg(*aggs)
+    else:
+        monthly = rows.groupBy("_ym", "area_code").agg(*aggs)
+        cols = [f"{k}{i}" for i in range(len(accounts)) for k in "dnp"]
+        wide = (monthly.select("area_code", *cols, F.explode(report_months_from("_ym", months)).alias("month_key"))
+                .groupBy("month_key", "area_code").agg(*[F.sum(c).alias(c) for c in cols]))
     packed = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.col(f"d{i}").alias("direct_sum"),
                                 F.col(f"n{i}").alias("n_rows"), F.col(f"p{i}").alias("head_sum"))
                        for i, r in enumerate(accounts)])
