@@ -53,6 +53,35 @@ def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
     return pred
 
 
+def _rule_aggs(accounts: Sequence[AccountRule]):
+    acct, amount, head = F.col("account_code"), F.col("amount"), F.col("_head")
+    aggs = []
+    for i, r in enumerate(accounts):
+        d, p = direct_predicate(r, acct), pool_predicate(r, acct)
+        aggs += [F.sum(F.when(d, amount)).alias(f"d{i}"),
+                 F.count_if(d).alias(f"n{i}"),
+                 F.sum(F.when(head & p, amount)).alias(f"p{i}")]
+    return aggs
+
+
+def _unpivot(wide: DataFrame, key: str, accounts: Sequence[AccountRule]) -> DataFrame:
+    packed = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.col(f"d{i}").alias("direct_sum"),
+                                F.col(f"n{i}").alias("n_rows"), F.col(f"p{i}").alias("head_sum"))
+                       for i, r in enumerate(accounts)])
+    return wide.select(key, "area_code", F.inline(packed)).select(
+        key, "rule", "area_code", "direct_sum", "n_rows", "head_sum")
+
+
+def _matching_rows(ledger: DataFrame, accounts: Sequence[AccountRule], date_filter) -> DataFrame:
+    acct = F.col("account_code")
+    return (ledger.filter(date_filter)
+            .filter(any_rule_predicate(accounts, acct))
+            .select(area_of("analysis_code").alias("area_code"),
+                    is_head("analysis_code").alias("_head"),
+                    month_key_of("transaction_date").alias("_ym"),
+                    acct, F.col("amount")))
+
+
 def ledger_rule_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule]) -> DataFrame:
     """Rows (month_key, rule, area_code, direct_sum, n_rows, head_sum) for
     ledger dates up to report month `month` (or each of a list of months: the
@@ -65,31 +94,41 @@ def ledger_rule_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule])
     head_sum: sum(amount) of head-office rows of the area matching the pool list.
     Amounts are unscaled DECIMAL sums."""
     months = as_months(month)
-    acct = F.col("account_code")
-    any_rule = any_rule_predicate(accounts, acct)
-    rows = (ledger
-            .filter(F.col("transaction_date") < month_end_exclusive(months[-1]))
-            .filter(any_rule)
-            .select(area_of("analysis_code").alias("area_code"),
-                    is_head("analysis_code").alias("_head"),
-                    month_key_of("transaction_date").alias("_ym"),
-                    acct, F.col("amount")))
-    amount, head = F.col("amount"), F.col("_head")
-    aggs = []
-    for i, r in enumerate(accounts):
-        d, p = direct_predicate(r, acct), pool_predicate(r, acct)
-        aggs += [F.sum(F.when(d, amount)).alias(f"d{i}"),
-                 F.count_if(d).alias(f"n{i}"),
-                 F.sum(F.when(head & p, amount)).alias(f"p{i}")]
+    rows = _matching_rows(ledger, accounts, F.col("transaction_date") < month_end_exclusive(months[-1]))
     if len(months) == 1:
-        wide = rows.groupBy(F.lit(months[0]).alias("month_key"), "area_code").agg(*aggs)
-    else:
-        monthly = rows.groupBy("_ym", "area_code").agg(*aggs)
-        cols = [f"{k}{i}" for i in range(len(accounts)) for k in "dnp"]
-        wide = (monthly.select("area_code", *cols, F.explode(report_months_from("_ym", months)).alias("month_key"))
-                .groupBy("month_key", "area_code").agg(*[F.sum(c).alias(c) for c in cols]))
-    packed = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.col(f"d{i}").alias("direct_sum"),
-                                F.col(f"n{i}").alias("n_rows"), F.col(f"p{i}").alias("head_sum"))
-                       for i, r in enumerate(accounts)])
-    return wide.select("month_key", "area_code", F.inline(packed)).select(
-        "month_key", "rule", "area_code", "direct_sum", "n_rows", "head_sum")
+        wide = rows.groupBy(F.lit(months[0]).alias("month_key"), "area_code").agg(*_rule_aggs(accounts))
+        return _unpivot(wide, "month_key", accounts)
+    monthly = _unpivot(rows.groupBy("_ym", "area_code").agg(*_rule_aggs(accounts)), "_ym", accounts)
+    return cumulate_rule_sums(monthly.withColumnRenamed("_ym", "ym"), months)
+
+
+def month_ranges(col: str, months: Sequence[int]) -> Column:
+    """Rows of the listed calendar months, as date ranges (pushable)."""
+    pred = F.lit(False)
+    for m in as_months(months):
+        prev = m - 1 if m % 100 > 1 else (m // 100 - 1) * 100 + 12
+        pred = pred | ((F.col(col) >= month_end_exclusive(prev)) & (F.col(col) < month_end_exclusive(m)))
+    return pred
+
+
+def ledger_monthly_sums(ledger: DataFrame, months: Sequence[int], accounts: Sequence[AccountRule]) -> DataFrame:
+    """(ym, rule, area_code, direct_sum, n_rows, head_sum) of the listed
+    calendar months only: the partial aggregates a monthly store keeps, so a
+    report never re-reads the ledger history."""
+    rows = _matching_rows(ledger, accounts, month_ranges("transaction_date", months))
+    monthly = rows.groupBy("_ym", "area_code").agg(*_rule_aggs(accounts))
+    return _unpivot(monthly, "_ym", accounts).withColumnRenamed("_ym", "ym")
+
+
+def cumulate_rule_sums(monthly: DataFrame, months) -> DataFrame:
+    """Report-month rule sums from monthly ones: every monthly row counts in
+    each report month at or after it. Works on the monthly store: input and
+    output are per (month, rule, area), i.e. tiny."""
+    months = as_months(months)
+    return (monthly.filter(F.col("ym") <= months[-1])
+            .select("rule", "area_code", "direct_sum", "n_rows", "head_sum",
+                    F.explode(report_months_from("ym", months)).alias("month_key"))
+            .groupBy("month_key", "rule", "area_code")
+            .agg(F.sum("direct_sum").alias("direct_sum"), F.sum("n_rows").alias("n_rows"),
+                 F.sum("head_sum").alias("head_sum"))
+            .select("month_key", "rule", "area_code", "direct_sum", "n_rows", "head_sum"))

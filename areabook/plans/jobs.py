@@ -44,11 +44,11 @@ def run_logged(spark: SparkSession, name: str, log_path: str, body: Callable[[],
 
 
 def run_summary_a(spark, inputs: Inputs, out_dir: str, month: int | None = None,
-                  rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+                  rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        res = SA.build(inputs, m, rules).result
+        res = SA.build(inputs, m, rules, ledger_store=ledger_store).result
         publish_month(res, f"{out_dir}/fact_monthly_summary_a")
         return res
     return run_logged(spark, "fact_monthly_summary_prc", f"{out_dir}/log_tracking", body)
@@ -65,11 +65,11 @@ def run_summary_b(spark, inputs: Inputs, out_dir: str, month: int | None = None)
 
 
 def run_kpi_a(spark, inputs: Inputs, out_dir: str, month: int | None = None,
-              rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+              rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        k = KA.build(inputs, m, rules)
+        k = KA.build(inputs, m, rules, ledger_store=ledger_store)
         publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_a")
         publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_a")
         return k.result

@@ -31,11 +31,12 @@ class KpiA:
     result: DataFrame
 
 
-def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> KpiA:
+def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A,
+          ledger_store: str | None = None) -> KpiA:
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
     # the summary refresh and the per-employee KPI averages are independent
     with ThreadPoolExecutor(max_workers=2) as pool:
-        summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st))
+        summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store))
         emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
         sa = summary.result()
     ka1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)

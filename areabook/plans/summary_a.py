@@ -26,6 +26,7 @@ from areabook.operators.kpi import headcount_cumulative
 from areabook.operators.ledger import ledger_rule_sums
 from areabook.operators.rollup import percent_ratios, rollup_all
 from areabook.plans import rules as R
+from areabook.plans.ledger_store import rule_sums_from_store
 from areabook.plans.staging import Stager, union_all
 from areabook.sources.inputs import Inputs
 
@@ -52,16 +53,21 @@ def ratio_specs():
     ]
 
 
-def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A,
-          stager: Stager | None = None) -> SummaryA:
-    spark = inputs.ledger.sparkSession
+def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
+          stager: Stager | None = None, ledger_store: str | None = None) -> SummaryA:
+    """`month`: a report month or a list of them. `ledger_store`: read the
+    ledger rule sums from a monthly store (plans.ledger_store) instead of the
+    raw ledger."""
+    spark = inputs.loan.sparkSession
     st = stager or Stager(spark, "summary_a")
     seq = itertools.count(1)
 
     def stage(df):
         return st.stage(df, f"a{next(seq):02d}")
 
-    first = st.stage_all({"rule_sums": ledger_rule_sums(inputs.ledger, month, rules.accounts),
+    rule_sums = (rule_sums_from_store(spark, ledger_store, month) if ledger_store
+                 else ledger_rule_sums(inputs.ledger, month, rules.accounts))
+    first = st.stage_all({"rule_sums": rule_sums,
                           "loan_area": loan_area(loan_month_area(inputs.loan, month), month),
                           "headcount": headcount_cumulative(inputs.kpi, month)})
     rs, la, hc = first["rule_sums"], first["loan_area"], first["headcount"]

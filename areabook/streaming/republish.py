@@ -20,6 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from areabook.functions.columns import month_key_of
 from areabook.plans import jobs
+from areabook.plans import rules as R
+from areabook.plans.ledger_store import refresh_ledger_store
 from areabook.sources import schemas
 from areabook.sources.inputs import Inputs
 
@@ -34,9 +36,14 @@ def months_to_republish(touched: Iterable[int], report_months: Iterable[int]) ->
 
 def republish_on_arrival(spark: SparkSession, ledger_dir: str, make_inputs: Callable[[], Inputs],
                          out_dir: str, checkpoint_location: str, report_months: Iterable[int],
-                         job: str = "summary_a", available_now: bool = True) -> StreamingQuery:
+                         job: str = "summary_a", available_now: bool = True,
+                         ledger_store: str | None = None,
+                         rules: R.RuleSet = R.PROXY_RULES_A) -> StreamingQuery:
     """Start the stream. `make_inputs()` returns the batch inputs (its ledger
-    reads the same folder), `report_months` the months the report publishes."""
+    reads the same folder), `report_months` the months the report publishes.
+    With `ledger_store` (variant A jobs), each batch first refreshes the store
+    partitions of the touched calendar months (reading only those months of
+    the ledger), and the reports read the store instead of the history."""
     runner = {"summary_a": jobs.run_summary_a, "summary_b": jobs.run_summary_b,
               "kpi_a": jobs.run_kpi_a, "kpi_b": jobs.run_kpi_b}[job]
     months = sorted(set(report_months))
@@ -45,8 +52,15 @@ def republish_on_arrival(spark: SparkSession, ledger_dir: str, make_inputs: Call
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         hit = [r.month_key for r in batch.distinct().collect()]
+        if not hit:
+            return
+        if ledger_store:
+            refresh_ledger_store(make_inputs().ledger, hit, rules.accounts, ledger_store)
         for m in months_to_republish(hit, months):
-            runner(spark, make_inputs(), out_dir, m)
+            if ledger_store:
+                runner(spark, make_inputs(), out_dir, m, rules, ledger_store=ledger_store)
+            else:
+                runner(spark, make_inputs(), out_dir, m)
 
     writer = touched.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

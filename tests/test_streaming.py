@@ -15,7 +15,11 @@ def test_months_to_republish():
     assert months_to_republish([], [199812]) == []
 
 
-def test_stream_republishes_to_batch_result(spark):
+import pytest
+
+
+@pytest.mark.parametrize("use_store", [False, True])
+def test_stream_republishes_to_batch_result(spark, use_store):
     root = Stager(spark, "stream").root
     src, out = f"{root}/ledger", f"{root}/out"
     full = testdata.ledger(spark, SF_SMALL)
@@ -27,9 +31,12 @@ def test_stream_republishes_to_batch_result(spark):
         inp.ledger = spark.read.schema(schemas.LEDGER).parquet(src)
         return inp
 
-    republish_on_arrival(spark, src, make_inputs, out, f"{root}/ckpt", [R.TEST_MONTH]).awaitTermination()
+    store = f"{root}/store" if use_store else None
+    republish_on_arrival(spark, src, make_inputs, out, f"{root}/ckpt", [R.TEST_MONTH],
+                         ledger_store=store).awaitTermination()
     full.filter(~cut).write.parquet(f"{src}/part=2")        # late rows arrive
-    republish_on_arrival(spark, src, make_inputs, out, f"{root}/ckpt", [R.TEST_MONTH]).awaitTermination()
+    republish_on_arrival(spark, src, make_inputs, out, f"{root}/ckpt", [R.TEST_MONTH],
+                         ledger_store=store).awaitTermination()
     got = spark.read.parquet(f"{out}/fact_monthly_summary_a").filter(F.col("month_key") == R.TEST_MONTH)
     want = SA.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH).result
     key = ["fin_id", "area_code"]
