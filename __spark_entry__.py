@@ -47,6 +47,7 @@ def _build(spark: SparkSession, sf_dir: str, job: str):
         _BUILDS[key] = {"a": lambda: SA.build(inputs, MONTH, RULES),
                         "a_backfill": lambda: SA.build(inputs, list(BACKFILL_MONTHS), RULES),
                         "b": lambda: SB.build(inputs, MONTH),
+                        "b_backfill": lambda: SB.build(inputs, list(BACKFILL_MONTHS)),
                         "ka": lambda: KA.build(inputs, MONTH, RULES),
                         "kb": lambda: KB.build(inputs, MONTH)}[job]()
     return _BUILDS[key]
@@ -162,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "npl_b": _fins("b", (R.B_NPL_FIN,)),
         "writeoff_b": _fins("b", (R.B_WO_FIN,)),
         "summary_b": lambda s, d: _tall(_build(s, d, "b").result),
+        "summary_b_backfill": lambda s, d: _tall(_build(s, d, "b_backfill").result),
         "kpi_b_level1": lambda s, d: _build(s, d, "kb").level1,
         "kpi_b_level2": lambda s, d: _build(s, d, "kb").level2,
         "kpi_b_overall": lambda s, d: _build(s, d, "kb").overall,
@@ -245,6 +247,8 @@ def oracle_sql() -> dict[str, str]:
         "npl_b": _sql_fins(qb, "summary_b", (R.B_NPL_FIN,)),
         "writeoff_b": _sql_fins(qb, "summary_b", (R.B_WO_FIN,)),
         "summary_b": qb(A.out("summary_b")),
+        "summary_b_backfill": " union all ".join(
+            f"select * from ({B.query(bm, A.out('summary_b'))})" for bm in BACKFILL_MONTHS),
         "kpi_b_level1": K.query_b(m, K.out_b("l1")),
         "kpi_b_level2": K.query_b(m, K.out_b("l2")),
         "kpi_b_overall": K.query_b(m, K.out_b("ov")),

@@ -24,20 +24,26 @@ def headcount_cumulative(kpi: DataFrame, month) -> DataFrame:
             .groupBy("month_key", "area_code").agg(F.count(F.lit(1)).alias("headcount")))
 
 
-def headcount_in_month(kpi: DataFrame, month: int) -> DataFrame:
-    """(area_code, headcount): distinct employees with a value in `month`."""
-    return (kpi.filter((F.col("month_report") == month) & F.col("value").isNotNull())
-            .groupBy(F.lit(month).alias("month_key"), "area_code")
+def headcount_in_month(kpi: DataFrame, month) -> DataFrame:
+    """(month_key, area_code, headcount): distinct employees with a value in
+    the report month itself (each of a list of months)."""
+    months = as_months(month)
+    return (kpi.filter(F.col("month_report").isin(*months) & F.col("value").isNotNull())
+            .groupBy(F.col("month_report").alias("month_key"), "area_code")
             .agg(F.countDistinct("employee_id").alias("headcount")))
 
 
-def headcount_monthly_avg(kpi: DataFrame, month: int) -> DataFrame:
-    """(area_code, avg_headcount): average over months of the monthly distinct
-    employees with a value, cumulative to `month`."""
-    monthly = (kpi.filter((F.col("month_report") <= month) & F.col("value").isNotNull())
+def headcount_monthly_avg(kpi: DataFrame, month) -> DataFrame:
+    """(month_key, area_code, avg_headcount): average over months of the
+    monthly distinct employees with a value, cumulative to the report month
+    (each monthly count spread to the report months at or after it)."""
+    months = as_months(month)
+    monthly = (kpi.filter((F.col("month_report") <= months[-1]) & F.col("value").isNotNull())
                .groupBy("area_code", "month_report")
                .agg(F.countDistinct("employee_id").alias("n")))
-    return monthly.groupBy(F.lit(month).alias("month_key"), "area_code").agg(avg_of("n").alias("avg_headcount"))
+    spread = monthly.select("area_code", "n", F.explode(report_months_from("month_report", months))
+                            .alias("month_key"))
+    return spread.groupBy("month_key", "area_code").agg(avg_of("n").alias("avg_headcount"))
 
 
 def employee_kpi(kpi: DataFrame, month: int, code_col: str) -> DataFrame:

@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areabook.functions.columns import as_months, report_months_from
+
 HEAD_FLAG = "HEAD"
 
 
-def line_area_sums(balance_txn: DataFrame, month: int) -> DataFrame:
-    """(month_key, fin_id_lv3, area_code, value, value_head, n_head) cumulative to `month`:
-    the area's sum over all rows and over head-office rows, in one aggregate."""
+def line_area_sums(balance_txn: DataFrame, month) -> DataFrame:
+    """(month_key, fin_id_lv3, area_code, value, value_head, n_head) cumulative
+    to `month`: the area's sum over all rows and over head-office rows, in one
+    aggregate. For a list of report months the lines are summed per calendar
+    month once and spread to the report months at or after it."""
+    months = as_months(month)
     head = F.col("dvml_head") == HEAD_FLAG
-    return (balance_txn.filter(F.col("month_key") <= month)
-            .groupBy(F.lit(month).alias("month_key"), "fin_id_lv3", "area_code")
-            .agg(F.sum("amount").alias("value"),
-                 F.sum(F.when(head, F.col("amount"))).alias("value_head"),
-                 F.count_if(head).alias("n_head")))
+    aggs = [F.sum("amount").alias("value"), F.sum(F.when(head, F.col("amount"))).alias("value_head"),
+            F.count_if(head).alias("n_head")]
+    rows = balance_txn.filter(F.col("month_key") <= months[-1])
+    if len(months) == 1:
+        return rows.groupBy(F.lit(months[0]).alias("month_key"), "fin_id_lv3", "area_code").agg(*aggs)
+    monthly = rows.groupBy(F.col("month_key").alias("_ym"), "fin_id_lv3", "area_code").agg(*aggs)
+    return (monthly.select("fin_id_lv3", "area_code", "value", "value_head", "n_head",
+                           F.explode(report_months_from("_ym", months)).alias("month_key"))
+            .groupBy("month_key", "fin_id_lv3", "area_code")
+            .agg(F.sum("value").alias("value"), F.sum("value_head").alias("value_head"),
+                 F.sum("n_head").alias("n_head")))

@@ -38,7 +38,8 @@ def _tall(fin_id, area, value, month_key, double=True):
             month_key.alias("month_key")]
 
 
-def build(inputs: Inputs, month: int, stager: Stager | None = None) -> SummaryB:
+def build(inputs: Inputs, month, stager: Stager | None = None) -> SummaryB:
+    """`month`: a report month or a list of them (one pass over each source)."""
     st = stager or Stager(inputs.balance_txn.sparkSession, "summary_b")
     seq = itertools.count(1)
 
@@ -97,7 +98,7 @@ def build(inputs: Inputs, month: int, stager: Stager | None = None) -> SummaryB:
     def csum(cond):
         return F.sum(F.when(cond, v).otherwise(0))
 
-    k = lvl.filter(F.col("month_key") == month).groupBy("month_key", "area_code").agg(
+    k = lvl.groupBy("month_key", "area_code").agg(
         csum(fin.between(*R.B_TN_RANGE)).alias("tn"),
         csum(fin.between(*R.B_CP_RANGE)).alias("cp"),
         csum(fin.between(*R.B_LN_RANGE)).alias("ln"),
