@@ -49,7 +49,9 @@ def _build(spark: SparkSession, sf_dir: str, job: str):
                         "b": lambda: SB.build(inputs, MONTH),
                         "b_backfill": lambda: SB.build(inputs, list(BACKFILL_MONTHS)),
                         "ka": lambda: KA.build(inputs, MONTH, RULES),
-                        "kb": lambda: KB.build(inputs, MONTH)}[job]()
+                        "kb": lambda: KB.build(inputs, MONTH),
+                        "ka_backfill": lambda: KA.build(inputs, list(BACKFILL_MONTHS), RULES),
+                        "kb_backfill": lambda: KB.build(inputs, list(BACKFILL_MONTHS))}[job]()
     return _BUILDS[key]
 
 
@@ -97,7 +99,7 @@ def _npl_three_way(spark, sf_dir) -> DataFrame:
     return npl_ratio_a(_build(spark, sf_dir, "a").loan_area).select("area_code", "value")
 
 
-def _kpi_cols(df: DataFrame) -> DataFrame:
+def _kpi_cols(df: DataFrame) -> DataFrame:  # level-1 rows without the month column
     return df.select("area_code", "employee_id", "criteria_code", F.col("value").cast("double"),
                      F.col("rank_kpi").cast("long"))
 
@@ -168,6 +170,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_b_level2": lambda s, d: _build(s, d, "kb").level2,
         "kpi_b_overall": lambda s, d: _build(s, d, "kb").overall,
         "kpi_b": lambda s, d: _build(s, d, "kb").result,
+        "kpi_a_backfill": lambda s, d: _build(s, d, "ka_backfill").result,
+        "kpi_b_backfill": lambda s, d: _build(s, d, "kb_backfill").result,
         "month_republish": _month_republish,
         "run_log": _run_log,
     }
@@ -253,5 +257,9 @@ def oracle_sql() -> dict[str, str]:
         "kpi_b_level2": K.query_b(m, K.out_b("l2")),
         "kpi_b_overall": K.query_b(m, K.out_b("ov")),
         "kpi_b": K.query_b(m, K.out_b("kpi_b")),
+        "kpi_a_backfill": " union all ".join(
+            f"select * from ({K.query_a(bm, 'select * from kpi_a')})" for bm in BACKFILL_MONTHS),
+        "kpi_b_backfill": " union all ".join(
+            f"select * from ({K.query_b(bm, K.out_b('kpi_b'))})" for bm in BACKFILL_MONTHS),
         "month_republish": qa(A.out("summary_a")),
     }

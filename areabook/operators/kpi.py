@@ -46,15 +46,25 @@ def headcount_monthly_avg(kpi: DataFrame, month) -> DataFrame:
     return spread.groupBy("month_key", "area_code").agg(avg_of("n").alias("avg_headcount"))
 
 
-def employee_kpi(kpi: DataFrame, month: int, code_col: str) -> DataFrame:
-    """(area_code, employee_id, criteria_code, value): average non-null KPI
-    value per area, employee and code, cumulative to `month`."""
-    return (kpi.filter((F.col("month_report") <= month) & F.col("value").isNotNull())
-            .groupBy("area_code", "employee_id", F.col(code_col).alias("criteria_code"))
-            .agg(avg_of("value").alias("value")))
+def employee_kpi(kpi: DataFrame, month, code_col: str) -> DataFrame:
+    """(month_key, area_code, employee_id, criteria_code, value): average
+    non-null KPI value per area, employee and code, cumulative to the report
+    month. For a list of months: sums and counts per calendar month once,
+    spread to the report months at or after it."""
+    months = as_months(month)
+    facts = kpi.filter((F.col("month_report") <= months[-1]) & F.col("value").isNotNull())
+    keys = ["area_code", "employee_id", F.col(code_col).alias("criteria_code")]
+    if len(months) == 1:
+        return (facts.groupBy(F.lit(months[0]).alias("month_key"), *keys)
+                .agg(avg_of("value").alias("value")))
+    monthly = facts.groupBy("month_report", *keys).agg(F.sum("value").alias("_s"), F.count("value").alias("_n"))
+    return (monthly.select("area_code", "employee_id", "criteria_code", "_s", "_n",
+                           F.explode(report_months_from("month_report", months)).alias("month_key"))
+            .groupBy("month_key", "area_code", "employee_id", "criteria_code")
+            .agg((F.sum("_s").cast("double") / F.sum("_n")).alias("value")))
 
 
 def area_employees(emp_kpi: DataFrame) -> DataFrame:
-    """Distinct (area_code, employee_id) having any non-null KPI value; derived
-    from the per-employee averages instead of another scan of the facts."""
-    return emp_kpi.select("area_code", "employee_id").distinct()
+    """Distinct (month_key, area_code, employee_id) having any non-null KPI
+    value; derived from the per-employee averages instead of another scan."""
+    return emp_kpi.select("month_key", "area_code", "employee_id").distinct()

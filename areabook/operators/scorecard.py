@@ -16,13 +16,13 @@ def rank_area_metrics(area_rows: DataFrame, employees: DataFrame, methods: dict[
                       default: tuple[str, bool], stager: Stager) -> DataFrame:
     """Rank area-level metrics as if spread to every manager of the area.
 
-    area_rows: (area_code, criteria_code, value). An area without managers
+    area_rows: (month_key, area_code, criteria_code, value). An area without managers
     drops out (inner join), and the rank of a value counts managers, not
     areas, ahead of it; but all of this is computed on the per-area table
     weighted by the manager count, so no window ever sees the manager rows.
     methods: criteria_code -> (method, ascending); others use `default`."""
-    counts = employees.groupBy("area_code").agg(F.count(F.lit(1)).alias("_n_emp"))
-    rows = area_rows.join(counts, "area_code")
+    counts = employees.groupBy("month_key", "area_code").agg(F.count(F.lit(1)).alias("_n_emp"))
+    rows = area_rows.join(counts, ["month_key", "area_code"])
     groups: dict[tuple[str, bool], list[str]] = {}
     for code, how in methods.items():
         groups.setdefault(how, []).append(code)
@@ -30,11 +30,11 @@ def rank_area_metrics(area_rows: DataFrame, employees: DataFrame, methods: dict[
     parts = []
     for (method, asc), codes in groups.items():
         sub = rows.filter(F.col("criteria_code").isin(*codes))
-        parts.append(rank_by(sub, "value", ["criteria_code"], descending=not asc, dense=method == "dense_rank",
+        parts.append(rank_by(sub, "value", ["month_key", "criteria_code"], descending=not asc, dense=method == "dense_rank",
                              weight_col="_n_emp", out="rank_kpi", stager=stager, bounded=True))
     method, asc = default
     rest = rows.filter(~F.col("criteria_code").isin(*listed)) if listed else rows
-    parts.append(rank_by(rest, "value", ["criteria_code"], descending=not asc, dense=method == "dense_rank",
+    parts.append(rank_by(rest, "value", ["month_key", "criteria_code"], descending=not asc, dense=method == "dense_rank",
                          weight_col="_n_emp", out="rank_kpi", stager=stager, bounded=True))
     out = parts[0]
     for p in parts[1:]:
@@ -43,11 +43,12 @@ def rank_area_metrics(area_rows: DataFrame, employees: DataFrame, methods: dict[
 
 
 def spread_to_employees(ranked_area: DataFrame, employees: DataFrame) -> DataFrame:
-    """(area_code, employee_id, criteria_code, value, rank_kpi): one row per
-    manager of the area. The per-area side is small (areas x criteria); AQE
-    broadcasts it, so the manager side is never shuffled for this join."""
-    return employees.join(ranked_area, "area_code").select(
-        "area_code", "employee_id", "criteria_code", "value", "rank_kpi")
+    """(month_key, area_code, employee_id, criteria_code, value, rank_kpi): one
+    row per manager of the area. The per-area side is small (areas x
+    criteria); the planner broadcasts it, so the manager side is never
+    shuffled for this join."""
+    return employees.join(ranked_area, ["month_key", "area_code"]).select(
+        "month_key", "area_code", "employee_id", "criteria_code", "value", "rank_kpi")
 
 
 def scores(level1: DataFrame, by: Sequence[str], type_col: str) -> DataFrame:

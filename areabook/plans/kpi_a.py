@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areabook.functions.columns import as_months
 from areabook.operators.drivers import npl_ratio_a
 from areabook.operators.kpi import area_employees, employee_kpi
 from areabook.operators.rank import join_rank, rank_by, rank_table
@@ -31,41 +32,45 @@ class KpiA:
     result: DataFrame
 
 
-def build(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A,
+def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
           ledger_store: str | None = None) -> KpiA:
+    """`month`: a report month or a list of them; every rank is per month."""
+    months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
     # the summary refresh and the per-employee KPI averages are independent
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store))
         emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
         sa = summary.result()
-    ka1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)
+    ka1 = rank_by(emp_kpi, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
+                  stager=st)
     employees = area_employees(emp_kpi)
 
-    npl = npl_ratio_a(sa.loan_area).select("area_code", F.lit(R.KPI_A_NPL_CODE).alias("criteria_code"),
-                                           "value")
+    npl = npl_ratio_a(sa.loan_area).select("month_key", "area_code",
+                                           F.lit(R.KPI_A_NPL_CODE).alias("criteria_code"), "value")
     fin_code = F.lit(None).cast("string")
     for code, fin in R.KPI_A_AREA_CRITERIA:
         fin_code = F.when(F.col("fin_id") == fin, F.lit(code)).otherwise(fin_code)
     fins = (sa.result.filter(F.col("fin_id").isin(*[f for _, f in R.KPI_A_AREA_CRITERIA])
-                             & (F.col("area_code") != "00") & (F.col("month_key") == month))
-            .select("area_code", fin_code.alias("criteria_code"), F.col("value").cast("double").alias("value")))
+                             & (F.col("area_code") != "00") & F.col("month_key").isin(*months))
+            .select("month_key", "area_code", fin_code.alias("criteria_code"),
+                    F.col("value").cast("double").alias("value")))
     area_metrics = st.stage(npl.unionByName(fins), "area_metrics")
     ranked = rank_area_metrics(area_metrics, employees, {R.KPI_A_NPL_CODE: ("dense_rank", True)},
                                ("dense_rank", False), st)
     level1 = ka1.unionByName(spread_to_employees(ranked, employees))
     dim = inputs.dim_criteria   # a stored dimension: the planner broadcasts it by its size
     x = level1.join(dim, "criteria_code")
-    x = st.stage(scores(x, ["employee_id"], "criteria_type_name"), "scored")
+    x = st.stage(scores(x, ["month_key", "employee_id"], "criteria_type_name"), "scored")
     # the two score ranks are independent: build both rank tables side by side
     with ThreadPoolExecutor(max_workers=2) as pool:
-        by_type = pool.submit(rank_table, x, "type_score", ["criteria_type_name"], descending=True,
-                              dense=True, out="type_rank", stager=st)
-        overall = pool.submit(rank_table, x, "overall_score", descending=True, dense=True,
+        by_type = pool.submit(rank_table, x, "type_score", ["month_key", "criteria_type_name"],
+                              descending=True, dense=True, out="type_rank", stager=st)
+        overall = pool.submit(rank_table, x, "overall_score", ["month_key"], descending=True, dense=True,
                               out="overall_rank", stager=st)
-        x = join_rank(x, by_type.result(), "type_score", ["criteria_type_name"], "type_rank")
-        x = join_rank(x, overall.result(), "overall_score", [], "overall_rank")
-    result = x.select(F.lit(month).alias("month_key"), "area_code", "employee_id", "criteria_code",
+        x = join_rank(x, by_type.result(), "type_score", ["month_key", "criteria_type_name"], "type_rank")
+        x = join_rank(x, overall.result(), "overall_score", ["month_key"], "overall_rank")
+    result = x.select(F.col("month_key").cast("int").alias("month_key"), "area_code", "employee_id", "criteria_code",
                       F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"),
                       "criteria_type_name", F.col("type_score").cast("long"),
                       F.col("overall_score").cast("long"), "type_rank", "overall_rank")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areabook.functions.columns import as_months
 from areabook.operators.kpi import area_employees, employee_kpi
 from areabook.operators.rank import rank_by
 from areabook.operators.scorecard import rank_area_metrics, spread_to_employees
@@ -35,43 +36,46 @@ def _out(df: DataFrame) -> DataFrame:
                      F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"))
 
 
-def build(inputs: Inputs, month: int) -> KpiB:
+def build(inputs: Inputs, month) -> KpiB:
+    """`month`: a report month or a list of them; every rank is per month."""
+    months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
     # the summary refresh and the per-employee KPI averages are independent
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SB.build(inputs, month, stager=st))
         emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
         sb = summary.result()
-    kb1 = rank_by(emp_kpi, "value", ["criteria_code"], descending=True, out="rank_kpi", stager=st)
+    kb1 = rank_by(emp_kpi, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
+                  stager=st)
     employees = area_employees(emp_kpi)
 
     parts = []
     for code, fin, absolute, _, _ in R.KPI_B_AREA_CRITERIA:
         v = F.col("value").cast("double")
         parts.append(sb.result.filter((F.col("fin_id") == fin) & (F.col("area_code") != "00")
-                                      & (F.col("month_key") == month))
-                     .select("area_code", F.lit(code).alias("criteria_code"),
+                                      & F.col("month_key").isin(*months))
+                     .select("month_key", "area_code", F.lit(code).alias("criteria_code"),
                              (F.abs(v) if absolute else v).alias("value")))
     dim = inputs.dim_criteria_xlsx   # a stored dimension: broadcast by the planner's size check
     area_metrics = st.stage(union_all(parts).join(dim, "criteria_code"), "area_metrics")
     methods = {code: (method, asc) for code, _, _, method, asc in R.KPI_B_AREA_CRITERIA}
     ranked = rank_area_metrics(area_metrics, employees, methods, ("dense_rank", False), st)
-    level1 = kb1.unionByName(spread_to_employees(ranked, employees)).withColumn("month_key", F.lit(month))
+    level1 = kb1.unionByName(spread_to_employees(ranked, employees))
     level1 = st.stage(_out(level1), "level1")
 
     def level2_group(g):
-        sums = (level1.filter(F.col("criteria_code").contains(g) & (F.col("month_key") == month))
+        sums = (level1.filter(F.col("criteria_code").contains(g))
                 .groupBy(*KEYS).agg(F.sum("rank_kpi").alias("value"))
                 .withColumn("criteria_code", F.lit(g)))
-        return rank_by(sums, "value", out="rank_kpi", stager=st)
+        return rank_by(sums, "value", ["month_key"], out="rank_kpi", stager=st)
 
     with ThreadPoolExecutor(max_workers=len(R.KPI_B_GROUPS)) as pool:   # independent groups
         level2_parts = list(pool.map(level2_group, R.KPI_B_GROUPS))
     level2 = st.stage(_out(union_all(level2_parts)), "level2")
-    ov = (level2.filter(F.col("criteria_code").isin(*R.KPI_B_GROUPS) & (F.col("month_key") == month))
+    ov = (level2.filter(F.col("criteria_code").isin(*R.KPI_B_GROUPS))
           .groupBy(*KEYS).agg(F.sum("value").alias("value"))
           .withColumn("criteria_code", F.lit(R.KPI_B_OVERALL)))
-    overall = _out(rank_by(ov, "value", out="rank_kpi", stager=st))
+    overall = _out(rank_by(ov, "value", ["month_key"], out="rank_kpi", stager=st))
     result = union_all([level1, level2, overall])
     return KpiB(sb, level1, level2, overall, result)
 

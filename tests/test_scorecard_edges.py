@@ -4,15 +4,19 @@ from areabook.operators.scorecard import rank_area_metrics, scores, spread_to_em
 from areabook.plans.staging import Stager
 
 
+M = 199812
+
+
 def _emp(spark, rows):
-    return spark.createDataFrame(rows, "area_code string, employee_id string")
+    return spark.createDataFrame([(M, a, e) for a, e in rows], "month_key int, area_code string, employee_id string")
 
 
 def test_area_metric_ranks_count_managers_and_nulls_first(spark):
     area = spark.createDataFrame(
-        [("01", "F01", 5.0), ("02", "F01", 5.0), ("03", "F01", 1.0), ("04", "F01", None), ("05", "F01", 9.0),
-         ("01", "S04", 0.2), ("02", "S04", None), ("03", "S04", 0.1)],
-        "area_code string, criteria_code string, value double")
+        [(M, a, c, v) for a, c, v in
+         [("01", "F01", 5.0), ("02", "F01", 5.0), ("03", "F01", 1.0), ("04", "F01", None), ("05", "F01", 9.0),
+          ("01", "S04", 0.2), ("02", "S04", None), ("03", "S04", 0.1)]],
+        "month_key int, area_code string, criteria_code string, value double")
     emp = _emp(spark, [("01", "a"), ("01", "b"), ("02", "c"), ("03", "d"), ("04", "e")])   # 05: no managers
     st = Stager(spark, "t")
     ranked = rank_area_metrics(area, emp, {"S04": ("dense_rank", True)}, ("dense_rank", False), st)
