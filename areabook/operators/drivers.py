@@ -66,14 +66,20 @@ def loan_area(month_area: DataFrame, month) -> DataFrame:
     months x areas)."""
     months = as_months(month)
     years = _years(months)
-    spread = month_area.select("*", F.explode(report_months_from("kpi_month", months)).alias("month_key"))
-    report_year = F.substring(F.col("month_key").cast("string"), 1, 4)
-
-    def of_year(name):
-        out = F.lit(None)
-        for y in years:
-            out = F.when(report_year == y, F.col(f"{name}__{y}")).otherwise(out)
-        return out
+    if len(months) == 1:   # one report month: every row counts, one write-off year
+        spread = month_area.withColumn("month_key", F.lit(months[0]))
+
+        def of_year(name):
+            return F.col(f"{name}__{years[0]}")
+    else:
+        spread = month_area.select("*", F.explode(report_months_from("kpi_month", months)).alias("month_key"))
+        report_year = F.substring(F.col("month_key").cast("string"), 1, 4)
+
+        def of_year(name):
+            out = F.lit(None)
+            for y in years:
+                out = F.when(report_year == y, F.col(f"{name}__{y}")).otherwise(out)
+            return out
 
     spread = spread.select("*", of_year("wo").alias("wo"), of_year("n_wo").alias("n_wo"),
                            of_year("wo0").alias("wo0"))

@@ -21,20 +21,29 @@ from areabook.plans.rules import AccountRule
 
 
 
-def _accounts_predicate(col: Column, accounts: Sequence[int], prefix: str | None) -> Column:
+def _prefix_col(n: int) -> str:
+    return f"_pfx{n}"
+
+
+def _accounts_predicate(col: Column, accounts: Sequence[int], prefix: str | None,
+                        prefix_cols: bool) -> Column:
     if prefix is not None:
-        return digits_prefix(col, prefix)
+        # inside the aggregate the leading digits are a column computed once
+        # per row (see _matching_rows); elsewhere an exact numeric-range test
+        return F.col(_prefix_col(len(prefix))) == prefix if prefix_cols else digits_prefix(col, prefix)
     if not accounts:
         return F.lit(False)
     return col.isin(*accounts)
 
 
-def direct_predicate(rule: AccountRule, col: Column | None = None) -> Column:
-    return _accounts_predicate(col if col is not None else F.col("account_code"), rule.direct, rule.prefix)
+def direct_predicate(rule: AccountRule, col: Column | None = None, prefix_cols: bool = False) -> Column:
+    return _accounts_predicate(col if col is not None else F.col("account_code"), rule.direct, rule.prefix,
+                               prefix_cols)
 
 
-def pool_predicate(rule: AccountRule, col: Column | None = None) -> Column:
-    return _accounts_predicate(col if col is not None else F.col("account_code"), rule.pool_accounts, rule.prefix)
+def pool_predicate(rule: AccountRule, col: Column | None = None, prefix_cols: bool = False) -> Column:
+    return _accounts_predicate(col if col is not None else F.col("account_code"), rule.pool_accounts,
+                               rule.prefix, prefix_cols)
 
 
 def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
@@ -57,7 +66,7 @@ def _rule_aggs(accounts: Sequence[AccountRule]):
     acct, amount, head = F.col("account_code"), F.col("amount"), F.col("_head")
     aggs = []
     for i, r in enumerate(accounts):
-        d, p = direct_predicate(r, acct), pool_predicate(r, acct)
+        d, p = direct_predicate(r, acct, True), pool_predicate(r, acct, True)
         aggs += [F.sum(F.when(d, amount)).alias(f"d{i}"),
                  F.count_if(d).alias(f"n{i}"),
                  F.sum(F.when(head & p, amount)).alias(f"p{i}")]
@@ -74,11 +83,13 @@ def _unpivot(wide: DataFrame, key: str, accounts: Sequence[AccountRule]) -> Data
 
 def _matching_rows(ledger: DataFrame, accounts: Sequence[AccountRule], date_filter) -> DataFrame:
     acct = F.col("account_code")
+    lengths = sorted({len(r.prefix) for r in accounts if r.prefix is not None})
     return (ledger.filter(date_filter)
             .filter(any_rule_predicate(accounts, acct))
             .select(area_of("analysis_code").alias("area_code"),
                     is_head("analysis_code").alias("_head"),
                     month_key_of("transaction_date").alias("_ym"),
+                    *[F.left(acct.cast("string"), F.lit(n)).alias(_prefix_col(n)) for n in lengths],
                     acct, F.col("amount")))
 
 

@@ -19,6 +19,29 @@ class Inputs:
     dim_criteria_xlsx: DataFrame | None = None
 
 
+class LazyInputs:
+    """Inputs built on first use (a job only pays for the tables it reads)."""
+
+    FIELDS = ("ledger", "loan", "kpi", "balance_txn", "dim_criteria", "dim_criteria_xlsx")
+
+    def __init__(self, factories):
+        self.__dict__["_factories"] = factories
+        self.__dict__["_values"] = {}
+
+    def __getattr__(self, name):
+        if name in LazyInputs.FIELDS:
+            values = self.__dict__["_values"]
+            if name not in values:
+                values[name] = self.__dict__["_factories"][name]()
+            return values[name]
+        raise AttributeError(name)
+
+    def __setattr__(self, name, value):
+        if name not in LazyInputs.FIELDS:
+            raise AttributeError(name)
+        self.__dict__["_values"][name] = value
+
+
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Inputs:
     """Stored tables under `base/<table>` with the declared schemas. The loan
     book and KPI facts are expected to be partitioned by month, so the

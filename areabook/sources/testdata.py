@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from areabook.functions.columns import month_key_of
 from areabook.plans import rules
 from areabook.sources import schemas
-from areabook.sources.inputs import Inputs
+from areabook.sources.inputs import Inputs, LazyInputs
 
 
 # lineitem x orders is a fact-to-fact join: always a shuffle join on the order
@@ -127,11 +127,12 @@ def dim_criteria_xlsx(spark: SparkSession) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs(
-        ledger=ledger(spark, sf_dir),
-        loan=loan_book(spark, sf_dir),
-        kpi=kpi_facts(spark, sf_dir),
-        balance_txn=balance_txn(spark, sf_dir),
-        dim_criteria=dim_criteria(spark),
-        dim_criteria_xlsx=dim_criteria_xlsx(spark),
-    )
+    """The report's inputs over the test tables, each built on first use."""
+    return LazyInputs({
+        "ledger": lambda: ledger(spark, sf_dir),
+        "loan": lambda: loan_book(spark, sf_dir),
+        "kpi": lambda: kpi_facts(spark, sf_dir),
+        "balance_txn": lambda: balance_txn(spark, sf_dir),
+        "dim_criteria": lambda: dim_criteria(spark),
+        "dim_criteria_xlsx": lambda: dim_criteria_xlsx(spark),
+    })
