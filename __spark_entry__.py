@@ -89,10 +89,10 @@ def _driver(name: str):
 
 
 def _driver_headcount(spark, sf_dir) -> DataFrame:
-    hc = _build(spark, sf_dir, "a").headcount
-    total = hc.select(F.sum("headcount")).scalar()
-    return hc.select("area_code", F.col("headcount").cast("long"),
-                     F.try_divide(F.col("headcount").cast("double"), total.cast("double")).alias("share"))
+    b = _build(spark, sf_dir, "a")
+    share = b.shares.filter(F.col("driver") == "headcount").select("month_key", "area_code", "share")
+    return b.headcount.join(share, ["month_key", "area_code"]).select(
+        "area_code", F.col("headcount").cast("long"), "share")
 
 
 def _npl_three_way(spark, sf_dir) -> DataFrame:

@@ -2,9 +2,9 @@
 
 The loan book is aggregated ONCE to (month, area) with every conditional sum
 any driver or ratio needs (the source report scans it up to 12 times), then
-once more to one row per area. Shares divide by a global total taken as a
-scalar subquery over that per-area table, never by a single-partition window
-over detail rows."""
+once more to one row per (report month, area). Shares divide by per-month
+totals of that small table joined back on month_key, never by a
+single-partition window over detail rows."""
 
 from __future__ import annotations
 

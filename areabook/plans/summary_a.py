@@ -1,8 +1,9 @@
 """JOB1, summary A: per-area P&L lines from the raw ledger, allocated,
-rolled up and turned into ratios for one month (cumulative).
+rolled up and turned into ratios for one report month (cumulative) or several
+(one pass; every per-area table carries month_key).
 
 Stages (each written once, see plans.staging):
-  1. rule sums   one scan of the ledger -> (month, rule, area) sums
+  1. rule sums   one scan of the ledger (or the monthly store) -> (month, rule, area) sums
   2. loan area   one scan of the loan book -> per-area driver averages
   3. headcount   distinct employees per area (line 2)
   4. lines       every driver's per-area share (long format), then lines
