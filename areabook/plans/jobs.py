@@ -23,8 +23,11 @@ from areabook.sources.inputs import Inputs
 from areabook.sources.sinks import append_run_log, publish_month
 
 
-def resolve_month(month: int | None, today: _dt.date | None = None) -> int:
-    """yyyymm; the current month when none is given."""
+def resolve_month(month, today: _dt.date | None = None):
+    """yyyymm (or a list of them for a one-pass backfill); the current month
+    when none is given."""
+    if isinstance(month, (list, tuple)):
+        return sorted({int(m) for m in month})
     if month is not None:
         return int(month)
     d = today or _dt.datetime.now(_dt.timezone.utc).date()
@@ -43,7 +46,7 @@ def run_logged(spark: SparkSession, name: str, log_path: str, body: Callable[[],
     return out
 
 
-def run_summary_a(spark, inputs: Inputs, out_dir: str, month: int | None = None,
+def run_summary_a(spark, inputs: Inputs, out_dir: str, month=None,
                   rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
@@ -54,7 +57,7 @@ def run_summary_a(spark, inputs: Inputs, out_dir: str, month: int | None = None,
     return run_logged(spark, "fact_monthly_summary_prc", f"{out_dir}/log_tracking", body)
 
 
-def run_summary_b(spark, inputs: Inputs, out_dir: str, month: int | None = None) -> DataFrame:
+def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
@@ -64,7 +67,7 @@ def run_summary_b(spark, inputs: Inputs, out_dir: str, month: int | None = None)
     return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body)
 
 
-def run_kpi_a(spark, inputs: Inputs, out_dir: str, month: int | None = None,
+def run_kpi_a(spark, inputs: Inputs, out_dir: str, month=None,
               rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
@@ -76,7 +79,7 @@ def run_kpi_a(spark, inputs: Inputs, out_dir: str, month: int | None = None,
     return run_logged(spark, "fact_monthly_report_kpi_asm_prc_a", f"{out_dir}/log_tracking", body)
 
 
-def run_kpi_b(spark, inputs: Inputs, out_dir: str, month: int | None = None) -> DataFrame:
+def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None) -> DataFrame:
     m = resolve_month(month)
 
     def body():

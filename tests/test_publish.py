@@ -25,6 +25,7 @@ def test_resolve_month_defaults_to_current():
     import datetime as dt
     assert jobs.resolve_month(None, dt.date(2026, 3, 9)) == 202603
     assert jobs.resolve_month(199812) == 199812
+    assert jobs.resolve_month([199812, 199806]) == [199806, 199812]
 
 
 def test_run_log_on_success_and_failure(spark):
