@@ -14,6 +14,8 @@ import argparse
 
 from areabook.plans import jobs
 from areabook.plans import rules as R
+from areabook.plans.ledger_store import refresh_ledger_store
+from areabook.plans.loan_store import refresh_loan_store
 from areabook.session import build_session
 from areabook.sources import testdata
 from areabook.sources.inputs import read_tables
@@ -31,6 +33,9 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder (published tables and run log)")
     ap.add_argument("--month", type=int, action="append", help="report month yyyymm (repeat for several)")
     ap.add_argument("--ledger-store", help="monthly ledger store to read instead of the raw ledger (A jobs)")
+    ap.add_argument("--loan-store", help="monthly loan-book store to read instead of the snapshots")
+    ap.add_argument("--refresh-stores", type=int, action="append",
+                    help="calendar month yyyymm whose store partitions to recompute first (repeat)")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
@@ -41,7 +46,14 @@ def main(argv=None) -> None:
         inputs, rules = read_tables(spark, args.tables), R.REFERENCE_RULES_A
     # several months: one pass over each source (backfill), then one publish
     month = None if not args.month else (args.month[0] if len(args.month) == 1 else args.month)
-    kwargs = {"rules": rules, "ledger_store": args.ledger_store} if args.job in ("summary_a", "kpi_a") else {}
+    if args.refresh_stores:
+        if args.ledger_store:
+            refresh_ledger_store(inputs.ledger, args.refresh_stores, rules.accounts, args.ledger_store)
+        if args.loan_store:
+            refresh_loan_store(inputs.loan, args.refresh_stores, args.loan_store)
+    kwargs = {"loan_store": args.loan_store}
+    if args.job in ("summary_a", "kpi_a"):
+        kwargs.update(rules=rules, ledger_store=args.ledger_store)
     RUNNERS[args.job](spark, inputs, args.out, month, **kwargs)
 
 

@@ -47,43 +47,45 @@ def run_logged(spark: SparkSession, name: str, log_path: str, body: Callable[[],
 
 
 def run_summary_a(spark, inputs: Inputs, out_dir: str, month=None,
-                  rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None) -> DataFrame:
+                  rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None,
+                  loan_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        res = SA.build(inputs, m, rules, ledger_store=ledger_store).result
+        res = SA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store).result
         publish_month(res, f"{out_dir}/fact_monthly_summary_a")
         return res
     return run_logged(spark, "fact_monthly_summary_prc", f"{out_dir}/log_tracking", body)
 
 
-def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None) -> DataFrame:
+def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        res = SB.build(inputs, m).result
+        res = SB.build(inputs, m, loan_store=loan_store).result
         publish_month(res, f"{out_dir}/fact_monthly_summary_b")
         return res
     return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body)
 
 
 def run_kpi_a(spark, inputs: Inputs, out_dir: str, month=None,
-              rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None) -> DataFrame:
+              rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None,
+              loan_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        k = KA.build(inputs, m, rules, ledger_store=ledger_store)
+        k = KA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store)
         publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_a")
         publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_a")
         return k.result
     return run_logged(spark, "fact_monthly_report_kpi_asm_prc_a", f"{out_dir}/log_tracking", body)
 
 
-def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None) -> DataFrame:
+def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        k = KB.build(inputs, m)
+        k = KB.build(inputs, m, loan_store=loan_store)
         publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_b")
         publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_b")
         return k.result

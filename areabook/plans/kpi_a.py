@@ -33,13 +33,14 @@ class KpiA:
 
 
 def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
-          ledger_store: str | None = None) -> KpiA:
+          ledger_store: str | None = None, loan_store: str | None = None) -> KpiA:
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
     # the summary refresh and the per-employee KPI averages are independent
     with ThreadPoolExecutor(max_workers=2) as pool:
-        summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store))
+        summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store,
+                                                 loan_store=loan_store))
         emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
         sa = summary.result()
     ka1 = rank_by(emp_kpi, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",

@@ -36,13 +36,13 @@ def _out(df: DataFrame) -> DataFrame:
                      F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"))
 
 
-def build(inputs: Inputs, month) -> KpiB:
+def build(inputs: Inputs, month, loan_store: str | None = None) -> KpiB:
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
     # the summary refresh and the per-employee KPI averages are independent
     with ThreadPoolExecutor(max_workers=2) as pool:
-        summary = pool.submit(lambda: SB.build(inputs, month, stager=st))
+        summary = pool.submit(lambda: SB.build(inputs, month, stager=st, loan_store=loan_store))
         emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
         sb = summary.result()
     kb1 = rank_by(emp_kpi, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",

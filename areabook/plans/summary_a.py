@@ -28,6 +28,7 @@ from areabook.operators.ledger import ledger_rule_sums
 from areabook.operators.rollup import percent_ratios, rollup_all
 from areabook.plans import rules as R
 from areabook.plans.ledger_store import rule_sums_from_store
+from areabook.plans.loan_store import month_area_from_store
 from areabook.plans.staging import Stager, union_all
 from areabook.sources.inputs import Inputs
 
@@ -44,6 +45,12 @@ class SummaryA:
     result: DataFrame          # everything, as stored
 
 
+def _month_area(inputs: Inputs, month, loan_store: str | None) -> DataFrame:
+    if loan_store:
+        return month_area_from_store(inputs.kpi.sparkSession, loan_store, month)
+    return loan_month_area(inputs.loan, month)
+
+
 def ratio_specs():
     """(fin_id, base lines, numerator lines, denominator lines, _) of the ratios."""
     return [
@@ -55,10 +62,11 @@ def ratio_specs():
 
 
 def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
-          stager: Stager | None = None, ledger_store: str | None = None) -> SummaryA:
-    """`month`: a report month or a list of them. `ledger_store`: read the
-    ledger rule sums from a monthly store (plans.ledger_store) instead of the
-    raw ledger."""
+          stager: Stager | None = None, ledger_store: str | None = None,
+          loan_store: str | None = None) -> SummaryA:
+    """`month`: a report month or a list of them. `ledger_store` /
+    `loan_store`: read the monthly stores (plans.ledger_store,
+    plans.loan_store) instead of the raw history."""
     spark = inputs.loan.sparkSession
     st = stager or Stager(spark, "summary_a")
     seq = itertools.count(1)
@@ -69,7 +77,7 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
     rule_sums = (rule_sums_from_store(spark, ledger_store, month) if ledger_store
                  else ledger_rule_sums(inputs.ledger, month, rules.accounts))
     first = st.stage_all({"rule_sums": rule_sums,
-                          "loan_area": loan_area(loan_month_area(inputs.loan, month), month),
+                          "loan_area": loan_area(_month_area(inputs, month, loan_store), month),
                           "headcount": headcount_cumulative(inputs.kpi, month)})
     rs, la, hc = first["rule_sums"], first["loan_area"], first["headcount"]
 

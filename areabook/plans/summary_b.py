@@ -15,6 +15,7 @@ from areabook.operators.drivers import (LOAN_DRIVERS_B, loan_area, loan_month_ar
 from areabook.operators.kpi import headcount_in_month, headcount_monthly_avg
 from areabook.operators.tagged import line_area_sums
 from areabook.plans import rules as R
+from areabook.plans.loan_store import month_area_from_store
 from areabook.plans.staging import Stager, union_all
 from areabook.sources.inputs import Inputs
 
@@ -38,8 +39,9 @@ def _tall(fin_id, area, value, month_key, double=True):
             month_key.alias("month_key")]
 
 
-def build(inputs: Inputs, month, stager: Stager | None = None) -> SummaryB:
-    """`month`: a report month or a list of them (one pass over each source)."""
+def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str | None = None) -> SummaryB:
+    """`month`: a report month or a list of them (one pass over each source).
+    `loan_store`: read the monthly loan-book store instead of the snapshots."""
     st = stager or Stager(inputs.balance_txn.sparkSession, "summary_b")
     seq = itertools.count(1)
 
@@ -48,7 +50,8 @@ def build(inputs: Inputs, month, stager: Stager | None = None) -> SummaryB:
 
     first = st.stage_all({
         "line_sums": line_area_sums(inputs.balance_txn, month),
-        "loan_area": loan_area(loan_month_area(inputs.loan, month), month),
+        "loan_area": loan_area(month_area_from_store(inputs.kpi.sparkSession, loan_store, month) if loan_store
+                               else loan_month_area(inputs.loan, month), month),
         "headcount": headcount_in_month(inputs.kpi, month).select(
             *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), False)),
         "avg_headcount": headcount_monthly_avg(inputs.kpi, month)})
