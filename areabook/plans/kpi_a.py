@@ -37,14 +37,18 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
-    # the summary refresh and the per-employee KPI averages are independent
+
+    # the summary refresh and the per-employee KPI averages and ranks are independent
+    def employee_side():
+        emp = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
+        return emp, rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
+                            stager=st)
+
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store,
-                                                 loan_store=loan_store))
-        emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
+                                               loan_store=loan_store))
+        emp_kpi, ka1 = employee_side()
         sa = summary.result()
-    ka1 = rank_by(emp_kpi, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
-                  stager=st)
     employees = area_employees(emp_kpi)
 
     npl = npl_ratio_a(sa.loan_area).select("month_key", "area_code",
@@ -56,7 +60,7 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
                              & (F.col("area_code") != "00") & F.col("month_key").isin(*months))
             .select("month_key", "area_code", fin_code.alias("criteria_code"),
                     F.col("value").cast("double").alias("value")))
-    area_metrics = st.stage(npl.unionByName(fins), "area_metrics")
+    area_metrics = npl.unionByName(fins)   # per area: small, not staged
     ranked = rank_area_metrics(area_metrics, employees, {R.KPI_A_NPL_CODE: ("dense_rank", True)},
                                ("dense_rank", False), st)
     level1 = ka1.unionByName(spread_to_employees(ranked, employees))

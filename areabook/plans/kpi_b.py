@@ -40,13 +40,17 @@ def build(inputs: Inputs, month, loan_store: str | None = None) -> KpiB:
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
-    # the summary refresh and the per-employee KPI averages are independent
+
+    # the summary refresh and the per-employee KPI averages and ranks are independent
+    def employee_side():
+        emp = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
+        return emp, rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
+                            stager=st)
+
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SB.build(inputs, month, stager=st, loan_store=loan_store))
-        emp_kpi = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
+        emp_kpi, kb1 = employee_side()
         sb = summary.result()
-    kb1 = rank_by(emp_kpi, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
-                  stager=st)
     employees = area_employees(emp_kpi)
 
     parts = []
@@ -57,7 +61,7 @@ def build(inputs: Inputs, month, loan_store: str | None = None) -> KpiB:
                      .select("month_key", "area_code", F.lit(code).alias("criteria_code"),
                              (F.abs(v) if absolute else v).alias("value")))
     dim = inputs.dim_criteria_xlsx   # a stored dimension: broadcast by the planner's size check
-    area_metrics = st.stage(union_all(parts).join(dim, "criteria_code"), "area_metrics")
+    area_metrics = union_all(parts).join(dim, "criteria_code")   # per area: small, not staged
     methods = {code: (method, asc) for code, _, _, method, asc in R.KPI_B_AREA_CRITERIA}
     ranked = rank_area_metrics(area_metrics, employees, methods, ("dense_rank", False), st)
     level1 = kb1.unionByName(spread_to_employees(ranked, employees))
