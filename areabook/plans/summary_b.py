@@ -61,9 +61,9 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
     loan_shares = with_shares(la.select("month_key", "area_code", *{c for c, _ in LOAN_DRIVERS_B.values()}),
                               {f"s_{k}": v for k, v in LOAN_DRIVERS_B.items()})
     hc_share = with_shares(avg_hc, {f"s_{R.B_DEFAULT_DRIVER}": ("avg_headcount", True)})
-    drivers = stage(loan_shares.join(hc_share, ["month_key", "area_code"])
-                    .select("month_key", "area_code", *[f"s_{k}" for k in LOAN_DRIVERS_B],
-                            f"s_{R.B_DEFAULT_DRIVER}"))
+    drivers = (loan_shares.join(hc_share, ["month_key", "area_code"])
+               .select("month_key", "area_code", *[f"s_{k}" for k in LOAN_DRIVERS_B],
+                       f"s_{R.B_DEFAULT_DRIVER}"))
 
     # allocated lines: area rows x head pool of the same line (joined on the line only)
     a = ls.filter(F.col("fin_id_lv3").isin(*R.B_ALLOC_LINES)).select("month_key", "fin_id_lv3", "area_code",
@@ -91,9 +91,8 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
          .join(revenue, "month_key")
          .join(total, "month_key"))
     inc_share = F.try_divide(F.col("inc").cast("double"), (F.col("revenue") + F.col("total")).cast("double"))
-    funding = stage(y.select(*_tall(F.col("fin_id_lv3"), F.col("area_code"),
-                                    round_half_up(F.col("pool") * inc_share * 1, 0), F.col("month_key"),
-                                    False)))
+    funding = y.select(*_tall(F.col("fin_id_lv3"), F.col("area_code"),
+                              round_half_up(F.col("pool") * inc_share * 1, 0), F.col("month_key"), False))
 
     lvl = union_all([b21, alloc, funding])
     fin, v = F.col("fin_id"), F.col("value")
@@ -108,7 +107,7 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
         csum(fin.isin(*R.B_MARGIN_DEN_IDS)).alias("tn2"),
         csum(fin.isin(*R.B_CAPITAL_DEN_IDS)).alias("cp2"))
     area, mk = F.col("area_code"), F.col("month_key")
-    ratios = stage(union_all([
+    ratios = union_all([
         k.select(*_tall(R.B_CIR_FIN, area, ratio(-F.col("cp"), F.col("tn")), mk)),
         k.select(*_tall(R.B_MARGIN_FIN, area, ratio(F.col("ln"), F.col("tn2")), mk)),
         k.select(*_tall(R.B_CAPITAL_FIN, area, ratio(-F.col("ln"), F.col("cp2")), mk)),
@@ -117,8 +116,12 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
                    mk)),
         npl_ratio_b(la).select(*_tall(R.B_NPL_FIN, area, F.col("value"), mk)),
         writeoff_ratio_b(la).select(*_tall(R.B_WO_FIN, area, F.col("value"), mk)),
-    ]))
-    result = union_all([b21, alloc, funding, ratios])
+    ])
+    # funding lines and ratios: small, one stage (funding is recomputed from staged tables)
+    upper = stage(union_all([funding, ratios]))
+    funding = upper.filter(F.col("fin_id").isin(*R.B_FUNDING_LINES))
+    ratios = upper.filter(~F.col("fin_id").isin(*R.B_FUNDING_LINES))
+    result = union_all([b21, alloc, upper])
     return SummaryB(ls, la, b21, drivers, alloc, funding, ratios, result)
 
 
