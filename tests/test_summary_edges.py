@@ -98,3 +98,15 @@ def test_npl_three_way_drops_months_b26_keeps_them(spark):
     b = {r.area_code: r.value for r in npl_ratio_b(la).collect()}
     assert a["01"] == pytest.approx(1.0)                                  # only 199801 survives
     assert b["01"] == pytest.approx((100 / 3 + 50 / 3) / (310 / 3 + 50 / 3))  # all months, zero-filled
+
+
+def test_b_headcount_counts_only_values_in_the_month(spark):
+    # B21 counts managers with a value in the report month only (Q24); A2 counts all, cumulatively
+    bal = [(199803, "01", 1, "DVML", 10), (199803, "00", 1, "HEAD", 30)]
+    loan = [(199801, "01", 1, 100, None, 0, 1)]
+    kpi = [(199812, "01", "E1", "SC01", 5), (199812, "01", "E2", "SC01", None), (199811, "01", "E3", "SC01", 1),
+           (199812, "01", "E1", "SC02", 7)]
+    b = SB.build(inputs(spark, balance_rows=bal, loan_rows=loan, kpi_rows=kpi), M)
+    assert {k: int(v) for k, v in _vals(b.result, R.B_HEADCOUNT_FIN).items()} == {"01": 1}
+    a = SA.build(inputs(spark, kpi_rows=kpi, loan_rows=loan), M)
+    assert {k: int(v) for k, v in _vals(a.result, R.HEADCOUNT_FIN_A).items()} == {"01": 3}
