@@ -47,18 +47,15 @@ def pool_predicate(rule: AccountRule, col: Column | None = None, prefix_cols: bo
 
 
 def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
-    """Compact "row matches some rule" filter: one IN list over every listed
-    account (pushed to the scan as In) plus one IN over the leading digits for
-    prefix rules. Kept to two terms: a wide OR of per-rule predicates makes
-    Catalyst's constraint inference blow up."""
+    """"Row matches some rule", in a form the Parquet scan accepts: one IN
+    list over every listed account, OR'd with the numeric ranges of the
+    leading-digit rules (pushed as In / range filters). Kept compact on
+    purpose: an OR of per-rule predicates makes Catalyst's constraint
+    inference blow up."""
     listed = sorted({a for r in accounts for a in (*r.direct, *r.pool_accounts)})
     pred = acct.isin(*listed) if listed else F.lit(False)
-    by_len: dict[int, set[str]] = {}
-    for r in accounts:
-        if r.prefix is not None:
-            by_len.setdefault(len(r.prefix), set()).add(r.prefix)
-    for n, prefixes in sorted(by_len.items()):
-        pred = pred | F.left(acct.cast("string"), F.lit(n)).isin(*sorted(prefixes))
+    for p in sorted({r.prefix for r in accounts if r.prefix is not None}):
+        pred = pred | digits_prefix(acct, p)
     return pred
 
 

@@ -35,3 +35,12 @@ def test_rank_plan_has_no_single_partition_exchange_over_rows(spark):
     # rows were range-partitioned and counted when the key table was staged;
     # the only single-partition step left is the prefix sum over partition totals
     assert p.count("SinglePartition") <= 1
+
+
+def test_account_filter_reaches_a_stored_ledger_scan(spark):
+    from areabook.plans.staging import Stager
+    path = f"{Stager(spark, 'stored-ledger').root}/ledger"
+    testdata.ledger(spark, SF_SMALL).write.parquet(path)
+    plan = _plan(ledger_rule_sums(spark.read.parquet(path), R.TEST_MONTH, R.PROXY_ACCOUNTS))
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert "In(account_code" in pushed and "LessThan(transaction_date" in pushed
