@@ -75,13 +75,13 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
                               out="overall_rank", stager=st)
         x = join_rank(x, by_type.result(), "type_score", ["month_key", "criteria_type_name"], "type_rank")
         x = join_rank(x, overall.result(), "overall_score", ["month_key"], "overall_rank")
-    result = x.select(F.col("month_key").cast("int").alias("month_key"), "area_code", "employee_id", "criteria_code",
-                      F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"),
+    result = x.select(F.col("month_key").cast("int").alias("month_key"), "area_code", "employee_id",
+                      "criteria_code", F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"),
                       "criteria_type_name", F.col("type_score").cast("long"),
                       F.col("overall_score").cast("long"), "type_rank", "overall_rank")
     return KpiA(sa, ka1, area_metrics, level1, result)
 
 
-def kpi_a(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
-    """fact_monthly_report_kpi_asm rows of variant A for `month`."""
+def kpi_a(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+    """fact_monthly_report_kpi_asm rows of variant A for `month` (or months)."""
     return build(inputs, month, rules).result

@@ -84,6 +84,6 @@ def build(inputs: Inputs, month, loan_store: str | None = None) -> KpiB:
     return KpiB(sb, level1, level2, overall, result)
 
 
-def kpi_b(inputs: Inputs, month: int) -> DataFrame:
-    """fact_monthly_report_kpi_asm rows of variant B for `month`."""
+def kpi_b(inputs: Inputs, month) -> DataFrame:
+    """fact_monthly_report_kpi_asm rows of variant B for `month` (or months)."""
     return build(inputs, month).result

@@ -103,7 +103,7 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
     return SummaryA(rs, la, hc, shares, lines, funding, totals, result)
 
 
-def summary_a(inputs: Inputs, month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+def summary_a(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
     """fact_monthly_summary rows of variant A for `month` (value as DOUBLE)."""
     r = build(inputs, month, rules).result
     return r.select("fin_id", "area_code", F.col("value").cast("double").alias("value"), "month_key")

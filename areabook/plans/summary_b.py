@@ -125,7 +125,7 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
     return SummaryB(ls, la, b21, drivers, alloc, funding, ratios, result)
 
 
-def summary_b(inputs: Inputs, month: int) -> DataFrame:
+def summary_b(inputs: Inputs, month) -> DataFrame:
     """fact_monthly_summary rows of variant B for `month` (value as DOUBLE)."""
     r = build(inputs, month).result
     return r.select("fin_id", "area_code", F.col("value").cast("double").alias("value"), "month_key")
