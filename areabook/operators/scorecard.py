@@ -27,15 +27,16 @@ def rank_area_metrics(area_rows: DataFrame, employees: DataFrame, methods: dict[
     for code, how in methods.items():
         groups.setdefault(how, []).append(code)
     listed = [c for cs in groups.values() for c in cs]
-    parts = []
-    for (method, asc), codes in groups.items():
-        sub = rows.filter(F.col("criteria_code").isin(*codes))
-        parts.append(rank_by(sub, "value", ["month_key", "criteria_code"], descending=not asc, dense=method == "dense_rank",
-                             weight_col="_n_emp", out="rank_kpi", stager=stager, bounded=True))
-    method, asc = default
+
+    def ranked(sub, method, asc):
+        return rank_by(sub, "value", ["month_key", "criteria_code"], descending=not asc,
+                       dense=method == "dense_rank", weight_col="_n_emp", out="rank_kpi", stager=stager,
+                       bounded=True)
+
+    parts = [ranked(rows.filter(F.col("criteria_code").isin(*codes)), method, asc)
+             for (method, asc), codes in groups.items()]
     rest = rows.filter(~F.col("criteria_code").isin(*listed)) if listed else rows
-    parts.append(rank_by(rest, "value", ["month_key", "criteria_code"], descending=not asc, dense=method == "dense_rank",
-                         weight_col="_n_emp", out="rank_kpi", stager=stager, bounded=True))
+    parts.append(ranked(rest, *default))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
