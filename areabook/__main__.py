@@ -43,7 +43,7 @@ def main(argv=None) -> None:
     if args.testdata:
         inputs, rules = testdata.inputs(spark, args.testdata), R.PROXY_RULES_A
     else:
-        inputs, rules = read_tables(spark, args.tables), R.REFERENCE_RULES_A
+        inputs, rules = read_tables(spark, args.tables), R.CHART_RULES_A
     # several months: one pass over each source (backfill), then one publish
     month = None if not args.month else (args.month[0] if len(args.month) == 1 else args.month)
     if args.refresh_stores:

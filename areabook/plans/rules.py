@@ -51,7 +51,7 @@ class RuleSet:
 # FIXED VALUES: account lists of the reporting chart of accounts (must equal
 # the source report for right results). Natural order as written there.
 # ---------------------------------------------------------------------------
-REFERENCE_ACCOUNTS = (
+CHART_ACCOUNTS = (
     AccountRule("a14", (702000030002, 702000030001, 702000030102)),
     AccountRule("a17", (719000030002,)),
     AccountRule("a15", (702000030012, 702000030112), pool=(702000030012, 7020000301122)),
@@ -141,7 +141,7 @@ ROLLUPS_A = (
     (1, (7, 8, 9)),
 )
 
-REFERENCE_RULES_A = RuleSet(REFERENCE_ACCOUNTS, ALLOC_LINES_A, FUNDING_LINES_A, "dt", ROLLUPS_A)
+CHART_RULES_A = RuleSet(CHART_ACCOUNTS, ALLOC_LINES_A, FUNDING_LINES_A, "dt", ROLLUPS_A)
 PROXY_RULES_A = RuleSet(PROXY_ACCOUNTS, ALLOC_LINES_A, FUNDING_LINES_A, "dt", ROLLUPS_A)
 
 # Ratios of summary A: (fin_id, numerator ids, denominator ids, zero guard
