@@ -57,3 +57,17 @@ def test_digits_prefix_equals_text_prefix(spark):
         x = df.filter(digits_prefix("a", p)).count()
         y = df.filter(F.left(F.col("a").cast("string"), F.lit(len(p))) == p).count()
         assert x == y, p
+
+
+def test_report_months_from_and_month_ranges(spark):
+    from areabook.functions.columns import report_months_from
+    from areabook.operators.ledger import month_ranges
+    df = spark.createDataFrame([(199712,), (199801,), (199806,), (199901,)], "ym int")
+    got = {r.ym: r.ms for r in df.select("ym", report_months_from("ym", [199806, 199712, 199812]).alias("ms"))
+           .collect()}
+    assert got == {199712: [199712, 199806, 199812], 199801: [199806, 199812], 199806: [199806, 199812],
+                   199901: []}
+    days = spark.range(0, 500).select(F.date_add(F.lit("1997-11-15").cast("date"), F.col("id").cast("int"))
+                                      .cast("timestamp_ntz").alias("d"))
+    want = days.filter((F.year("d") * 100 + F.month("d")).isin(199712, 199801, 199903)).count()
+    assert days.filter(month_ranges("d", [199801, 199712, 199903])).count() == want
