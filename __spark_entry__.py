@@ -123,7 +123,10 @@ def _from_stores(spark, sf_dir, job: str) -> DataFrame:
     loan_store = f"{root}/loan"
     refresh_loan_store(inputs.loan, months(inputs.loan, F.col("kpi_month")), loan_store)
     if job == "b":
-        return _tall(SB.build(inputs, MONTH, loan_store=loan_store).result)
+        from areabook.plans.tagged_store import refresh_tagged_store
+        tagged_store = f"{root}/tagged"
+        refresh_tagged_store(inputs.balance_txn, months(inputs.balance_txn, F.col("month_key")), tagged_store)
+        return _tall(SB.build(inputs, MONTH, loan_store=loan_store, tagged_store=tagged_store).result)
     ledger_store = f"{root}/ledger"
     refresh_ledger_store(inputs.ledger, months(inputs.ledger, month_key_of("transaction_date")),
                          RULES.accounts, ledger_store)
@@ -189,7 +192,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_b": lambda s, d: _tall(_build(s, d, "b").result),
         "summary_b_backfill": lambda s, d: _tall(_build(s, d, "b_backfill").result),
         "summary_a_from_stores": lambda s, d: _from_stores(s, d, "a"),
-        "summary_b_from_store": lambda s, d: _from_stores(s, d, "b"),
+        "summary_b_from_stores": lambda s, d: _from_stores(s, d, "b"),
         "kpi_b_level1": lambda s, d: _build(s, d, "kb").level1,
         "kpi_b_level2": lambda s, d: _build(s, d, "kb").level2,
         "kpi_b_overall": lambda s, d: _build(s, d, "kb").overall,
@@ -276,7 +279,7 @@ def oracle_sql() -> dict[str, str]:
         "writeoff_b": _sql_fins(qb, "summary_b", (R.B_WO_FIN,)),
         "summary_b": qb(A.out("summary_b")),
         "summary_a_from_stores": qa(A.out("summary_a")),
-        "summary_b_from_store": qb(A.out("summary_b")),
+        "summary_b_from_stores": qb(A.out("summary_b")),
         "summary_b_backfill": " union all ".join(
             f"select * from ({B.query(bm, A.out('summary_b'))})" for bm in BACKFILL_MONTHS),
         "kpi_b_level1": K.query_b(m, K.out_b("l1")),

@@ -16,15 +16,31 @@ def line_area_sums(balance_txn: DataFrame, month) -> DataFrame:
     aggregate. For a list of report months the lines are summed per calendar
     month once and spread to the report months at or after it."""
     months = as_months(month)
-    head = F.col("dvml_head") == HEAD_FLAG
-    aggs = [F.sum("amount").alias("value"), F.sum(F.when(head, F.col("amount"))).alias("value_head"),
-            F.count_if(head).alias("n_head")]
     rows = balance_txn.filter(F.col("month_key") <= months[-1])
     if len(months) == 1:
-        return rows.groupBy(F.lit(months[0]).alias("month_key"), "fin_id_lv3", "area_code").agg(*aggs)
-    monthly = rows.groupBy(F.col("month_key").alias("_ym"), "fin_id_lv3", "area_code").agg(*aggs)
-    return (monthly.select("fin_id_lv3", "area_code", "value", "value_head", "n_head",
-                           F.explode(report_months_from("_ym", months)).alias("month_key"))
+        return rows.groupBy(F.lit(months[0]).alias("month_key"), "fin_id_lv3", "area_code").agg(*_aggs())
+    return cumulate_line_sums(line_month_sums(rows), months)
+
+
+def _aggs():
+    head = F.col("dvml_head") == HEAD_FLAG
+    return [F.sum("amount").alias("value"), F.sum(F.when(head, F.col("amount"))).alias("value_head"),
+            F.count_if(head).alias("n_head")]
+
+
+def line_month_sums(balance_txn: DataFrame) -> DataFrame:
+    """(ym, fin_id_lv3, area_code, value, value_head, n_head) per calendar
+    month: the partial sums a monthly store keeps."""
+    return balance_txn.groupBy(F.col("month_key").alias("ym"), "fin_id_lv3", "area_code").agg(*_aggs())
+
+
+def cumulate_line_sums(monthly: DataFrame, months) -> DataFrame:
+    """Report-month line sums from monthly ones (each month counts in every
+    report month at or after it)."""
+    months = as_months(months)
+    return (monthly.filter(F.col("ym") <= months[-1])
+            .select("fin_id_lv3", "area_code", "value", "value_head", "n_head",
+                    F.explode(report_months_from("ym", months)).alias("month_key"))
             .groupBy("month_key", "fin_id_lv3", "area_code")
             .agg(F.sum("value").alias("value"), F.sum("value_head").alias("value_head"),
                  F.sum("n_head").alias("n_head")))

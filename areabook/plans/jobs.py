@@ -58,11 +58,12 @@ def run_summary_a(spark, inputs: Inputs, out_dir: str, month=None,
     return run_logged(spark, "fact_monthly_summary_prc", f"{out_dir}/log_tracking", body)
 
 
-def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None) -> DataFrame:
+def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
+                  tagged_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        res = SB.build(inputs, m, loan_store=loan_store).result
+        res = SB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store).result
         publish_month(res, f"{out_dir}/fact_monthly_summary_b")
         return res
     return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body)
@@ -81,11 +82,12 @@ def run_kpi_a(spark, inputs: Inputs, out_dir: str, month=None,
     return run_logged(spark, "fact_monthly_report_kpi_asm_prc_a", f"{out_dir}/log_tracking", body)
 
 
-def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None) -> DataFrame:
+def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
+              tagged_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        k = KB.build(inputs, m, loan_store=loan_store)
+        k = KB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store)
         publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_b")
         publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_b")
         return k.result

@@ -36,7 +36,7 @@ def _out(df: DataFrame) -> DataFrame:
                      F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"))
 
 
-def build(inputs: Inputs, month, loan_store: str | None = None) -> KpiB:
+def build(inputs: Inputs, month, loan_store: str | None = None, tagged_store: str | None = None) -> KpiB:
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
@@ -48,7 +48,8 @@ def build(inputs: Inputs, month, loan_store: str | None = None) -> KpiB:
                             stager=st)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
-        summary = pool.submit(lambda: SB.build(inputs, month, stager=st, loan_store=loan_store))
+        summary = pool.submit(lambda: SB.build(inputs, month, stager=st, loan_store=loan_store,
+                                                 tagged_store=tagged_store))
         emp_kpi, kb1 = employee_side()
         sb = summary.result()
     employees = area_employees(emp_kpi)

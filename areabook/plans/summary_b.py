@@ -16,6 +16,7 @@ from areabook.operators.kpi import headcount_in_month, headcount_monthly_avg
 from areabook.operators.tagged import line_area_sums
 from areabook.plans import rules as R
 from areabook.plans.loan_store import month_area_from_store
+from areabook.plans.tagged_store import line_sums_from_store
 from areabook.plans.staging import Stager, union_all
 from areabook.sources.inputs import Inputs
 
@@ -39,9 +40,11 @@ def _tall(fin_id, area, value, month_key, double=True):
             month_key.alias("month_key")]
 
 
-def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str | None = None) -> SummaryB:
+def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str | None = None,
+          tagged_store: str | None = None) -> SummaryB:
     """`month`: a report month or a list of them (one pass over each source).
-    `loan_store`: read the monthly loan-book store instead of the snapshots."""
+    `loan_store` / `tagged_store`: read the monthly stores instead of the
+    loan snapshots / tagged-ledger history."""
     st = stager or Stager(inputs.balance_txn.sparkSession, "summary_b")
     seq = itertools.count(1)
 
@@ -49,7 +52,8 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
         return st.stage(df, f"b{next(seq):02d}")
 
     first = st.stage_all({
-        "line_sums": line_area_sums(inputs.balance_txn, month),
+        "line_sums": (line_sums_from_store(inputs.kpi.sparkSession, tagged_store, month) if tagged_store
+                      else line_area_sums(inputs.balance_txn, month)),
         "loan_area": loan_area(month_area_from_store(inputs.kpi.sparkSession, loan_store, month) if loan_store
                                else loan_month_area(inputs.loan, month), month),
         "headcount": headcount_in_month(inputs.kpi, month).select(

@@ -44,3 +44,17 @@ def test_store_edge_rows(spark):
         want = loan_month_area(book, report)
         got = month_area_from_store(spark, path, report).select(*want.columns)
         assert _rows(got.withColumn("kpi_month", F.col("kpi_month").cast("int"))) == _rows(want)
+
+
+def test_tagged_store_matches_history(spark):
+    from areabook.operators.tagged import line_area_sums
+    from areabook.plans.tagged_store import line_sums_from_store, refresh_tagged_store
+    path = f"{Stager(spark, 'taggedstore').root}/tagged"
+    bt = testdata.balance_txn(spark, SF_SMALL)
+    months = sorted(r.month_key for r in bt.select("month_key").distinct().collect())
+    refresh_tagged_store(bt, [m for m in months if m < 199801], path)
+    refresh_tagged_store(bt, [m for m in months if m >= 199801], path)
+    for report in ([199812], [199712, 199812]):
+        assert _rows(line_sums_from_store(spark, path, report)) == _rows(
+            line_area_sums(bt, report).select("month_key", "fin_id_lv3", "area_code", "value", "value_head",
+                                              "n_head"))
