@@ -47,15 +47,22 @@ def pool_predicate(rule: AccountRule, col: Column | None = None, prefix_cols: bo
 
 
 def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
-    """"Row matches some rule", in a form the Parquet scan accepts: one IN
-    list over every listed account, OR'd with the numeric ranges of the
-    leading-digit rules (pushed as In / range filters). Kept compact on
-    purpose: an OR of per-rule predicates makes Catalyst's constraint
-    inference blow up."""
+    """"Row matches some rule": one IN list over every listed account plus one
+    IN over the leading digits of the prefix rules. It only has to be a
+    superset of the rule predicates (the aggregates apply the exact ones), so
+    it is kept cheap per row rather than pushable: the numeric-range form
+    (pushable as a disjunction) made the filter too large for whole-stage
+    codegen and the scan twice as slow, and row groups of a ledger are not
+    clustered by account, so the pushdown would skip nothing. Kept to two
+    terms: an OR of per-rule predicates makes constraint inference blow up."""
     listed = sorted({a for r in accounts for a in (*r.direct, *r.pool_accounts)})
     pred = acct.isin(*listed) if listed else F.lit(False)
-    for p in sorted({r.prefix for r in accounts if r.prefix is not None}):
-        pred = pred | digits_prefix(acct, p)
+    by_len: dict[int, set[str]] = {}
+    for r in accounts:
+        if r.prefix is not None:
+            by_len.setdefault(len(r.prefix), set()).add(r.prefix)
+    for n, prefixes in sorted(by_len.items()):
+        pred = pred | F.left(acct.cast("string"), F.lit(n)).isin(*sorted(prefixes))
     return pred
 
 
