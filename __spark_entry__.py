@@ -120,17 +120,21 @@ def _from_stores(spark, sf_dir, job: str) -> DataFrame:
     def months(df, col):   # a calendar-bounded list of month keys
         return [r.m for r in df.select(col.alias("m")).filter(F.col("m") <= MONTH).distinct().collect()]
 
-    loan_store = f"{root}/loan"
+    from areabook.plans.kpi_store import refresh_kpi_store
+    loan_store, kpi_store = f"{root}/loan", f"{root}/kpi"
     refresh_loan_store(inputs.loan, months(inputs.loan, F.col("kpi_month")), loan_store)
+    refresh_kpi_store(inputs.kpi, months(inputs.kpi, F.col("month_report")), kpi_store)
     if job == "b":
         from areabook.plans.tagged_store import refresh_tagged_store
         tagged_store = f"{root}/tagged"
         refresh_tagged_store(inputs.balance_txn, months(inputs.balance_txn, F.col("month_key")), tagged_store)
-        return _tall(SB.build(inputs, MONTH, loan_store=loan_store, tagged_store=tagged_store).result)
+        return _tall(SB.build(inputs, MONTH, loan_store=loan_store, tagged_store=tagged_store,
+                              kpi_store=kpi_store).result)
     ledger_store = f"{root}/ledger"
     refresh_ledger_store(inputs.ledger, months(inputs.ledger, month_key_of("transaction_date")),
                          RULES.accounts, ledger_store)
-    return _tall(SA.build(inputs, MONTH, RULES, ledger_store=ledger_store, loan_store=loan_store).result)
+    return _tall(SA.build(inputs, MONTH, RULES, ledger_store=ledger_store, loan_store=loan_store,
+                          kpi_store=kpi_store).result)
 
 
 def _month_republish(spark, sf_dir) -> DataFrame:

@@ -15,6 +15,7 @@ import argparse
 from areabook.plans import jobs
 from areabook.plans import rules as R
 from areabook.plans.ledger_store import refresh_ledger_store
+from areabook.plans.kpi_store import refresh_kpi_store
 from areabook.plans.loan_store import refresh_loan_store
 from areabook.plans.tagged_store import refresh_tagged_store
 from areabook.session import build_session
@@ -36,6 +37,7 @@ def main(argv=None) -> None:
     ap.add_argument("--ledger-store", help="monthly ledger store to read instead of the raw ledger (A jobs)")
     ap.add_argument("--loan-store", help="monthly loan-book store to read instead of the snapshots")
     ap.add_argument("--tagged-store", help="monthly tagged-ledger store to read instead of balance_txn (B jobs)")
+    ap.add_argument("--kpi-store", help="monthly KPI presence store for the summaries' headcounts")
     ap.add_argument("--refresh-stores", type=int, action="append",
                     help="calendar month yyyymm whose store partitions to recompute first (repeat)")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
@@ -55,11 +57,15 @@ def main(argv=None) -> None:
             refresh_loan_store(inputs.loan, args.refresh_stores, args.loan_store)
         if args.tagged_store:
             refresh_tagged_store(inputs.balance_txn, args.refresh_stores, args.tagged_store)
+        if args.kpi_store:
+            refresh_kpi_store(inputs.kpi, args.refresh_stores, args.kpi_store)
     kwargs = {"loan_store": args.loan_store}
     if args.job in ("summary_a", "kpi_a"):
         kwargs.update(rules=rules, ledger_store=args.ledger_store)
     else:
         kwargs.update(tagged_store=args.tagged_store)
+    if args.job.startswith("summary"):
+        kwargs.update(kpi_store=args.kpi_store)
     RUNNERS[args.job](spark, inputs, args.out, month, **kwargs)
 
 

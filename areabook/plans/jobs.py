@@ -48,22 +48,23 @@ def run_logged(spark: SparkSession, name: str, log_path: str, body: Callable[[],
 
 def run_summary_a(spark, inputs: Inputs, out_dir: str, month=None,
                   rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None,
-                  loan_store: str | None = None) -> DataFrame:
+                  loan_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        res = SA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store).result
+        res = SA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store,
+                       kpi_store=kpi_store).result
         publish_month(res, f"{out_dir}/fact_monthly_summary_a")
         return res
     return run_logged(spark, "fact_monthly_summary_prc", f"{out_dir}/log_tracking", body)
 
 
 def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
-                  tagged_store: str | None = None) -> DataFrame:
+                  tagged_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        res = SB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store).result
+        res = SB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store, kpi_store=kpi_store).result
         publish_month(res, f"{out_dir}/fact_monthly_summary_b")
         return res
     return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body)

@@ -27,6 +27,7 @@ from areabook.operators.kpi import headcount_cumulative
 from areabook.operators.ledger import ledger_rule_sums
 from areabook.operators.rollup import percent_ratios, rollup_all
 from areabook.plans import rules as R
+from areabook.plans.kpi_store import headcount_cumulative_from_store
 from areabook.plans.ledger_store import rule_sums_from_store
 from areabook.plans.loan_store import month_area_from_store
 from areabook.plans.staging import Stager, union_all
@@ -63,10 +64,10 @@ def ratio_specs():
 
 def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
           stager: Stager | None = None, ledger_store: str | None = None,
-          loan_store: str | None = None) -> SummaryA:
+          loan_store: str | None = None, kpi_store: str | None = None) -> SummaryA:
     """`month`: a report month or a list of them. `ledger_store` /
-    `loan_store`: read the monthly stores (plans.ledger_store,
-    plans.loan_store) instead of the raw history."""
+    `loan_store` / `kpi_store`: read the monthly stores (plans.ledger_store,
+    plans.loan_store, plans.kpi_store) instead of the raw history."""
     spark = inputs.loan.sparkSession
     st = stager or Stager(spark, "summary_a")
     seq = itertools.count(1)
@@ -78,7 +79,8 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
                  else ledger_rule_sums(inputs.ledger, month, rules.accounts))
     first = st.stage_all({"rule_sums": rule_sums,
                           "loan_area": loan_area(_month_area(inputs, month, loan_store), month),
-                          "headcount": headcount_cumulative(inputs.kpi, month)})
+                          "headcount": (headcount_cumulative_from_store(spark, kpi_store, month) if kpi_store
+                                        else headcount_cumulative(inputs.kpi, month))})
     rs, la, hc = first["rule_sums"], first["loan_area"], first["headcount"]
 
     drivers = {d for d in (ln.driver for ln in rules.alloc_lines) if d != "headcount"}

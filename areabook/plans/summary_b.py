@@ -15,6 +15,7 @@ from areabook.operators.drivers import (LOAN_DRIVERS_B, loan_area, loan_month_ar
 from areabook.operators.kpi import headcount_in_month, headcount_monthly_avg
 from areabook.operators.tagged import line_area_sums
 from areabook.plans import rules as R
+from areabook.plans.kpi_store import headcount_in_month_from_store, headcount_monthly_avg_from_store
 from areabook.plans.loan_store import month_area_from_store
 from areabook.plans.tagged_store import line_sums_from_store
 from areabook.plans.staging import Stager, union_all
@@ -41,10 +42,11 @@ def _tall(fin_id, area, value, month_key, double=True):
 
 
 def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str | None = None,
-          tagged_store: str | None = None) -> SummaryB:
+          tagged_store: str | None = None, kpi_store: str | None = None) -> SummaryB:
     """`month`: a report month or a list of them (one pass over each source).
-    `loan_store` / `tagged_store`: read the monthly stores instead of the
-    loan snapshots / tagged-ledger history."""
+    `loan_store` / `tagged_store` / `kpi_store`: read the monthly stores
+    instead of the loan snapshots / tagged-ledger / KPI-fact history."""
+    spark = inputs.kpi.sparkSession
     st = stager or Stager(inputs.balance_txn.sparkSession, "summary_b")
     seq = itertools.count(1)
 
@@ -56,9 +58,11 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
                       else line_area_sums(inputs.balance_txn, month)),
         "loan_area": loan_area(month_area_from_store(inputs.kpi.sparkSession, loan_store, month) if loan_store
                                else loan_month_area(inputs.loan, month), month),
-        "headcount": headcount_in_month(inputs.kpi, month).select(
+        "headcount": (headcount_in_month_from_store(spark, kpi_store, month) if kpi_store
+                      else headcount_in_month(inputs.kpi, month)).select(
             *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), False)),
-        "avg_headcount": headcount_monthly_avg(inputs.kpi, month)})
+        "avg_headcount": (headcount_monthly_avg_from_store(spark, kpi_store, month) if kpi_store
+                          else headcount_monthly_avg(inputs.kpi, month))})
     ls, la, b21, avg_hc = (first[k] for k in ("line_sums", "loan_area", "headcount", "avg_headcount"))
 
     # drivers: loan-book shares (areas of the loan book) x headcount share, inner

@@ -58,3 +58,22 @@ def test_tagged_store_matches_history(spark):
         assert _rows(line_sums_from_store(spark, path, report)) == _rows(
             line_area_sums(bt, report).select("month_key", "fin_id_lv3", "area_code", "value", "value_head",
                                               "n_head"))
+
+
+def test_kpi_presence_store_headcounts(spark):
+    from areabook.operators.kpi import headcount_cumulative, headcount_in_month, headcount_monthly_avg
+    from areabook.plans import kpi_store as K
+    from tests.helpers import kpi
+    facts = kpi(spark, [(199801, "01", "E1", "S01", 5), (199801, "01", "E1", "S02", None),
+                        (199805, "01", "E2", "S01", None), (199812, "01", "E3", "S01", 2),
+                        (199812, "02", "E1", "S03", 1), (199712, "02", "E4", "S01", None)])
+    path = f"{Stager(spark, 'kpistore').root}/kpi"
+    K.refresh_kpi_store(facts, [199712, 199801, 199805], path)
+    K.refresh_kpi_store(facts, [199812], path)
+    for report in ([199812], [199712, 199805, 199812]):
+        assert _rows(K.headcount_cumulative_from_store(spark, path, report)) == \
+            _rows(headcount_cumulative(facts, report).select("month_key", "area_code", "headcount"))
+        assert _rows(K.headcount_in_month_from_store(spark, path, report)) == \
+            _rows(headcount_in_month(facts, report).select("month_key", "area_code", "headcount"))
+        assert _rows(K.headcount_monthly_avg_from_store(spark, path, report)) == \
+            _rows(headcount_monthly_avg(facts, report).select("month_key", "area_code", "avg_headcount"))
