@@ -37,7 +37,7 @@ def main(argv=None) -> None:
     ap.add_argument("--ledger-store", help="monthly ledger store to read instead of the raw ledger (A jobs)")
     ap.add_argument("--loan-store", help="monthly loan-book store to read instead of the snapshots")
     ap.add_argument("--tagged-store", help="monthly tagged-ledger store to read instead of balance_txn (B jobs)")
-    ap.add_argument("--kpi-store", help="monthly KPI presence store for the summaries' headcounts")
+    ap.add_argument("--kpi-store", help="monthly KPI store (headcounts and per-manager sums)")
     ap.add_argument("--refresh-stores", type=int, action="append",
                     help="calendar month yyyymm whose store partitions to recompute first (repeat)")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
@@ -64,8 +64,7 @@ def main(argv=None) -> None:
         kwargs.update(rules=rules, ledger_store=args.ledger_store)
     else:
         kwargs.update(tagged_store=args.tagged_store)
-    if args.job.startswith("summary"):
-        kwargs.update(kpi_store=args.kpi_store)
+    kwargs.update(kpi_store=args.kpi_store)
     RUNNERS[args.job](spark, inputs, args.out, month, **kwargs)
 
 

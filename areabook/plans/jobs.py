@@ -72,11 +72,11 @@ def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: s
 
 def run_kpi_a(spark, inputs: Inputs, out_dir: str, month=None,
               rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None,
-              loan_store: str | None = None) -> DataFrame:
+              loan_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        k = KA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store)
+        k = KA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store, kpi_store=kpi_store)
         publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_a")
         publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_a")
         return k.result
@@ -84,11 +84,11 @@ def run_kpi_a(spark, inputs: Inputs, out_dir: str, month=None,
 
 
 def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
-              tagged_store: str | None = None) -> DataFrame:
+              tagged_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
-        k = KB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store)
+        k = KB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store, kpi_store=kpi_store)
         publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_b")
         publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_b")
         return k.result

@@ -16,6 +16,7 @@ from areabook.operators.rank import join_rank, rank_by, rank_table
 from areabook.operators.scorecard import rank_area_metrics, scores, spread_to_employees
 from areabook.plans import rules as R
 from areabook.plans import summary_a as SA
+from areabook.plans.kpi_store import employee_kpi_from_store
 from areabook.plans.staging import Stager
 from areabook.sources.inputs import Inputs
 
@@ -33,20 +34,22 @@ class KpiA:
 
 
 def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
-          ledger_store: str | None = None, loan_store: str | None = None) -> KpiA:
+          ledger_store: str | None = None, loan_store: str | None = None,
+          kpi_store: str | None = None) -> KpiA:
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
 
     # the summary refresh and the per-employee KPI averages and ranks are independent
     def employee_side():
-        emp = st.stage(employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
+        emp = st.stage(employee_kpi_from_store(inputs.kpi.sparkSession, kpi_store, month, "kpi_code")
+                       if kpi_store else employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
         return emp, rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
                             stager=st)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store,
-                                               loan_store=loan_store))
+                                               loan_store=loan_store, kpi_store=kpi_store))
         emp_kpi, ka1 = employee_side()
         sa = summary.result()
     employees = area_employees(emp_kpi)

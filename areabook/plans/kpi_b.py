@@ -15,6 +15,7 @@ from areabook.operators.rank import rank_by
 from areabook.operators.scorecard import rank_area_metrics, spread_to_employees
 from areabook.plans import rules as R
 from areabook.plans import summary_b as SB
+from areabook.plans.kpi_store import employee_kpi_from_store
 from areabook.plans.staging import Stager, union_all
 from areabook.sources.inputs import Inputs
 
@@ -36,20 +37,22 @@ def _out(df: DataFrame) -> DataFrame:
                      F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"))
 
 
-def build(inputs: Inputs, month, loan_store: str | None = None, tagged_store: str | None = None) -> KpiB:
+def build(inputs: Inputs, month, loan_store: str | None = None, tagged_store: str | None = None,
+          kpi_store: str | None = None) -> KpiB:
     """`month`: a report month or a list of them; every rank is per month."""
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
 
     # the summary refresh and the per-employee KPI averages and ranks are independent
     def employee_side():
-        emp = st.stage(employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
+        emp = st.stage(employee_kpi_from_store(inputs.kpi.sparkSession, kpi_store, month, "criteria_code")
+                       if kpi_store else employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
         return emp, rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
                             stager=st)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SB.build(inputs, month, stager=st, loan_store=loan_store,
-                                                 tagged_store=tagged_store))
+                                                 tagged_store=tagged_store, kpi_store=kpi_store))
         emp_kpi, kb1 = employee_side()
         sb = summary.result()
     employees = area_employees(emp_kpi)

@@ -1,9 +1,14 @@
-"""Monthly KPI presence store: per (calendar month, area, manager) whether the
-manager has any KPI row and any row with a value. The summaries only need
-headcounts from the KPI facts (cumulative distinct managers, managers with a
-value in the month, average monthly managers), and all three follow from this
-table, which is the facts without the criterion dimension and without the
-values. Same contract as the other stores: refresh only changed months."""
+"""Monthly KPI store, two tables under one folder:
+
+* presence: per (calendar month, area, manager) whether the manager has a
+  row with a value. The summaries only need headcounts from the KPI facts
+  (cumulative distinct managers, managers with a value in the month, average
+  monthly managers); all three follow from it.
+* values_<code column>: per (month, area, manager, criterion) the sum and
+  count of non-null values, from which the scorecards' cumulative averages
+  are rebuilt exactly (the average is sum / count).
+
+Same contract as the other stores: refresh only changed months."""
 
 from __future__ import annotations
 
@@ -16,15 +21,36 @@ from areabook.functions.columns import as_months, avg_of, report_months_from
 from areabook.sources.sinks import publish_month
 
 
-def refresh_kpi_store(kpi: DataFrame, months: Sequence[int], path: str) -> None:
+CODE_COLUMNS = ("kpi_code", "criteria_code")
+
+
+def refresh_kpi_store(kpi: DataFrame, months: Sequence[int], path: str,
+                      code_cols: Sequence[str] = CODE_COLUMNS) -> None:
     rows = kpi.filter(F.col("month_report").isin(*as_months(months)))
     presence = (rows.groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id")
                 .agg(F.max(F.col("value").isNotNull()).alias("has_value")))
-    publish_month(presence, path, partition_col="ym")
+    publish_month(presence, f"{path}/presence", partition_col="ym")
+    for code in code_cols:
+        values = (rows.filter(F.col("value").isNotNull())
+                  .groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id",
+                           F.col(code).alias("criteria_code"))
+                  .agg(F.sum("value").alias("s"), F.count("value").alias("n")))
+        publish_month(values, f"{path}/values_{code}", partition_col="ym")
+
+
+def employee_kpi_from_store(spark: SparkSession, path: str, month, code_col: str) -> DataFrame:
+    """As kpi.employee_kpi: cumulative average value per (area, manager,
+    criterion) for each report month."""
+    months = as_months(month)
+    monthly = spark.read.parquet(f"{path}/values_{code_col}").filter(F.col("ym") <= months[-1])
+    return (monthly.select("area_code", "employee_id", "criteria_code", "s", "n",
+                           F.explode(report_months_from("ym", months)).alias("month_key"))
+            .groupBy("month_key", "area_code", "employee_id", "criteria_code")
+            .agg((F.sum("s").cast("double") / F.sum("n")).alias("value")))
 
 
 def _store(spark: SparkSession, path: str, months) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col("ym") <= as_months(months)[-1])
+    return spark.read.parquet(f"{path}/presence").filter(F.col("ym") <= as_months(months)[-1])
 
 
 def headcount_cumulative_from_store(spark: SparkSession, path: str, month) -> DataFrame:
@@ -38,7 +64,7 @@ def headcount_cumulative_from_store(spark: SparkSession, path: str, month) -> Da
 def headcount_in_month_from_store(spark: SparkSession, path: str, month) -> DataFrame:
     """As kpi.headcount_in_month: managers with a value in the report month."""
     months = as_months(month)
-    return (spark.read.parquet(path).filter(F.col("ym").isin(*months) & F.col("has_value"))
+    return (spark.read.parquet(f"{path}/presence").filter(F.col("ym").isin(*months) & F.col("has_value"))
             .groupBy(F.col("ym").alias("month_key"), "area_code")
             .agg(F.count(F.lit(1)).alias("headcount")))
 

@@ -77,3 +77,8 @@ def test_kpi_presence_store_headcounts(spark):
             _rows(headcount_in_month(facts, report).select("month_key", "area_code", "headcount"))
         assert _rows(K.headcount_monthly_avg_from_store(spark, path, report)) == \
             _rows(headcount_monthly_avg(facts, report).select("month_key", "area_code", "avg_headcount"))
+        from areabook.operators.kpi import employee_kpi
+        cols = ["month_key", "area_code", "employee_id", "criteria_code", "value"]
+        for code in ("kpi_code", "criteria_code"):
+            assert _rows(K.employee_kpi_from_store(spark, path, report, code).select(*cols)) == \
+                _rows(employee_kpi(facts, report, code).select(*cols))
