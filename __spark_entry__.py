@@ -6,6 +6,12 @@ a Spark query over the test tables; ``oracle_sql()`` gives the DuckDB SQL for
 the same result, written from the report's own formulas over the proxy views
 of FIXTURES.md §3. Every value column is DOUBLE, ids and months INT, ranks and
 counts BIGINT, on both sides.
+
+Besides one query per operator group, the jobs are also registered as a
+two-month backfill (`*_backfill`: one pass over each source; the oracle is the
+union of two single-month runs) and run from freshly built monthly stores
+(`*_from_stores`; same oracle as the plain job). `run_log` has no oracle (its
+rows carry wall-clock times).
 """
 
 from __future__ import annotations
