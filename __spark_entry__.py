@@ -177,12 +177,28 @@ def _run_log(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{out}/log_tracking").select("procedure_name", "is_successful", "error_log")
 
 
+def _text_operators():
+    """The queries module of the text operators, or None where that subpackage is absent."""
+    try:
+        import areabook.llm.queries
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith("areabook.llm"):
+            raise
+        return None
+    return areabook.llm.queries
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: summary A (ledger allocation, roll-ups, ratios) on sf0.001."""
     return SA.summary_a(testdata.inputs(spark, "/root/testdata/sf0.001"), MONTH, RULES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    text = _text_operators()
+    return _report_queries() | (text.QUERIES if text else {})
+
+
+def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ledger_area_totals": lambda s, d: _direct(s, d, False),
         "ledger_prefix_totals": lambda s, d: _direct(s, d, True),
@@ -239,6 +255,11 @@ def _sql_fins(q, table: str, fins) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    text = _text_operators()
+    return _report_oracles() | (text.ORACLES if text else {})
+
+
+def _report_oracles() -> dict[str, str]:
     m = MONTH
     qa = lambda sel: A.query(m, sel, RULES)
     qb = lambda sel: B.query(m, sel)

@@ -10,7 +10,7 @@ from tests.oracle_compare import compare, duck
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_ORACLE), reason="test data not present")
 
-SQL = E.oracle_sql()
+SQL = E._report_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def con():
 
 
 def test_every_query_has_an_oracle_but_run_log():
-    assert set(E.queries()) - set(SQL) == {"run_log"}
+    assert set(E._report_queries()) - set(SQL) == {"run_log"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
