@@ -19,6 +19,7 @@ are left out; an empty table gives an empty result; other columns are ignored.""
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,24 +46,26 @@ def branches(nodes: DataFrame, st) -> tuple[DataFrame, list[DataFrame]]:
     there = ids.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     linked = left_join(ids, there, ["tree", "parent"])
     up = F.when(F.col("known"), F.col("parent"))
-    state = st.stage(linked.select(
+    first = st.stage(linked.select(
         "tree", "node", up.alias("up"), F.when(up.isNull(), F.col("node")).alias("root"),
         F.when(up.isNull(), 0).otherwise(1).cast("long").alias("depth"), "score"), "jump0")
-    jumps, rounds = [], max(1, math.ceil(math.log2(max(2, ids.count())))) + 1
+    jumps, placed = [], [first.filter("up is null")]
+    open_, rounds = first.filter("up is not null"), max(1, math.ceil(math.log2(max(2, ids.count())))) + 1
     for k in range(rounds):
-        open_ = state.filter("up is not null")
         if open_.isEmpty():
             break
         jumps.append(open_.select("tree", "node", "up"))
-        far = state.select("tree", F.col("node").alias("up"), F.col("up").alias("f_up"), F.col("root").alias("f_root"),
-                           F.col("depth").alias("f_depth"), F.col("score").alias("f_score"))
-        nxt = left_join(state, far, ["tree", "up"])
-        # `up` NULL never meets a node: the far columns are NULL there
-        state = st.stage(nxt.select(
-            "tree", "node", F.col("f_up").alias("up"), F.coalesce("root", "f_root").alias("root"),
-            (F.col("depth") + F.coalesce("f_depth", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("f_score", F.lit(0.0))).alias("score")), f"jump{k + 1}")
-    return state.filter("root is not null").drop("up"), jumps
+        # only nodes that have not reached their root go on; all others are looked up
+        seen = reduce(DataFrame.unionByName, placed, open_)
+        far = seen.select(F.col("tree").alias("f_tree"), F.col("node").alias("f_node"), F.col("up").alias("f_up"),
+                          F.col("root").alias("f_root"), F.col("depth").alias("f_depth"), F.col("score").alias("f_score"))
+        met = open_.join(far, open_["tree"].eqNullSafe(far["f_tree"]) & (open_["up"] == far["f_node"]))
+        nxt = st.stage(met.select("tree", "node", F.col("f_up").alias("up"), F.col("f_root").alias("root"),
+                                  (F.col("depth") + F.col("f_depth")).alias("depth"),
+                                  (F.col("score") + F.col("f_score")).alias("score")), f"jump{k + 1}")
+        placed.append(nxt.filter("up is null"))
+        open_ = nxt.filter("up is not null")
+    return reduce(DataFrame.unionByName, placed).drop("up"), jumps
 
 
 def best_paths(nodes: DataFrame, st) -> DataFrame:
@@ -75,7 +78,8 @@ def best_paths(nodes: DataFrame, st) -> DataFrame:
         F.max_by("node", F.struct(mean, F.col("depth"), F.col("node"))).alias("node"))
     members = st.stage(best, "leaves")
     for k in reversed(range(len(jumps))):
-        more = left_join(members, jumps[k], ["tree", "node"]).filter("up is not null") \
+        hop = jumps[k].select(F.col("tree").alias("h_tree"), F.col("node").alias("h_node"), "up")
+        more = members.join(hop, members["tree"].eqNullSafe(hop["h_tree"]) & (members["node"] == hop["h_node"])) \
             .select("tree", "root", F.col("up").alias("node"))
         members = st.stage(members.select("tree", "root", "node").unionByName(more), f"members{k}")
     return left_join(members, placed.select("tree", "node", "depth"), ["tree", "node"])
