@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areabook.llm.common import stager
+
 #: Rules of the query contract (fixed values): verdict, host, path.
 RULES = (
     ("allow", "com", "/"),
@@ -65,40 +67,49 @@ def domain_parts(host: Column, two_label=TWO_LABEL_SUFFIXES) -> tuple[Column, Co
     return labels, suffix
 
 
-def _shrunk(units: DataFrame, parent: str, out: str) -> DataFrame:
-    """Adds the posterior mean `out` and strength of units (n, bad) towards the column `parent`."""
-    p = F.least(F.greatest(F.col(parent), F.lit(1e-6)), F.lit(1 - 1e-6))
+def _strength(units: DataFrame, parent: str) -> float:
+    """Prior strength of a level, by moments: how much counts (n, bad) spread around their parents' rates."""
+    p = _inside(F.col(parent))
     var = p * (1 - p)
-    moments = units.filter("n > 0").agg(
+    r = units.filter("n > 0").agg(
         F.sum(F.pow(F.col("bad") - F.col("n") * p, 2) - F.col("n") * var).alias("over"),
-        F.sum(F.col("n") * (F.col("n") - 1) * var).alias("scale"))
-    rho = F.least(F.greatest(F.coalesce(F.try_divide("over", "scale"), F.lit(0.1)), F.lit(1e-3)), F.lit(0.999))
-    m = moments.select((1 / rho - 1).alias("m"))
-    # one row of one number; attached by a constant key
-    one = m.withColumn("_one", F.lit(1))
-    return (units.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
-            .withColumn(f"{out}_a", F.col("bad") + F.col("m") * p)
-            .withColumn(f"{out}_b", F.col("n") - F.col("bad") + F.col("m") * (1 - p)).drop("m")
+        F.sum(F.col("n") * (F.col("n") - 1) * var).alias("scale")).first()
+    rho = 0.1 if not r.scale else min(max(r.over / r.scale, 1e-3), 0.999)
+    return round(1 / rho - 1, 6)
+
+
+def _inside(rate: Column) -> Column:
+    return F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
+
+
+def _shrunk(units: DataFrame, parent: str, out: str) -> DataFrame:
+    """Adds the posterior mean `out` and its Beta parameters, shrunk towards the column `parent`."""
+    m, p = _strength(units, parent), _inside(F.col(parent))
+    return (units.withColumn(f"{out}_a", F.col("bad") + m * p)
+            .withColumn(f"{out}_b", F.col("n") - F.col("bad") + m * (1 - p))
             .withColumn(out, F.col(f"{out}_a") / (F.col(f"{out}_a") + F.col(f"{out}_b"))))
 
 
 def host_reputation(pages: DataFrame, labels: DataFrame, base: float = 0.5, threshold: float = THRESHOLD,
                     z: float = Z) -> DataFrame:
     """(host, domain, suffix, n, bad, posterior, lower, upper, blocked) a host of pages(page_id, host);
-    labels(page_id, bad 0/1)."""
+    labels(page_id, bad 0/1). Of each level only two sums reach the driver."""
+    st = stager(pages.sparkSession, "urls")
     lab = labels.filter(F.col("page_id").isNotNull()).groupBy("page_id").agg(F.max("bad").alias("bad"))
     seen = pages.select("page_id", "host").join(lab, "page_id", "left")
-    hosts = seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     dom, suf = domain_parts(F.col("host"))
-    hosts = hosts.withColumn("domain", dom).withColumn("suffix", suf)
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 2 * F.lit(base))
-                          / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("p0")).withColumn("_one", F.lit(1))
-    suffixes = suffixes.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").drop("_one")
-    suffixes = _shrunk(suffixes, "p0", "p_suffix").select("suffix", "p_suffix")
-    domains = _shrunk(domains.join(suffixes, "suffix"), "p_suffix", "p_domain").select("domain", "suffix", "p_domain")
-    out = _shrunk(hosts.join(domains, ["domain", "suffix"]), "p_domain", "p")
+    counts = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    hosts = st.stage(seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+                     .withColumn("domain", dom).withColumn("suffix", suf), "hosts")
+    domains = st.stage(hosts.groupBy("domain", "suffix").agg(*counts), "domains")
+    suffixes = domains.groupBy("suffix").agg(*counts)
+    total = domains.agg(*counts).first()
+    p0 = ((total.bad or 0) + 2 * base) / ((total.n or 0) + 2)
+    suffixes = st.stage(_shrunk(suffixes.withColumn("p0", F.lit(p0)), "p0", "p_suffix").select("suffix", "p_suffix"), "suffix-rates")
+    domains = st.stage(domains.join(suffixes, "suffix"), "domain-parents")
+    domains = st.stage(_shrunk(domains, "p_suffix", "p_domain").select("domain", "suffix", "p_domain"), "domain-rates")
+    hosts = st.stage(hosts.join(domains, ["domain", "suffix"]), "host-parents")
+    out = _shrunk(hosts, "p_domain", "p")
     a, b, mean = F.col("p_a"), F.col("p_b"), F.col("p")
     sd = F.sqrt(mean * (1 - mean) / (a + b + 1))
     return out.select("host", "domain", "suffix", "n", "bad", mean.alias("posterior"),
