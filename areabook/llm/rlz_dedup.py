@@ -34,8 +34,8 @@ from areabook.llm.textstats import rolling, word_hashes
 
 WINDOW = 13
 ANCHOR = 5
-CHUNK_WORDS = 1 << 20
-BLOCK_BYTES = 12 << 20
+CHUNK_WORDS = 1 << 19
+BLOCK_BYTES = 6 << 20
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 ENTRY = "block long, runs binary, hashes binary, done binary"
 FACTOR = "doc_id long, text_key long, start int, n_windows int, ref_doc long, ref_start int"
@@ -171,7 +171,9 @@ def pieces(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
     blocks = max(1, -(-size // block_bytes))
     rows = known.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
     entries = rows.mapInArrow(_entries(window, blocks, chunk_words), ENTRY)
-    return entries.groupBy("block").applyInPandas(_settle, FACTOR)
+    # the number of tasks grows with the corpus, whatever the session's number of shuffle partitions
+    tasks = max(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return entries.repartition(tasks, "block").groupBy("block").applyInPandas(_settle, FACTOR)
 
 
 def parse(start: np.ndarray, n: np.ndarray, ref: np.ndarray, at: np.ndarray, window: int) -> list[tuple]:
