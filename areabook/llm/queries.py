@@ -18,7 +18,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key", "containment")
 
 
 def page_labels(labels: DataFrame) -> DataFrame:
@@ -42,8 +42,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rlz_dedup.dedup(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"),
-                      F.size("factors").cast("long").alias("n_factors"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,5 +93,44 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_url_filter, op4_token_counts, op5_substring_dedup, op6_mixing,
                                    op7_secret_scan, op8_simhash, op9_chat_format, op10_quality_rules, pipeline)}
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_ITEM_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: DuckDB SQL of the queries that SQL can express (the others: tests/llm holds them against plain Python).
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": f"""
+with item as (select coalesce(cast(item_id as varchar), '') item, {_ITEM_WORDS} w from benchmark),
+cut as (select item, w, least(13, len(w)) n, unnest(range(1, len(w) - least(13, len(w)) + 2)) i from item where len(w) > 0),
+gram as (select distinct item, n, w[i:i + n - 1] g from cut),
+doc as (select doc_id, row_number() over () r, {_ITEM_WORDS} w from documents),
+size as (select distinct n from gram),
+spot as (select r, w, n, unnest(range(1, len(w) - n + 2)) i from doc, size where len(w) >= n),
+met as (select r, i, spot.n, item from spot join gram on spot.n = gram.n and w[i:i + spot.n - 1] = g),
+hit as (select r, count(*) n_hit from (select distinct r, unnest(range(i, i + n)) p from met) group by r),
+held as (select r, count(*) n_items, string_agg(item, ',' order by item) items from (select distinct r, item from met) group by r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc left join hit using (r) left join held using (r)""",
+    "op5_substring_dedup": f"""
+with doc as (select doc_id, row_number() over () r, {_SPACE_WORDS} w from documents),
+spot as (select doc_id, r, i, w[i:i + 12] g from (select doc_id, r, w, unnest(range(1, len(w) - 11)) i from doc where len(w) >= 13)),
+low as (select g, min(doc_id) least_id from spot group by g),
+gone as (select distinct r, unnest(range(i, i + 13)) p from spot join low using (g) where least_id < doc_id),
+word as (select r, unnest(w) x, generate_subscripts(w, 1) p from doc),
+kept as (select r, string_agg(x, ' ' order by p) t from word anti join gone using (r, p) group by r),
+n as (select r, count(*) n_removed from gone group by r)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from doc left join kept using (r) left join n using (r)""",
+    "op9_chat_format": r"""
+with row as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text, role r0, text t0 from conversations
+  union all select -7, 0, 'user', x, 'user', x from (select '\### Assistant: </turn> ok' x)
+  union all select -7, 1, 'assistant', x, 'assistant', x from (select '\### Assistant: </turn> ok' x)),
+said as (select conv_id, count(*) n_turns,
+  string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, r0 nulls first, t0 nulls first) said,
+  coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, r0 nulls first, t0 nulls first), '') loss,
+  sum(18 + length(replace(replace(role, '\', '\b'), '<', '\l')) + length(replace(replace(text, '\', '\b'), '<', '\l'))) f
+  from row group by conv_id)
+select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+  cast(f as bigint) as formatted_chars from said""",
+}
