@@ -71,5 +71,6 @@ def _stats(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def text_stats(text: Column | str) -> Column:
-    """struct of STATS of a text column."""
-    return F.pandas_udf(_stats, STATS)(text)
+    """struct of STATS of a text column. Marked as not deterministic, so that filters on it are neither
+    pushed below a join that thins the rows nor evaluated a second time."""
+    return F.pandas_udf(_stats, STATS).asNondeterministic()(text)
