@@ -146,7 +146,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
         (s["a"] - F.when(i == 0, 0).otherwise(F.get("_cut", i - 1)["b"])).cast("int")), F.lit(mark)))
     tail = F.substring(docs["text"], F.element_at("_cut", -1)["b"].cast("int") + 1, F.length(docs["text"]))
     text = F.when(F.col("_cut").isNull(), docs["text"]).otherwise(F.concat(F.concat_ws("", parts), tail))
-    out = docs.join(k, on, "left").withColumn("_text", text)
+    # the spans grow with the corpus: never a broadcast
+    out = docs.join(k.hint("merge"), on, "left").withColumn("_text", text)
     changed = F.col("_cut").isNotNull()
     cols = [F.col("_text").alias("text") if c == "text"
             else F.when(changed, F.length("_text").cast(t)).otherwise(docs[c]).alias(c) if c == "n_chars"
