@@ -47,7 +47,7 @@ _BUILDS: dict[tuple, object] = {}
 
 
 def _build(spark: SparkSession, sf_dir: str, job: str):
-    key = (id(spark), sf_dir, job)
+    key = (spark.sparkContext.applicationId, sf_dir, job)
     if key not in _BUILDS:
         inputs = testdata.inputs(spark, sf_dir)
         _BUILDS[key] = {"a": lambda: SA.build(inputs, MONTH, RULES),
@@ -120,7 +120,7 @@ _STORES: dict[tuple, dict[str, str]] = {}
 def _stores(spark, sf_dir) -> dict[str, str]:
     """Build the monthly stores from the test tables once per session (every
     calendar month up to the report month that has data)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key in _STORES:
         return _STORES[key]
     from areabook.functions.columns import month_key_of
@@ -314,10 +314,10 @@ def _report_oracles() -> dict[str, str]:
         "summary_a": qa(A.out("summary_a")),
         "summary_a_backfill": " union all ".join(
             f"select * from ({A.query(bm, A.out('summary_a'), RULES)})" for bm in BACKFILL_MONTHS),
-        "npl_three_way": K.query_a(m, "select area_code, value from npl_a"),
-        "kpi_employee_rank": K.query_a(m, kpi_cols + "ka1"),
-        "kpi_a_level1": K.query_a(m, kpi_cols + "ka"),
-        "kpi_a": K.query_a(m, "select * from kpi_a"),
+        "npl_three_way": K.query_a(m, "select area_code, value from npl_a", RULES),
+        "kpi_employee_rank": K.query_a(m, kpi_cols + "ka1", RULES),
+        "kpi_a_level1": K.query_a(m, kpi_cols + "ka", RULES),
+        "kpi_a": K.query_a(m, "select * from kpi_a", RULES),
         "drivers_b": qb("select y.area_code, y.ty_le_pb_wo_1 as s_wo_1, y.ty_le_pb_wo_2 as s_wo_2,"
                         " y.ty_le_pb_wo_2_5 as s_wo_2_5, y.ty_le_pb_wo as s_wo, y.ty_le_pb_psdn as s_psdn,"
                         " z.ty_le_pb_ns as s_ns from drv_b_loan y join drv_b_ns z on y.area_code = z.area_code"),
@@ -330,7 +330,7 @@ def _report_oracles() -> dict[str, str]:
         "summary_b": qb(A.out("summary_b")),
         "summary_a_from_stores": qa(A.out("summary_a")),
         "summary_b_from_stores": qb(A.out("summary_b")),
-        "kpi_a_from_stores": K.query_a(m, "select * from kpi_a"),
+        "kpi_a_from_stores": K.query_a(m, "select * from kpi_a", RULES),
         "kpi_b_from_stores": K.query_b(m, K.out_b("kpi_b")),
         "summary_b_backfill": " union all ".join(
             f"select * from ({B.query(bm, A.out('summary_b'))})" for bm in BACKFILL_MONTHS),
@@ -339,7 +339,7 @@ def _report_oracles() -> dict[str, str]:
         "kpi_b_overall": K.query_b(m, K.out_b("ov")),
         "kpi_b": K.query_b(m, K.out_b("kpi_b")),
         "kpi_a_backfill": " union all ".join(
-            f"select * from ({K.query_a(bm, 'select * from kpi_a')})" for bm in BACKFILL_MONTHS),
+            f"select * from ({K.query_a(bm, 'select * from kpi_a', RULES)})" for bm in BACKFILL_MONTHS),
         "kpi_b_backfill": " union all ".join(
             f"select * from ({K.query_b(bm, K.out_b('kpi_b'))})" for bm in BACKFILL_MONTHS),
         "month_republish": qa(A.out("summary_a")),

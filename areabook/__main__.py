@@ -40,10 +40,11 @@ def main(argv=None) -> None:
     ap.add_argument("--kpi-store", help="monthly KPI store (headcounts and per-manager sums)")
     ap.add_argument("--refresh-stores", type=int, action="append",
                     help="calendar month yyyymm whose store partitions to recompute first (repeat)")
+    ap.add_argument("--stage-dir", help="folder that all executors share, for staged tables (else spark.checkpoint.dir)")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master)
+    spark = build_session(args.master, stage_dir=args.stage_dir)
     if args.testdata:
         inputs, rules = testdata.inputs(spark, args.testdata), R.PROXY_RULES_A
     else:

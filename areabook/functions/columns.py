@@ -6,8 +6,8 @@ reproducible where it is not):
 * money is summed as DECIMAL; the ledger scale 1/1,000,000 is an exact decimal
   multiplication, giving DECIMAL(30,8);
 * averages are cast(sum as double) / count of non-null values;
-* a share whose total is a sum of doubles is rounded to 12 decimals, so the
-  order in which partitions add up cannot change it;
+* a share divides by a total of doubles that are added in ascending order, so the
+  order in which partitions add up cannot change it; shares and ratios are not rounded;
 * a metric value is kept as DECIMAL(30,8) between stages (roll-ups are exact
   and order free) and leaves the engine as DOUBLE;
 * rounding to cents goes through DECIMAL(38,10) first so ties round half away
@@ -23,7 +23,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STAGE_TYPE = "decimal(30,8)"
-SHARE_DECIMALS = 12
 
 
 def _c(col) -> Column:
@@ -136,11 +135,10 @@ def ratio(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def share_of_total(value, total, rounded: bool = True) -> Column:
-    """value / total as DOUBLE; rounded to SHARE_DECIMALS when the total is a
-    sum of doubles."""
-    r = ratio(value, total)
-    return F.round(r, SHARE_DECIMALS) if rounded else r
+def total_of_doubles(col) -> Column:
+    """Aggregate: sum of the non-null values in ascending order. For groups of bounded size (one
+    value an area); the result does not depend on the order of rows."""
+    return F.aggregate(F.array_sort(F.collect_list(_c(col).cast("double"))), F.lit(0.0), lambda a, b: a + b)
 
 
 def yyyymm_year_text(col) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import as_months, avg_of, report_months_from, share_of_total, yyyymm_year_text
+from areabook.functions.columns import as_months, avg_of, ratio, report_months_from, total_of_doubles, yyyymm_year_text
 
 
 def _years(months) -> list[str]:
@@ -105,13 +105,15 @@ def loan_area(month_area: DataFrame, month) -> DataFrame:
 
 def with_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> DataFrame:
     """Add `out = value / sum(value over the month's areas)` for each
-    out -> (value column, rounded). The totals are one grouped row per month,
-    joined back on month_key."""
+    out -> (value column, averages?). The totals are one grouped row per month,
+    joined back on month_key. Averages are doubles: they are added in ascending
+    order (a list of one value an area), so no row order shows in the total."""
     totals = area_table.groupBy("month_key").agg(
-        *[F.sum(F.col(v).cast("double")).alias(f"_t_{o}") for o, (v, _) in specs.items()])
+        *[(total_of_doubles(v) if avg else F.sum(F.col(v).cast("double"))).alias(f"_t_{o}")
+          for o, (v, avg) in specs.items()])
     j = area_table.join(totals, "month_key")
     return j.select(*area_table.columns,
-                    *[share_of_total(F.col(v), F.col(f"_t_{o}"), r).alias(o) for o, (v, r) in specs.items()])
+                    *[ratio(F.col(v), F.col(f"_t_{o}")).alias(o) for o, (v, _) in specs.items()])
 
 
 def long_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> DataFrame:
@@ -123,7 +125,7 @@ def long_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> Da
         "month_key", "driver", "area_code", "share")
 
 
-# Summary-A drivers: name -> (column of loan_area, share rounded?)
+# Summary-A drivers: name -> (column of loan_area, is it an average?)
 LOAN_DRIVERS_A = {
     "bal_b1": ("avg_b1", True),
     "bal_b2": ("avg_b2", True),

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import stage_double, to_stage
+from areabook.functions.columns import to_stage
 
 
 def closure(rollups: Sequence[tuple[int, Sequence[int]]]) -> list[tuple[int, int]]:
@@ -41,7 +41,8 @@ def percent_ratios(rows: DataFrame, specs) -> DataFrame:
     """Ratio lines `0 if den = 0 else num x 100 / den` for every spec at once.
 
     specs: (fin_id, base_ids, num_ids, den_ids, base_is_den). A row exists for
-    an area having a row in `base_ids`; num/den are sums of the listed lines
+    an area having a row in `base_ids`; the value is an unrounded DOUBLE (scorecards rank it);
+    num/den are sums of the listed lines
     (NULL when the area has none of them)."""
     fin, v = F.col("fin_id"), F.col("value")
     aggs, outs = [], []
@@ -53,7 +54,7 @@ def percent_ratios(rows: DataFrame, specs) -> DataFrame:
         val = F.when(d == 0, F.lit(0.0)).otherwise(
             F.try_divide(n.cast("double") * 100, d.cast("double")))
         outs.append(F.struct(F.lit(fid).alias("fin_id"), (F.col(f"b{i}") > 0).alias("_keep"),
-                             stage_double(val).alias("value")))
+                             val.alias("value")))
     wide = rows.groupBy("month_key", "area_code").agg(*aggs)
     return (wide.select("month_key", "area_code", F.inline(F.array(*outs)))
             .filter("_keep").select("fin_id", "area_code", "value", "month_key"))

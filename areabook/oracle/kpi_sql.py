@@ -15,8 +15,8 @@ def _avg(c):
     return f"cast(sum({c}) as double) / count({c})"
 
 
-def ctes_a(month: int) -> dict[str, str]:
-    c = A.ctes(month)
+def ctes_a(month: int, rules: R.RuleSet) -> dict[str, str]:
+    c = A.ctes(month, rules)
     m = month
     npl = (f"select x.area_code, '{R.KPI_A_NPL_CODE}' as criteria_code,"
            f" ({_avg('dnx')} + {_avg('wo')}) / nullif({_avg('dnck')} + {_avg('wo')}, 0) as value from"
@@ -101,8 +101,8 @@ def out_b(table: str) -> str:
             f" cast(value as double) as value, cast(rank_kpi as bigint) as rank_kpi from {table}")
 
 
-def query_a(month: int, select: str) -> str:
-    return A.with_ctes(ctes_a(month), select)
+def query_a(month: int, select: str, rules: R.RuleSet) -> str:
+    return A.with_ctes(ctes_a(month, rules), select)
 
 
 def query_b(month: int, select: str) -> str:

@@ -21,15 +21,15 @@ px_loan AS (
     case when o_orderstatus = 'F' then cast(year(o_orderdate) * 100 + month(o_orderdate) as int) end as write_off_month,
     cast(o_totalprice as decimal(18,2)) as write_off_balance_principal,
     cast(1 + o_orderkey % 3 as int) as psdn
-  from orders join customer on o_custkey = c_custkey where c_nationkey <> 0),
+  from orders join customer on o_custkey = c_custkey),
 px_kpi AS (
   select cast(year(o_orderdate) * 100 + month(o_orderdate) as int) as month_report,
     lpad(cast(c_nationkey as varchar), 2, '0') as area_code,
-    concat('E', lpad(cast(c_custkey as varchar), 6, '0')) as employee_id,
+    concat('E', cast(c_custkey as varchar)) as employee_id,
     concat('S0', cast(1 + o_orderkey % 3 as varchar)) as kpi_code,
     concat('SC0', cast(1 + o_orderkey % 3 as varchar)) as criteria_code,
     case when o_orderstatus <> 'P' then cast(o_totalprice as decimal(18,2)) end as value
-  from orders join customer on o_custkey = c_custkey where c_nationkey <> 0),
+  from orders join customer on o_custkey = c_custkey),
 px_balance_txn AS (
   select cast(year(l_shipdate) * 100 + month(l_shipdate) as int) as month_key,
     lpad(cast(c_nationkey as varchar), 2, '0') as area_code,

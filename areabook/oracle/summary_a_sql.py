@@ -29,10 +29,16 @@ def millions(expr: str, pre_round: bool) -> str:
     return f"cast(round({v}, 2) as {ST})" if pre_round else v
 
 
+def ordered_total(expr: str) -> str:
+    """Window total of doubles, added in ascending order so that it does not depend on row order."""
+    return (f"list_reduce(list_sort(list_filter(list({expr}) over (), lambda x: x is not null)),"
+            f" lambda a, b: a + b)")
+
+
 def driver_ctes(month: int) -> dict[str, str]:
     def bal(pred):
         where = f"kpi_month <= {month}" + (f" and {pred}" if pred else "")
-        return (f"select area_code, round(avg_dnck / nullif(sum(avg_dnck) over (), 0), 12) as share from ("
+        return (f"select area_code, avg_dnck / nullif({ordered_total('avg_dnck')}, 0) as share from ("
                 f" select area_code, cast(sum(dnck) as double) / count(dnck) as avg_dnck from ("
                 f"  select kpi_month, area_code, sum(outstanding_principal) as dnck from px_loan"
                 f"  where {where} group by kpi_month, area_code) k group by area_code) t")
@@ -76,7 +82,7 @@ def rollup_cte(parent: int, children, source: str, month: int) -> str:
             f" where fin_id in ({ids}) and month_key = {month} group by month_key, area_code")
 
 
-def ctes(month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> dict[str, str]:
+def ctes(month: int, rules: R.RuleSet) -> dict[str, str]:
     c: dict[str, str] = {}
     c["a2"] = (f"select {R.HEADCOUNT_FIN_A} as fin_id, area_code, cast(count(distinct employee_id) as {ST}) as value,"
                f" {month} as month_key from px_kpi where month_report <= {month} group by area_code")
@@ -109,8 +115,7 @@ def ctes(month: int, rules: R.RuleSet = R.PROXY_RULES_A) -> dict[str, str]:
     c["lvl5"] = "select * from lvl4 union all select * from a1"
 
     def pct(num, den):
-        return (f"cast(case when {den} = 0 then 0 else cast({num} as double) * 100 / nullif(cast({den} as double), 0)"
-                f" end as {ST})")
+        return f"case when {den} = 0 then 0 else cast({num} as double) * 100 / nullif(cast({den} as double), 0) end"
 
     def one(fin, name):
         return f"select area_code, value as {name}, month_key from lvl5 where fin_id = {fin} and month_key = {month}"
@@ -143,5 +148,5 @@ def out(table: str) -> str:
     return f"select fin_id, area_code, cast(value as double) as value, cast(month_key as integer) as month_key from {table}"
 
 
-def query(month: int, select: str, rules: R.RuleSet = R.PROXY_RULES_A) -> str:
+def query(month: int, select: str, rules: R.RuleSet) -> str:
     return with_ctes(ctes(month, rules), select)

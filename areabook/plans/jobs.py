@@ -19,6 +19,8 @@ from areabook.plans import kpi_b as KB
 from areabook.plans import rules as R
 from areabook.plans import summary_a as SA
 from areabook.plans import summary_b as SB
+from areabook.functions.columns import as_months
+from areabook.sources import schemas
 from areabook.sources.inputs import Inputs
 from areabook.sources.sinks import append_run_log, publish_month
 
@@ -34,27 +36,31 @@ def resolve_month(month, today: _dt.date | None = None):
     return d.year * 100 + d.month
 
 
-def run_logged(spark: SparkSession, name: str, log_path: str, body: Callable[[], DataFrame]) -> DataFrame:
+def run_logged(spark: SparkSession, names: str | tuple[str, ...], log_path: str,
+               body: Callable[[], DataFrame]) -> DataFrame:
+    """Runs body and logs one row a name (a scorecard logs the summary it refreshes, then itself)."""
+    names = (names,) if isinstance(names, str) else names
     start = _dt.datetime.now(_dt.timezone.utc)
     try:
         out = body()
     except Exception as e:  # log, then fail the run
-        append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), False,
-                       "".join(traceback.format_exception_only(type(e), e)).strip())
+        why = "".join(traceback.format_exception_only(type(e), e)).strip()
+        for name in names:
+            append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), False, why)
         raise
-    append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), True, None)
+    for name in names:
+        append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), True, None)
     return out
 
 
-def run_summary_a(spark, inputs: Inputs, out_dir: str, month=None,
-                  rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None,
+def run_summary_a(spark, inputs: Inputs, out_dir: str, month, rules: R.RuleSet, ledger_store: str | None = None,
                   loan_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
         res = SA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store,
                        kpi_store=kpi_store).result
-        publish_month(res, f"{out_dir}/fact_monthly_summary_a")
+        publish_month(res, f"{out_dir}/fact_monthly_summary_a", months=as_months(m), schema=schemas.SUMMARY)
         return res
     return run_logged(spark, "fact_monthly_summary_prc", f"{out_dir}/log_tracking", body)
 
@@ -65,22 +71,22 @@ def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: s
 
     def body():
         res = SB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store, kpi_store=kpi_store).result
-        publish_month(res, f"{out_dir}/fact_monthly_summary_b")
+        publish_month(res, f"{out_dir}/fact_monthly_summary_b", months=as_months(m), schema=schemas.SUMMARY)
         return res
     return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body)
 
 
-def run_kpi_a(spark, inputs: Inputs, out_dir: str, month=None,
-              rules: R.RuleSet = R.PROXY_RULES_A, ledger_store: str | None = None,
+def run_kpi_a(spark, inputs: Inputs, out_dir: str, month, rules: R.RuleSet, ledger_store: str | None = None,
               loan_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
 
     def body():
         k = KA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store, kpi_store=kpi_store)
-        publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_a")
-        publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_a")
+        publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_a", months=as_months(m), schema=schemas.SUMMARY)
+        publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_a", months=as_months(m),
+                      schema=schemas.KPI_A_OUT)
         return k.result
-    return run_logged(spark, "fact_monthly_report_kpi_asm_prc_a", f"{out_dir}/log_tracking", body)
+    return run_logged(spark, ("fact_monthly_summary_prc", "fact_monthly_report_kpi_asm_prc_a"), f"{out_dir}/log_tracking", body)
 
 
 def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
@@ -89,7 +95,8 @@ def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str |
 
     def body():
         k = KB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store, kpi_store=kpi_store)
-        publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_b")
-        publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_b")
+        publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_b", months=as_months(m), schema=schemas.SUMMARY)
+        publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_b", months=as_months(m),
+                      schema=schemas.KPI_B_OUT)
         return k.result
-    return run_logged(spark, "fact_monthly_report_kpi_asm_prc_b", f"{out_dir}/log_tracking", body)
+    return run_logged(spark, ("fact_monthly_summary_f1_prc", "fact_monthly_report_kpi_asm_prc_b"), f"{out_dir}/log_tracking", body)

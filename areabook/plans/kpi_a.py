@@ -33,7 +33,7 @@ class KpiA:
     result: DataFrame
 
 
-def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
+def build(inputs: Inputs, month, rules: R.RuleSet,
           ledger_store: str | None = None, loan_store: str | None = None,
           kpi_store: str | None = None) -> KpiA:
     """`month`: a report month or a list of them; every rank is per month."""
@@ -85,6 +85,6 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
     return KpiA(sa, ka1, area_metrics, level1, result)
 
 
-def kpi_a(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+def kpi_a(inputs: Inputs, month, rules: R.RuleSet) -> DataFrame:
     """fact_monthly_report_kpi_asm rows of variant A for `month` (or months)."""
     return build(inputs, month, rules).result

@@ -29,13 +29,13 @@ def refresh_kpi_store(kpi: DataFrame, months: Sequence[int], path: str,
     rows = kpi.filter(F.col("month_report").isin(*as_months(months)))
     presence = (rows.groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id")
                 .agg(F.max(F.col("value").isNotNull()).alias("has_value")))
-    publish_month(presence, f"{path}/presence", partition_col="ym")
+    publish_month(presence, f"{path}/presence", partition_col="ym", months=months)
     for code in code_cols:
         values = (rows.filter(F.col("value").isNotNull())
                   .groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id",
                            F.col(code).alias("criteria_code"))
                   .agg(F.sum("value").alias("s"), F.count("value").alias("n")))
-        publish_month(values, f"{path}/values_{code}", partition_col="ym")
+        publish_month(values, f"{path}/values_{code}", partition_col="ym", months=months)
 
 
 def employee_kpi_from_store(spark: SparkSession, path: str, month, code_col: str) -> DataFrame:

@@ -21,7 +21,7 @@ from areabook.sources.sinks import publish_month
 def refresh_ledger_store(ledger: DataFrame, months: Sequence[int], accounts: Sequence[AccountRule],
                          path: str) -> None:
     """Recompute and replace the store partitions of the listed calendar months."""
-    publish_month(ledger_monthly_sums(ledger, months, accounts), path, partition_col="ym")
+    publish_month(ledger_monthly_sums(ledger, months, accounts), path, partition_col="ym", months=months)
 
 
 def rule_sums_from_store(spark: SparkSession, path: str, report_months) -> DataFrame:

@@ -50,8 +50,8 @@ def _writeoff_sums(loan: DataFrame) -> DataFrame:
 def refresh_loan_store(loan: DataFrame, months: Sequence[int], path: str) -> None:
     """Recompute and replace the store partitions of the listed calendar months."""
     rows = loan.filter(F.col("kpi_month").isin(*as_months(months)))
-    publish_month(_base_sums(rows), f"{path}/monthly", partition_col="kpi_month")
-    publish_month(_writeoff_sums(rows), f"{path}/writeoff", partition_col="kpi_month")
+    publish_month(_base_sums(rows), f"{path}/monthly", partition_col="kpi_month", months=months)
+    publish_month(_writeoff_sums(rows), f"{path}/writeoff", partition_col="kpi_month", months=months)
 
 
 def month_area_from_store(spark: SparkSession, path: str, report_months) -> DataFrame:

@@ -62,7 +62,7 @@ def ratio_specs():
     ]
 
 
-def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
+def build(inputs: Inputs, month, rules: R.RuleSet,
           stager: Stager | None = None, ledger_store: str | None = None,
           loan_store: str | None = None, kpi_store: str | None = None) -> SummaryA:
     """`month`: a report month or a list of them. `ledger_store` /
@@ -105,7 +105,7 @@ def build(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A,
     return SummaryA(rs, la, hc, shares, lines, funding, totals, result)
 
 
-def summary_a(inputs: Inputs, month, rules: R.RuleSet = R.PROXY_RULES_A) -> DataFrame:
+def summary_a(inputs: Inputs, month, rules: R.RuleSet) -> DataFrame:
     """fact_monthly_summary rows of variant A for `month` (value as DOUBLE)."""
     r = build(inputs, month, rules).result
     return r.select("fin_id", "area_code", F.col("value").cast("double").alias("value"), "month_key")

@@ -34,13 +34,18 @@ class SummaryB:
     result: DataFrame
 
 
-def _tall(fin_id, area, value, month_key, double=True):
-    """Tall metric row; `double`: the value is a DOUBLE result (else exact)."""
+def _tall(fin_id, area, value, month_key, as_stage=stage_double):
+    """Tall metric row; `as_stage` turns the value into what is stored (money: an exact decimal)."""
     return [F.lit(fin_id).alias("fin_id") if isinstance(fin_id, int) else fin_id.alias("fin_id"),
-            area.alias("area_code"), (stage_double(value) if double else to_stage(value)).alias("value"),
+            area.alias("area_code"), as_stage(value).alias("value"),
             month_key.alias("month_key")]
 
 
+def _ratio_row(fin_id, area, value, month_key):
+    """Tall row of a ratio: an unrounded DOUBLE, as the scorecards rank it."""
+    return _tall(fin_id, area, value, month_key, lambda v: v.cast("double"))
+
+
 def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str | None = None,
           tagged_store: str | None = None, kpi_store: str | None = None) -> SummaryB:
     """`month`: a report month or a list of them (one pass over each source).
@@ -60,7 +65,7 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
                                else loan_month_area(inputs.loan, month), month),
         "headcount": (headcount_in_month_from_store(spark, kpi_store, month) if kpi_store
                       else headcount_in_month(inputs.kpi, month)).select(
-            *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), False)),
+            *_tall(R.B_HEADCOUNT_FIN, F.col("area_code"), F.col("headcount"), F.col("month_key"), to_stage)),
         "avg_headcount": (headcount_monthly_avg_from_store(spark, kpi_store, month) if kpi_store
                           else headcount_monthly_avg(inputs.kpi, month))})
     ls, la, b21, avg_hc = (first[k] for k in ("line_sums", "loan_area", "headcount", "avg_headcount"))
@@ -100,7 +105,7 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
          .join(total, "month_key"))
     inc_share = F.try_divide(F.col("inc").cast("double"), (F.col("revenue") + F.col("total")).cast("double"))
     funding = y.select(*_tall(F.col("fin_id_lv3"), F.col("area_code"),
-                              round_half_up(F.col("pool") * inc_share * 1, 0), F.col("month_key"), False))
+                              round_half_up(F.col("pool") * inc_share * 1, 0), F.col("month_key"), to_stage))
 
     lvl = union_all([b21, alloc, funding])
     fin, v = F.col("fin_id"), F.col("value")
@@ -116,14 +121,14 @@ def build(inputs: Inputs, month, stager: Stager | None = None, loan_store: str |
         csum(fin.isin(*R.B_CAPITAL_DEN_IDS)).alias("cp2"))
     area, mk = F.col("area_code"), F.col("month_key")
     ratios = union_all([
-        k.select(*_tall(R.B_CIR_FIN, area, ratio(-F.col("cp"), F.col("tn")), mk)),
-        k.select(*_tall(R.B_MARGIN_FIN, area, ratio(F.col("ln"), F.col("tn2")), mk)),
-        k.select(*_tall(R.B_CAPITAL_FIN, area, ratio(-F.col("ln"), F.col("cp2")), mk)),
+        k.select(*_ratio_row(R.B_CIR_FIN, area, ratio(-F.col("cp"), F.col("tn")), mk)),
+        k.select(*_ratio_row(R.B_MARGIN_FIN, area, ratio(F.col("ln"), F.col("tn2")), mk)),
+        k.select(*_ratio_row(R.B_CAPITAL_FIN, area, ratio(-F.col("ln"), F.col("cp2")), mk)),
         k.join(avg_hc, ["month_key", "area_code"]).select(
-            *_tall(R.B_PER_HEAD_FIN, area, F.try_divide(F.col("ln").cast("double"), F.col("avg_headcount")),
+            *_ratio_row(R.B_PER_HEAD_FIN, area, F.try_divide(F.col("ln").cast("double"), F.col("avg_headcount")),
                    mk)),
-        npl_ratio_b(la).select(*_tall(R.B_NPL_FIN, area, F.col("value"), mk)),
-        writeoff_ratio_b(la).select(*_tall(R.B_WO_FIN, area, F.col("value"), mk)),
+        npl_ratio_b(la).select(*_ratio_row(R.B_NPL_FIN, area, F.col("value"), mk)),
+        writeoff_ratio_b(la).select(*_ratio_row(R.B_WO_FIN, area, F.col("value"), mk)),
     ])
     # funding lines and ratios: small, one stage (funding is recomputed from staged tables)
     upper = stage(union_all([funding, ratios]))

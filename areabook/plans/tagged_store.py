@@ -16,7 +16,7 @@ from areabook.sources.sinks import publish_month
 
 def refresh_tagged_store(balance_txn: DataFrame, months: Sequence[int], path: str) -> None:
     rows = balance_txn.filter(F.col("month_key").isin(*as_months(months)))
-    publish_month(line_month_sums(rows), path, partition_col="ym")
+    publish_month(line_month_sums(rows), path, partition_col="ym", months=months)
 
 
 def line_sums_from_store(spark: SparkSession, path: str, report_months) -> DataFrame:

@@ -5,19 +5,38 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areabook.sources import schemas
 
 
-def publish_month(df: DataFrame, path: str, partition_col: str = "month_key") -> None:
-    """Replace exactly the months present in `df` under `path` (dynamic
-    partition overwrite): re-running a month leaves one copy of it and every
-    other month untouched. `df` should be fully computed (staged) before this
-    call, so the overwrite is the run's only write to the table."""
+def publish_month(df: DataFrame, path: str, partition_col: str = "month_key", months=None,
+                  schema: T.StructType | None = None) -> None:
+    """Replace the months of `df` under `path` (dynamic partition overwrite):
+    re-running a month leaves one copy of it and every other month untouched.
+    Months listed in `months` that have no rows are emptied, as a delete before
+    the insert would. `schema`: the table's declared types. `df` should be
+    fully computed (staged) before this call, so the overwrite is the run's only
+    write to the table."""
+    if schema is not None:
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)
      .parquet(path))
+    if months is not None:
+        listed = sorted({int(m) for m in months})
+        full = {r[0] for r in df.filter(F.col(partition_col).isin(listed)).select(partition_col).distinct().collect()}
+        _drop_partitions(df.sparkSession, path, partition_col, [m for m in listed if m not in full])
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition_col: str, months: list[int]) -> None:
+    """Removes month folders of a published table (bounded by the listed months)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for m in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={m}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def append_run_log(spark: SparkSession, path: str, procedure_name: str, start: _dt.datetime,

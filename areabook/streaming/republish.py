@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from areabook.functions.columns import month_key_of
@@ -27,7 +28,7 @@ from areabook.sources.inputs import Inputs
 
 
 def months_to_republish(touched: Iterable[int], report_months: Iterable[int]) -> list[int]:
-    touched = list(touched)
+    touched = [m for m in touched if m is not None]     # a row without a date counts in no report
     if not touched:
         return []
     first = min(touched)
@@ -38,7 +39,7 @@ def republish_on_arrival(spark: SparkSession, ledger_dir: str, make_inputs: Call
                          out_dir: str, checkpoint_location: str, report_months: Iterable[int],
                          job: str = "summary_a", available_now: bool = True,
                          ledger_store: str | None = None,
-                         rules: R.RuleSet = R.PROXY_RULES_A) -> StreamingQuery:
+                         rules: R.RuleSet | None = None) -> StreamingQuery:
     """Start the stream. `make_inputs()` returns the batch inputs (its ledger
     reads the same folder), `report_months` the months the report publishes.
     With `ledger_store` (variant A jobs), each batch first refreshes the store
@@ -46,9 +47,15 @@ def republish_on_arrival(spark: SparkSession, ledger_dir: str, make_inputs: Call
     the ledger), and the reports read the store instead of the history."""
     runner = {"summary_a": jobs.run_summary_a, "summary_b": jobs.run_summary_b,
               "kpi_a": jobs.run_kpi_a, "kpi_b": jobs.run_kpi_b}[job]
+    variant_a = job in ("summary_a", "kpi_a")
+    if variant_a and rules is None:
+        raise ValueError("rules (the chart of accounts) are needed by variant A jobs")
+    if ledger_store and not variant_a:
+        raise ValueError("a ledger store serves variant A jobs only")
     months = sorted(set(report_months))
     stream = spark.readStream.schema(schemas.LEDGER).parquet(ledger_dir)
-    touched = stream.select(month_key_of("transaction_date").alias("month_key"))
+    touched = (stream.filter(F.col("transaction_date").isNotNull())
+               .select(month_key_of("transaction_date").alias("month_key")))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         hit = [r.month_key for r in batch.distinct().collect()]
@@ -56,11 +63,14 @@ def republish_on_arrival(spark: SparkSession, ledger_dir: str, make_inputs: Call
             return
         if ledger_store:
             refresh_ledger_store(make_inputs().ledger, hit, rules.accounts, ledger_store)
-        for m in months_to_republish(hit, months):
-            if ledger_store:
-                runner(spark, make_inputs(), out_dir, m, rules, ledger_store=ledger_store)
-            else:
-                runner(spark, make_inputs(), out_dir, m)
+        again = months_to_republish(hit, months)
+        if not again:
+            return
+        # all affected months in one run: each source is read once
+        if variant_a:
+            runner(spark, make_inputs(), out_dir, again, rules, ledger_store=ledger_store)
+        else:
+            runner(spark, make_inputs(), out_dir, again)
 
     writer = touched.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -33,9 +33,9 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="areabook-bench")
     m = R.TEST_MONTH
     jobs = {
-        "summary_a": lambda inp: SA.summary_a(inp, m),
+        "summary_a": lambda inp: SA.summary_a(inp, m, R.PROXY_RULES_A),
         "summary_b": lambda inp: SB.summary_b(inp, m),
-        "kpi_a": lambda inp: KA.kpi_a(inp, m),
+        "kpi_a": lambda inp: KA.kpi_a(inp, m, R.PROXY_RULES_A),
         "kpi_b": lambda inp: KB.kpi_b(inp, m),
     }
     times: dict[str, float] = {}

@@ -33,8 +33,8 @@ def test_store_matches_raw_ledger_and_catches_up(spark):
     assert _rows(rule_sums_from_store(spark, path, months)) == _rows(ledger_rule_sums(full, months,
                                                                                       R.PROXY_ACCOUNTS))
     inp = testdata.inputs(spark, SF_SMALL)
-    a = SA.build(inp, R.TEST_MONTH, ledger_store=path).result
-    b = SA.build(inp, R.TEST_MONTH).result
+    a = SA.build(inp, R.TEST_MONTH, R.PROXY_RULES_A, ledger_store=path).result
+    b = SA.build(inp, R.TEST_MONTH, R.PROXY_RULES_A).result
     key = ["fin_id", "area_code", "value"]
     assert sorted(map(tuple, a.select(*key).collect()), key=str) == sorted(map(tuple, b.select(*key).collect()),
                                                                              key=str)

@@ -22,7 +22,7 @@ def test_ledger_scanned_once_with_pushed_month_bound(spark):
 
 
 def test_no_cartesian_products_in_summary(spark):
-    b = SA.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH)
+    b = SA.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH, R.PROXY_RULES_A)
     from areabook.operators.allocate import allocate_lines
     for df in (allocate_lines(b.rule_sums, R.ALLOC_LINES_A, b.shares), b.result):
         p = _plan(df)

@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 
 def test_months_to_republish():
     assert months_to_republish([199705, 199803], [199612, 199712, 199812]) == [199712, 199812]
-    assert months_to_republish([], [199812]) == []
+    assert months_to_republish([], [199812]) == [] == months_to_republish([None], [199812])
 
 
 import pytest
@@ -33,12 +33,12 @@ def test_stream_republishes_to_batch_result(spark, use_store):
 
     store = f"{root}/store" if use_store else None
     republish_on_arrival(spark, src, make_inputs, out, f"{root}/ckpt", [R.TEST_MONTH],
-                         ledger_store=store).awaitTermination()
+                         ledger_store=store, rules=R.PROXY_RULES_A).awaitTermination()
     full.filter(~cut).write.parquet(f"{src}/part=2")        # late rows arrive
     republish_on_arrival(spark, src, make_inputs, out, f"{root}/ckpt", [R.TEST_MONTH],
-                         ledger_store=store).awaitTermination()
+                         ledger_store=store, rules=R.PROXY_RULES_A).awaitTermination()
     got = spark.read.parquet(f"{out}/fact_monthly_summary_a").filter(F.col("month_key") == R.TEST_MONTH)
-    want = SA.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH).result
+    want = SA.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH, R.PROXY_RULES_A).result
     key = ["fin_id", "area_code"]
     assert sorted(map(tuple, got.select(*key, "value").collect())) == \
         sorted(map(tuple, want.select(*key, "value").collect()))

@@ -22,7 +22,7 @@ def built_a(spark):
             (199801, "02", 1, 200, None, 0, 1), (199802, "02", 2, 50, None, 0, 1)]
     kpi = [(199801, "01", "E1", "S01", 5), (199805, "01", "E2", "S01", None), (199812, "02", "E3", "S01", 1),
            (199812, "02", "E4", "S01", None)]
-    return SA.build(inputs(spark, led, loan, kpi), M)
+    return SA.build(inputs(spark, led, loan, kpi), M, R.PROXY_RULES_A)
 
 
 def _vals(df, fin):
@@ -108,5 +108,5 @@ def test_b_headcount_counts_only_values_in_the_month(spark):
            (199812, "01", "E1", "SC02", 7)]
     b = SB.build(inputs(spark, balance_rows=bal, loan_rows=loan, kpi_rows=kpi), M)
     assert {k: int(v) for k, v in _vals(b.result, R.B_HEADCOUNT_FIN).items()} == {"01": 1}
-    a = SA.build(inputs(spark, kpi_rows=kpi, loan_rows=loan), M)
+    a = SA.build(inputs(spark, kpi_rows=kpi, loan_rows=loan), M, R.PROXY_RULES_A)
     assert {k: int(v) for k, v in _vals(a.result, R.HEADCOUNT_FIN_A).items()} == {"01": 3}
