@@ -318,9 +318,7 @@ def _report_oracles() -> dict[str, str]:
         "kpi_employee_rank": K.query_a(m, kpi_cols + "ka1", RULES),
         "kpi_a_level1": K.query_a(m, kpi_cols + "ka", RULES),
         "kpi_a": K.query_a(m, "select * from kpi_a", RULES),
-        "drivers_b": qb("select y.area_code, y.ty_le_pb_wo_1 as s_wo_1, y.ty_le_pb_wo_2 as s_wo_2,"
-                        " y.ty_le_pb_wo_2_5 as s_wo_2_5, y.ty_le_pb_wo as s_wo, y.ty_le_pb_psdn as s_psdn,"
-                        " z.ty_le_pb_ns as s_ns from drv_b_loan y join drv_b_ns z on y.area_code = z.area_code"),
+        "drivers_b": B.drivers(m),
         "alloc_lines_b": _sql_fins(qb, "summary_b", R.B_ALLOC_LINES),
         "funding_lines_b": _sql_fins(qb, "summary_b", R.B_FUNDING_LINES),
         "headcount_b": _sql_fins(qb, "summary_b", (R.B_HEADCOUNT_FIN,)),
@@ -331,16 +329,16 @@ def _report_oracles() -> dict[str, str]:
         "summary_a_from_stores": qa(A.out("summary_a")),
         "summary_b_from_stores": qb(A.out("summary_b")),
         "kpi_a_from_stores": K.query_a(m, "select * from kpi_a", RULES),
-        "kpi_b_from_stores": K.query_b(m, K.out_b("kpi_b")),
+        "kpi_b_from_stores": K.query_b(m, "kpi_b"),
         "summary_b_backfill": " union all ".join(
             f"select * from ({B.query(bm, A.out('summary_b'))})" for bm in BACKFILL_MONTHS),
-        "kpi_b_level1": K.query_b(m, K.out_b("l1")),
-        "kpi_b_level2": K.query_b(m, K.out_b("l2")),
-        "kpi_b_overall": K.query_b(m, K.out_b("ov")),
-        "kpi_b": K.query_b(m, K.out_b("kpi_b")),
+        "kpi_b_level1": K.query_b(m, "l1"),
+        "kpi_b_level2": K.query_b(m, "l2"),
+        "kpi_b_overall": K.query_b(m, "ov"),
+        "kpi_b": K.query_b(m, "kpi_b"),
         "kpi_a_backfill": " union all ".join(
             f"select * from ({K.query_a(bm, 'select * from kpi_a', RULES)})" for bm in BACKFILL_MONTHS),
         "kpi_b_backfill": " union all ".join(
-            f"select * from ({K.query_b(bm, K.out_b('kpi_b'))})" for bm in BACKFILL_MONTHS),
+            f"select * from ({K.query_b(bm, 'kpi_b')})" for bm in BACKFILL_MONTHS),
         "month_republish": qa(A.out("summary_a")),
     }

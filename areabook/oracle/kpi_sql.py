@@ -1,6 +1,5 @@
-"""DuckDB oracle for the two scorecards, written from the report's formulas
-(window ranks over the manager rows, the three-way NPL join, LIKE-selected
-level-2 rows)."""
+"""DuckDB oracle for the two scorecards. A rank is 'rows ahead + 1', read off a ladder of distinct
+values (one row a criterion and value, with its number of rows); a dense rank is the step on it."""
 
 from __future__ import annotations
 
@@ -8,102 +7,93 @@ from areabook.oracle import summary_a_sql as A
 from areabook.oracle import summary_b_sql as B
 from areabook.plans import rules as R
 
-EMP = ("select distinct area_code, employee_id from px_kpi where month_report <= {m} and value is not null")
 
+def placed(rows: str, criterion: str, value: str, out: str, ascending: bool, dense: bool = False, where: str = "true") -> str:
+    """Rows of a CTE that fit `where` with their place `out` among all of them of the same criterion."""
+    order = f"order by {value} " + ("asc nulls last" if ascending else "desc nulls first")
+    by = f"partition by {criterion} {order}"
+    step = (f"row_number() over ({by})" if dense else
+            f"1 + coalesce(sum(n) over ({by} rows between unbounded preceding and 1 preceding), 0)")
+    return (f"select r.*, cast(l.place as bigint) as {out} from (select * from {rows} where {where}) r"
+            f" join (select {criterion}, {value}, {step} as place from (select {criterion}, {value}, count(*) as n"
+            f" from {rows} where {where} group by {criterion}, {value}) d) l"
+            f" on r.{criterion} = l.{criterion} and r.{value} is not distinct from l.{value}")
 
-def _avg(c):
-    return f"cast(sum({c}) as double) / count({c})"
+
+def managers(month: int) -> str:
+    return f"select distinct area_code, employee_id from px_kpi where month_report <= {month} and value is not null"
+
+
+def averages(month: int, code: str) -> str:
+    return (f"select area_code, employee_id, {code} as criteria_code, {B.mean('value')} as value from px_kpi"
+            f" where month_report <= {month} and value is not null group by area_code, employee_id, {code}")
 
 
 def ctes_a(month: int, rules: R.RuleSet) -> dict[str, str]:
-    c = A.ctes(month, rules)
-    m = month
-    npl = (f"select x.area_code, '{R.KPI_A_NPL_CODE}' as criteria_code,"
-           f" ({_avg('dnx')} + {_avg('wo')}) / nullif({_avg('dnck')} + {_avg('wo')}, 0) as value from"
-           f" (select kpi_month, area_code, sum(outstanding_principal) as dnck from px_loan where kpi_month <= {m}"
-           f"  group by kpi_month, area_code) x"
-           f" join (select kpi_month, area_code, sum(outstanding_principal) as dnx from px_loan where kpi_month <= {m}"
-           f"  and max_bucket in (3,4,5) group by kpi_month, area_code) y"
-           f"  on x.kpi_month = y.kpi_month and x.area_code = y.area_code"
-           f" join (select kpi_month, area_code, sum(write_off_balance_principal) as wo from px_loan"
-           f"  where kpi_month <= {m} and left(cast(write_off_month as varchar), 4) >= left(cast({m} as varchar), 4)"
-           f"  group by kpi_month, area_code) z on x.kpi_month = z.kpi_month and x.area_code = z.area_code"
-           f" group by x.area_code")
-    fins = " union all ".join(
-        f"select area_code, '{code}' as criteria_code, cast(value as double) as value from summary_a"
-        f" where fin_id = {fin} and area_code <> '00' and month_key = {m}" for code, fin in R.KPI_A_AREA_CRITERIA)
-    c["npl_a"] = npl
-    c["ka1"] = (
-        f"select area_code, employee_id, kpi_code as criteria_code, {_avg('value')} as value,"
-        f" rank() over (partition by kpi_code order by {_avg('value')} desc nulls first) as rank_kpi"
-        f" from px_kpi where month_report <= {m} and value is not null group by area_code, employee_id, kpi_code")
-    c["ka"] = (
-        f"select * from ka1 union all"
-        f" select a.area_code, b.employee_id, criteria_code, value,"
-        f" case when criteria_code = '{R.KPI_A_NPL_CODE}'"
-        f" then dense_rank() over (partition by criteria_code order by value asc nulls last)"
-        f" else dense_rank() over (partition by criteria_code order by value desc nulls first) end as rank_kpi"
-        f" from (select * from npl_a union all {fins}) a join ({EMP.format(m=m)}) b on a.area_code = b.area_code")
-    c["kx"] = ("select x.*, y.criteria_type_name,"
-               " sum(rank_kpi) over (partition by x.employee_id, y.criteria_type_name) as type_score,"
-               " sum(rank_kpi) over (partition by x.employee_id) as overall_score"
-               " from ka x join px_dim_criteria y on x.criteria_code = y.criteria_code")
-    c["kpi_a"] = (f"select cast({m} as integer) as month_key, area_code, employee_id, criteria_code, value,"
-                  f" cast(rank_kpi as bigint) as rank_kpi, criteria_type_name, cast(type_score as bigint) as type_score,"
-                  f" cast(overall_score as bigint) as overall_score,"
-                  f" cast(dense_rank() over (partition by criteria_type_name order by type_score desc nulls first)"
-                  f" as bigint) as type_rank,"
-                  f" cast(dense_rank() over (order by overall_score desc nulls first) as bigint) as overall_rank"
-                  f" from kx")
-    return c
+    late = "max_bucket between 3 and 5"
+    gone = f"write_off_month // 100 >= {month // 100}"
+    fins = ", ".join(f"('{code}', {fin})" for code, fin in R.KPI_A_AREA_CRITERIA)
+    is_npl = f"criteria_code = '{R.KPI_A_NPL_CODE}'"
+    return A.ctes(month, rules) | {
+        # months count only where the area has both bad debt and write-offs
+        "book_months": (f"select area_code, sum(outstanding_principal) as whole,"
+                        f" sum(outstanding_principal) filter (where {late}) as bad,"
+                        f" sum(write_off_balance_principal) filter (where {gone}) as written_off from px_loan"
+                        f" where kpi_month <= {month} group by area_code, kpi_month having bool_or({late}) and bool_or({gone})"),
+        "npl_a": (f"select area_code, '{R.KPI_A_NPL_CODE}' as criteria_code, ({B.mean('bad')} + {B.mean('written_off')})"
+                  f" / nullif({B.mean('whole')} + {B.mean('written_off')}, 0) as value from book_months group by area_code"),
+        "managers": managers(month),
+        "own_a": averages(month, "kpi_code"),
+        "ka1": placed("own_a", "criteria_code", "value", "rank_kpi", ascending=False),
+        "area_a": (f"select area_code, criteria_code, value from npl_a union all"
+                   f" select area_code, criteria_code, cast(value as double) from summary_a"
+                   f" join (values {fins}) f(criteria_code, fin_id) using (fin_id) where area_code <> '00'"),
+        "shared_a": "select area_code, employee_id, criteria_code, value from area_a join managers using (area_code)",
+        "ka": ("select * from ka1 union all "
+               + placed("shared_a", "criteria_code", "value", "rank_kpi", True, True, is_npl) + " union all "
+               + placed("shared_a", "criteria_code", "value", "rank_kpi", False, True, f"not ({is_npl})")),
+        "typed": "select * from ka join px_dim_criteria using (criteria_code)",
+        "type_scores": ("select employee_id, criteria_type_name, cast(sum(rank_kpi) as bigint) as type_score"
+                        " from typed group by employee_id, criteria_type_name"),
+        "scores": "select employee_id, 1 as everyone, cast(sum(rank_kpi) as bigint) as overall_score from typed group by employee_id",
+        "type_places": placed("type_scores", "criteria_type_name", "type_score", "type_rank", False, True),
+        "places": placed("scores", "everyone", "overall_score", "overall_rank", False, True),
+        "kpi_a": (f"select cast({month} as integer) as month_key, area_code, employee_id, criteria_code, value, rank_kpi,"
+                  f" criteria_type_name, type_score, overall_score, type_rank, overall_rank from typed"
+                  f" join type_places using (employee_id, criteria_type_name) join places using (employee_id)"),
+    }
 
 
 def ctes_b(month: int) -> dict[str, str]:
-    c = B.ctes(month)
-    m = month
-    area = " union all ".join(
-        f"select area_code, '{code}' as criteria_code, "
-        + ("abs(cast(value as double))" if absolute else "cast(value as double)")
-        + f" as value from summary_b where fin_id = {fin} and area_code <> '00' and month_key = {m}"
-        for code, fin, absolute, _, _ in R.KPI_B_AREA_CRITERIA)
-    whens = []
-    default = None
-    for code, _, _, method, asc in R.KPI_B_AREA_CRITERIA:
-        order = "asc nulls last" if asc else "desc nulls first"
-        expr = f"{method}() over (partition by c.criteria_code order by value {order})"
-        if (method, asc) == ("dense_rank", False):
-            default = expr
-        else:
-            whens.append(f"when c.criteria_code = '{code}' then {expr}")
-    c["l1"] = (
-        f"select {m} as month_key, area_code, employee_id, criteria_code, {_avg('value')} as value,"
-        f" rank() over (partition by criteria_code order by {_avg('value')} desc nulls first) as rank_kpi"
-        f" from px_kpi where month_report <= {m} and value is not null group by area_code, employee_id, criteria_code"
-        f" union all"
-        f" select {m}, a.area_code, b.employee_id, c.criteria_code, value, case {' '.join(whens)} else {default} end"
-        f" from ({area}) a join ({EMP.format(m=m)}) b on a.area_code = b.area_code"
-        f" join px_dim_criteria_xlsx c on a.criteria_code = c.criteria_code")
-    c["l2"] = " union all ".join(
-        f"select month_key, area_code, employee_id, '{g}' as criteria_code, cast(sum(rank_kpi) as double) as value,"
-        f" rank() over (order by sum(rank_kpi) asc nulls last) as rank_kpi from l1"
-        f" where criteria_code like '%{g}%' and month_key = {m} group by month_key, area_code, employee_id"
-        for g in R.KPI_B_GROUPS)
-    groups = ", ".join(f"'{g}'" for g in R.KPI_B_GROUPS)
-    c["ov"] = (f"select month_key, area_code, employee_id, '{R.KPI_B_OVERALL}' as criteria_code, sum(value) as value,"
-               f" rank() over (order by sum(value) asc nulls last) as rank_kpi from l2"
-               f" where criteria_code in ({groups}) and month_key = {m} group by month_key, area_code, employee_id")
-    c["kpi_b"] = ("select * from l1 union all select * from l2 union all select * from ov")
-    return c
-
-
-def out_b(table: str) -> str:
-    return (f"select cast(month_key as integer) as month_key, area_code, employee_id, criteria_code,"
-            f" cast(value as double) as value, cast(rank_kpi as bigint) as rank_kpi from {table}")
+    wanted = ", ".join(f"('{code}', {fin}, {str(absolute).lower()})" for code, fin, absolute, _, _ in R.KPI_B_AREA_CRITERIA)
+    alike: dict[tuple[bool, bool], list[str]] = {}
+    for code, _, _, method, ascending in R.KPI_B_AREA_CRITERIA:
+        alike.setdefault((ascending, method == "dense_rank"), []).append(f"'{code}'")
+    shared = [placed("shared_b", "criteria_code", "value", "rank_kpi", up, dense, f"criteria_code in ({', '.join(codes)})")
+              for (up, dense), codes in alike.items()]
+    groups = ", ".join(f"('{g}')" for g in R.KPI_B_GROUPS)
+    return B.ctes(month) | {
+        "managers": managers(month),
+        "own_b": averages(month, "criteria_code"),
+        "shared_b": (f"select area_code, employee_id, criteria_code, if(absolute, abs(cast(value as double)),"
+                     f" cast(value as double)) as value from summary_b join (values {wanted}) f(criteria_code, fin_id, absolute)"
+                     f" using (fin_id) join px_dim_criteria_xlsx using (criteria_code) join managers using (area_code)"
+                     f" where area_code <> '00'"),
+        "l1": " union all ".join([placed("own_b", "criteria_code", "value", "rank_kpi", False), *shared]),
+        "group_sums": (f"select area_code, employee_id, g as criteria_code, cast(sum(rank_kpi) as double) as value"
+                       f" from l1 join (values {groups}) x(g) on contains(criteria_code, g) group by area_code, employee_id, g"),
+        "l2": placed("group_sums", "criteria_code", "value", "rank_kpi", True),
+        "total_sums": (f"select area_code, employee_id, '{R.KPI_B_OVERALL}' as criteria_code, sum(value) as value from l2"
+                       f" group by area_code, employee_id"),
+        "ov": placed("total_sums", "criteria_code", "value", "rank_kpi", True),
+        "kpi_b": "select * from l1 union all select * from l2 union all select * from ov",
+    }
 
 
 def query_a(month: int, select: str, rules: R.RuleSet) -> str:
     return A.with_ctes(ctes_a(month, rules), select)
 
 
-def query_b(month: int, select: str) -> str:
-    return A.with_ctes(ctes_b(month), select)
+def query_b(month: int, table: str) -> str:
+    return A.with_ctes(ctes_b(month), f"select cast({month} as integer) as month_key, area_code, employee_id,"
+                                      f" criteria_code, value, rank_kpi from {table}")

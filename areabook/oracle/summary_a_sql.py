@@ -94,17 +94,16 @@ def ctes(month: int, rules: R.RuleSet) -> dict[str, str]:
     c["lines"] = " union all ".join(["select * from a2"] + [f"select * from {n}" for n in names])
     parents = dict(rules.rollups)
     c["a4"] = rollup_cte(4, parents[4], "lines", month)
-    costs = " union all ".join(
-        f"select {month} as month_key, {fin} as fin_id, {millions('amount', False)} as cost from px_ledger"
-        f" where {acct_pred(rules.rule(key), 'direct')} and {upto(month)}" for fin, key in rules.funding_lines)
-    dt = (f"select {month} as month_key, {millions('amount', False)} as dt from px_ledger"
-          f" where {acct_pred(rules.rule(rules.funding_revenue), 'direct')} and {upto(month)}")
-    c["fund"] = (f"select x.fin_id, y.area_code, cast(cast(x.cost as double) * (cast(case when y.area_code = '00' then y.total_value"
-                 f" else y.value end as double) / nullif(cast(y.total_value + z.dt as double), 0)) as {ST}) as value,"
-                 f" x.month_key from ({costs}) x"
-                 f" join (select month_key, area_code, value, sum(value) over (partition by month_key) as total_value"
-                 f" from a4 where month_key = {month}) y on x.month_key = y.month_key"
-                 f" join ({dt}) z on y.month_key = z.month_key")
+    company = lambda key: (f"select {millions('amount', False)} as amount from px_ledger"
+                           f" where {acct_pred(rules.rule(key), 'direct')} and {upto(month)}")
+    c["funding_costs"] = " union all ".join(
+        f"select {fin} as fin_id, amount from ({company(key)}) x" for fin, key in rules.funding_lines)
+    # the head office's part is the whole company's
+    c["income_part"] = (f"select area_code, cast(if(area_code = '00', everyone, value) as double)"
+                        f" / nullif(cast(everyone + ({company(rules.funding_revenue)}) as double), 0) as part"
+                        f" from (select area_code, value, (select sum(value) from a4) as everyone from a4) x")
+    c["fund"] = (f"select fin_id, area_code, cast(cast(amount as double) * part as {ST}) as value,"
+                 f" {month} as month_key from funding_costs, income_part")
     c["lvl2"] = "select * from lines union all select * from a4 union all select * from fund"
     for p in (5, 6, 8):
         c[f"a{p}"] = rollup_cte(p, parents[p], "lvl2", month)
@@ -114,26 +113,17 @@ def ctes(month: int, rules: R.RuleSet) -> dict[str, str]:
     c["a1"] = rollup_cte(1, parents[1], "lvl4", month)
     c["lvl5"] = "select * from lvl4 union all select * from a1"
 
-    def pct(num, den):
-        return f"case when {den} = 0 then 0 else cast({num} as double) * 100 / nullif(cast({den} as double), 0) end"
-
-    def one(fin, name):
-        return f"select area_code, value as {name}, month_key from lvl5 where fin_id = {fin} and month_key = {month}"
-
-    def summed(ids, name):
-        return (f"select area_code, sum(value) as {name}, month_key from lvl5 where fin_id in"
-                f" ({', '.join(str(i) for i in ids)}) and month_key = {month} group by month_key, area_code")
-
-    margin_den = R.MARGIN_DEN_IDS_A
-    c["ratios"] = (
-        f"select {R.CIR_FIN_A} as fin_id, x.area_code, {pct('y.cp', 'x.tn')} as value, x.month_key"
-        f" from ({one(7, 'tn')}) x left join ({one(8, 'cp')}) y on x.area_code = y.area_code"
-        f" union all select {R.MARGIN_FIN_A}, x.area_code, {pct('x.lntt', 'y.tn')}, x.month_key"
-        f" from ({summed([1], 'lntt')}) x left join ({summed(margin_den, 'tn')}) y on x.area_code = y.area_code"
-        f" union all select {R.CAPITAL_FIN_A}, x.area_code, {pct('x.lntt', 'y.tn')}, x.month_key"
-        f" from ({summed([1], 'lntt')}) x left join ({summed(margin_den, 'tn')}) y on x.area_code = y.area_code"
-        f" union all select {R.PER_HEAD_FIN_A}, x.area_code, {pct('y.lntt', 'x.slns')}, x.month_key"
-        f" from ({one(R.HEADCOUNT_FIN_A, 'slns')}) x left join ({one(1, 'lntt')}) y on x.area_code = y.area_code")
+    # one row an area; a ratio has a row where its leading metric has one
+    held = {"profit": (1,), "income": (7,), "costs": (8,), "heads": (R.HEADCOUNT_FIN_A,), "gross": R.MARGIN_DEN_IDS_A}
+    c["area_result"] = "select area_code, " + ", ".join(
+        f"cast(sum(value) filter (where fin_id in ({', '.join(str(i) for i in f)})) as double) as {name},"
+        f" bool_or(fin_id in ({', '.join(str(i) for i in f)})) as has_{name}" for name, f in held.items()
+    ) + " from lvl5 group by area_code"
+    wanted = ((R.CIR_FIN_A, "income", "costs", "income"), (R.MARGIN_FIN_A, "profit", "profit", "gross"),
+              (R.CAPITAL_FIN_A, "profit", "profit", "gross"), (R.PER_HEAD_FIN_A, "heads", "profit", "heads"))
+    c["ratios"] = " union all ".join(
+        f"select {fin} as fin_id, area_code, if({den} = 0, 0, {num} * 100 / nullif({den}, 0)) as value,"
+        f" {month} as month_key from area_result where has_{lead}" for fin, lead, num, den in wanted)
     c["summary_a"] = "select * from lvl5 union all select * from ratios"
     return c
 
