@@ -10,8 +10,8 @@ counts BIGINT, on both sides.
 Besides one query per operator group, the jobs are also registered as a
 two-month backfill (`*_backfill`: one pass over each source; the oracle is the
 union of two single-month runs) and run from freshly built monthly stores
-(`*_from_stores`; same oracle as the plain job). `run_log` has no oracle (its
-rows carry wall-clock times).
+(`*_from_stores`; same oracle as the plain job). `run_log` returns what an oracle can
+know of the log: jobs, success, order of the times, published rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from areabook.functions.columns import round_half_up, scale_millions
 from areabook.operators.allocate import rule_pools
 from areabook.operators.drivers import driver_share, npl_ratio_a
+from areabook.operators.rollup import network_totals
 from areabook.oracle import kpi_sql as K
+from areabook.oracle import proxies
 from areabook.oracle import summary_a_sql as A
 from areabook.oracle import summary_b_sql as B
 from areabook.plans import jobs
@@ -33,11 +35,13 @@ from areabook.plans import kpi_b as KB
 from areabook.plans import rules as R
 from areabook.plans import summary_a as SA
 from areabook.plans import summary_b as SB
-from areabook.plans.staging import Stager
-from areabook.sources import testdata
+from areabook.plans.staging import Stager, union_all
+from areabook.sources import schemas, testdata
+from areabook.sources.sinks import publish_all, publish_month
 
 MONTH = R.TEST_MONTH
 RULES = R.PROXY_RULES_A
+RATIOS_A = (R.CIR_FIN_A, R.MARGIN_FIN_A, R.CAPITAL_FIN_A, R.PER_HEAD_FIN_A)
 # a backfill of several report months in one pass (the ledger is still read once)
 BACKFILL_MONTHS = (199806, 199812)
 
@@ -161,20 +165,46 @@ def _from_stores(spark, sf_dir, job: str) -> DataFrame:
 
 
 def _month_republish(spark, sf_dir) -> DataFrame:
-    """Publish summary A for the month twice into a fresh table and read it
-    back: the second publish replaces the first (one copy of the month)."""
-    from areabook.sources.sinks import publish_month
-    res = _build(spark, sf_dir, "a").result
+    """Publish summary A of two months into a fresh table, then one of them again, and read both back:
+    the second publish replaces its month (one copy) and leaves the other alone."""
     path = f"{Stager(spark, 'republish').root}/fact_monthly_summary"
-    publish_month(res, path)
-    publish_month(res, path)
-    return _tall(spark.read.parquet(path).filter(F.col("month_key") == MONTH))
+    publish_month(_build(spark, sf_dir, "a_backfill").result, path, months=BACKFILL_MONTHS, schema=schemas.SUMMARY)
+    publish_month(_build(spark, sf_dir, "a").result, path, months=[MONTH], schema=schemas.SUMMARY)
+    return _tall(spark.read.parquet(path))
+
+
+def _scorecard_republish(spark, sf_dir) -> DataFrame:
+    """The same for scorecard A and the summary beside it, published together: two months, then one again."""
+    st = Stager(spark, "scorecard_republish")
+    at = [(f"{st.root}/fact_monthly_summary_a", schemas.SUMMARY), (f"{st.root}/fact_monthly_report_kpi_asm_a", schemas.KPI_A_OUT)]
+    for job, months in (("ka_backfill", BACKFILL_MONTHS), ("ka", (MONTH,))):
+        k = _build(spark, sf_dir, job)
+        publish_all([(df, *where) for df, where in zip((k.summary.result, k.result), at)], months, st)
+    return spark.read.parquet(at[1][0]).select(*KA.COLUMNS)
 
 
 def _run_log(spark, sf_dir) -> DataFrame:
+    """Runs scorecard A and returns its two log rows (of the summary it refreshes, and its own), each with
+    the rows its table holds for the month."""
     out = Stager(spark, "runlog").root
-    jobs.run_summary_a(spark, testdata.inputs(spark, sf_dir), out, MONTH, RULES)
-    return spark.read.parquet(f"{out}/log_tracking").select("procedure_name", "is_successful", "error_log")
+    jobs.run_kpi_a(spark, testdata.inputs(spark, sf_dir), out, MONTH, RULES)
+    made = {"fact_monthly_summary_prc": "fact_monthly_summary_a",
+            "fact_monthly_report_kpi_asm_prc_a": "fact_monthly_report_kpi_asm_a"}
+    held = union_all([spark.read.parquet(f"{out}/{t}").groupBy(F.col("month_key").cast("int").alias("month_key"))
+                      .agg(F.count(F.lit(1)).alias("published_rows")).withColumn("procedure_name", F.lit(p))
+                      for p, t in made.items()])
+    return spark.read.parquet(f"{out}/log_tracking").join(held, "procedure_name").select(
+        "procedure_name", "month_key", "is_successful", "error_log",
+        (F.col("end_time") >= F.col("start_time")).alias("ends_after_start"), "published_rows")
+
+
+def _summary_a_chart(spark, sf_dir) -> DataFrame:
+    """Summary A by the production chart of accounts, over a ledger that holds each of its accounts."""
+    return _tall(SA.build(testdata.inputs(spark, sf_dir, testdata.chart_account), MONTH, R.CHART_RULES_A).result)
+
+
+def _network_totals(spark, sf_dir) -> DataFrame:
+    return network_totals(_build(spark, sf_dir, "a").result, RATIOS_A)
 
 
 def _text_operators():
@@ -245,7 +275,11 @@ def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_a_backfill": lambda s, d: _build(s, d, "ka_backfill").result,
         "kpi_b_backfill": lambda s, d: _build(s, d, "kb_backfill").result,
         "month_republish": _month_republish,
+        "scorecard_republish": _scorecard_republish,
         "run_log": _run_log,
+        "summary_a_chart": _summary_a_chart,
+        "network_totals": _network_totals,
+        "zero_denominators_b": lambda s, d: SB.zero_denominators(_build(s, d, "b").result),
     }
 
 
@@ -340,5 +374,20 @@ def _report_oracles() -> dict[str, str]:
             f"select * from ({K.query_a(bm, 'select * from kpi_a', RULES)})" for bm in BACKFILL_MONTHS),
         "kpi_b_backfill": " union all ".join(
             f"select * from ({K.query_b(bm, 'kpi_b')})" for bm in BACKFILL_MONTHS),
-        "month_republish": qa(A.out("summary_a")),
+        "month_republish": " union all ".join(
+            f"select * from ({A.query(bm, A.out('summary_a'), RULES)})" for bm in BACKFILL_MONTHS),
+        "scorecard_republish": " union all ".join(
+            f"select * from ({K.query_a(bm, 'select * from kpi_a', RULES)})" for bm in BACKFILL_MONTHS),
+        "run_log": K.query_a(m, " union all ".join(
+            f"select '{job}' as procedure_name, cast({m} as integer) as month_key, true as is_successful,"
+            f" cast(null as varchar) as error_log, true as ends_after_start, count(*) as published_rows from {t}"
+            for job, t in (("fact_monthly_summary_prc", "summary_a"), ("fact_monthly_report_kpi_asm_prc_a", "kpi_a"))), RULES),
+        "summary_a_chart": A.query(m, A.out("summary_a"), R.CHART_RULES_A, proxies.chart_account(R.CHART_ACCOUNTS)),
+        "network_totals": qa("select cast(month_key as integer) as month_key, fin_id, cast(sum(value) as double) as company,"
+                             " cast(sum(value) filter (where area_code <> '00') as double) as network_only"
+                             " from lvl5 group by month_key, fin_id"),
+        "zero_denominators_b": qb(
+            "select cast(month_key as integer) as month_key, fin_id, count(*) as n_ratios,"
+            " count(*) - count(value) as n_zero from summary_b"
+            f" where fin_id in ({R.B_CIR_FIN}, {R.B_MARGIN_FIN}, {R.B_CAPITAL_FIN}) group by month_key, fin_id"),
     }

@@ -118,11 +118,19 @@ def ledger_rule_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule])
 
 
 def month_ranges(col: str, months: Sequence[int]) -> Column:
-    """Rows of the listed calendar months, as date ranges (pushable)."""
-    pred = F.lit(False)
+    """Rows of the listed calendar months, as date ranges (pushable). Adjacent months are one range, so
+    a store build over years of history stays one small generated method."""
+    def before(m):
+        return m - 1 if m % 100 > 1 else (m // 100 - 1) * 100 + 12
+    spans: list[list[int]] = []                          # [month before the first, last month]
     for m in as_months(months):
-        prev = m - 1 if m % 100 > 1 else (m // 100 - 1) * 100 + 12
-        pred = pred | ((F.col(col) >= month_end_exclusive(prev)) & (F.col(col) < month_end_exclusive(m)))
+        if spans and spans[-1][1] == before(m):
+            spans[-1][1] = m
+        else:
+            spans.append([before(m), m])
+    pred = F.lit(False)
+    for first, last in spans:
+        pred = pred | ((F.col(col) >= month_end_exclusive(first)) & (F.col(col) < month_end_exclusive(last)))
     return pred
 
 

@@ -9,12 +9,14 @@ or all of it. Instead:
    aggregation, so a hot value costs nothing);
 2. range-partition the keys by (p, v) and take, inside each range partition,
    the running count of the keys before each one (a window per range
-   partition: bounded by the partition size) and the partition total;
-3. prefix-sum the partition totals (one row per range partition: bounded by
-   the partition count) and add it: the number of rows ahead of each key in
-   the global (p, v) order; subtract the number ahead of the first key of p;
-4. join the rank back on (p, v) (AQE broadcasts it when small, splits skewed
-   keys otherwise).
+   partition: bounded by the partition size);
+3. aggregate the keys to one row per (range partition, p): its rows and the
+   count before its first key. Prefix sums over these rows (bounded by the
+   number of range partitions and of report months x criteria) give what to add
+   to a running count: the rows of earlier partitions, less the rows ahead of
+   the first key of p;
+4. one join adds it, one join on (p, v) brings the rank back (AQE broadcasts it when
+   small, splits skewed keys otherwise).
 
 rank counts rows ahead (+1); dense_rank counts distinct keys ahead (+1).
 NULL placement follows PostgreSQL: NULLs last ascending, first descending."""
@@ -59,26 +61,20 @@ def rank_table(df: DataFrame, order_col: str, partition_cols: Sequence[str] = ()
              .withColumn("_pid", F.spark_partition_id())
              .select(*pc, order_col, "_w", "_pid",
                      F.coalesce(F.sum("_w").over(in_part.rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0).cast("long")).alias("_before"),
-                     F.sum("_w").over(Window.partitionBy("_pid")).alias("_tot")))
+                                F.lit(0).cast("long")).alias("_before")))
     # written once: the partition ids must be the same for every reader
     local = st.stage(local, f"rank-{out}")
 
-    totals = local.select("_pid", "_tot").distinct()
-    # one row per range partition: bounded by the partition count
-    offsets = totals.select(
-        "_pid",
-        F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("long")).alias("_off"))
-    glob = local.join(F.broadcast(offsets), "_pid").select(
-        *pc, order_col, (F.col("_off") + F.col("_before")).alias("_ahead"))
-    if not pc:
-        return glob.select(order_col, (F.col("_ahead") + 1).cast("long").alias(out))
-    start = glob.groupBy(*pc).agg(F.min("_ahead").alias("_start"))
-    g, s = glob.alias("g"), start.alias("s")
-    cond = [F.col(f"g.{c}").eqNullSafe(F.col(f"s.{c}")) for c in pc]
+    small = local.groupBy("_pid", *pc).agg(F.sum("_w").alias("_n"), F.min("_before").alias("_b"))
+    earlier = Window.orderBy("_pid").rangeBetween(Window.unboundedPreceding, -1)
+    off = F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("long"))
+    small = small.withColumn("_off", off)
+    start = F.min(F.col("_off") + F.col("_b")).over(Window.partitionBy(*pc)) if pc else F.lit(0)
+    shift = small.select("_pid", *pc, (F.col("_off") - start).alias("_shift"))
+    g, s = local.alias("g"), shift.alias("s")
+    cond = [F.col("g._pid") == F.col("s._pid")] + [F.col(f"g.{c}").eqNullSafe(F.col(f"s.{c}")) for c in pc]
     return g.join(s, cond).select(*[F.col(f"g.{c}").alias(c) for c in pc], F.col(f"g.{order_col}"),
-                                  (F.col("_ahead") - F.col("_start") + 1).cast("long").alias(out))
+                                  (F.col("_before") + F.col("_shift") + 1).cast("long").alias(out))
 
 
 def join_rank(df: DataFrame, ranks: DataFrame, order_col: str, partition_cols: Sequence[str], out: str) -> DataFrame:

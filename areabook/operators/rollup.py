@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import to_stage
+from areabook.functions.columns import stage_double, to_stage
 
 
 def closure(rollups: Sequence[tuple[int, Sequence[int]]]) -> list[tuple[int, int]]:
@@ -58,3 +58,12 @@ def percent_ratios(rows: DataFrame, specs) -> DataFrame:
     wide = rows.groupBy("month_key", "area_code").agg(*aggs)
     return (wide.select("month_key", "area_code", F.inline(F.array(*outs)))
             .filter("_keep").select("fin_id", "area_code", "value", "month_key"))
+
+
+def network_totals(rows: DataFrame, ratio_ids: Sequence[int]) -> DataFrame:
+    """(month_key, fin_id, company, network_only) of every money line: the total of all areas, and the
+    total without head office ('00'), which keeps its own amount beside what areas receive of the pool."""
+    v = stage_double("value")
+    total = lambda x: F.sum(x).cast("double")
+    return (rows.filter(~F.col("fin_id").isin(*ratio_ids)).groupBy("month_key", "fin_id")
+            .agg(total(v).alias("company"), total(F.when(F.col("area_code") != "00", v)).alias("network_only")))

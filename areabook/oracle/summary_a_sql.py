@@ -7,7 +7,7 @@ policy in areabook.functions.columns."""
 from __future__ import annotations
 
 from areabook.plans import rules as R
-from areabook.oracle.proxies import PROXY_CTES
+from areabook.oracle.proxies import TEST_ACCOUNT, proxy_ctes
 
 ST = "decimal(30,8)"
 MIL = "cast(0.000001 as decimal(7,6))"
@@ -128,9 +128,9 @@ def ctes(month: int, rules: R.RuleSet) -> dict[str, str]:
     return c
 
 
-def with_ctes(c: dict[str, str], select: str) -> str:
+def with_ctes(c: dict[str, str], select: str, account: str = TEST_ACCOUNT) -> str:
     body = ",\n".join(f"{k} AS ({v})" for k, v in c.items())
-    return f"WITH {PROXY_CTES},\n{body}\n{select}"
+    return f"WITH {proxy_ctes(account)},\n{body}\n{select}"
 
 
 def out(table: str) -> str:
@@ -138,5 +138,5 @@ def out(table: str) -> str:
     return f"select fin_id, area_code, cast(value as double) as value, cast(month_key as integer) as month_key from {table}"
 
 
-def query(month: int, select: str, rules: R.RuleSet) -> str:
-    return with_ctes(ctes(month, rules), select)
+def query(month: int, select: str, rules: R.RuleSet, account: str = TEST_ACCOUNT) -> str:
+    return with_ctes(ctes(month, rules), select, account)

@@ -13,16 +13,18 @@ import traceback
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from areabook.plans import kpi_a as KA
 from areabook.plans import kpi_b as KB
 from areabook.plans import rules as R
 from areabook.plans import summary_a as SA
 from areabook.plans import summary_b as SB
+from areabook.plans.staging import Stager
 from areabook.functions.columns import as_months
 from areabook.sources import schemas
 from areabook.sources.inputs import Inputs
-from areabook.sources.sinks import append_run_log, publish_month
+from areabook.sources.sinks import append_run_log, publish_all, publish_month
 
 
 def resolve_month(month, today: _dt.date | None = None):
@@ -37,22 +39,40 @@ def resolve_month(month, today: _dt.date | None = None):
 
 
 def run_logged(spark: SparkSession, names: str | tuple[str, ...], log_path: str,
-               body: Callable[[], DataFrame]) -> DataFrame:
-    """Runs body and logs one row a name (a scorecard logs the summary it refreshes, then itself)."""
+               body: Callable[[], DataFrame], zero: Callable[[], int] | None = None) -> DataFrame:
+    """Runs body and logs one row a name (a scorecard logs the summary it refreshes, then itself);
+    `zero` gives the data-quality count of the first name's row."""
     names = (names,) if isinstance(names, str) else names
     start = _dt.datetime.now(_dt.timezone.utc)
     try:
         out = body()
+        n = zero() if zero else None
     except Exception as e:  # log, then fail the run
         why = "".join(traceback.format_exception_only(type(e), e)).strip()
         for name in names:
             append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), False, why)
         raise
-    for name in names:
-        append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), True, None)
+    for i, name in enumerate(names):
+        append_run_log(spark, log_path, name, start, _dt.datetime.now(_dt.timezone.utc), True, None, n if i == 0 else None)
     return out
 
 
+class ZeroDenominator(ArithmeticError):
+    """A ratio of variant B divides by zero and the run is strict."""
+
+
+class _ZeroCheck:
+    """Counts the B ratios without a value; a strict run fails before anything is published."""
+
+    def __init__(self, strict: bool):
+        self.strict, self.count = strict, 0
+
+    def __call__(self, result: DataFrame) -> None:
+        self.count = int(SB.zero_denominators(result).agg(F.sum("n_zero")).first()[0] or 0)
+        if self.strict and self.count:
+            raise ZeroDenominator(f"{self.count} ratios of summary B divide by zero")
+
+
 def run_summary_a(spark, inputs: Inputs, out_dir: str, month, rules: R.RuleSet, ledger_store: str | None = None,
                   loan_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
     m = resolve_month(month)
@@ -66,37 +86,45 @@ def run_summary_a(spark, inputs: Inputs, out_dir: str, month, rules: R.RuleSet,
 
 
 def run_summary_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
-                  tagged_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
-    m = resolve_month(month)
+                  tagged_store: str | None = None, kpi_store: str | None = None, strict: bool = False) -> DataFrame:
+    """`strict`: a ratio with a zero denominator fails the month, as a division error would."""
+    m, check = resolve_month(month), _ZeroCheck(strict)
 
     def body():
         res = SB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store, kpi_store=kpi_store).result
+        check(res)
         publish_month(res, f"{out_dir}/fact_monthly_summary_b", months=as_months(m), schema=schemas.SUMMARY)
         return res
-    return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body)
+    return run_logged(spark, "fact_monthly_summary_f1_prc", f"{out_dir}/log_tracking", body, lambda: check.count)
 
 
 def run_kpi_a(spark, inputs: Inputs, out_dir: str, month, rules: R.RuleSet, ledger_store: str | None = None,
               loan_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
+    """Both tables are computed first and published together, or neither."""
     m = resolve_month(month)
 
     def body():
         k = KA.build(inputs, m, rules, ledger_store=ledger_store, loan_store=loan_store, kpi_store=kpi_store)
-        publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_a", months=as_months(m), schema=schemas.SUMMARY)
-        publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_a", months=as_months(m),
-                      schema=schemas.KPI_A_OUT)
-        return k.result
+        st = Stager(spark, "kpi_a_publish")
+        result = st.stage(k.result, "result")
+        publish_all([(k.summary.result, f"{out_dir}/fact_monthly_summary_a", schemas.SUMMARY),
+                     (result, f"{out_dir}/fact_monthly_report_kpi_asm_a", schemas.KPI_A_OUT)], as_months(m), st)
+        return result
     return run_logged(spark, ("fact_monthly_summary_prc", "fact_monthly_report_kpi_asm_prc_a"), f"{out_dir}/log_tracking", body)
 
 
 def run_kpi_b(spark, inputs: Inputs, out_dir: str, month=None, loan_store: str | None = None,
-              tagged_store: str | None = None, kpi_store: str | None = None) -> DataFrame:
-    m = resolve_month(month)
+              tagged_store: str | None = None, kpi_store: str | None = None, strict: bool = False) -> DataFrame:
+    """Both tables are computed first and published together, or neither; `strict` as for summary B."""
+    m, check = resolve_month(month), _ZeroCheck(strict)
 
     def body():
         k = KB.build(inputs, m, loan_store=loan_store, tagged_store=tagged_store, kpi_store=kpi_store)
-        publish_month(k.summary.result, f"{out_dir}/fact_monthly_summary_b", months=as_months(m), schema=schemas.SUMMARY)
-        publish_month(k.result, f"{out_dir}/fact_monthly_report_kpi_asm_b", months=as_months(m),
-                      schema=schemas.KPI_B_OUT)
-        return k.result
-    return run_logged(spark, ("fact_monthly_summary_f1_prc", "fact_monthly_report_kpi_asm_prc_b"), f"{out_dir}/log_tracking", body)
+        check(k.summary.result)
+        st = Stager(spark, "kpi_b_publish")
+        result = st.stage(k.result, "result")
+        publish_all([(k.summary.result, f"{out_dir}/fact_monthly_summary_b", schemas.SUMMARY),
+                     (result, f"{out_dir}/fact_monthly_report_kpi_asm_b", schemas.KPI_B_OUT)], as_months(m), st)
+        return result
+    return run_logged(spark, ("fact_monthly_summary_f1_prc", "fact_monthly_report_kpi_asm_prc_b"), f"{out_dir}/log_tracking",
+                      body, lambda: check.count)

@@ -52,7 +52,7 @@ def build(inputs: Inputs, month, rules: R.RuleSet,
                                                loan_store=loan_store, kpi_store=kpi_store))
         emp_kpi, ka1 = employee_side()
         sa = summary.result()
-    employees = area_employees(emp_kpi)
+    employees = st.stage(area_employees(emp_kpi), "managers")   # counted and spread: read twice
 
     npl = npl_ratio_a(sa.loan_area).select("month_key", "area_code",
                                            F.lit(R.KPI_A_NPL_CODE).alias("criteria_code"), "value")

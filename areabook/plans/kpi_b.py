@@ -55,7 +55,7 @@ def build(inputs: Inputs, month, loan_store: str | None = None, tagged_store: st
                                                  tagged_store=tagged_store, kpi_store=kpi_store))
         emp_kpi, kb1 = employee_side()
         sb = summary.result()
-    employees = area_employees(emp_kpi)
+    employees = st.stage(area_employees(emp_kpi), "managers")   # counted and spread: read twice
 
     parts = []
     for code, fin, absolute, _, _ in R.KPI_B_AREA_CRITERIA:

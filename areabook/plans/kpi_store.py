@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import as_months, avg_of, report_months_from
+from areabook.plans.staging import Stager
 from areabook.sources.sinks import publish_month
 
 
@@ -26,15 +27,17 @@ CODE_COLUMNS = ("kpi_code", "criteria_code")
 
 def refresh_kpi_store(kpi: DataFrame, months: Sequence[int], path: str,
                       code_cols: Sequence[str] = CODE_COLUMNS) -> None:
-    rows = kpi.filter(F.col("month_report").isin(*as_months(months)))
-    presence = (rows.groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id")
-                .agg(F.max(F.col("value").isNotNull()).alias("has_value")))
+    """The facts are read once, to one row per (month, area, manager, codes); all tables derive from that."""
+    keys = ["ym", "area_code", "employee_id"]
+    rows = (kpi.filter(F.col("month_report").isin(*as_months(months)))
+            .groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id", *code_cols)
+            .agg(F.sum("value").alias("s"), F.count("value").alias("n")))
+    rows = Stager(kpi.sparkSession, "kpi_store").stage(rows, "months")
+    presence = rows.groupBy(*keys).agg((F.sum("n") > 0).alias("has_value"))
     publish_month(presence, f"{path}/presence", partition_col="ym", months=months)
     for code in code_cols:
-        values = (rows.filter(F.col("value").isNotNull())
-                  .groupBy(F.col("month_report").alias("ym"), "area_code", "employee_id",
-                           F.col(code).alias("criteria_code"))
-                  .agg(F.sum("value").alias("s"), F.count("value").alias("n")))
+        values = (rows.filter(F.col("n") > 0).groupBy(*keys, F.col(code).alias("criteria_code"))
+                  .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
         publish_month(values, f"{path}/values_{code}", partition_col="ym", months=months)
 
 

@@ -179,10 +179,12 @@ KPI_B_AREA_CRITERIA = (
 KPI_B_GROUPS = ("SC", "FN")
 KPI_B_OVERALL = "OV"
 
-# Proxy dimension tables of the test data (FIXTURES.md §3).
-PROXY_DIM_CRITERIA = (("S01", "Scale"), ("S02", "Scale"), ("S03", "Scale"), ("S04", "Scale"),
-                      ("F01", "Finance"), ("F02", "Finance"), ("F03", "Finance"))
-PROXY_DIM_CRITERIA_XLSX = ("SC04", "FN01", "FN02", "FN03", "FN04")
+
+def chart_codes(accounts: tuple[AccountRule, ...]) -> list[int]:
+    """Every account that a chart lists, and one account a prefix rule, in ascending order."""
+    listed = {a for r in accounts for a in (*r.direct, *r.pool_accounts)}
+    return sorted(listed | {int(r.prefix.ljust(12, "0")) + 1 for r in accounts if r.prefix is not None})
+
 
 # Month the test data is reported for (48 loan months from 1995-01).
 TEST_MONTH = 199812

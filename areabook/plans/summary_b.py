@@ -142,3 +142,14 @@ def summary_b(inputs: Inputs, month) -> DataFrame:
     """fact_monthly_summary rows of variant B for `month` (value as DOUBLE)."""
     r = build(inputs, month).result
     return r.select("fin_id", "area_code", F.col("value").cast("double").alias("value"), "month_key")
+
+
+#: Ratios that the source report divides without a guard.
+UNGUARDED = (R.B_CIR_FIN, R.B_MARGIN_FIN, R.B_CAPITAL_FIN)
+
+
+def zero_denominators(result: DataFrame) -> DataFrame:
+    """(month_key, fin_id, n_ratios, n_zero): ratios of each unguarded line, and those without a value for
+    a zero denominator (their numerators are never NULL)."""
+    return (result.filter(F.col("fin_id").isin(*UNGUARDED)).groupBy("month_key", "fin_id")
+            .agg(F.count(F.lit(1)).alias("n_ratios"), F.count_if(F.col("value").isNull()).alias("n_zero")))

@@ -75,4 +75,6 @@ RUN_LOG = T.StructType([
     T.StructField("is_successful", T.BooleanType(), False),
     T.StructField("error_log", T.StringType(), True),
     T.StructField("rec_created_dt", T.TimestampType(), False),
+    # ratios of variant B without a value for a zero denominator (NULL: not counted by the job)
+    T.StructField("zero_denominators", T.LongType(), True),
 ])

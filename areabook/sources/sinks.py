@@ -31,6 +31,35 @@ def publish_month(df: DataFrame, path: str, partition_col: str = "month_key", mo
         _drop_partitions(df.sparkSession, path, partition_col, [m for m in listed if m not in full])
 
 
+def publish_all(tables, months, stager, partition_col: str = "month_key") -> None:
+    """Publishes the months of several tables, or of none: tables are (df, path, schema). The months'
+    old rows are kept in a staged copy first; where a publish fails, every table touched so far
+    gets them back (a table or month that did not exist is emptied again) and the error goes on."""
+    listed = sorted({int(m) for m in months})
+    spark = tables[0][0].sparkSession
+    old = [stager.stage(spark.read.parquet(path).filter(F.col(partition_col).isin(listed)), "old-rows")
+           if _exists(spark, path) else None for _, path, _ in tables]
+    touched = []
+    try:
+        for (df, path, schema), before in zip(tables, old):
+            touched.append((path, before))
+            publish_month(df, path, partition_col, listed, schema)
+    except Exception:
+        for path, before in touched:
+            if before is None:
+                _drop_partitions(spark, path, partition_col, listed)
+            else:
+                publish_month(before, path, partition_col, listed)
+        raise
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """The table has been published: some month folder is there (one name; rows are not listed)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*=*")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def _drop_partitions(spark: SparkSession, path: str, partition_col: str, months: list[int]) -> None:
     """Removes month folders of a published table (bounded by the listed months)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -40,9 +69,10 @@ def _drop_partitions(spark: SparkSession, path: str, partition_col: str, months:
 
 
 def append_run_log(spark: SparkSession, path: str, procedure_name: str, start: _dt.datetime,
-                   end: _dt.datetime | None, ok: bool, error: str | None) -> DataFrame:
+                   end: _dt.datetime | None, ok: bool, error: str | None,
+                   zero_denominators: int | None = None) -> DataFrame:
     """Append one row to the run log (one tiny file per run)."""
-    row = [(procedure_name, start, end, ok, error, _dt.datetime.now(_dt.timezone.utc))]
+    row = [(procedure_name, start, end, ok, error, _dt.datetime.now(_dt.timezone.utc), zero_denominators)]
     df = spark.createDataFrame(row, schemas.RUN_LOG)
     df.coalesce(1).write.mode("append").parquet(path)
     return df

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from areabook.functions.columns import month_key_of
 from areabook.plans import rules
-from areabook.sources import schemas
 from areabook.sources.inputs import Inputs, LazyInputs
 
 
@@ -42,7 +41,17 @@ def _area(col) -> F.Column:
     return F.lpad(F.col(col).cast("string"), 2, "0")
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def proxy_account() -> F.Column:
+    return (80 + F.col("l_linenumber")).cast("bigint") * 10_000_000_000 + F.col("l_partkey") % 10
+
+
+def chart_account() -> F.Column:
+    """Every account of the production chart in turn, by part number."""
+    codes = rules.chart_codes(rules.CHART_ACCOUNTS)
+    return F.get(F.array(*[F.lit(c) for c in codes]), (F.col("l_partkey") % len(codes)).cast("int")).cast("bigint")
+
+
+def ledger(spark: SparkSession, sf_dir: str, account=proxy_account) -> DataFrame:
     """fact_txn_month_raw_data: lineitem x orders x customer x nation."""
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
                "l_extendedprice", "l_shipdate")
@@ -52,8 +61,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice")
     return j.select(
         F.col("l_shipdate").alias("transaction_date"),
-        ((80 + F.col("l_linenumber")).cast("bigint") * 10_000_000_000 + F.col("l_partkey") % 10)
-        .alias("account_code"),
+        account().alias("account_code"),
         F.concat(F.when(F.col("c_nationkey") == 0, "HEAD").otherwise("DVML"), F.lit("."),
                  _area("n_regionkey"), F.lit("."), _area("c_nationkey"), F.lit(".00.000"))
         .alias("analysis_code"),
@@ -118,21 +126,31 @@ def balance_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dim_criteria(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(rules.PROXY_DIM_CRITERIA), schemas.DIM_CRITERIA)
+def dim_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The criteria dimension, read off the first seven nations: S01-S04 (Scale), F01-F03 (Finance)."""
+    k = F.col("n_nationkey")
+    scale = k < 4
+    return _read(spark, sf_dir, "nation", "n_nationkey").filter(k < 7).select(
+        F.when(scale, F.concat(F.lit("S0"), (k + 1).cast("string")))
+        .otherwise(F.concat(F.lit("F0"), (k - 3).cast("string"))).alias("criteria_code"),
+        F.when(scale, "Scale").otherwise("Finance").alias("criteria_type_name"))
 
 
-def dim_criteria_xlsx(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in rules.PROXY_DIM_CRITERIA_XLSX], schemas.DIM_CRITERIA_XLSX)
+def dim_criteria_xlsx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spreadsheet's criteria, read off the regions: SC04, FN01-FN04."""
+    k = F.col("r_regionkey")
+    return _read(spark, sf_dir, "region", "r_regionkey").filter(k < 5).select(
+        F.when(k == 0, "SC04").otherwise(F.concat(F.lit("FN0"), k.cast("string"))).alias("criteria_code"))
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """The report's inputs over the test tables, each built on first use."""
+def inputs(spark: SparkSession, sf_dir: str, account=proxy_account) -> Inputs:
+    """The report's inputs over the test tables, each built on first use. `account`: account codes of
+    the ledger (proxy_account, or chart_account for the production chart of accounts)."""
     return LazyInputs({
-        "ledger": lambda: ledger(spark, sf_dir),
+        "ledger": lambda: ledger(spark, sf_dir, account),
         "loan": lambda: loan_book(spark, sf_dir),
         "kpi": lambda: kpi_facts(spark, sf_dir),
         "balance_txn": lambda: balance_txn(spark, sf_dir),
-        "dim_criteria": lambda: dim_criteria(spark),
-        "dim_criteria_xlsx": lambda: dim_criteria_xlsx(spark),
+        "dim_criteria": lambda: dim_criteria(spark, sf_dir),
+        "dim_criteria_xlsx": lambda: dim_criteria_xlsx(spark, sf_dir),
     })

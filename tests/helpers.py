@@ -38,7 +38,9 @@ def code(area, head=False):
 
 
 def inputs(spark, ledger_rows=(), loan_rows=(), kpi_rows=(), balance_rows=()):
-    from areabook.sources import testdata
+    dim = [("S01", "Scale"), ("S02", "Scale"), ("S03", "Scale"), ("S04", "Scale"),
+           ("F01", "Finance"), ("F02", "Finance"), ("F03", "Finance")]
+    xlsx = [("SC04",), ("FN01",), ("FN02",), ("FN03",), ("FN04",)]
     return Inputs(ledger=ledger(spark, ledger_rows), loan=loan(spark, loan_rows), kpi=kpi(spark, kpi_rows),
-                  balance_txn=balance(spark, balance_rows), dim_criteria=testdata.dim_criteria(spark),
-                  dim_criteria_xlsx=testdata.dim_criteria_xlsx(spark))
+                  balance_txn=balance(spark, balance_rows), dim_criteria=spark.createDataFrame(dim, schemas.DIM_CRITERIA),
+                  dim_criteria_xlsx=spark.createDataFrame(xlsx, schemas.DIM_CRITERIA_XLSX))

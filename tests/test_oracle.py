@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.conftest import SF_ORACLE
 from tests.oracle_compare import compare, duck
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_ORACLE), reason="test data not present")
@@ -18,8 +18,8 @@ def con():
     return duck(SF_ORACLE)
 
 
-def test_every_query_has_an_oracle_but_run_log():
-    assert set(E._report_queries()) - set(SQL) == {"run_log"}
+def test_every_query_has_an_oracle():
+    assert set(E._report_queries()) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -29,11 +29,6 @@ def test_query_matches_oracle(spark, con, name):
     assert got == want
 
 
-def test_run_log_query(spark):
-    rows = E.queries()["run_log"](spark, SF_SMALL).collect()
-    assert [(r.procedure_name, r.is_successful) for r in rows] == [("fact_monthly_summary_prc", True)]
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["fin_id", "area_code", "value", "month_key"]
