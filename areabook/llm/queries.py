@@ -21,14 +21,19 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key", "containment")
 
 
-def page_labels(labels: DataFrame) -> DataFrame:
-    """labels(doc_id, quality, toxic) as outcomes of the pages of the same number."""
+def page_labels(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """labels(doc_id, quality, toxic) as outcomes of the pages whose article has the text of a labelled document."""
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
-    return labels.select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad"))
+    judged = labels.groupBy("doc_id").agg(F.max(bad.cast("int")).alias("bad"))
+    texts = docs.select("doc_id", url_filter.text_print(F.col("text")).alias("print"))
+    known = texts.join(judged, "doc_id").groupBy("print").agg(F.max("bad").alias("bad"))
+    shown = pages.select("page_id", url_filter.text_print(url_filter.article_text(F.col("html"))).alias("print"))
+    return shown.join(known, "print").select("page_id", "bad")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), page_labels(table(spark, sf_dir, "labels")))
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, page_labels(pages, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

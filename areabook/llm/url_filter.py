@@ -5,7 +5,8 @@ Labelled page outcomes (bad or not) are counted per host, registered domain and
 Each level's bad rate is shrunk towards its parent's through a beta-binomial prior: the
 suffix towards the whole table, the domain towards its suffix, the host towards its
 domain. The prior's strength is estimated per level by the method of moments from the
-overdispersion of the counts around their parents. A host is blocked when the lower
+overdispersion of the counts around their parents, weighed with the estimate's own error
+(`_spread`), so few counts never pass for certainty. A host is blocked when the lower
 `z`-bound of its posterior bad rate exceeds `threshold`; hosts without labels inherit
 their domain's or suffix's posterior.
 
@@ -20,6 +21,9 @@ repeat as they come; NULL page_ids are never labelled; no labels at all gives th
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +52,26 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+#: Entities that pages write for characters of their text.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def article_text(html: Column) -> Column:
+    """The text of a page's article without its heading; of the whole body where it has no article."""
+    body = F.regexp_replace(html, r"(?is)<(head|script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->", " ")
+    article = F.regexp_extract(body, r"(?is)<article\b[^>]*>(.*)</article\s*>", 1)
+    text = F.regexp_replace(F.when(article == "", body).otherwise(article), r"(?is)<h1\b.*?</h1\s*>|<[^>]*>", " ")
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def text_print(text: Column) -> Column:
+    """Hash of the lower-case words of a text, whatever stands between them; NULL without words."""
+    said = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    return F.when(said != "", F.sha2(said, 256))
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """struct(rule, verdict) of the longest rule that fits, else NULLs."""
     out = F.struct(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
@@ -73,11 +97,22 @@ def _strength(units: DataFrame, parent: str) -> float:
     var = p * (1 - p)
     r = units.filter("n > 0").agg(
         F.sum(F.pow(F.col("bad") - F.col("n") * p, 2) - F.col("n") * var).alias("over"),
-        F.sum(F.col("n") * (F.col("n") - 1) * var).alias("scale")).first()
-    rho = 0.1 if not r.scale else min(max(r.over / r.scale, 1e-3), 0.999)
+        F.sum(F.col("n") * (F.col("n") - 1) * var).alias("scale"),
+        F.sum(2 * F.col("n") * (F.col("n") - 1) * var * var).alias("noise")).first()
+    rho = 0.1 if not r.scale else _spread(r.over / r.scale, math.sqrt(r.noise) / r.scale)
     return round(1 / rho - 1, 6)
 
 
+def _spread(estimate: float, error: float) -> float:
+    """Mean of the overdispersion within 0..1 given its moment estimate and that estimate's standard error."""
+    near = min(max(estimate, 0.0), 1.0)
+    lo, hi = max(0.0, near - 8 * error), min(1.0, near + 8 * error)
+    x = lo + (np.arange(4000) + 0.5) / 4000 * (hi - lo)
+    log = -((x - estimate) / error) ** 2 / 2
+    w = np.exp(log - log.max())
+    return float(min((x * w).sum() / w.sum(), 0.999))
+
+
 def _inside(rate: Column) -> Column:
     return F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
 
@@ -93,7 +128,7 @@ def _shrunk(units: DataFrame, parent: str, out: str) -> DataFrame:
 def host_reputation(pages: DataFrame, labels: DataFrame, base: float = 0.5, threshold: float = THRESHOLD,
                     z: float = Z) -> DataFrame:
     """(host, domain, suffix, n, bad, posterior, lower, upper, blocked) a host of pages(page_id, host);
-    labels(page_id, bad 0/1). Of each level only two sums reach the driver."""
+    labels(page_id, bad 0/1). Of each level only three sums reach the driver."""
     st = stager(pages.sparkSession, "urls")
     lab = labels.filter(F.col("page_id").isNotNull()).groupBy("page_id").agg(F.max("bad").alias("bad"))
     seen = pages.select("page_id", "host").join(lab, "page_id", "left")

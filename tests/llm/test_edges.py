@@ -336,3 +336,26 @@ def test_pipeline_stages_keep_columns(spark, docs, empty, tmp_path):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, table, str(tmp_path)).columns == docs.columns, name
         assert corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path)).count() == table.count()
+
+
+def test_pages_are_labelled_by_their_text(spark):
+    """A host whose pages show the texts of bad documents is blocked, whatever the pages' numbers."""
+    from areabook.llm import queries
+    text = lambda i: f'Word{i} says "a & b" <{i}>, é'
+    page = lambda i: (f"<html><head><title>t</title><style>p{{}}</style></head><body><nav>n</nav><article><h1>Word</h1><p><b>Word{i}</b> says "
+                      f"&quot;a &amp; b&quot; &lt;{i}&gt;,</p> <p>é</p></article><footer>f</footer></body></html>")
+    docs = spark.createDataFrame([(i, text(i)) for i in range(60)] + [(None, text(1)), (99, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 30), 0) for i in range(60)] + [(99, 0, 1)], "doc_id long, quality int, toxic int")
+    rows = [(59 - i, f"http://{'bad' if i < 30 else 'good'}.x.org/p", page(i)) for i in range(60)]
+    rows += [(100, "http://good.x.org/p", None), (101, "http://good.x.org/p", ""), (102, "http://good.x.org/p", page(1000))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    outcomes = queries.page_labels(pages, docs, labels)
+    assert sorted(map(tuple, outcomes.collect())) == sorted((59 - i, int(i < 30)) for i in range(60))
+    got = url_filter.filter_urls(pages, outcomes).collect()
+    assert {(r.host, r.verdict) for r in got} == {("bad.x.org", "block"), ("good.x.org", "allow")}
+
+
+def test_prior_strength_is_not_pinned():
+    few, many = url_filter._spread(-0.01, 0.02), url_filter._spread(-0.01, 0.0001)
+    assert 0.005 < few < 0.02 and 0 < many < 1e-4
+    assert abs(url_filter._spread(0.3, 0.001) - 0.3) < 1e-3 and 0 < url_filter._spread(1.2, 0.5) < 1
