@@ -1,14 +1,16 @@
 """Secret scan with corpus-wide ownership frequency (built-in functions only).
 
 Every whole text is scanned once for candidate spans: three base kinds with fixed
-patterns, and long opaque tokens that no base span covers. Positions are code points, from the
+patterns, and long opaque tokens that no base span covers whole. Positions are code points, from the
 running lengths of the pieces between matches (a window within a document's matches).
 Candidate values travel as SHA-256 hashes. Each value is counted over the corpus by
 distinct owners and repositories (source, and source with language, here): a value
-that `example_owners` or more owners hold is a widely copied example; one held by at most
-`live_owners` that also looks random (digits and many distinct characters) is a
-live-looking credential. Base spans are always reported; opaque tokens only when live,
-or when their value is a base credential elsewhere that is not an example.
+that `example_owners` or more owners hold is a widely copied example, where it looks random
+(digits and many distinct characters) only if that is also `example_share` of all owners; one
+held by at most `live_owners` that looks random is a live-looking credential, any other is
+shared. Base spans are always reported; opaque tokens that are no examples when they look
+random, when they reach beyond a base span that they overlap (then the whole token is
+reported beside it), or when their value is a base credential elsewhere.
 
 Counting pre-aggregates by (value, owner, repository), so a value with a third of all
 spans costs one row a task; spans meet their value's class in an ordinary join.
@@ -34,6 +36,8 @@ TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 EXAMPLE_OWNERS = 4
 LIVE_OWNERS = 1
+#: Share of all owners that makes a random-looking value an example.
+EXAMPLE_SHARE = 0.5
 
 
 def _found(text: Column, pattern: str, kind: str, rank: int, hint: Column | None, group: int = 0) -> Column:
@@ -76,14 +80,16 @@ def candidates(docs: DataFrame) -> DataFrame:
         (digit & (F.size(chars) >= 8)).alias("random"))
 
 
-def ownership(cand: DataFrame, example_owners: int = EXAMPLE_OWNERS, live_owners: int = LIVE_OWNERS) -> DataFrame:
-    """(value, owners, repos, based, class) a candidate value; class example, live or shared."""
+def ownership(cand: DataFrame, all_owners: int, example_owners: int = EXAMPLE_OWNERS, live_owners: int = LIVE_OWNERS,
+              example_share: float = EXAMPLE_SHARE) -> DataFrame:
+    """(value, owners, repos, based, random, class) a candidate value; class example, live or shared."""
     n = (cand.groupBy("value", "owner", "repo").agg(F.max(F.col("rank") < 3).alias("based"), F.max("random").alias("random"))
          .groupBy("value", "owner").agg(F.count("*").alias("repos"), F.max("based").alias("based"), F.max("random").alias("random"))
          .groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"),
                                F.max("based").alias("based"), F.max("random").alias("random")))
-    return n.select("value", "owners", "repos", "based",
-                    F.when(F.col("owners") >= example_owners, "example")
+    common = ~F.col("random") | (F.col("owners") >= example_share * all_owners)
+    return n.select("value", "owners", "repos", "based", "random",
+                    F.when((F.col("owners") >= example_owners) & common, "example")
                     .when((F.col("owners") <= live_owners) & F.col("random"), "live").otherwise("shared").alias("class"))
 
 
@@ -91,18 +97,19 @@ def spans(docs: DataFrame, **options) -> DataFrame:
     """All reported spans: (doc_id, text_key, kind, rank, start, end, vlen, value, class, owners, repos)."""
     st = stager(docs.sparkSession, "secrets")
     cand = st.stage(candidates(docs), "candidates")
-    own = ownership(cand, **options)
-    one = cand.drop("owner", "repo").distinct()
-    # an opaque token that overlaps a base span says nothing new
+    all_owners = docs.agg(F.count_distinct(F.coalesce("source", F.lit("")))).first()[0]
+    own = ownership(cand, all_owners, **options)
+    one = cand.drop("owner", "repo", "random").distinct()
+    # an opaque token inside a base span says nothing new; one that reaches beyond it does
     order = Window.partitionBy(*KEY).orderBy("start", "rank")
     base_end, base_start = F.when(F.col("rank") < 3, F.col("end")), F.when(F.col("rank") < 3, F.col("start"))
-    one = (one.withColumn("_before", F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    one = (one.withColumn("_before", F.coalesce(F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)))
            .withColumn("_after", F.min(base_start).over(order.rowsBetween(1, Window.unboundedFollowing))))
-    free = ((F.coalesce("_before", F.lit(-1)) <= F.col("start"))
-            & (F.col("_after").isNull() | (F.col("_after") >= F.col("end"))))
-    one = one.filter((F.col("rank") < 3) | free).drop("_before", "_after")
+    one = one.filter((F.col("rank") < 3) | (F.col("_before") < F.col("end")))
+    meets = (F.col("_before") > F.col("start")) | F.coalesce(F.col("_after") < F.col("end"), F.lit(False))
+    one = one.withColumn("_meets", meets).drop("_before", "_after")
     out = one.join(own, "value")
-    added = (F.col("class") == "live") | F.col("based") & (F.col("class") != "example")
+    added = (F.col("class") != "example") & (F.col("random") | F.col("based") | F.col("_meets"))
     return out.filter((F.col("rank") < 3) | added).select(
         *KEY, "kind", "rank", "start", "end", "vlen", "value", "class", "owners", "repos")
 

@@ -359,3 +359,17 @@ def test_prior_strength_is_not_pinned():
     few, many = url_filter._spread(-0.01, 0.02), url_filter._spread(-0.01, 0.0001)
     assert 0.005 < few < 0.02 and 0 < many < 1e-4
     assert abs(url_filter._spread(0.3, 0.001) - 0.3) < 1e-3 and 0 < url_filter._spread(1.2, 0.5) < 1
+
+
+def test_secrets_of_several_owners_and_past_base_spans(spark):
+    key, many, wide = "Zq9r8T7y6U5i4O3p2A1s0Dff", "Kp7x2Lm9Qw4Rt6Yv1Bn8Zc3H", "sk-live-0123456789abcdef01XyZw_Q9"
+    plain = "aaaa-bbbb-1111-aaaa-1111"
+    rows = [(1, f"x {key} y", "a"), (2, f"z {key}", "b"), (3, f"u {wide} v", "a"), (4, "token: " + key + " end", "c")]
+    rows += [(10 + i, f"p {many} q {plain}", f"s{i}") for i in range(4)] + [(20 + i, "none", f"t{i}") for i in range(10)]
+    docs = spark.createDataFrame([(d, t, "en", s) for d, t, s in rows], "doc_id long, text string, lang string, source string")
+    text = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert text[1] == "x [SECRET] y" and text[2] == "z [SECRET]" and text[3] == "u [SECRET] v" and text[4] == "token: [SECRET] end"
+    assert all(text[10 + i] == f"p [SECRET] q {plain}" for i in range(4))       # 4 of 17 owners; the plain value is an example
+    spans = {(r.doc_id, r.kind): (r.start, r.end, r["class"]) for r in secrets.spans(docs).collect()}
+    assert spans[(3, "hex")][:2] == (10, 28) and spans[(3, "token")] == (2, 2 + len(wide), "live")
+    assert spans[(1, "token")][2] == "shared" and (4, "token") not in spans
