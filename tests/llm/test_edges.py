@@ -373,3 +373,27 @@ def test_secrets_of_several_owners_and_past_base_spans(spark):
     spans = {(r.doc_id, r.kind): (r.start, r.end, r["class"]) for r in secrets.spans(docs).collect()}
     assert spans[(3, "hex")][:2] == (10, 28) and spans[(3, "token")] == (2, 2 + len(wide), "live")
     assert spans[(1, "token")][2] == "shared" and (4, "token") not in spans
+
+
+def pseudonyms(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r for r in pii.pseudonymise(rows, "k").orderBy("doc_id").collect()]
+
+
+def test_pii_beside_other_numbers(spark):
+    card = pseudonyms(spark, ["4111 1111 1111 1111"])[0].text
+    flat = card.replace(" ", "")
+    texts = ["item 12 4111 1111 1111 1111", "item 12 4111111111111111", "4111 1111 1111 1111 12/25",
+             "order 12345678 4111 1111 1111 1111, ", "4111 1111 1111 1111 4111-1111-1111-1111", "1234 4111 1111 1111 1111 77 x",
+             "7 " * 5000 + "4111 1111 1111 1111", "4111 1111 1111 1111 10.0.0.1"]
+    got = pseudonyms(spark, texts)
+    for i, r in enumerate(got):
+        assert "1111 1111" not in r.text and "11111111" not in r.text and r.n_card >= 1, (i, r.text[-60:])
+    want = {0: f"item 12 {card}", 1: f"item 12 {flat}", 2: f"{card} 12/25", 3: f"order 12345678 {card}, ",
+            4: card + " " + card.replace(" ", "-"), 5: f"1234 {card} 77 x"}
+    assert {i: got[i].text for i in want} == want and got[4].n_card == 2 and got[7].n_ip == 1 and got[7].text.startswith(card)
+    r = pseudonyms(spark, ["4111111111111111 123", "id 1234 123-45-6789", "no 12345 2024-01-05", "4111 1111 1111 1111 2024-01-05"])
+    assert "4111111111111111" not in r[0].text and r[0].n_card == 1
+    assert r[1].text.startswith("id 1234 ") and r[1].n_ssn == 1 and "123-45-6789" not in r[1].text
+    assert r[2].text.startswith("no 12345 ") and r[2].n_date == 1 and "2024-01-05" not in r[2].text
+    assert r[3].n_card == r[3].n_date == 1 and r[3].text.startswith(card)
