@@ -7,7 +7,11 @@ values different ones:
 * card: 13-19 digits with a valid check digit (Luhn); the payload is permuted and the check
   digit made anew, so pseudonyms are valid too; separators stay. A longer run of digit groups, or
   one whose check fails, is searched for cards among its neighbouring groups;
-* phone: +country (area) exchange-line; the ten national digits are permuted;
+* phone: +country (area) exchange-line and other international numbers of 8 to 15 digits, and
+  national ones as (ddd) ddd-dddd, ddd-ddd-dddd or ddd.ddd.dddd, with 1 before them or not; the digits
+  after the country code are permuted, so +1 and national spellings of a number stay equal;
+* iban: two letters, two check digits (modulo 97) and the account, in groups of four or not; the
+  account's digits are permuted, letters stay, the check digits are made anew;
 * ssn: ddd-dd-dddd with a valid area, group and serial; permuted among valid numbers;
 * ip: dotted quads of 0-255; the 32 bits are permuted;
 * date: valid calendar dates of 1900-2099 as yyyy-mm-dd, dd.mm.yyyy or dd/mm/yyyy; permuted among those days.
@@ -44,8 +48,13 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9])",
-    "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
+    "phone": (r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+              r"|(?<![0-9+])\+(?!1[^0-9]?[0-9])[1-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])"
+              r"|(?<![0-9A-Za-z])(?:1[ .-])?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9-])"
+              r"|(?<![0-9A-Za-z.-])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+              r"|(?<![0-9A-Za-z.-])(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?!\.?[0-9])"),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": rf"(?<![0-9])(?=[0-9](?:[ -]?(?!{_STOP})[0-9]){{12}})[0-9](?:[ -]?(?!{_STOP})[0-9])*+",
 }
 #: A run of digit groups, as the card pattern takes them.
@@ -259,7 +268,7 @@ def _ip(m: Column, key: str) -> Column:
 
 def _date(m: Column, key: str) -> Column:
     first, second = F.substring(m, 1, 2), F.substring(m, 4, 2)
-    iso, us = F.substring(m, 5, 1) == "-", F.lit(False)
+    iso, us = F.substring(m, 5, 1) == "-", (F.substring(m, 3, 1) == "/") & (second.cast("int") > 12)
     year, span = F.substring(m, 7, 4), DAY_FACTORS[0] * DAY_FACTORS[1]
     norm = F.when(iso, m).when(us, F.concat_ws("-", year, first, second)).otherwise(F.concat_ws("-", year, second, first))
     origin = F.lit("1900-01-01").cast("date")

@@ -397,3 +397,23 @@ def test_pii_beside_other_numbers(spark):
     assert r[1].text.startswith("id 1234 ") and r[1].n_ssn == 1 and "123-45-6789" not in r[1].text
     assert r[2].text.startswith("no 12345 ") and r[2].n_date == 1 and "2024-01-05" not in r[2].text
     assert r[3].n_card == r[3].n_date == 1 and r[3].text.startswith(card)
+
+
+def test_pii_common_notations(spark):
+    texts = ["+1 (555) 123-4567", "555-123-4567", "(555) 123-4567", "+1 555 123 4567", "555.123.4567", "1-555-123-4567", "+44 20 7946 0958",
+             "+442079460958", "on 12/25/1990.", "on 25/12/1990.", "13/13/1990", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000",
+             "GB82 WEST 1234 5698 7654 32", "GB82 WEST 1234 5698 7654 33", "AB12 4111 1111 1111 1111"]
+    got = pseudonyms(spark, texts)
+    shape = lambda s: re.sub(r"\d", "0", s)
+    digits = lambda s: re.sub(r"\D", "", s)
+    assert [shape(r.text) for r in got] == [shape(t) for t in texts]
+    assert len({digits(got[i].text)[-10:] for i in range(6)}) == 1 and all(got[i].n_phone == 1 for i in range(8))
+    assert digits(got[6].text) == digits(got[7].text) != digits(texts[6]) and got[6].text.startswith("+44 ")
+    us, eu = got[8].text[3:-1], got[9].text[3:-1]
+    assert int(us[3:5]) > 12 and dt.datetime.strptime(us, "%m/%d/%Y") and us != "12/25/1990" and dt.datetime.strptime(eu, "%d/%m/%Y")
+    assert got[10].text == texts[10] and got[14].text == texts[14]
+    assert got[11].text.replace(" ", "") == got[12].text != texts[12] and got[13].text.startswith("GB") and " WEST " in got[13].text
+    for i in (11, 13):
+        x = got[i].text.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 and got[i].n_iban == 1 and got[i].text != texts[i]
+    assert got[15].n_card == 1 and "4111" not in got[15].text
