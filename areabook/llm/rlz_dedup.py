@@ -14,7 +14,9 @@ spans; the words of a document outside them are kept.
 Tasks read documents in chunks of at most `chunk_words` words (or one longer document) and resolve repeats
 inside a chunk themselves: a window goes to its block only for the chunk's smallest doc_id
 that has it. A passage in very many documents thus costs one entry a chunk, not one a document.
-Blocks hold about `block_bytes` of text each, so their number grows with the corpus.
+Blocks hold about `block_bytes` of text each, so their number grows with the corpus. A first
+pass counts the windows of each block; one of more than `split_windows` (many different windows
+that share a phrase) is split by window hash, so equal windows still meet and results stay.
 
 Edge cases: NULL or empty texts have no words and keep nothing; texts of fewer than
 `window` words are kept whole; rows with a NULL doc_id are kept whole and are no
@@ -36,6 +38,7 @@ WINDOW = 13
 ANCHOR = 5
 CHUNK_WORDS = 1 << 19
 BLOCK_BYTES = 6 << 20
+SPLIT_WINDOWS = 1 << 21
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 ENTRY = "block long, runs binary, hashes binary, done binary"
 FACTOR = "doc_id long, text_key long, start int, n_windows int, ref_doc long, ref_start int"
@@ -91,8 +94,19 @@ def _first_places(h, doc, pos):
 class _Chunk:
     """Windows of the documents read so far in a task."""
 
-    def __init__(self, window: int, blocks: int):
+    def __init__(self, window: int, blocks: int, split: dict[int, int]):
         self.window, self.blocks, self.parts, self.words = window, blocks, [], 0
+        self.split_ids = np.array(sorted(split), dtype=np.int64)
+        self.split_into = np.array([split[b] for b in sorted(split)], dtype=np.int64)
+
+    def _spread(self, block, h, doc, known):
+        """Blocks with the part of a split one in them: new windows by hash, settled ones by document."""
+        if not len(self.split_ids):
+            return block
+        i = np.minimum(np.searchsorted(self.split_ids, block), len(self.split_ids) - 1)
+        k = np.where(self.split_ids[i] == block, self.split_into[i], 1)
+        by_hash = ((h * _MIX) >> np.uint64(33)).astype(np.int64) % k
+        return block + self.blocks * np.where(known, doc % k, by_hash)
 
     def add(self, doc: int, key: int, text: str) -> None:
         h = word_hashes(text.encode().split())
@@ -112,6 +126,7 @@ class _Chunk:
         self.parts, self.words = [], 0
         first = _first_places(h, doc, pos)
         known = doc[first] < doc
+        block = self._spread(block, h, doc, known)
         order = np.argsort(block, kind="stable")       # text order stays inside a block
         bounds = np.flatnonzero(np.concatenate(([True], np.diff(block[order]) != 0)))
         out = {"block": [], "runs": [], "hashes": [], "done": []}
@@ -132,9 +147,31 @@ class _Chunk:
             [("block", pa.int64()), ("runs", pa.binary()), ("hashes", pa.binary()), ("done", pa.binary())]))
 
 
-def _entries(window: int, blocks: int, chunk_words: int):
+def _counts(window: int, blocks: int, chunk_words: int):
+    """Windows a block, of about `chunk_words` words at a time."""
+    def total(found):
+        block, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(block), pa.array(n.astype(np.int64))], ["block", "n"])
+
+    def run(batches):
+        found, words = [], 0
+        for b in batches:
+            for text in b.column(0):
+                h = word_hashes(text.as_py().encode().split())
+                if len(h) >= window:
+                    found.append(_block_of(h, window, blocks))
+                    words += len(h)
+                if words >= chunk_words:
+                    yield total(found)
+                    found, words = [], 0
+        if found:
+            yield total(found)
+    return run
+
+
+def _entries(window: int, blocks: int, chunk_words: int, split: dict[int, int]):
     def run(batches):
-        chunk = _Chunk(window, blocks)
+        chunk = _Chunk(window, blocks, split)
         for b in batches:
             for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 chunk.add(doc, key, text.as_py())
@@ -164,16 +201,27 @@ def _settle(group: pd.DataFrame) -> pd.DataFrame:
                          "ref_doc": hits["ref"], "ref_start": hits["at"]})
 
 
-def pieces(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Runs of windows known from a smaller doc_id: (doc_id, text_key, start, n_windows, ref_doc, ref_start)."""
+def entries(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, chunk_words: int = CHUNK_WORDS,
+            split_windows: int = SPLIT_WINDOWS) -> tuple[DataFrame, int]:
+    """(what each chunk sends to each index block or part of one, the number of those)."""
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     size = known.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     blocks = max(1, -(-size // block_bytes))
+    split = {}
+    if size // 2 > split_windows:                       # a word has two bytes at least, with the blank before it
+        n = known.select("text").mapInArrow(_counts(window, blocks, chunk_words), "block long, n long").groupBy("block").agg(F.sum("n").alias("n"))
+        # at most one row for split_windows windows of the corpus
+        split = {r.block: -(-2 * r.n // split_windows) for r in n.filter(F.col("n") > split_windows).collect()}
     rows = known.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
-    entries = rows.mapInArrow(_entries(window, blocks, chunk_words), ENTRY)
+    return rows.mapInArrow(_entries(window, blocks, chunk_words, split), ENTRY), blocks + sum(split.values()) - len(split)
+
+
+def pieces(docs: DataFrame, window: int = WINDOW, **options) -> DataFrame:
+    """Runs of windows known from a smaller doc_id: (doc_id, text_key, start, n_windows, ref_doc, ref_start)."""
+    sent, blocks = entries(docs, window, **options)
     # the number of tasks grows with the corpus, whatever the session's number of shuffle partitions
     tasks = max(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return entries.repartition(tasks, "block").groupBy("block").applyInPandas(_settle, FACTOR)
+    return sent.repartition(tasks, "block").groupBy("block").applyInPandas(_settle, FACTOR)
 
 
 def parse(start: np.ndarray, n: np.ndarray, ref: np.ndarray, at: np.ndarray, window: int) -> list[tuple]:

@@ -417,3 +417,20 @@ def test_pii_common_notations(spark):
         x = got[i].text.replace(" ", "")
         assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 and got[i].n_iban == 1 and got[i].text != texts[i]
     assert got[15].n_card == 1 and "4111" not in got[15].text
+
+
+def test_substring_dedup_splits_blocks_of_a_shared_phrase(spark):
+    from pyspark.sql import functions as F
+    phrase = "one phrase of five words"
+    side = lambda i, s: " ".join(f"{s}{i * 7 + j}" for j in range(12))
+    rows = [(i, f"{side(i, 'a')} {phrase} {side(i, 'b')}") for i in range(600)] + [(1000 + i, f"{side(i, 'a')} {phrase} new") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    options = {"block_bytes": 4000, "chunk_words": 2000}
+
+    def largest(**more):
+        sent, _ = rlz_dedup.entries(docs, **options, **more)
+        return sent.groupBy("block").agg(F.sum(F.length("hashes") / 8).alias("n")).agg(F.max("n")).first()[0]
+    assert largest() > 600 and largest(split_windows=400) <= 400
+    cols = ["doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)]
+    for split_windows in (100, 1 << 21):
+        same(rlz_dedup.dedup(docs, **options, split_windows=split_windows).select(*cols), brute.substring_dedup(rows))
