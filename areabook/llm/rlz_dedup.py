@@ -4,11 +4,11 @@ The reference is the whole corpus, cut into index blocks. Every window of `windo
 hashed; a window's block follows from the smallest five-word hash inside it, so runs of
 neighbouring windows, and equal windows everywhere, fall into the same block. A block
 lists, for each distinct window, its first place in the corpus (smallest doc_id, then
-position). A document is factored greedily from left to right against all blocks: from a
-window known from a smaller doc_id the factor runs on as long as the next window continues
-at the same place of the same reference document; where it does not, the factor ends and
-the windows across the boundary are checked on their own, so what straddles two factors is
-removed only if it occurs as such. Factors of `window` words or more are the duplicate
+position). Windows are joined by their 64-bit hash; no reference text is compared. The runs of
+a document are merged into factors afterwards: from a window known from a smaller doc_id the
+factor runs on as long as the next window's first place continues in the same reference
+document, so text copied from a document that itself copied an older one can be several
+factors where a longest match would be one; what is removed is the same. Factors of `window` words or more are the duplicate
 spans; the words of a document outside them are kept.
 
 Tasks read documents in chunks of at most `chunk_words` words (or one longer document) and resolve repeats
