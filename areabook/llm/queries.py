@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from areabook.llm import chat, decontaminate, mixing, pii, quality_rules, rlz_dedup, secrets, simhash, token_scan, url_filter
-from areabook.llm.common import stager, table
+from areabook.llm import (chat, conversation_repair, decontaminate, mixing, pii, quality_rules, rlz_dedup, secrets, simhash,
+                          token_scan, url_filter)
+from areabook.llm.common import left_join, stager, table
 
 #: Key of the pseudonyms where the session sets none (tests, the check).
 PII_KEY_SETTING, PII_TEST_KEY = "spark.areabook.pii.key", "areabook test key"
@@ -90,18 +91,84 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, repaired; a conversation that lost all its rows is empty."""
+    rows = table(spark, sf_dir, "conversations")
+    done = conversation_repair.repair(conversation_repair.damage(rows))
+    out = left_join(rows.select("conv_id").distinct(), done, ["conv_id"])
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in conversation_repair.FACTS],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_url_filter, op4_token_counts, op5_substring_dedup, op6_mixing,
-                                   op7_secret_scan, op8_simhash, op9_chat_format, op10_quality_rules, pipeline)}
+                                   op7_secret_scan, op8_simhash, op9_chat_format, op10_quality_rules,
+                                   op13_conversation_repair, pipeline)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _ITEM_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _cell(cell: str, cost: str, edit: str) -> str:
+    """A cell of the repair programme is its cost in nine digits and its audit, so text order is (cost, audit)."""
+    return f"lpad(cast(cast({cell}[:9] as integer) + {cost} as varchar), 9, '0') || {cell}[10:] || '{edit}'"
+
+
+def _repair_sql() -> str:
+    """Rows one by one through the states 0 start, 1 system, 2 user, 3 assistant, Inserts after every step."""
+    keep = lambda s, p: f"case when symbol = '{s}' and not gone then {_cell(p, 'late', 'K')} end"
+    role = lambda p: f"case when not gone then {_cell(p, 'late + 2', 'R')} end"
+    drop = lambda p: _cell(p, "3", "D")
+    to_user = ", ".join(f"{keep('u', p)}, {role(p)}" for p in ("c0", "c1", "c3"))
+    ins = lambda p: _cell(p, "2", "I")
+    pos = "turn nulls first, role, text"
+    return rf"""
+with recursive bits(k) as (select unnest(range(8))),
+src as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+  coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') k from conversations),
+fate as (select *, xor(list_reduce(list_transform(string_split(k, ''), lambda z: cast(ascii(z) as bigint)),
+  lambda crc, z: list_reduce(range(8), lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end, xor(crc, z)),
+  4294967295), 4294967295) % 20 f from src),
+hurt as (select conv_id, turn, case when f = 4 then 'user' else role end role,
+  case when f = 1 then '' when f = 2 then translate(text, '.!?', '') else text end text,
+  unnest(range(case when f = 0 then 0 when f = 3 then 2 else 1 end)) c from fate),
+seq as (select *, row_number() over (partition by conv_id order by {pos}) r,
+  lag(role) over (partition by conv_id order by {pos}) before, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) said
+  from hurt),
+place as (select *, row_number() over (partition by conv_id, role, text order by r) nth from seq),
+row as (select *, said = '' blank, said <> '' and nth > 1 again,
+  said <> '' and nth = 1 and right(said, 1) not in ('.', '!', '?') cut, role[1:1] symbol from place),
+fact as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps,
+  count(*) filter (where blank) blank, count(*) filter (where again) duplicate, count(*) filter (where cut) truncated,
+  count(*) filter (where before is not null and before[1:1] || symbol not in ('su', 'ua', 'au')) illegal, count(*) n from row group by conv_id),
+run as (select conv_id, 0::bigint r, '000000000' c0, null::varchar c1, '000000002I' c2, '000000004II' c3 from fact
+  union all
+  select conv_id, r, c0, c1, least(c2, {ins('c0')}, {ins('c1')}, {ins('c3')}),
+    least(c3, {ins('c2')}, {ins(f"(least(c2, {ins('c0')}, {ins('c1')}))")}) from (
+    select p.conv_id, w.r, {drop('c0')} c0, least({drop('c1')}, {keep('s', 'c0')}) c1,
+      least({drop('c2')}, {to_user}) c2, least({drop('c3')}, {keep('a', 'c2')}, {role('c2')}) c3
+    from run p join (select *, blank or again gone, case when cut then 1 else 0 end late from row) w
+      on p.conv_id is not distinct from w.conv_id and w.r = p.r + 1)),
+last as (select f.*, least(c0, c3) x from fact f join run on f.conv_id is not distinct from run.conv_id and r = n),
+edit as (select conv_id, x[10:] audit, unnest(string_split(x[10:], '')) e, generate_subscripts(string_split(x[10:], ''), 1) i from last),
+made as (select conv_id, e, i, sum(case when e <> 'I' then 1 else 0 end) over (partition by conv_id order by i) r,
+  sum(case when e <> 'D' then 1 else 0 end) over (partition by conv_id order by i) m,
+  sum(case when e <> 'D' then 1 else 0 end) over (partition by conv_id) % 2 odd from edit),
+said as (select a.conv_id, string_agg(case when e = 'K' then w.role when (m + odd) % 2 = 1 then 'user' else 'assistant' end || ':' ||
+    case when e = 'I' then '' else w.text end, chr(10) order by i) t
+  from made a left join row w on a.conv_id is not distinct from w.conv_id and a.r = w.r where e <> 'D' group by a.conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cast(x[:9] as bigint), 0) as cost,
+  coalesce(x[10:], '') as audit, sha256(coalesce(t, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join last on o.conv_id is not distinct from last.conv_id
+left join said on o.conv_id is not distinct from said.conv_id"""
+
+
 #: DuckDB SQL of the queries that SQL can express (the others: tests/llm holds them against plain Python).
 ORACLES: dict[str, str] = {
     "op2_decontaminate": f"""
@@ -138,4 +205,5 @@ said as (select conv_id, count(*) n_turns,
   from row group by conv_id)
 select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
   cast(f as bigint) as formatted_chars from said""",
+    "op13_conversation_repair": _repair_sql(),
 }
