@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from areabook.llm import (chat, conversation_repair, decontaminate, mixing, pii, quality_rules, rlz_dedup, secrets, simhash,
-                          token_scan, url_filter)
+from areabook.llm import (chat, conversation_repair, decontaminate, hard_negatives, mixing, pii, quality_rules, rlz_dedup, secrets,
+                          simhash, token_scan, url_filter)
 from areabook.llm.common import left_join, stager, table
 
 #: Key of the pseudonyms where the session sets none (tests, the check).
@@ -91,6 +91,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose vec_id is divisible by 7 are mislabelled on purpose; anchors are those divisible by 50."""
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), hard_negatives.quantise(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged conversations, repaired; a conversation that lost all its rows is empty."""
     rows = table(spark, sf_dir, "conversations")
@@ -108,7 +116,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_url_filter, op4_token_counts, op5_substring_dedup, op6_mixing,
                                    op7_secret_scan, op8_simhash, op9_chat_format, op10_quality_rules,
-                                   op13_conversation_repair, pipeline)}
+                                   op12_hard_negatives, op13_conversation_repair, pipeline)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -205,5 +213,18 @@ said as (select conv_id, count(*) n_turns,
   from row group by conv_id)
 select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
   cast(f as bigint) as formatted_chars from said""",
+    "op12_hard_negatives": """
+with fit as (select row_number() over () rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * cast(x as double))) v from embeddings
+  where label is not null and embedding is not null
+  and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)),
+pair as (select a.rid a, a.vec_id anchor_id, a.label = b.label same, b.rid r, b.vec_id, cast(list_inner_product(a.v, b.v) as bigint) s
+  from fit a, fit b where a.vec_id % 50 = 0 and a.rid <> b.rid),
+pos as (select a, anchor_id, vec_id positive_id, s positive_score, row_number() over (partition by a order by s desc, vec_id nulls last, r) nth
+  from pair where same qualify nth <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by a, nth order by s desc, vec_id nulls last, r) as integer) as "rank",
+  vec_id as negative_id, positive_score, s as negative_score
+from pos join (select a, r, vec_id, s from pair where not same) using (a)
+where 50 * positive_score <= 100 * s and 100 * s <= 95 * positive_score qualify "rank" <= 3""",
     "op13_conversation_repair": _repair_sql(),
 }
