@@ -8,7 +8,8 @@ are stored, for several widths of segments. Over a segment of L components
 
 (Cauchy-Schwarz on what is left after the means), so two products of the summaries, added up over the
 segments, bound a score from both sides. Pairs go through the levels from wide to narrow segments;
-a pair stays while its bounds leave it a chance; only what passes the last level is scored exactly.
+a pair stays while its bounds leave it a chance. What passes the last level is scored exactly, the likeliest rows of
+an anchor first: a row whose upper bound is under the k-th best score already known needs none.
 
 * Positives of an anchor: the k best rows of its label. A pair goes when its upper bound is under
   the k-th best lower bound.
@@ -49,6 +50,8 @@ LOW, HIGH = 50, 95
 #: Widths of the segments, from the first filter to the last.
 WIDTHS = (16, 4, 2)
 BLOCK_ROWS, ANCHOR_ROWS = 4096, 256
+#: Likeliest rows scored first to learn a cut, as a multiple of the rows asked for.
+SEEDS = 8
 LIMIT, MAX_WIDTH = 1 << 26, 1024
 #: Sorts after every id.
 NO_ID = np.iinfo(np.int64).max
@@ -158,15 +161,31 @@ def _kth(x: np.ndarray, k: int) -> np.ndarray:
     return np.partition(x, x.shape[1] - k, axis=1)[:, x.shape[1] - k]
 
 
-def _refine(a: Block, b: Block, alive: np.ndarray, prune) -> np.ndarray:
-    """alive (anchors x rows), less what the levels rule out one after the other."""
+def _refine(a: Block, b: Block, alive: np.ndarray, prune) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """alive (anchors x rows), less what the levels rule out one after the other; and the last level's bounds."""
+    low = high = np.zeros(alive.shape)
     for level in _levels(a.width):
         rows = np.flatnonzero(alive.any(axis=0))
         if not len(rows):
             break
-        low, high = bounds(a, b, level, rows)
-        alive[:, rows] = prune(low, high, alive[:, rows])
-    return alive
+        part, low, high = alive[:, rows], np.full(alive.shape, -np.inf), np.full(alive.shape, -np.inf)
+        low[:, rows], high[:, rows] = bounds(a, b, level, rows)
+        alive[:, rows] = prune(low[:, rows], high[:, rows], part)
+    return alive, low, high
+
+
+def _worth(a: Block, i: int, b: Block, rows: np.ndarray, low: np.ndarray, high: np.ndarray, k: int, ranges) -> np.ndarray:
+    """The rows still worth an exact score, once the likeliest ones of each range (by the middle of their bounds) have theirs:
+    a row whose upper bound is under the k-th best score known in every range it can reach cannot be among the k best."""
+    keep, guess = np.zeros(len(rows), dtype=bool), (low + high) / 2
+    for bottom, top in ranges:
+        may = np.flatnonzero((high >= bottom) & (low <= top))
+        likely = may[np.argsort(-np.where(guess[may] <= top, guess[may], -np.inf), kind="stable")[:SEEDS * k]]
+        known = exact(a, i, b, rows[likely])
+        known = np.sort(known[(known >= bottom) & (known <= top)])
+        cut = known[-k] if len(known) >= k else bottom
+        keep[may[high[may] >= cut]] = True
+    return rows[keep]
 
 
 def _best(scores: np.ndarray, rows: np.ndarray, b: Block, k: int) -> np.ndarray:
@@ -181,9 +200,10 @@ def best_positives(a: Block, b: Block, k: int) -> Iterator[tuple]:
     def prune(low, high, alive):
         return alive & (high >= _kth(np.where(alive, low, -np.inf), k)[:, None])
 
-    alive = _refine(a, b, alive, prune)
+    alive, low, high = _refine(a, b, alive, prune)
     for i in np.flatnonzero(alive.any(axis=1)):
         rows = np.flatnonzero(alive[i])
+        rows = _worth(a, i, b, rows, low[i, rows], high[i, rows], k, [(-np.inf, np.inf)])
         scores = exact(a, i, b, rows)
         for j in _best(scores, rows, b, k):
             yield i, rows[j], int(scores[j])
@@ -209,9 +229,10 @@ def best_negatives(a: Block, b: Block, k: int, low: int, high: int) -> Iterator[
             keep |= may & (upper >= _kth(np.where(sure, lower, -np.inf), k)[:, None])
         return keep
 
-    alive = _refine(a, b, alive, prune)
+    alive, lower, upper = _refine(a, b, alive, prune)
     for i in np.flatnonzero(alive.any(axis=1)):
         rows = np.flatnonzero(alive[i])
+        rows = _worth(a, i, b, rows, lower[i, rows], upper[i, rows], k, list(zip(bottom[i], top[i])))
         scores = exact(a, i, b, rows)
         for p in range(places):
             inside = np.flatnonzero((scores >= bottom[i, p]) & (scores <= top[i, p]))

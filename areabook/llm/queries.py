@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from areabook.llm import (chat, conversation_repair, decontaminate, hard_negatives, mixing, pii, quality_rules, rlz_dedup, secrets,
-                          simhash, token_scan, url_filter)
+from areabook.llm import (chat, conversation_repair, decontaminate, hard_negatives, license_scan, mixing, pii, quality_rules, rlz_dedup,
+                          secrets, simhash, token_scan, url_filter)
 from areabook.llm.common import left_join, stager, table
 
 #: Key of the pseudonyms where the session sets none (tests, the check).
@@ -91,6 +91,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose vec_id is divisible by 7 are mislabelled on purpose; anchors are those divisible by 50."""
     rows = hard_negatives.usable(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding")
@@ -116,7 +120,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_url_filter, op4_token_counts, op5_substring_dedup, op6_mixing,
                                    op7_secret_scan, op8_simhash, op9_chat_format, op10_quality_rules,
-                                   op12_hard_negatives, op13_conversation_repair, pipeline)}
+                                   op11_license_scan, op12_hard_negatives, op13_conversation_repair, pipeline)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

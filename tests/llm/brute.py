@@ -160,3 +160,102 @@ def quality_base(text):
             rep.update(range(i, i + 8))
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(rep),
             len(w) < 20 or 100 * len(rep) > 30 * len(w))
+
+
+# ---- licences, hard negatives, conversation repair ----------------------------------------------
+
+def item_words(text):
+    return ITEM_WORD.findall((text or "").translate(LOWER))
+
+
+def license_base(docs):
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels)."""
+    phrases = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
+    out = []
+    for doc, text in docs:
+        w = item_words(text)
+        at = [(i, label) for i in range(len(w)) for p, label in phrases.items() if tuple(w[i:i + len(p)]) == p]
+        out.append((doc, len(w), len(at), min(at)[0] if at else None, max(at)[0] if at else None, ",".join(sorted({x for _, x in at}))))
+    return out
+
+
+def license_detections(text, rules):
+    """Detections (label, tier, start, end) that stand, every pair of matches compared."""
+    norm = " " + " ".join(item_words(text)) + " "
+    found = []
+    for k, (tier, label, _, pattern) in enumerate(rules):
+        p = re.sub(r"<(\d+)>", r"(?: [^ ]+){0,\1}", pattern)
+        pos = 0
+        while m := re.compile(f"(?<= )(?:{p})(?= )").search(norm, pos):
+            start = norm[:m.start()].count(" ") - 1
+            found.append((start, start + m[0].count(" ") + 1, tier, k, label))
+            pos = m.end()
+    stands = lambda x: not any(
+        y is not x and y[0] <= x[0] and y[1] >= x[1] and (y[2], y[0] - y[1], y[3]) < (x[2], x[0] - x[1], x[3]) for y in found)
+    return sorted((s, -e, t, k, label) for s, e, t, k, label in filter(stands, found))
+
+
+def hard_negatives(rows, anchor, positives=5, negatives=3, low=50, high=95):
+    """rows (vec_id, label, integers) -> all result rows, every pair scored."""
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    order = lambda r: (-r[0], r[1] is None, r[1] or 0, r[2])
+    out = []
+    for i, vec, label, v in rows:
+        if vec is None or not anchor(vec):
+            continue
+        scored = [(dot(v, w), other, j, lab) for j, other, lab, w in rows if j != i]
+        for ps, pid, _, _ in sorted((s for s in scored if s[3] == label), key=order)[:positives]:
+            fit = sorted((s for s in scored if s[3] != label and low * ps <= 100 * s[0] <= high * ps), key=order)[:negatives]
+            out += [(vec, pid, k + 1, s[1], ps, s[0]) for k, s in enumerate(fit)]
+    return out
+
+
+def repair(rows):
+    """rows (conv_id, turn, role, text) after damage -> {conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, sha)},
+    by a shortest-path search from left to right with the repaired lines carried along."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        convs[conv].append((turn is not None, turn or 0, " " if role is None else role, " " if text is None else text))
+    out = {}
+    for conv, lines in convs.items():
+        lines.sort()
+        seen, faults = set(), []
+        for _, _, role, text in lines:
+            last = text.rstrip(" \t\n\x0b\x0c\r")[-1:]
+            faults.append("blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last not in ".!?" else "")
+            seen.add((role, text))
+        turns = [t for known, t, _, _ in lines if known]
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(lines, lines[1:]))
+        step = lambda said, s: said + s if re.fullmatch("(s?(ua)*u?)?", said + s) else None
+        heads = {"": (0, "", ())}                       # by the last initial, "" where nothing was said
+        state = lambda said: said if said in ("", "s") else said[-1]
+        full = {"": "", "s": "s", "u": "u", "a": "ua"}
+
+        def put(new, key, value):
+            if key is not None and (state(key) not in new or value < new[state(key)]):
+                new[state(key)] = value
+
+        def inserted(heads):
+            for _ in range(4):
+                for k, (c, a, said) in list(heads.items()):
+                    for s, name in (("u", "user"), ("a", "assistant")):
+                        put(heads, step(full[k], s), (c + 2, a + "I", said + (f"{name}:",)))
+            return heads
+
+        heads = inserted(heads)
+        for (_, _, role, text), fault in zip(lines, faults):
+            new, extra = {}, fault == "truncated"
+            for k, (c, a, said) in heads.items():
+                put(new, full[k], (c + 3, a + "D", said))
+                if fault in ("", "truncated"):
+                    if role[:1] in ("s", "u", "a"):
+                        put(new, step(full[k], role[:1]), (c + extra, a + "K", said + (f"{role}:{text}",)))
+                    for s, name in (("u", "user"), ("a", "assistant")):
+                        put(new, step(full[k], s), (c + 2 + extra, a + "R", said + (f"{name}:{text}",)))
+            heads = inserted(new)
+        cost, audit, said = min(heads[k] for k in ("", "a") if k in heads)
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out[conv] = (gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit,
+                     sha("\n".join(said)))
+    return out
