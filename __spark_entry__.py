@@ -16,12 +16,14 @@ know of the log: jobs, success, order of the times, published rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import round_half_up, scale_millions
+from areabook.operators import tree
 from areabook.operators.allocate import rule_pools
 from areabook.operators.drivers import driver_share, npl_ratio_a
 from areabook.operators.rollup import network_totals
@@ -36,8 +38,9 @@ from areabook.plans import rules as R
 from areabook.plans import summary_a as SA
 from areabook.plans import summary_b as SB
 from areabook.plans.staging import Stager, union_all
-from areabook.sources import schemas, testdata
-from areabook.sources.sinks import publish_all, publish_month
+from areabook.sources import testdata
+from areabook.sources.mart import Mart
+from areabook.sources.sinks import read_run_log
 
 MONTH = R.TEST_MONTH
 RULES = R.PROXY_RULES_A
@@ -165,22 +168,33 @@ def _from_stores(spark, sf_dir, job: str) -> DataFrame:
 
 
 def _month_republish(spark, sf_dir) -> DataFrame:
-    """Publish summary A of two months into a fresh table, then one of them again, and read both back:
+    """Publish summary A of two months into a fresh mart, then one of them again, and read both back:
     the second publish replaces its month (one copy) and leaves the other alone."""
-    path = f"{Stager(spark, 'republish').root}/fact_monthly_summary"
-    publish_month(_build(spark, sf_dir, "a_backfill").result, path, months=BACKFILL_MONTHS, schema=schemas.SUMMARY)
-    publish_month(_build(spark, sf_dir, "a").result, path, months=[MONTH], schema=schemas.SUMMARY)
-    return _tall(spark.read.parquet(path))
+    mart, name = Mart(spark, Stager(spark, "republish").root), "fact_monthly_summary_a"
+    mart.publish({name: _build(spark, sf_dir, "a_backfill").result}, BACKFILL_MONTHS)
+    mart.publish({name: _build(spark, sf_dir, "a").result}, [MONTH])
+    mart.compact()
+    return _tall(mart.read(name))
 
 
 def _scorecard_republish(spark, sf_dir) -> DataFrame:
-    """The same for scorecard A and the summary beside it, published together: two months, then one again."""
-    st = Stager(spark, "scorecard_republish")
-    at = [(f"{st.root}/fact_monthly_summary_a", schemas.SUMMARY), (f"{st.root}/fact_monthly_report_kpi_asm_a", schemas.KPI_A_OUT)]
+    """The same for scorecard A and the summary beside it, published together: two months, then one again;
+    what the commits replaced is cleared before reading."""
+    mart = Mart(spark, Stager(spark, "scorecard_republish").root)
     for job, months in (("ka_backfill", BACKFILL_MONTHS), ("ka", (MONTH,))):
         k = _build(spark, sf_dir, job)
-        publish_all([(df, *where) for df, where in zip((k.summary.result, k.result), at)], months, st)
-    return spark.read.parquet(at[1][0]).select(*KA.COLUMNS)
+        mart.publish({"fact_monthly_summary_a": k.summary.result, "fact_monthly_report_kpi_asm_a": k.result}, months)
+    mart.vacuum(dt.timedelta(0))
+    return mart.read("fact_monthly_report_kpi_asm_a").select(*KA.COLUMNS)
+
+
+def _summary_variants(spark, sf_dir) -> DataFrame:
+    """Both summaries of a month as one table, published apart and read from one snapshot."""
+    mart = Mart(spark, Stager(spark, "variants").root)
+    for v in ("a", "b"):
+        mart.publish({f"fact_monthly_summary_{v}": _build(spark, sf_dir, v).result}, [MONTH])
+    both = mart.variants({"A": "fact_monthly_summary_a", "B": "fact_monthly_summary_b"}, [MONTH])
+    return both.select("variant", "fin_id", "area_code", "value", "month_key")
 
 
 def _run_log(spark, sf_dir) -> DataFrame:
@@ -190,10 +204,10 @@ def _run_log(spark, sf_dir) -> DataFrame:
     jobs.run_kpi_a(spark, testdata.inputs(spark, sf_dir), out, MONTH, RULES)
     made = {"fact_monthly_summary_prc": "fact_monthly_summary_a",
             "fact_monthly_report_kpi_asm_prc_a": "fact_monthly_report_kpi_asm_a"}
-    held = union_all([spark.read.parquet(f"{out}/{t}").groupBy(F.col("month_key").cast("int").alias("month_key"))
-                      .agg(F.count(F.lit(1)).alias("published_rows")).withColumn("procedure_name", F.lit(p))
-                      for p, t in made.items()])
-    return spark.read.parquet(f"{out}/log_tracking").join(held, "procedure_name").select(
+    shot = Mart(spark, out).snapshot()
+    held = union_all([shot.table(t).groupBy("month_key").agg(F.count(F.lit(1)).alias("published_rows"))
+                      .withColumn("procedure_name", F.lit(p)) for p, t in made.items()])
+    return read_run_log(spark, f"{out}/log_tracking").join(held, "procedure_name").select(
         "procedure_name", "month_key", "is_successful", "error_log",
         (F.col("end_time") >= F.col("start_time")).alias("ends_after_start"), "published_rows")
 
@@ -203,6 +217,12 @@ def _summary_a_chart(spark, sf_dir) -> DataFrame:
     return _tall(SA.build(testdata.inputs(spark, sf_dir, testdata.chart_account), MONTH, R.CHART_RULES_A).result)
 
 
+def _rollup_tree(spark, sf_dir) -> DataFrame:
+    """The roll-ups of summary A once more, by the report tree as a table of edges."""
+    edges = spark.createDataFrame([(p, c) for p, cs in RULES.rollups for c in cs], "parent int, child int")
+    return _tall(tree.rollup(_build(spark, sf_dir, "a").result, tree.closure(edges)))
+
+
 def _network_totals(spark, sf_dir) -> DataFrame:
     return network_totals(_build(spark, sf_dir, "a").result, RATIOS_A)
 
@@ -277,7 +297,9 @@ def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_republish": _month_republish,
         "scorecard_republish": _scorecard_republish,
         "run_log": _run_log,
+        "summary_variants": _summary_variants,
         "summary_a_chart": _summary_a_chart,
+        "rollup_tree": _rollup_tree,
         "network_totals": _network_totals,
         "zero_denominators_b": lambda s, d: SB.zero_denominators(_build(s, d, "b").result),
     }
@@ -341,6 +363,7 @@ def _report_oracles() -> dict[str, str]:
         "alloc_provision": _sql_fins(qa, "summary_a", (9,)),
         "funding_cost_lines": _sql_fins(qa, "summary_a", (4, 20, 21, 22)),
         "pnl_rollup": _sql_fins(qa, "summary_a", (4, 5, 6, 7, 8, 1)),
+        "rollup_tree": _sql_fins(qa, "summary_a", (4, 5, 6, 7, 8, 1)),
         "ratio_cir": _sql_fins(qa, "summary_a", (R.CIR_FIN_A,)),
         "ratio_margin": _sql_fins(qa, "summary_a", (R.MARGIN_FIN_A,)),
         "ratio_capital": _sql_fins(qa, "summary_a", (R.CAPITAL_FIN_A,)),
@@ -382,6 +405,8 @@ def _report_oracles() -> dict[str, str]:
             f"select '{job}' as procedure_name, cast({m} as integer) as month_key, true as is_successful,"
             f" cast(null as varchar) as error_log, true as ends_after_start, count(*) as published_rows from {t}"
             for job, t in (("fact_monthly_summary_prc", "summary_a"), ("fact_monthly_report_kpi_asm_prc_a", "kpi_a"))), RULES),
+        "summary_variants": f"select 'A' as variant, * from ({qa(A.out('summary_a'))}) union all "
+                            f"select 'B' as variant, * from ({qb(A.out('summary_b'))})",
         "summary_a_chart": A.query(m, A.out("summary_a"), R.CHART_RULES_A, proxies.chart_account(R.CHART_ACCOUNTS)),
         "network_totals": qa("select cast(month_key as integer) as month_key, fin_id, cast(sum(value) as double) as company,"
                              " cast(sum(value) filter (where area_code <> '00') as double) as network_only"

@@ -6,7 +6,7 @@ reproducible where it is not):
 * money is summed as DECIMAL; the ledger scale 1/1,000,000 is an exact decimal
   multiplication, giving DECIMAL(30,8);
 * averages are cast(sum as double) / count of non-null values;
-* a share divides by a total of doubles that are added in ascending order, so the
+* a share divides by a total of doubles that is added up exactly in two integer limbs, so the
   order in which partitions add up cannot change it; shares and ratios are not rounded;
 * a metric value is kept as DECIMAL(30,8) between stages (roll-ups are exact
   and order free) and leaves the engine as DOUBLE;
@@ -135,10 +135,21 @@ def ratio(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def total_of_doubles(col) -> Column:
-    """Aggregate: sum of the non-null values in ascending order. For groups of bounded size (one
-    value an area); the result does not depend on the order of rows."""
-    return F.aggregate(F.array_sort(F.collect_list(_c(col).cast("double"))), F.lit(0.0), lambda a, b: a + b)
+#: Weight of the last bit of the lower limb of an exact total.
+_LIMB = 2**52
+
+
+def exact_total(col, over=None) -> Column:
+    """Aggregate (or window function over `over`): sum of the non-null doubles that no order of rows can change.
+    Each value is split into its whole part and its fraction in units of 2^-52, both integers whose sums are exact; only
+    the two totals are doubles again."""
+    x = _c(col).cast("double")
+    whole = F.floor(x)
+    part = F.round((x - whole.cast("double")) * F.lit(float(_LIMB))).cast("long")
+    sums = [F.sum(c.cast("decimal(38,0)")) for c in (whole, part)]
+    if over is not None:
+        sums = [s.over(over) for s in sums]
+    return sums[0].cast("double") + sums[1].cast("double") / F.lit(float(_LIMB))
 
 
 def yyyymm_year_text(col) -> Column:

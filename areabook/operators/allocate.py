@@ -1,24 +1,11 @@
-"""Head-office allocation: value = direct + share(area) x pool, for every
-configured line at once.
-
-All inputs are small per-area tables keyed by (month_key, ...); the line
-configuration is a table too, so the 13 allocated lines are one join chain
-(rule sums x line config x pools x driver shares) rather than 13 plans, and
-the funding lines are one explode + join. Every join is an equi-join on
-month_key / rule / driver / area; nothing is attached by a cartesian product
-or a per-line subquery."""
+"""Head-office pools by account rule, from the rule sums of the areas."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import STAGE_TYPE, round_half_up, scale_millions, stage_double, to_stage
-from areabook.plans.rules import AllocLine
-
-HEAD_OFFICE = "00"
+from areabook.functions.columns import scale_millions
 
 
 def rule_pools(rule_sums: DataFrame) -> DataFrame:
@@ -29,61 +16,3 @@ def rule_pools(rule_sums: DataFrame) -> DataFrame:
                                                     F.sum("direct_sum").alias("_c"))
     return agg.select("month_key", "rule", scale_millions("_p").alias("pool"),
                       scale_millions("_c").alias("company"))
-
-
-def line_config(spark: SparkSession, lines: Sequence[AllocLine]) -> DataFrame:
-    """The allocated-line configuration as a (tiny, fixed) table."""
-    return F.broadcast(spark.createDataFrame(
-        [(ln.fin_id, ln.rule, ln.driver, ln.pre_round, ln.post_round) for ln in lines],
-        "fin_id int, rule string, driver string, pre_round boolean, post_round boolean"))
-
-
-def allocate_lines(rule_sums: DataFrame, lines: Sequence[AllocLine], shares: DataFrame) -> DataFrame:
-    """Tall rows (fin_id, area_code, value, month_key) of every allocated line.
-
-    An area gets a row for a line when it has matching ledger rows. Head
-    office ('00') keeps its direct amount; other areas get direct + share x
-    pool, rounded to cents when the line says so (lines that pre-round round
-    direct and pool instead). An area missing from the driver gets a NULL
-    share, hence a NULL value; no head-office rows make the pool NULL."""
-    cfg = line_config(rule_sums.sparkSession, lines)
-    pools = rule_pools(rule_sums).select("month_key", "rule", "pool")
-    x = (rule_sums.filter(F.col("n_rows") > 0)
-         .join(cfg, "rule")
-         .join(pools, ["month_key", "rule"])
-         .join(shares, ["month_key", "driver", "area_code"], "left"))
-    pre = F.col("pre_round")
-
-    def cents_if_pre(c):
-        return F.when(pre, round_half_up(c, 2).cast(STAGE_TYPE)).otherwise(c)
-
-    direct = cents_if_pre(scale_millions("direct_sum"))
-    pool = cents_if_pre(F.col("pool"))
-    alloc = direct + F.col("share") * pool
-    head = F.col("area_code") == HEAD_OFFICE
-    value = (F.when(F.col("post_round"),
-                    F.when(head, direct).otherwise(round_half_up(alloc, 2)).cast(STAGE_TYPE))
-             .otherwise(stage_double(F.when(head, direct.cast("double")).otherwise(alloc))))
-    return x.select("fin_id", "area_code", value.alias("value"), "month_key")
-
-
-def funding_lines(rule_sums: DataFrame, lines: Sequence[tuple[int, str]], revenue_rule: str,
-                  card_income: DataFrame) -> DataFrame:
-    """Funding-cost lines: company cost x area card income / (total card income
-    + company funding revenue); head office takes the total's share.
-
-    card_income: (area_code, value, month_key). Each area row is repeated once
-    per configured funding line (explode of the fixed line list), then the
-    line's company cost and the month's totals are joined on keys."""
-    pools = rule_pools(rule_sums)
-    costs = pools.select("month_key", "rule", F.col("company").alias("cost"))
-    revenue = pools.filter(F.col("rule") == revenue_rule).select("month_key", F.col("company").alias("revenue"))
-    totals = card_income.groupBy("month_key").agg(to_stage(F.sum("value")).alias("total"))
-    per_line = F.array(*[F.struct(F.lit(fin).alias("fin_id"), F.lit(rule).alias("rule")) for fin, rule in lines])
-    y = (card_income.select("area_code", "value", "month_key", F.inline(per_line))
-         .join(costs, ["month_key", "rule"])
-         .join(totals, "month_key")
-         .join(revenue, "month_key"))
-    base = F.when(F.col("area_code") == HEAD_OFFICE, F.col("total")).otherwise(F.col("value"))
-    share = F.try_divide(base.cast("double"), (F.col("total") + F.col("revenue")).cast("double"))
-    return y.select("fin_id", "area_code", stage_double(F.col("cost") * share).alias("value"), "month_key")

@@ -3,60 +3,65 @@
 The loan book is aggregated ONCE to (month, area) with every conditional sum
 any driver or ratio needs (the source report scans it up to 12 times), then
 once more to one row per (report month, area). Shares divide by per-month
-totals of that small table joined back on month_key, never by a
+totals of that small table (area_row.shares), never by a
 single-partition window over detail rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import as_months, avg_of, ratio, report_months_from, total_of_doubles, yyyymm_year_text
+from areabook.functions.columns import as_months, avg_of, report_months_from, yyyymm_year_text
+from areabook.operators.area_row import shares
 
 
-def _years(months) -> list[str]:
-    return sorted({str(m)[:4] for m in as_months(months)})
+#: Sums of a month and area that no report year changes; names as in loan_month_area.
+BASE = ("b1", "b2", "b2_5", "dnck", "psdn_nn", "dnx", "n_dnx", "wo_1", "wo_2", "wo_2_5", "psdn", "dnx0", "n_rows")
 
 
-def loan_month_area(loan: DataFrame, month) -> DataFrame:
-    """One pass over the loan book, cumulative to `month` (or the last of a
-    list of months): per (kpi_month, area).
-
-    Two families of columns: "present-only" sums (NULL when no row of the kind
+def base_sums() -> list[Column]:
+    """Two families of sums over loan-book rows: "present-only" sums (NULL when no row of the kind
     exists, so averages run over the months where the kind exists) and
-    "zero-filled" sums (0 when absent, averages over every month of the area).
-    Write-off sums depend on the report year (write-off year >= report year),
-    so they are kept per report year (`wo__<year>` ...)."""
-    months = as_months(month)
-    op = F.col("outstanding_principal")
-    b = F.col("max_bucket")
-    wbp = F.col("write_off_balance_principal")
+    "zero-filled" sums (0 when absent, averages over every month of the area)."""
+    op, b = F.col("outstanding_principal"), F.col("max_bucket")
     b345 = b.isin(3, 4, 5)
-    per_year = []
-    for y in _years(months):
-        wo_pred = yyyymm_year_text("write_off_month") >= F.lit(y)
-        per_year += [F.sum(F.when(wo_pred, wbp)).alias(f"wo__{y}"),
-                     F.count_if(wo_pred).alias(f"n_wo__{y}"),
-                     F.sum(F.when(wo_pred, wbp).otherwise(0)).alias(f"wo0__{y}")]
-    return (loan.filter(F.col("kpi_month") <= months[-1])
-            .groupBy("kpi_month", "area_code")
-            .agg(
-                # present-only
-                F.sum(F.when(b == 1, op)).alias("b1"),
-                F.sum(F.when(b == 2, op)).alias("b2"),
-                F.sum(F.when(b.isin(2, 3, 4, 5), op)).alias("b2_5"),
-                F.sum(op).alias("dnck"),
-                F.sum(F.when(op.isNotNull(), F.col("psdn"))).alias("psdn_nn"),
-                F.sum(F.when(b345, op)).alias("dnx"),
-                F.count_if(b345).alias("n_dnx"),
-                # zero-filled
-                F.sum(F.when(b == 1, op).otherwise(0)).alias("wo_1"),
-                F.sum(F.when(b == 2, op).otherwise(0)).alias("wo_2"),
-                F.sum(F.when(b >= 2, op).otherwise(0)).alias("wo_2_5"),
-                F.sum(F.col("psdn")).alias("psdn"),
-                F.sum(F.when(b345, op).otherwise(0)).alias("dnx0"),
-                *per_year,
-            ))
+    return [
+        # present-only
+        F.sum(F.when(b == 1, op)).alias("b1"),
+        F.sum(F.when(b == 2, op)).alias("b2"),
+        F.sum(F.when(b.isin(2, 3, 4, 5), op)).alias("b2_5"),
+        F.sum(op).alias("dnck"),
+        F.sum(F.when(op.isNotNull(), F.col("psdn"))).alias("psdn_nn"),
+        F.sum(F.when(b345, op)).alias("dnx"),
+        F.count_if(b345).alias("n_dnx"),
+        # zero-filled
+        F.sum(F.when(b == 1, op).otherwise(0)).alias("wo_1"),
+        F.sum(F.when(b == 2, op).otherwise(0)).alias("wo_2"),
+        F.sum(F.when(b >= 2, op).otherwise(0)).alias("wo_2_5"),
+        F.sum(F.col("psdn")).alias("psdn"),
+        F.sum(F.when(b345, op).otherwise(0)).alias("dnx0"),
+        F.count(F.lit(1)).alias("n_rows")]
+
+
+def writeoff_sums() -> list[Column]:
+    """Of rows written off in one year: their amounts, their number, and how many have an amount."""
+    wbp = F.col("write_off_balance_principal")
+    return [F.sum(wbp).alias("s"), F.count(F.lit(1)).alias("n"), F.count(wbp).alias("nn")]
+
+
+def writeoff_list() -> Column:
+    """Aggregate: the write-off years of a month and area with their sums (as many as there are years)."""
+    return F.array_sort(F.collect_list(F.when(F.col("wo_year").isNotNull(), F.struct("wo_year", "s", "n", "nn")))).alias("writeoffs")
+
+
+def loan_month_area(loan: DataFrame, month) -> DataFrame:
+    """One pass over the loan book, cumulative to `month` (or the last of a
+    list of months): per (kpi_month, area) the BASE sums, and the write-offs by their year. A report counts
+    write-offs from its own year on (see loan_area), so what is aggregated here does not depend on the months asked for."""
+    by_year = (loan.filter(F.col("kpi_month") <= as_months(month)[-1])
+               .groupBy("kpi_month", "area_code", yyyymm_year_text("write_off_month").alias("wo_year"))
+               .agg(*base_sums(), *writeoff_sums()))
+    return by_year.groupBy("kpi_month", "area_code").agg(*[F.sum(c).alias(c) for c in BASE], writeoff_list())
 
 
 def loan_area(month_area: DataFrame, month) -> DataFrame:
@@ -65,24 +70,21 @@ def loan_area(month_area: DataFrame, month) -> DataFrame:
     area) row is spread to the report months at or after it (a small table:
     months x areas)."""
     months = as_months(month)
-    years = _years(months)
-    if len(months) == 1:   # one report month: every row counts, one write-off year
-        spread = month_area.withColumn("month_key", F.lit(months[0]))
-
-        def of_year(name):
-            return F.col(f"{name}__{years[0]}")
-    else:
-        spread = month_area.select("*", F.explode(report_months_from("kpi_month", months)).alias("month_key"))
-        report_year = F.substring(F.col("month_key").cast("string"), 1, 4)
-
-        def of_year(name):
-            out = F.lit(None)
-            for y in years:
-                out = F.when(report_year == y, F.col(f"{name}__{y}")).otherwise(out)
-            return out
-
-    spread = spread.select("*", of_year("wo").alias("wo"), of_year("n_wo").alias("n_wo"),
-                           of_year("wo0").alias("wo0"))
+    spread = (month_area.withColumn("month_key", F.lit(months[0])) if len(months) == 1
+              else month_area.select("*", F.explode(report_months_from("kpi_month", months)).alias("month_key")))
+    # write-offs from the report's year on: a suffix of the month's years
+    counted = F.filter("writeoffs", lambda w: w["wo_year"] >= F.substring(F.col("month_key").cast("string"), 1, 4))
+
+    def total(field: str) -> Column:
+        some = F.filter(F.transform(counted, lambda w: w[field]), lambda v: v.isNotNull())
+        kind = "decimal(38,2)" if field == "s" else "long"
+        return F.when(F.size(some) > 0, F.aggregate(some, F.lit(0).cast(kind), lambda x, v: (x + v).cast(kind)))
+
+    spread = spread.select("*", total("s").alias("wo"), F.coalesce(total("n"), F.lit(0)).alias("n_wo"),
+                           F.coalesce(total("nn"), F.lit(0)).alias("_nn"))
+    # sum(case when counted then amount else 0 end): NULL only if every row counts and none has an amount
+    wo0 = F.when((F.col("n_rows") > F.col("n_wo")) | (F.col("_nn") > 0), F.coalesce("wo", F.lit(0)))
+    spread = spread.withColumn("wo0", wo0)
     both = (F.col("n_dnx") > 0) & (F.col("n_wo") > 0)   # month kept by the 3-way inner join
     return spread.groupBy("month_key", "area_code").agg(
         avg_of("b1").alias("avg_b1"),
@@ -103,28 +105,6 @@ def loan_area(month_area: DataFrame, month) -> DataFrame:
     )
 
 
-def with_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> DataFrame:
-    """Add `out = value / sum(value over the month's areas)` for each
-    out -> (value column, averages?). The totals are one grouped row per month,
-    joined back on month_key. Averages are doubles: they are added in ascending
-    order (a list of one value an area), so no row order shows in the total."""
-    totals = area_table.groupBy("month_key").agg(
-        *[(total_of_doubles(v) if avg else F.sum(F.col(v).cast("double"))).alias(f"_t_{o}")
-          for o, (v, avg) in specs.items()])
-    j = area_table.join(totals, "month_key")
-    return j.select(*area_table.columns,
-                    *[ratio(F.col(v), F.col(f"_t_{o}")).alias(o) for o, (v, _) in specs.items()])
-
-
-def long_shares(area_table: DataFrame, specs: dict[str, tuple[str, bool]]) -> DataFrame:
-    """(month_key, driver, area_code, share) for each driver of a per-area table."""
-    wide = with_shares(area_table.select("month_key", "area_code", *{c for c, _ in specs.values()}),
-                       {f"_s_{k}": v for k, v in specs.items()})
-    packed = F.array(*[F.struct(F.lit(k).alias("driver"), F.col(f"_s_{k}").alias("share")) for k in specs])
-    return wide.select("month_key", "area_code", F.inline(packed)).select(
-        "month_key", "driver", "area_code", "share")
-
-
 # Summary-A drivers: name -> (column of loan_area, is it an average?)
 LOAN_DRIVERS_A = {
     "bal_b1": ("avg_b1", True),
@@ -147,9 +127,7 @@ LOAN_DRIVERS_B = {
 def driver_share(area_table: DataFrame, driver: str, specs=LOAN_DRIVERS_A) -> DataFrame:
     """(area_code, share) of one loan-book driver; areas whose driver value is
     NULL keep a NULL share (they exist in the grouped driver table)."""
-    col, rounded = specs[driver]
-    return with_shares(area_table.select("month_key", "area_code", col), {"share": (col, rounded)}) \
-        .select("area_code", "share")
+    return area_table.select("area_code", shares({"share": specs[driver]})["share"].alias("share"))
 
 
 def npl_ratio_a(area_table: DataFrame) -> DataFrame:
@@ -160,13 +138,11 @@ def npl_ratio_a(area_table: DataFrame) -> DataFrame:
                                               F.col("npl_dnck") + F.col("npl_wo")).alias("value"))
 
 
-def npl_ratio_b(area_table: DataFrame) -> DataFrame:
-    """B26: zero-filled averages over every month of the area."""
-    return area_table.select("month_key", "area_code", F.try_divide(F.col("avg_dnx0") + F.col("avg_wo0"),
-                                                       F.col("avg_all") + F.col("avg_wo0")).alias("value"))
+def npl_ratio_b() -> Column:
+    """B26, over the columns of loan_area: zero-filled averages over every month of the area."""
+    return F.try_divide(F.col("avg_dnx0") + F.col("avg_wo0"), F.col("avg_all") + F.col("avg_wo0"))
 
 
-def writeoff_ratio_b(area_table: DataFrame) -> DataFrame:
+def writeoff_ratio_b() -> Column:
     """B27: avg wo / (avg dnck + avg wo)."""
-    return area_table.select("month_key", "area_code", F.try_divide(F.col("avg_wo0"),
-                                                       F.col("avg_all") + F.col("avg_wo0")).alias("value"))
+    return F.try_divide(F.col("avg_wo0"), F.col("avg_all") + F.col("avg_wo0"))

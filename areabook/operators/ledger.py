@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import (area_of, as_months, digits_prefix, is_head, month_end_exclusive,
-                                        month_key_of, report_months_from)
+                                        month_key_of)
+from areabook.operators.cumulate import running_sums
 from areabook.plans.rules import AccountRule
 
 
@@ -46,15 +47,42 @@ def pool_predicate(rule: AccountRule, col: Column | None = None, prefix_cols: bo
                                rule.prefix, prefix_cols)
 
 
+def account_ranges(accounts: Sequence[AccountRule], most: int = 24) -> list[tuple[int, int]]:
+    """At most `most` ranges (both ends included) that hold every account of the rules: listed accounts, and for a prefix every
+    account number that begins with it, the nearest ones merged."""
+    spans = {(a, a) for r in accounts for a in (*r.direct, *r.pool_accounts)}
+    for r in accounts:
+        if r.prefix is not None:
+            spans |= {(int(r.prefix) * 10**j, (int(r.prefix) + 1) * 10**j - 1) for j in range(19 - len(r.prefix))}
+    out: list[list[int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    while len(out) > most:
+        i = min(range(1, len(out)), key=lambda k: out[k][0] - out[k - 1][1])
+        out[i - 1:i + 1] = [[out[i - 1][0], out[i][1]]]
+    return [(lo, hi) for lo, hi in out]
+
+
+def in_account_ranges(col: Column, accounts: Sequence[AccountRule]) -> Column:
+    """The account lies in one of the rules' ranges: a few comparisons that reach the Parquet scan, where they skip the row groups and
+    pages of a ledger stored by account (plans.ledger_layout). A superset of the rules."""
+    pred = F.lit(False)
+    for lo, hi in account_ranges(accounts):
+        pred = pred | (col == lo if lo == hi else (col >= lo) & (col <= hi))
+    return pred
+
+
 def any_rule_predicate(accounts: Sequence[AccountRule], acct: Column) -> Column:
     """"Row matches some rule": one IN list over every listed account plus one
     IN over the leading digits of the prefix rules. It only has to be a
     superset of the rule predicates (the aggregates apply the exact ones), so
-    it is kept cheap per row rather than pushable: the numeric-range form
-    (pushable as a disjunction) made the filter too large for whole-stage
-    codegen and the scan twice as slow, and row groups of a ledger are not
-    clustered by account, so the pushdown would skip nothing. Kept to two
-    terms: an OR of per-rule predicates makes constraint inference blow up."""
+    it is kept cheap per row rather than pushable: one range a prefix and length made the filter too large for whole-stage
+    codegen and the scan twice as slow. Kept to two
+    terms: an OR of per-rule predicates makes constraint inference blow up. For a ledger that is stored by
+    account, in_account_ranges is pushed down beside it."""
     listed = sorted({a for r in accounts for a in (*r.direct, *r.pool_accounts)})
     pred = acct.isin(*listed) if listed else F.lit(False)
     by_len: dict[int, set[str]] = {}
@@ -77,7 +105,8 @@ def _rule_aggs(accounts: Sequence[AccountRule]):
     return aggs
 
 
-def _unpivot(wide: DataFrame, key: str, accounts: Sequence[AccountRule]) -> DataFrame:
+def unpivot_rules(wide: DataFrame, accounts: Sequence[AccountRule], key: str = "month_key") -> DataFrame:
+    """(key, rule, area_code, direct_sum, n_rows, head_sum) of rows with a column triple a rule."""
     packed = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.col(f"d{i}").alias("direct_sum"),
                                 F.col(f"n{i}").alias("n_rows"), F.col(f"p{i}").alias("head_sum"))
                        for i, r in enumerate(accounts)])
@@ -85,8 +114,17 @@ def _unpivot(wide: DataFrame, key: str, accounts: Sequence[AccountRule]) -> Data
         key, "rule", "area_code", "direct_sum", "n_rows", "head_sum")
 
 
+def pivot_rules(tall: DataFrame, accounts: Sequence[AccountRule]) -> DataFrame:
+    """The column triples again, one row (month_key, area_code); each rule has at most one row there."""
+    return tall.groupBy("month_key", "area_code").agg(*[
+        F.max(F.when(F.col("rule") == r.key, F.col(c))).alias(f"{p}{i}")
+        for i, r in enumerate(accounts) for p, c in (("d", "direct_sum"), ("n", "n_rows"), ("p", "head_sum"))])
+
+
 def _matching_rows(ledger: DataFrame, accounts: Sequence[AccountRule], date_filter) -> DataFrame:
     acct = F.col("account_code")
+    if "ledger_month" in ledger.columns:         # stored by month and account: skip what no rule counts
+        ledger = ledger.filter(in_account_ranges(acct, accounts))
     lengths = sorted({len(r.prefix) for r in accounts if r.prefix is not None})
     return (ledger.filter(date_filter)
             .filter(any_rule_predicate(accounts, acct))
@@ -97,24 +135,25 @@ def _matching_rows(ledger: DataFrame, accounts: Sequence[AccountRule], date_filt
                     acct, F.col("amount")))
 
 
-def ledger_rule_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule]) -> DataFrame:
-    """Rows (month_key, rule, area_code, direct_sum, n_rows, head_sum) for
-    ledger dates up to report month `month` (or each of a list of months: the
-    ledger is still read once, aggregated per calendar month, and the monthly
-    sums are spread to the report months at or after them).
-
-    direct_sum: sum(amount) of the area's rows matching the rule's direct list
-    (NULL if the matches carry no amount); n_rows: number of such rows (an area
-    appears for a rule only when n_rows > 0, as a grouped sum would);
-    head_sum: sum(amount) of head-office rows of the area matching the pool list.
-    Amounts are unscaled DECIMAL sums."""
+def ledger_area_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule]) -> DataFrame:
+    """One row (month_key, area_code) with a column triple d<i>, n<i>, p<i> a rule, for ledger dates up to
+    report month `month` (or each of a list of months: the ledger is still read once, aggregated per calendar
+    month, and summed on from month to month).
+
+    d: sum(amount) of the area's rows matching the rule's direct list (NULL if the matches carry no amount); n: number of
+    such rows (an area appears for a rule only when n > 0, as a grouped sum would); p: sum(amount) of
+    head-office rows of the area matching the pool list. Amounts are unscaled DECIMAL sums."""
     months = as_months(month)
     rows = _matching_rows(ledger, accounts, F.col("transaction_date") < month_end_exclusive(months[-1]))
     if len(months) == 1:
-        wide = rows.groupBy(F.lit(months[0]).alias("month_key"), "area_code").agg(*_rule_aggs(accounts))
-        return _unpivot(wide, "month_key", accounts)
-    monthly = _unpivot(rows.groupBy("_ym", "area_code").agg(*_rule_aggs(accounts)), "_ym", accounts)
-    return cumulate_rule_sums(monthly.withColumnRenamed("_ym", "ym"), months)
+        return rows.groupBy(F.lit(months[0]).alias("month_key"), "area_code").agg(*_rule_aggs(accounts))
+    monthly = rows.groupBy("_ym", "area_code").agg(*_rule_aggs(accounts))
+    return running_sums(monthly, "_ym", months, ["area_code"], [f"{p}{i}" for i in range(len(accounts)) for p in "dnp"])
+
+
+def ledger_rule_sums(ledger: DataFrame, month, accounts: Sequence[AccountRule]) -> DataFrame:
+    """(month_key, rule, area_code, direct_sum, n_rows, head_sum): the same, one row a rule."""
+    return unpivot_rules(ledger_area_sums(ledger, month, accounts), accounts)
 
 
 def month_ranges(col: str, months: Sequence[int]) -> Column:
@@ -140,18 +179,10 @@ def ledger_monthly_sums(ledger: DataFrame, months: Sequence[int], accounts: Sequ
     report never re-reads the ledger history."""
     rows = _matching_rows(ledger, accounts, month_ranges("transaction_date", months))
     monthly = rows.groupBy("_ym", "area_code").agg(*_rule_aggs(accounts))
-    return _unpivot(monthly, "_ym", accounts).withColumnRenamed("_ym", "ym")
+    return unpivot_rules(monthly, accounts, "_ym").withColumnRenamed("_ym", "ym")
 
 
 def cumulate_rule_sums(monthly: DataFrame, months) -> DataFrame:
-    """Report-month rule sums from monthly ones: every monthly row counts in
-    each report month at or after it. Works on the monthly store: input and
-    output are per (month, rule, area), i.e. tiny."""
-    months = as_months(months)
-    return (monthly.filter(F.col("ym") <= months[-1])
-            .select("rule", "area_code", "direct_sum", "n_rows", "head_sum",
-                    F.explode(report_months_from("ym", months)).alias("month_key"))
-            .groupBy("month_key", "rule", "area_code")
-            .agg(F.sum("direct_sum").alias("direct_sum"), F.sum("n_rows").alias("n_rows"),
-                 F.sum("head_sum").alias("head_sum"))
+    """Report-month rule sums from monthly ones, as the monthly store keeps them."""
+    return (running_sums(monthly, "ym", months, ["rule", "area_code"], ["direct_sum", "n_rows", "head_sum"])
             .select("month_key", "rule", "area_code", "direct_sum", "n_rows", "head_sum"))

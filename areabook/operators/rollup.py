@@ -1,65 +1,27 @@
-"""Report hierarchy roll-ups and ratio lines over tall metric rows
-(fin_id, area_code, value, month_key)."""
+"""The report's hierarchy, and totals over tall metric rows (fin_id, area_code, value, month_key)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import stage_double, to_stage
+from areabook.functions.columns import stage_double
 
 
 def closure(rollups: Sequence[tuple[int, Sequence[int]]]) -> list[tuple[int, int]]:
-    """(ancestor, leaf) pairs of the roll-up tree: a parent sums the leaves
-    under it, so all levels come out of one grouped sum (exact for decimals)."""
+    """(ancestor, leaf) pairs of the report's own roll-up tree (a few fixed lines): a parent sums the leaves
+    under it, so no level waits for another (exact for decimals). A cycle is an error."""
     children = {p: list(cs) for p, cs in rollups}
 
-    def leaves(n, seen=()):
-        if n not in children or n in seen:
-            return [n]
-        out = []
-        for c in children[n]:
-            out += leaves(c, seen + (n,))
-        return out
+    def leaves(n, above=()):
+        if n in above:
+            raise ValueError(f"the roll-up tree has a cycle: {' -> '.join(map(str, (*above, n)))}")
+        return [leaf for c in children[n] for leaf in leaves(c, (*above, n))] if n in children else [n]
     return sorted({(p, leaf) for p in children for leaf in leaves(p)})
 
 
-def rollup_all(spark: SparkSession, rows: DataFrame, rollups, parents: Sequence[int]) -> DataFrame:
-    """Rows of each parent in `parents` = sum of its leaves per (month, area),
-    for areas having any leaf row. Leaves must all be present in `rows`."""
-    pairs = [(p, leaf) for p, leaf in closure(rollups) if p in parents]
-    tree = F.broadcast(spark.createDataFrame(pairs, "parent int, leaf int"))
-    return (rows.join(tree, rows.fin_id == tree.leaf)
-            .groupBy("parent", "month_key", "area_code")
-            .agg(to_stage(F.sum("value")).alias("value"))
-            .select(F.col("parent").alias("fin_id"), "area_code", "value", "month_key"))
-
-
-def percent_ratios(rows: DataFrame, specs) -> DataFrame:
-    """Ratio lines `0 if den = 0 else num x 100 / den` for every spec at once.
-
-    specs: (fin_id, base_ids, num_ids, den_ids, base_is_den). A row exists for
-    an area having a row in `base_ids`; the value is an unrounded DOUBLE (scorecards rank it);
-    num/den are sums of the listed lines
-    (NULL when the area has none of them)."""
-    fin, v = F.col("fin_id"), F.col("value")
-    aggs, outs = [], []
-    for i, (fid, base, num, den, _) in enumerate(specs):
-        aggs += [F.count_if(fin.isin(*base)).alias(f"b{i}"),
-                 F.sum(F.when(fin.isin(*num), v)).alias(f"n{i}"),
-                 F.sum(F.when(fin.isin(*den), v)).alias(f"d{i}")]
-        d, n = F.col(f"d{i}"), F.col(f"n{i}")
-        val = F.when(d == 0, F.lit(0.0)).otherwise(
-            F.try_divide(n.cast("double") * 100, d.cast("double")))
-        outs.append(F.struct(F.lit(fid).alias("fin_id"), (F.col(f"b{i}") > 0).alias("_keep"),
-                             val.alias("value")))
-    wide = rows.groupBy("month_key", "area_code").agg(*aggs)
-    return (wide.select("month_key", "area_code", F.inline(F.array(*outs)))
-            .filter("_keep").select("fin_id", "area_code", "value", "month_key"))
-
-
 def network_totals(rows: DataFrame, ratio_ids: Sequence[int]) -> DataFrame:
     """(month_key, fin_id, company, network_only) of every money line: the total of all areas, and the
     total without head office ('00'), which keeps its own amount beside what areas receive of the pool."""

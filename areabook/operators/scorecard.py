@@ -8,39 +8,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areabook.operators.rank import rank_by
-from areabook.plans.staging import Stager
-
 
 def rank_area_metrics(area_rows: DataFrame, employees: DataFrame, methods: dict[str, tuple[str, bool]],
-                      default: tuple[str, bool], stager: Stager) -> DataFrame:
+                      default: tuple[str, bool]) -> DataFrame:
     """Rank area-level metrics as if spread to every manager of the area.
 
     area_rows: (month_key, area_code, criteria_code, value). An area without managers
     drops out (inner join), and the rank of a value counts managers, not
     areas, ahead of it; but all of this is computed on the per-area table
     weighted by the manager count, so no window ever sees the manager rows.
-    methods: criteria_code -> (method, ascending); others use `default`."""
+    methods: criteria_code -> (method, ascending); others use `default`. All criteria share one window: descending
+    ones are ordered by the negated value. NULLs come last ascending, first descending."""
     counts = employees.groupBy("month_key", "area_code").agg(F.count(F.lit(1)).alias("_n_emp"))
-    rows = area_rows.join(counts, ["month_key", "area_code"])
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for code, how in methods.items():
-        groups.setdefault(how, []).append(code)
-    listed = [c for cs in groups.values() for c in cs]
-
-    def ranked(sub, method, asc):
-        return rank_by(sub, "value", ["month_key", "criteria_code"], descending=not asc,
-                       dense=method == "dense_rank", weight_col="_n_emp", out="rank_kpi", stager=stager,
-                       bounded=True)
-
-    parts = [ranked(rows.filter(F.col("criteria_code").isin(*codes)), method, asc)
-             for (method, asc), codes in groups.items()]
-    rest = rows.filter(~F.col("criteria_code").isin(*listed)) if listed else rows
-    parts.append(ranked(rest, *default))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop("_n_emp")
+    dense, asc = F.lit(default[0] == "dense_rank"), F.lit(default[1])
+    for code, (method, up) in methods.items():
+        dense = F.when(F.col("criteria_code") == code, F.lit(method == "dense_rank")).otherwise(dense)
+        asc = F.when(F.col("criteria_code") == code, F.lit(up)).otherwise(asc)
+    v = F.col("value")
+    rows = (area_rows.join(counts, ["month_key", "area_code"])
+            .withColumn("_dense", dense).withColumn("_nulls", F.when(v.isNotNull(), 0).when(asc, 1).otherwise(-1))
+            .withColumn("_at", F.when(asc, v).otherwise(-v)))
+    group, at = ["month_key", "criteria_code"], ["_nulls", "_at"]
+    order = Window.partitionBy(*group).orderBy(*at)
+    upto = F.sum("_n_emp").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    peers = F.sum("_n_emp").over(Window.partitionBy(*group, *at))
+    rank = F.when(F.col("_dense"), F.dense_rank().over(order)).otherwise(upto - peers + 1)
+    return rows.withColumn("rank_kpi", rank.cast("long")).drop("_n_emp", "_dense", *at)
 
 
 def spread_to_employees(ranked_area: DataFrame, employees: DataFrame) -> DataFrame:
@@ -60,3 +53,8 @@ def scores(level1: DataFrame, by: Sequence[str], type_col: str) -> DataFrame:
     w_type = Window.partitionBy(*by, type_col)
     return (level1.withColumn("overall_score", F.sum("rank_kpi").over(w_all))
             .withColumn("type_score", F.sum("rank_kpi").over(w_type)))
+
+
+def repeated_codes(dim: DataFrame) -> DataFrame:
+    """(criteria_code, repeats): codes that a criteria dimension lists more than once; each listing multiplies the criterion's rows."""
+    return dim.groupBy("criteria_code").agg((F.count(F.lit(1)) - 1).alias("repeats")).filter("repeats > 0")

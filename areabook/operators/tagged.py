@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import as_months, report_months_from
+from areabook.functions.columns import as_months
+from areabook.operators.cumulate import running_sums
 
 HEAD_FLAG = "HEAD"
 
@@ -14,7 +15,7 @@ def line_area_sums(balance_txn: DataFrame, month) -> DataFrame:
     """(month_key, fin_id_lv3, area_code, value, value_head, n_head) cumulative
     to `month`: the area's sum over all rows and over head-office rows, in one
     aggregate. For a list of report months the lines are summed per calendar
-    month once and spread to the report months at or after it."""
+    month once, then on from month to month."""
     months = as_months(month)
     rows = balance_txn.filter(F.col("month_key") <= months[-1])
     if len(months) == 1:
@@ -35,12 +36,5 @@ def line_month_sums(balance_txn: DataFrame) -> DataFrame:
 
 
 def cumulate_line_sums(monthly: DataFrame, months) -> DataFrame:
-    """Report-month line sums from monthly ones (each month counts in every
-    report month at or after it)."""
-    months = as_months(months)
-    return (monthly.filter(F.col("ym") <= months[-1])
-            .select("fin_id_lv3", "area_code", "value", "value_head", "n_head",
-                    F.explode(report_months_from("ym", months)).alias("month_key"))
-            .groupBy("month_key", "fin_id_lv3", "area_code")
-            .agg(F.sum("value").alias("value"), F.sum("value_head").alias("value_head"),
-                 F.sum("n_head").alias("n_head")))
+    """Report-month line sums from monthly ones."""
+    return running_sums(monthly, "ym", months, ["fin_id_lv3", "area_code"], ["value", "value_head", "n_head"])

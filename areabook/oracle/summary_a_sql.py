@@ -29,16 +29,16 @@ def millions(expr: str, pre_round: bool) -> str:
     return f"cast(round({v}, 2) as {ST})" if pre_round else v
 
 
-def ordered_total(expr: str) -> str:
-    """Window total of doubles, added in ascending order so that it does not depend on row order."""
-    return (f"list_reduce(list_sort(list_filter(list({expr}) over (), lambda x: x is not null)),"
-            f" lambda a, b: a + b)")
+def exact_total(expr: str, over: str = "over ()") -> str:
+    """Total of doubles that no order of rows can change: whole parts and fractions in units of 2^-52, as integers."""
+    whole, part = f"cast(floor({expr}) as hugeint)", f"cast(round(({expr} - floor({expr})) * 4503599627370496) as hugeint)"
+    return f"(cast(sum({whole}) {over} as double) + cast(sum({part}) {over} as double) / 4503599627370496)"
 
 
 def driver_ctes(month: int) -> dict[str, str]:
     def bal(pred):
         where = f"kpi_month <= {month}" + (f" and {pred}" if pred else "")
-        return (f"select area_code, avg_dnck / nullif({ordered_total('avg_dnck')}, 0) as share from ("
+        return (f"select area_code, avg_dnck / nullif({exact_total('avg_dnck')}, 0) as share from ("
                 f" select area_code, cast(sum(dnck) as double) / count(dnck) as avg_dnck from ("
                 f"  select kpi_month, area_code, sum(outstanding_principal) as dnck from px_loan"
                 f"  where {where} group by kpi_month, area_code) k group by area_code) t")

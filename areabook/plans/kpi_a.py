@@ -40,19 +40,19 @@ def build(inputs: Inputs, month, rules: R.RuleSet,
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_a")
 
-    # the summary refresh and the per-employee KPI averages and ranks are independent
+    # the summary refresh, and the per-employee KPI averages with what follows from them, are independent
     def employee_side():
         emp = st.stage(employee_kpi_from_store(inputs.kpi.sparkSession, kpi_store, month, "kpi_code")
                        if kpi_store else employee_kpi(inputs.kpi, month, "kpi_code"), "emp_kpi")
-        return emp, rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
-                            stager=st)
+        managers = pool.submit(st.stage, area_employees(emp), "managers")   # counted and spread: read twice
+        return rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
+                       stager=st), managers.result()
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SA.build(inputs, month, rules, stager=st, ledger_store=ledger_store,
                                                loan_store=loan_store, kpi_store=kpi_store))
-        emp_kpi, ka1 = employee_side()
+        ka1, employees = employee_side()
         sa = summary.result()
-    employees = st.stage(area_employees(emp_kpi), "managers")   # counted and spread: read twice
 
     npl = npl_ratio_a(sa.loan_area).select("month_key", "area_code",
                                            F.lit(R.KPI_A_NPL_CODE).alias("criteria_code"), "value")
@@ -65,19 +65,22 @@ def build(inputs: Inputs, month, rules: R.RuleSet,
                     F.col("value").cast("double").alias("value")))
     area_metrics = npl.unionByName(fins)   # per area: small, not staged
     ranked = rank_area_metrics(area_metrics, employees, {R.KPI_A_NPL_CODE: ("dense_rank", True)},
-                               ("dense_rank", False), st)
+                               ("dense_rank", False))
     level1 = ka1.unionByName(spread_to_employees(ranked, employees))
     dim = inputs.dim_criteria   # a stored dimension: the planner broadcasts it by its size
     x = level1.join(dim, "criteria_code")
     x = st.stage(scores(x, ["month_key", "employee_id"], "criteria_type_name"), "scored")
-    # the two score ranks are independent: build both rank tables side by side
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        by_type = pool.submit(rank_table, x, "type_score", ["month_key", "criteria_type_name"],
-                              descending=True, dense=True, out="type_rank", stager=st)
-        overall = pool.submit(rank_table, x, "overall_score", ["month_key"], descending=True, dense=True,
-                              out="overall_rank", stager=st)
-        x = join_rank(x, by_type.result(), "type_score", ["month_key", "criteria_type_name"], "type_rank")
-        x = join_rank(x, overall.result(), "overall_score", ["month_key"], "overall_rank")
+    # both score ranks from one table of distinct scores: by type, and overall (no type)
+    kinds = F.array(F.struct(F.lit("type").alias("kind"), F.col("criteria_type_name").alias("type"), F.col("type_score").alias("score")),
+                    F.struct(F.lit("overall").alias("kind"), F.lit(None).cast("string").alias("type"), F.col("overall_score").alias("score")))
+    ranks = rank_table(x.select("month_key", F.inline(kinds)), "score", ["month_key", "kind", "type"], descending=True, dense=True,
+                       out="score_rank", stager=st)
+    of_type = ranks.filter("kind = 'type'").select("month_key", F.col("type").alias("criteria_type_name"),
+                                                   F.col("score").alias("type_score"), F.col("score_rank").alias("type_rank"))
+    overall = ranks.filter("kind = 'overall'").select("month_key", F.col("score").alias("overall_score"),
+                                                      F.col("score_rank").alias("overall_rank"))
+    x = join_rank(x, of_type, "type_score", ["month_key", "criteria_type_name"], "type_rank")
+    x = join_rank(x, overall, "overall_score", ["month_key"], "overall_rank")
     result = x.select(F.col("month_key").cast("int").alias("month_key"), "area_code", "employee_id",
                       "criteria_code", F.col("value").cast("double").alias("value"), F.col("rank_kpi").cast("long"),
                       "criteria_type_name", F.col("type_score").cast("long"),

@@ -43,43 +43,39 @@ def build(inputs: Inputs, month, loan_store: str | None = None, tagged_store: st
     months = as_months(month)
     st = Stager(inputs.kpi.sparkSession, "kpi_b")
 
-    # the summary refresh and the per-employee KPI averages and ranks are independent
+    # the summary refresh, and the per-employee KPI averages with what follows from them, are independent
     def employee_side():
         emp = st.stage(employee_kpi_from_store(inputs.kpi.sparkSession, kpi_store, month, "criteria_code")
                        if kpi_store else employee_kpi(inputs.kpi, month, "criteria_code"), "emp_kpi")
-        return emp, rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
-                            stager=st)
+        managers = pool.submit(st.stage, area_employees(emp), "managers")   # counted and spread: read twice
+        return rank_by(emp, "value", ["month_key", "criteria_code"], descending=True, out="rank_kpi",
+                       stager=st), managers.result()
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         summary = pool.submit(lambda: SB.build(inputs, month, stager=st, loan_store=loan_store,
                                                  tagged_store=tagged_store, kpi_store=kpi_store))
-        emp_kpi, kb1 = employee_side()
+        kb1, employees = employee_side()
         sb = summary.result()
-    employees = st.stage(area_employees(emp_kpi), "managers")   # counted and spread: read twice
-
-    parts = []
-    for code, fin, absolute, _, _ in R.KPI_B_AREA_CRITERIA:
-        v = F.col("value").cast("double")
-        parts.append(sb.result.filter((F.col("fin_id") == fin) & (F.col("area_code") != "00")
-                                      & F.col("month_key").isin(*months))
-                     .select("month_key", "area_code", F.lit(code).alias("criteria_code"),
-                             (F.abs(v) if absolute else v).alias("value")))
+
+    v, code, fin = F.col("value").cast("double"), F.lit(None).cast("string"), F.col("fin_id")
+    for criterion, line, absolute, _, _ in R.KPI_B_AREA_CRITERIA:
+        code = F.when(fin == line, F.lit(criterion)).otherwise(code)
+        v = F.when(fin == line, F.abs(F.col("value").cast("double"))).otherwise(v) if absolute else v
+    parts = (sb.result.filter(fin.isin(*[line for _, line, *_ in R.KPI_B_AREA_CRITERIA]) & (F.col("area_code") != "00")
+                              & F.col("month_key").isin(*months))
+             .select("month_key", "area_code", code.alias("criteria_code"), v.alias("value")))
     dim = inputs.dim_criteria_xlsx   # a stored dimension: broadcast by the planner's size check
-    area_metrics = union_all(parts).join(dim, "criteria_code")   # per area: small, not staged
+    area_metrics = parts.join(dim, "criteria_code")   # per area: small, not staged
     methods = {code: (method, asc) for code, _, _, method, asc in R.KPI_B_AREA_CRITERIA}
-    ranked = rank_area_metrics(area_metrics, employees, methods, ("dense_rank", False), st)
+    ranked = rank_area_metrics(area_metrics, employees, methods, ("dense_rank", False))
     level1 = kb1.unionByName(spread_to_employees(ranked, employees))
     level1 = st.stage(_out(level1), "level1")
 
-    def level2_group(g):
-        sums = (level1.filter(F.col("criteria_code").contains(g))
-                .groupBy(*KEYS).agg(F.sum("rank_kpi").alias("value"))
-                .withColumn("criteria_code", F.lit(g)))
-        return rank_by(sums, "value", ["month_key"], out="rank_kpi", stager=st)
-
-    with ThreadPoolExecutor(max_workers=len(R.KPI_B_GROUPS)) as pool:   # independent groups
-        level2_parts = list(pool.map(level2_group, R.KPI_B_GROUPS))
-    level2 = st.stage(_out(union_all(level2_parts)), "level2")
+    # a criterion scores in every group whose name it contains; the groups are ranked apart, in one table
+    groups = F.filter(F.array(*[F.lit(g) for g in R.KPI_B_GROUPS]), lambda g: F.col("criteria_code").contains(g))
+    sums = (level1.select(*KEYS, "rank_kpi", F.explode(groups).alias("_group"))
+            .groupBy(*KEYS, F.col("_group").alias("criteria_code")).agg(F.sum("rank_kpi").alias("value")))
+    level2 = st.stage(_out(rank_by(sums, "value", ["month_key", "criteria_code"], out="rank_kpi", stager=st)), "level2")
     ov = (level2.filter(F.col("criteria_code").isin(*R.KPI_B_GROUPS))
           .groupBy(*KEYS).agg(F.sum("value").alias("value"))
           .withColumn("criteria_code", F.lit(R.KPI_B_OVERALL)))

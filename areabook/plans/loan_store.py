@@ -15,63 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import as_months, yyyymm_year_text
-from areabook.operators.drivers import _years
+from areabook.operators.drivers import BASE, base_sums, writeoff_list, writeoff_sums
 from areabook.sources.sinks import publish_month
 
-BASE = ("b1", "b2", "b2_5", "dnck", "psdn_nn", "dnx", "n_dnx", "wo_1", "wo_2", "wo_2_5", "psdn", "dnx0")
 
-
-def _base_sums(loan: DataFrame) -> DataFrame:
-    op, b = F.col("outstanding_principal"), F.col("max_bucket")
-    b345 = b.isin(3, 4, 5)
-    return loan.groupBy("kpi_month", "area_code").agg(
-        F.sum(F.when(b == 1, op)).alias("b1"),
-        F.sum(F.when(b == 2, op)).alias("b2"),
-        F.sum(F.when(b.isin(2, 3, 4, 5), op)).alias("b2_5"),
-        F.sum(op).alias("dnck"),
-        F.sum(F.when(op.isNotNull(), F.col("psdn"))).alias("psdn_nn"),
-        F.sum(F.when(b345, op)).alias("dnx"),
-        F.count_if(b345).alias("n_dnx"),
-        F.sum(F.when(b == 1, op).otherwise(0)).alias("wo_1"),
-        F.sum(F.when(b == 2, op).otherwise(0)).alias("wo_2"),
-        F.sum(F.when(b >= 2, op).otherwise(0)).alias("wo_2_5"),
-        F.sum(F.col("psdn")).alias("psdn"),
-        F.sum(F.when(b345, op).otherwise(0)).alias("dnx0"),
-        F.count(F.lit(1)).alias("n_rows"))
-
-
-def _writeoff_sums(loan: DataFrame) -> DataFrame:
-    wbp = F.col("write_off_balance_principal")
+def _writeoffs(loan: DataFrame) -> DataFrame:
     return (loan.filter(F.col("write_off_month").isNotNull())
             .groupBy("kpi_month", "area_code", yyyymm_year_text("write_off_month").alias("wo_year"))
-            .agg(F.sum(wbp).alias("s"), F.count(F.lit(1)).alias("n"), F.count(wbp).alias("nn")))
+            .agg(*writeoff_sums()))
 
 
 def refresh_loan_store(loan: DataFrame, months: Sequence[int], path: str) -> None:
     """Recompute and replace the store partitions of the listed calendar months."""
     rows = loan.filter(F.col("kpi_month").isin(*as_months(months)))
-    publish_month(_base_sums(rows), f"{path}/monthly", partition_col="kpi_month", months=months)
-    publish_month(_writeoff_sums(rows), f"{path}/writeoff", partition_col="kpi_month", months=months)
+    publish_month(rows.groupBy("kpi_month", "area_code").agg(*base_sums()), f"{path}/monthly", partition_col="kpi_month", months=months)
+    publish_month(_writeoffs(rows), f"{path}/writeoff", partition_col="kpi_month", months=months)
 
 
 def month_area_from_store(spark: SparkSession, path: str, report_months) -> DataFrame:
     """The (kpi_month, area) table of `drivers.loan_month_area` rebuilt from the
     store for the given report months (same columns, same values)."""
-    months = as_months(report_months)
-    base = spark.read.parquet(f"{path}/monthly").filter(F.col("kpi_month") <= months[-1])
-    wo = spark.read.parquet(f"{path}/writeoff").filter(F.col("kpi_month") <= months[-1])
-    per_year = []
-    for y in _years(months):
-        hit = F.col("wo_year") >= F.lit(y)
-        per_year += [F.sum(F.when(hit, F.col("s"))).alias(f"_s__{y}"),
-                     F.sum(F.when(hit, F.col("n")).otherwise(0)).alias(f"_n__{y}"),
-                     F.sum(F.when(hit, F.col("nn")).otherwise(0)).alias(f"_nn__{y}")]
-    wide = wo.groupBy("kpi_month", "area_code").agg(*per_year)
-    j = base.join(wide, ["kpi_month", "area_code"], "left")
-    cols = []
-    for y in _years(months):
-        s, n, nn = F.col(f"_s__{y}"), F.coalesce(F.col(f"_n__{y}"), F.lit(0)), F.coalesce(F.col(f"_nn__{y}"), F.lit(0))
-        # sum(case when hit then wbp else 0 end): NULL only if every row is a hit with no amount
-        wo0 = F.when((F.col("n_rows") == n) & (nn == 0), F.lit(None)).otherwise(F.coalesce(s, F.lit(0)))
-        cols += [s.alias(f"wo__{y}"), n.alias(f"n_wo__{y}"), wo0.alias(f"wo0__{y}")]
-    return j.select("kpi_month", "area_code", *BASE, *cols)
+    last = as_months(report_months)[-1]
+    base = spark.read.parquet(f"{path}/monthly").filter(F.col("kpi_month") <= last)
+    wo = spark.read.parquet(f"{path}/writeoff").filter(F.col("kpi_month") <= last)
+    lists = wo.groupBy("kpi_month", F.col("area_code").alias("_area")).agg(writeoff_list()).withColumnRenamed("kpi_month", "_month")
+    j = base.join(lists, (base["kpi_month"] == lists["_month"]) & base["area_code"].eqNullSafe(lists["_area"]), "left")
+    return j.select("kpi_month", "area_code", *BASE, F.coalesce("writeoffs", F.array()).alias("writeoffs"))

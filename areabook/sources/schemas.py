@@ -68,13 +68,33 @@ KPI_A_OUT = T.StructType(KPI_B_OUT.fields + [
     T.StructField("overall_rank", T.LongType(), True),
 ])
 
+#: The published tables (see sources/mart.py).
+PUBLISHED = {"fact_monthly_summary_a": SUMMARY, "fact_monthly_summary_b": SUMMARY,
+             "fact_monthly_report_kpi_asm_a": KPI_A_OUT, "fact_monthly_report_kpi_asm_b": KPI_B_OUT}
+
+COMMIT_ENTRY = T.StructType([
+    T.StructField("table", T.StringType(), False),
+    T.StructField("month_key", T.IntegerType(), False),
+    T.StructField("version", T.StringType(), False),
+    T.StructField("n_rows", T.LongType(), False),
+    T.StructField("seq", T.LongType(), False),
+])
+
+COMMITS = T.StructType([
+    T.StructField("entries", T.ArrayType(COMMIT_ENTRY, False), False),
+    T.StructField("committed_at", T.TimestampType(), False),
+])
+
 RUN_LOG = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
     T.StructField("procedure_name", T.StringType(), False),
     T.StructField("start_time", T.TimestampType(), True),
     T.StructField("end_time", T.TimestampType(), True),
-    T.StructField("is_successful", T.BooleanType(), False),
+    T.StructField("is_successful", T.BooleanType(), True),     # NULL: the run has only been started
     T.StructField("error_log", T.StringType(), True),
     T.StructField("rec_created_dt", T.TimestampType(), False),
     # ratios of variant B without a value for a zero denominator (NULL: not counted by the job)
     T.StructField("zero_denominators", T.LongType(), True),
+    # rows that repeat a key of a table the job joins by it (dimension codes, head areas of a line): they multiply result rows
+    T.StructField("duplicate_keys", T.LongType(), True),
 ])

@@ -1,14 +1,17 @@
-"""Sinks: idempotent month publish and the run log."""
+"""Sinks of one table: idempotent month replacement (the monthly stores) and the run log. The report's published
+tables, replaced together, are in mart.py."""
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areabook.sources import schemas
+from areabook.plans.staging import Stager
+from areabook.sources import files, schemas
 
 
 def publish_month(df: DataFrame, path: str, partition_col: str = "month_key", months=None,
@@ -16,11 +19,12 @@ def publish_month(df: DataFrame, path: str, partition_col: str = "month_key", mo
     """Replace the months of `df` under `path` (dynamic partition overwrite):
     re-running a month leaves one copy of it and every other month untouched.
     Months listed in `months` that have no rows are emptied, as a delete before
-    the insert would. `schema`: the table's declared types. `df` should be
-    fully computed (staged) before this call, so the overwrite is the run's only
-    write to the table."""
+    the insert would; `df` is staged for that, so that it is evaluated once and the months
+    found are those written. `schema`: the table's declared types."""
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if months is not None:
+        df = Stager(df.sparkSession, "publish").stage(df, "rows")
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)
@@ -28,51 +32,46 @@ def publish_month(df: DataFrame, path: str, partition_col: str = "month_key", mo
     if months is not None:
         listed = sorted({int(m) for m in months})
         full = {r[0] for r in df.filter(F.col(partition_col).isin(listed)).select(partition_col).distinct().collect()}
-        _drop_partitions(df.sparkSession, path, partition_col, [m for m in listed if m not in full])
+        for m in listed:
+            if m not in full:
+                files.delete(df.sparkSession, f"{path}/{partition_col}={m}")
 
 
-def publish_all(tables, months, stager, partition_col: str = "month_key") -> None:
-    """Publishes the months of several tables, or of none: tables are (df, path, schema). The months'
-    old rows are kept in a staged copy first; where a publish fails, every table touched so far
-    gets them back (a table or month that did not exist is emptied again) and the error goes on."""
-    listed = sorted({int(m) for m in months})
-    spark = tables[0][0].sparkSession
-    old = [stager.stage(spark.read.parquet(path).filter(F.col(partition_col).isin(listed)), "old-rows")
-           if _exists(spark, path) else None for _, path, _ in tables]
-    touched = []
-    try:
-        for (df, path, schema), before in zip(tables, old):
-            touched.append((path, before))
-            publish_month(df, path, partition_col, listed, schema)
-    except Exception:
-        for path, before in touched:
-            if before is None:
-                _drop_partitions(spark, path, partition_col, listed)
-            else:
-                publish_month(before, path, partition_col, listed)
-        raise
+def append_run_log(spark: SparkSession, path: str, run_id: str, names: Sequence[str], start: _dt.datetime,
+                   end: _dt.datetime | None = None, ok: bool | None = None, error: str | None = None,
+                   found: Mapping[str, Mapping[str, int]] | None = None) -> None:
+    """Appends one row a name, all in one file: with no `ok` that the run has started, else how it ended. `found`: a
+    name's data-quality counts (columns of RUN_LOG)."""
+    now = _dt.datetime.now(_dt.timezone.utc)
+    rows = [(run_id, name, start, end, ok, error, now, *[(found or {}).get(name, {}).get(c) for c in ("zero_denominators", "duplicate_keys")])
+            for name in names]
+    spark.createDataFrame(rows, schemas.RUN_LOG).coalesce(1).write.mode("append").parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """The table has been published: some month folder is there (one name; rows are not listed)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*=*")
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
+#: error_log of a run that was started and never ended (still running, or its driver died).
+UNFINISHED = "not finished"
 
 
-def _drop_partitions(spark: SparkSession, path: str, partition_col: str, months: list[int]) -> None:
-    """Removes month folders of a published table (bounded by the listed months)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for m in months:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={m}")
-        folder.getFileSystem(conf).delete(folder, True)
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row a run and name, by RUN_LOG: how it ended, or that it has not."""
+    r = F.max_by(F.struct(*[f.name for f in schemas.RUN_LOG.fields if f.name not in ("run_id", "procedure_name")]),
+                 F.struct(F.col("is_successful").isNotNull(), "rec_created_dt")).alias("r")
+    last = (spark.read.schema(schemas.RUN_LOG).parquet(path).groupBy("run_id", "procedure_name").agg(r)
+            .select("run_id", "procedure_name", "r.*"))
+    open_ = F.col("is_successful").isNull()
+    return last.select(*[F.when(open_, UNFINISHED).otherwise(F.col("error_log")).alias("error_log") if f.name == "error_log"
+                         else F.coalesce("is_successful", F.lit(False)).alias("is_successful") if f.name == "is_successful"
+                         else F.col(f.name) for f in schemas.RUN_LOG.fields])
 
 
-def append_run_log(spark: SparkSession, path: str, procedure_name: str, start: _dt.datetime,
-                   end: _dt.datetime | None, ok: bool, error: str | None,
-                   zero_denominators: int | None = None) -> DataFrame:
-    """Append one row to the run log (one tiny file per run)."""
-    row = [(procedure_name, start, end, ok, error, _dt.datetime.now(_dt.timezone.utc), zero_denominators)]
-    df = spark.createDataFrame(row, schemas.RUN_LOG)
-    df.coalesce(1).write.mode("append").parquet(path)
-    return df
+def compact_run_log(spark: SparkSession, path: str) -> None:
+    """Rewrites the log's files as one: the last row of every run and name. Reading folds rows by run, so the old
+    files and the new one may be there together."""
+    old = [p for p, _ in files.matching(spark, f"{path}/*.parquet")]
+    if len(old) < 2:
+        return
+    last = F.max_by(F.struct(*schemas.RUN_LOG.names), F.struct(F.col("is_successful").isNotNull(), "rec_created_dt")).alias("r")
+    rows = spark.read.schema(schemas.RUN_LOG).parquet(*old).groupBy("run_id", "procedure_name").agg(last).select("r.*")
+    rows.coalesce(1).write.mode("append").parquet(path)
+    for p in old:
+        files.delete(spark, p)

@@ -25,7 +25,7 @@ from areabook.plans import summary_b as SB  # noqa: E402
 from areabook.plans.staging import Stager  # noqa: E402
 from areabook.session import build_session  # noqa: E402
 from areabook.sources import testdata  # noqa: E402
-from areabook.sources.sinks import publish_month  # noqa: E402
+from areabook.sources.mart import Mart  # noqa: E402
 
 
 def main() -> None:
@@ -36,22 +36,22 @@ def main() -> None:
     m = R.TEST_MONTH
     marts = Stager(spark, "bench").root
     jobs = {
-        "summary_a": lambda inp: SA.summary_a(inp, m, R.PROXY_RULES_A),
-        "summary_b": lambda inp: SB.summary_b(inp, m),
-        "kpi_a": lambda inp: KA.kpi_a(inp, m, R.PROXY_RULES_A),
-        "kpi_b": lambda inp: KB.kpi_b(inp, m),
+        "summary_a": lambda inp: {"fact_monthly_summary_a": SA.build(inp, m, R.PROXY_RULES_A).result},
+        "summary_b": lambda inp: {"fact_monthly_summary_b": SB.build(inp, m).result},
+        "kpi_a": lambda inp: {"fact_monthly_report_kpi_asm_a": KA.build(inp, m, R.PROXY_RULES_A).result},
+        "kpi_b": lambda inp: {"fact_monthly_report_kpi_asm_b": KB.build(inp, m).result},
     }
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name, job in jobs.items():
-        samples = []
+        samples, mart = [], Mart(spark, f"{marts}/{name}")
         for i in range(runs + 1):
             t = time.perf_counter()
-            publish_month(job(testdata.inputs(spark, sf_dir)), f"{marts}/{name}", months=[m])
+            shot = mart.publish(job(testdata.inputs(spark, sf_dir)), [m])
             dt = time.perf_counter() - t
             if i:
                 samples.append(dt)
-        rows[name] = spark.read.parquet(f"{marts}/{name}").count()
+        rows[name] = sum(e.n_rows for e in shot.entries)
         times[name] = round(statistics.median(samples), 3)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

@@ -11,7 +11,8 @@ from areabook.plans import jobs
 from areabook.plans import rules as R
 from areabook.plans.staging import Stager
 from areabook.plans.summary_b import zero_denominators
-from areabook.sources import sinks
+from areabook.sources.mart import Mart
+from areabook.sources.sinks import read_run_log
 from tests.helpers import inputs
 
 #: rule: (accounts, sum of the accounts, prefix); the pool of a15 has its own list
@@ -73,40 +74,23 @@ def test_zero_denominators_are_logged_or_fail_a_strict_month(spark):
     out = Stager(spark, "zero").root
     res = jobs.run_summary_b(spark, _b_inputs(spark), out, 199812)
     zero = zero_denominators(res).agg(F.sum("n_zero")).first()[0]
-    log = spark.read.parquet(f"{out}/log_tracking").collect()
-    assert zero > 0 and [r.zero_denominators for r in log] == [zero]
+    assert zero > 0 and [r.zero_denominators for r in read_run_log(spark, f"{out}/log_tracking").collect()] == [zero]
     strict = Stager(spark, "strict").root
     with pytest.raises(jobs.ZeroDenominator):
         jobs.run_summary_b(spark, _b_inputs(spark), strict, 199812, strict=True)
-    assert not sinks._exists(spark, f"{strict}/fact_monthly_summary_b")
-    assert [r.is_successful for r in spark.read.parquet(f"{strict}/log_tracking").collect()] == [False]
-
-
-def test_publish_all_or_nothing(spark, monkeypatch):
-    st = Stager(spark, "both")
-    a, b = f"{st.root}/a", f"{st.root}/b"
-
-    def rows(v, months):
-        return spark.createDataFrame([(v, m) for m in months], "v int, month_key int")
-
-    def held(path):
-        return sorted((r.month_key, r.v) for r in spark.read.parquet(path).collect())
-
-    sinks.publish_all([(rows(1, (199811, 199812)), a, None), (rows(1, (199811, 199812)), b, None)], (199811, 199812), st)
-    real = sinks.publish_month
-
-    def fails(df, path, *args, **kw):
-        real(df, path, *args, **kw)
-        if path == b and df.filter("v = 2").count():
-            raise OSError("second table")
-    monkeypatch.setattr(sinks, "publish_month", fails)
-    with pytest.raises(OSError):
-        sinks.publish_all([(rows(2, (199812,)), a, None), (rows(2, (199812,)), b, None)], (199812,), st)
-    assert held(a) == held(b) == [(199811, 1), (199812, 1)]
-    new = f"{st.root}/new"                          # a table that was not there is emptied again
-    with pytest.raises(OSError):
-        sinks.publish_all([(rows(2, (199812,)), new, None), (rows(2, (199812,)), b, None)], (199812,), st)
-    assert not sinks._exists(spark, new)
-    monkeypatch.setattr(sinks, "publish_month", real)
-    sinks.publish_all([(rows(2, (199812,)), a, None), (rows(2, (199812,)), b, None)], (199812,), st)
-    assert held(a) == held(b) == [(199811, 1), (199812, 2)]
+    assert Mart(spark, strict).snapshot().entries == []
+    assert [r.is_successful for r in read_run_log(spark, f"{strict}/log_tracking").collect()] == [False]
+
+
+def test_repeated_keys_are_logged_or_fail_a_strict_month(spark):
+    out, inp = Stager(spark, "repeats").root, _b_inputs(spark)
+    inp.balance_txn = inp.balance_txn.unionByName(inp.balance_txn.filter("area_code = '01' and fin_id_lv3 < 3").replace("01", "99", ["area_code"]))
+    inp.dim_criteria_xlsx = inp.dim_criteria_xlsx.unionByName(inp.dim_criteria_xlsx.filter("criteria_code = 'FN01'"))
+    jobs.run_kpi_b(spark, inp, out, 199812)
+    log = {r.procedure_name: r.duplicate_keys for r in read_run_log(spark, f"{out}/log_tracking").collect()}
+    assert log == {jobs.SUMMARY_B: 2, jobs.SCORECARD_B: 1}
+    for dim, what in ((inp.dim_criteria_xlsx, "criteria"), (inp.dim_criteria_xlsx.distinct(), "head areas")):
+        inp.dim_criteria_xlsx, strict = dim, Stager(spark, "repeats").root
+        with pytest.raises(jobs.DuplicateKeys, match=what):
+            jobs.run_kpi_b(spark, inp, strict, 199812, strict=True)
+        assert Mart(spark, strict).snapshot().entries == []

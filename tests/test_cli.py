@@ -7,6 +7,8 @@ from areabook.plans import rules as R
 from areabook.plans import summary_b as SB
 from areabook.plans.staging import Stager
 from areabook.sources import testdata
+from areabook.sources.mart import Mart
+from areabook.sources.sinks import read_run_log
 from tests.conftest import SF_SMALL
 
 
@@ -18,10 +20,10 @@ def test_cli_summary_b_from_refreshed_stores(spark):
     for m in months:
         args += ["--refresh-stores", str(m)]
     main(args)
-    got = spark.read.parquet(f"{out}/fact_monthly_summary_b").filter(F.col("month_key") == R.TEST_MONTH)
+    got = Mart(spark, out).read("fact_monthly_summary_b").filter(F.col("month_key") == R.TEST_MONTH)
     want = SB.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH).result
     key = ["fin_id", "area_code", "value"]
     assert sorted(map(tuple, got.select(*key).collect()), key=str) == \
         sorted(map(tuple, want.select(*key).collect()), key=str)
-    log = spark.read.parquet(f"{out}/log_tracking").collect()
+    log = read_run_log(spark, f"{out}/log_tracking").collect()
     assert [(r.procedure_name, r.is_successful) for r in log] == [("fact_monthly_summary_f1_prc", True)]

@@ -1,20 +1,22 @@
 """Nothing is cut on the way: ids, areas, ratios before ranks, shares, emptied months, settings."""
 
 import datetime as dt
+import math
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from areabook.functions.columns import total_of_doubles
+from areabook.functions.columns import exact_total
+from areabook.operators.area_row import Book, percent_ratio
 from areabook.operators.rank import rank_by
-from areabook.operators.rollup import percent_ratios
 from areabook.plans import jobs
 from areabook.plans import rules as R
 from areabook.plans.staging import Stager
 from areabook.session import build_session, ensure_checkpoint_dir, is_local
 from areabook.sources import schemas, testdata
-from areabook.sources.sinks import publish_month
+from areabook.sources.mart import Mart
+from areabook.sources.sinks import publish_month, read_run_log
 from tests.helpers import inputs
 
 TALL = "fin_id int, area_code string, value double, month_key int"
@@ -33,10 +35,12 @@ def test_long_customer_numbers_and_every_nation_stay(spark):
 
 
 def test_ratios_that_differ_late_rank_apart(spark):
-    rows = spark.createDataFrame([(8, a, Decimal(n), 199812) for a, n in (("01", "0.12345678"), ("02", "0.12345679"))]
-                                 + [(7, a, Decimal("100.0"), 199812) for a in ("01", "02")],
-                                 "fin_id int, area_code string, value decimal(30,8), month_key int")
-    out = percent_ratios(rows, [(10, (7,), (8,), (7,), True)])
+    rows = spark.createDataFrame([(a, 199812, True, Decimal(n), True, Decimal("100.0")) for a, n in (("01", "0.12345678"), ("02", "0.12345679"))],
+                                 "area_code string, month_key int, h8 boolean, v8 decimal(30,8), h7 boolean, v7 decimal(30,8)")
+    book = Book(rows)
+    book.fins = [8, 7]
+    book.put({10: percent_ratio(book.some([7]), book.some([8]), book.some([7]))})
+    out = book.tall(book.wide()).filter("fin_id = 10")
     small = out.withColumn("value", F.col("value") / 1000)        # they differ in the 11th decimal
     ranks = {r.area_code: r["rank"] for r in rank_by(small, "value", ["month_key"], dense=True).collect()}
     assert ranks == {"01": 1, "02": 2} and dict(out.dtypes)["value"] == "double"
@@ -44,9 +48,9 @@ def test_ratios_that_differ_late_rank_apart(spark):
 
 def test_totals_do_not_depend_on_row_order(spark):
     xs = [0.1, 1e16, -3.3, 7.7, 1e-9, None]
-    total = {spark.createDataFrame([(x,) for x in order], "x double").coalesce(1).agg(total_of_doubles("x")).first()[0]
+    total = {spark.createDataFrame([(x,) for x in order], "x double").coalesce(1).agg(exact_total("x")).first()[0]
              for order in (xs, xs[::-1], xs[2:] + xs[:2])}
-    assert len(total) == 1
+    assert total == {math.fsum(x for x in xs if x is not None)}
 
 
 def test_an_emptied_month_is_cleared_and_others_stay(spark):
@@ -65,12 +69,12 @@ def test_scorecard_job_publishes_and_logs_both(spark):
     jobs.run_kpi_a(spark, inp, out, 199812, R.PROXY_RULES_A)
     jobs.run_kpi_a(spark, inp, out, 199811, R.PROXY_RULES_A)
     jobs.run_kpi_b(spark, inp, out, 199812)
-    a = spark.read.parquet(f"{out}/fact_monthly_report_kpi_asm_a")
+    a = Mart(spark, out).read("fact_monthly_report_kpi_asm_a")
     assert a.filter("month_key = 199812").count() == jobs.run_kpi_a(spark, inp, out, 199812, R.PROXY_RULES_A).count()
     assert {f.name: f.dataType for f in a.schema} == {f.name: f.dataType for f in schemas.KPI_A_OUT}
-    summary = spark.read.parquet(f"{out}/fact_monthly_summary_a")
+    summary = Mart(spark, out).read("fact_monthly_summary_a")
     assert dict(summary.dtypes)["value"] == "double" and summary.filter("month_key = 199812").count() > 0
-    log = [r.procedure_name for r in spark.read.parquet(f"{out}/log_tracking").collect()]
+    log = [r.procedure_name for r in read_run_log(spark, f"{out}/log_tracking").collect()]
     assert log.count("fact_monthly_report_kpi_asm_prc_a") == log.count("fact_monthly_summary_prc") == 3
     assert log.count("fact_monthly_report_kpi_asm_prc_b") == log.count("fact_monthly_summary_f1_prc") == 1
 

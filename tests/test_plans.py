@@ -23,10 +23,11 @@ def test_ledger_scanned_once_with_pushed_month_bound(spark):
 
 def test_no_cartesian_products_in_summary(spark):
     b = SA.build(testdata.inputs(spark, SF_SMALL), R.TEST_MONTH, R.PROXY_RULES_A)
-    from areabook.operators.allocate import allocate_lines
-    for df in (allocate_lines(b.rule_sums, R.ALLOC_LINES_A, b.shares), b.result):
+    for df in (SA.report_lines(b.areas, R.PROXY_RULES_A).wide(), b.shares, b.result):
         p = _plan(df)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    # all totals of the report (pools, drivers, income) come from one exchange by month
+    assert _plan(SA.report_lines(b.areas, R.PROXY_RULES_A).wide()).count("Exchange ") == 1
 
 
 def test_rank_plan_has_no_single_partition_exchange_over_rows(spark):

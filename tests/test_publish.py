@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from areabook.plans import jobs
 from areabook.plans import rules as R
 from areabook.plans.staging import Stager
-from areabook.sources.sinks import publish_month
+from areabook.sources.mart import Mart
+from areabook.sources.sinks import publish_month, read_run_log
 from tests.helpers import inputs
 
 
@@ -35,13 +36,13 @@ def test_run_log_on_success_and_failure(spark):
                  [(199801, "01", 1, 100, None, 0, 1)], [(199812, "01", "E1", "S01", 1)])
     jobs.run_summary_a(spark, inp, out, 199812, R.PROXY_RULES_A)
     jobs.run_summary_a(spark, inp, out, 199812, R.PROXY_RULES_A)       # rerun: still one copy of the month
-    pub = spark.read.parquet(f"{out}/fact_monthly_summary_a")
+    pub = Mart(spark, out).read("fact_monthly_summary_a")
     assert pub.filter(F.col("fin_id") == 14).count() == 1
     bad = inputs(spark)
     bad.ledger = None                                    # a broken input fails the job
     with pytest.raises(Exception):
         jobs.run_summary_a(spark, bad, out, 199812, R.PROXY_RULES_A)
-    log = spark.read.parquet(f"{out}/log_tracking").collect()
+    log = read_run_log(spark, f"{out}/log_tracking").collect()
     assert sorted(r.is_successful for r in log) == [False, True, True]
     assert all(r.end_time is not None and r.procedure_name == "fact_monthly_summary_prc" for r in log)
     assert [r.error_log is None for r in log if r.is_successful] == [True, True]

@@ -19,7 +19,7 @@ def test_area_metric_ranks_count_managers_and_nulls_first(spark):
         "month_key int, area_code string, criteria_code string, value double")
     emp = _emp(spark, [("01", "a"), ("01", "b"), ("02", "c"), ("03", "d"), ("04", "e")])   # 05: no managers
     st = Stager(spark, "t")
-    ranked = rank_area_metrics(area, emp, {"S04": ("dense_rank", True)}, ("dense_rank", False), st)
+    ranked = rank_area_metrics(area, emp, {"S04": ("dense_rank", True)}, ("dense_rank", False))
     got = {(r.criteria_code, r.area_code): r.rank_kpi for r in ranked.collect()}
     # desc puts NULL first (PostgreSQL); area 05 has no manager and does not take a rank
     assert got[("F01", "04")] == 1 and got[("F01", "01")] == 2 and got[("F01", "02")] == 2
@@ -28,7 +28,7 @@ def test_area_metric_ranks_count_managers_and_nulls_first(spark):
     assert got[("S04", "03")] == 1 and got[("S04", "01")] == 2 and got[("S04", "02")] == 3
     # rank (with gaps) counts managers: two in area 01 tie at 1, area 02 comes 3rd
     ranked = rank_area_metrics(area.filter("criteria_code = 'S04'"), emp, {"S04": ("rank", True)},
-                               ("dense_rank", False), st)
+                               ("dense_rank", False))
     got = {r.area_code: r.rank_kpi for r in ranked.collect()}
     assert got == {"03": 1, "01": 2, "02": 4}
     spread = spread_to_employees(ranked, emp).collect()
