@@ -7,13 +7,16 @@ A target of t words from a source of S words takes every document floor(t / S) t
 for the remaining budget, a subset:
 
 * documents are counted by exact length (a histogram a source, pre-aggregated);
-* the same share of every length is taken, which keeps the source's length profile and
-  leaves a rest below the sum of its distinct lengths;
-* the rest is filled longest-first down to a bounded budget, and a bounded-knapsack
-  dynamic programme over the lengths still available comes as near to it as they allow;
+* the same share of every length is taken: each length gets its whole number of documents, and the fractions are
+  rounded by a systematic sample over the lengths in order (a seeded start, then one more document wherever the running
+  fraction passes a whole number). So every length's chance is its fraction, and as neighbours in the order are
+  alike, what is missing or too much in words is less than the longest document;
+* a bounded-knapsack dynamic programme over the documents still available, in the same seeded order, comes as near to that
+  rest as they allow: the same way for sources of every size;
 * the chosen count of each (source, length) picks documents by a seeded hash. Hash
-  buckets of about `bucket_rows` documents are taken whole up to the count; only the
-  bucket at the cut is ranked, so a group of identical documents is never one task.
+  buckets of about `bucket_rows` documents are taken whole up to the count; only the documents of the bucket at
+  the cut are ranked, repeated rows as one with a count. Where the cut falls among repeated rows (one
+  document a length at most), they are counted by the task that read them, so not even that group is one task.
 
 Edge cases: NULL or empty texts have size 0 and taken 0; NULL doc_id and source are
 ordinary values; ties of the hash fall to doc_id and text; repeated rows count each; an
@@ -31,9 +34,7 @@ from areabook.llm.common import WORD, left_join, stager
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 20240601
-BUCKET_ROWS = 4096
-#: Largest budget of the dynamic programme, in words; what is above it is filled longest-first.
-DP_BUDGET = 1 << 17
+BUCKET_ROWS = 512
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -57,32 +58,45 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EP
         .otherwise(F.least("cap", F.col("final") * F.col("w"))).alias("target"))
 
 
-def fit_budget(lengths, counts, budget: int, dp_budget: int = DP_BUDGET) -> np.ndarray:
-    """Copies of each length (at most its count) whose sum is as near to budget as the method gets:
-    proportional, then longest-first, then exact bounded knapsack on the rest."""
+def _bits(x: int, top: int) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(x.to_bytes(top // 8 + 1, "little"), dtype=np.uint8), bitorder="little"))
+
+
+def fit_budget(lengths, counts, budget: int, seed: int = SEED) -> np.ndarray:
+    """Copies of each length (at most its count) whose sum is as near to budget as the method gets: the same share of
+    every length, then an exact bounded knapsack on the rest, which is below the longest length."""
     lengths, counts = np.asarray(lengths, dtype=np.int64), np.asarray(counts, dtype=np.int64)
     total = int((lengths * counts).sum())
     if total <= budget or total == 0:
         return counts.copy()
-    take = np.array([int(c) * int(budget) // total for c in counts], dtype=np.int64)
-    rest = int(budget) - int((lengths * take).sum())
-    order = np.argsort(-lengths, kind="stable")
-    for i in order:
-        if rest <= dp_budget:
-            break
-        n = min(int(counts[i] - take[i]), (rest - dp_budget) // max(1, int(lengths[i])) + 1)
-        n = min(n, rest // int(lengths[i])) if lengths[i] else 0
-        take[i] += n
-        rest -= n * int(lengths[i])
-    if rest <= 0:
-        return take
+    budget = int(budget)
+    take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
+    rng = np.random.default_rng([seed, total % (1 << 32)])
+    by_length = np.argsort(lengths, kind="stable")
+    # running fractions times the total (exact integers), from a seeded start
+    carried = int(rng.integers(total))
+    for i in by_length:
+        carried += int(counts[i]) * budget % total
+        if carried >= total:
+            take[i] += 1
+            carried -= total
+    rest = budget - int((lengths * take).sum())
+    if rest < 0:                                   # too much: the shortest document that makes room goes back
+        taken = by_length[take[by_length] > 0]
+        enough = taken[lengths[taken] >= -rest]
+        i = enough[0] if len(enough) else taken[-1]
+        take[i] -= 1
+        rest += int(lengths[i])
+    order = rng.permutation(len(lengths))
     # one bit a reachable sum; a sum may pass the rest by one document, to come nearest from either side
     left = counts - take
     top = min(rest + int(lengths[left > 0].max(initial=0)), 2 * rest)
+    if rest <= 0:
+        return take
     mask, reach = (1 << (top + 1)) - 1, 1
     via = np.full(top + 1, -1, dtype=np.int64)     # the item that first reached a sum
     items = []
-    for i in order[::-1]:
+    for i in order:
         length, n, step = int(lengths[i]), int(left[i]), 1
         n = min(n, top // length) if length else 0
         while n > 0 and not (reach >> rest) & 1:
@@ -90,12 +104,10 @@ def fit_budget(lengths, counts, budget: int, dp_budget: int = DP_BUDGET) -> np.n
             new = (reach << (k * length)) & mask & ~reach
             items.append((i, k))
             if new:
-                bits = np.unpackbits(np.frombuffer(new.to_bytes(top // 8 + 1, "little"), dtype=np.uint8), bitorder="little")
-                via[np.flatnonzero(bits)] = len(items) - 1
+                via[_bits(new, top)] = len(items) - 1
                 reach |= new
             n, step = n - k, step * 2
-    bits = np.unpackbits(np.frombuffer(reach.to_bytes(top // 8 + 1, "little"), dtype=np.uint8), bitorder="little")
-    sums = np.flatnonzero(bits)
+    sums = _bits(reach, top)
     s = int(sums[np.argmin(np.abs(sums - rest))])
     while s > 0:
         i, k = items[via[s]]
@@ -119,28 +131,49 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
     """One row a document: doc_id, text_key, size, source, source_size, target, times, taken."""
     st = stager(docs.sparkSession, "mixing")
     text = F.coalesce(F.col("text"), F.lit(""))
+    # part: the task that read the row, fixed by writing it
     sized = st.stage(docs.select(
         "doc_id", F.xxhash64("text").alias("text_key"), "source",
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id", "text").alias("h")), "sizes")
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), F.spark_partition_id().alias("part")), "sizes")
     hist = st.stage(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "lengths")
     per_source = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = source_targets(per_source, weights, max_epochs)
     plan = st.stage(left_join(hist, targets, ["source"]).groupBy("source").applyInPandas(
         _plan, "source string, size long, n long, source_size long, target double, epochs long, extra long"), "plan")
     keyed = left_join(sized, plan, ["source", "size"])
-    # 2^k buckets of the seeded hash, from the exact count of the length
+    # buckets of the seeded hash, from the exact count of the length
     n_buckets = F.ceil(F.col("n") / F.lit(float(bucket_rows)))
     keyed = keyed.withColumn("bucket", F.floor(F.shiftrightunsigned("h", 33) * n_buckets / F.lit(float(1 << 31))).cast("int"))
-    group = ["source", "size", "bucket"]
+    some = keyed.filter("extra > 0 and extra < n")
+    bucket, one = ["source", "size", "bucket"], ["source", "size", "bucket", "h", "doc_id", "text_key"]
     cum = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (keyed.filter("extra > 0 and extra < n").groupBy(*group).agg(F.count("*").alias("in_bucket"))
-               .withColumn("ahead", F.coalesce(F.sum("in_bucket").over(cum), F.lit(0))))
-    rank = Window.partitionBy(*group).orderBy("h", "doc_id", "text_key")
-    chosen = (left_join(keyed, buckets, group)
-              .withColumn("rn", F.row_number().over(rank))
-              .withColumn("more", F.when(F.col("extra") <= 0, 0).when(F.col("extra") >= F.col("n"), 1)
-                          .when(F.col("ahead") + F.col("rn") <= F.col("extra"), 1).otherwise(0)))
+    buckets = (some.groupBy(*bucket, "extra").agg(F.count("*").alias("in_bucket"))
+               .withColumn("room", F.col("extra") - F.coalesce(F.sum("in_bucket").over(cum), F.lit(0))).drop("extra"))
+    buckets = st.stage(buckets, "buckets")
+    # the bucket at the cut: one row a document, with how many of its repeated rows are taken
+    cut = buckets.filter("room > 0 and room < in_bucket").select(*bucket, F.col("room").alias("cut_room"))
+    at_cut = left_join(some, cut, bucket).filter("cut_room is not null")
+    order = Window.partitionBy(*bucket).orderBy("h", "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (at_cut.groupBy(*one, "cut_room").agg(F.count("*").alias("copies"))
+              .withColumn("copies_taken", F.greatest(F.lit(0), F.least("copies", F.col("cut_room") - F.coalesce(F.sum("copies").over(order), F.lit(0)))))
+              .drop("cut_room"))
+    ranked = st.stage(ranked, "cut")
+    # a document of which some repeated rows are taken and some are not: counted on from task to task
+    split = ranked.filter("copies_taken > 0 and copies_taken < copies")
+    by_task = Window.partitionBy(*one).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (left_join(some, split, one).filter("copies_taken is not null").groupBy(*one, "part", "copies_taken").agg(F.count("*").alias("here"))
+             .withColumn("left", F.col("copies_taken") - F.coalesce(F.sum("here").over(by_task), F.lit(0)))
+             .select(*one, "part", "left"))
+    rows = left_join(left_join(left_join(keyed, buckets, bucket), ranked, one), parts, [*one, "part"])
+    partly = F.col("left").isNotNull()
+    in_task = F.row_number().over(Window.partitionBy(*one, "part").orderBy(F.lit(1)))
+    more = (F.when(F.col("extra") <= 0, 0).when(F.col("extra") >= F.col("n"), 1)
+            .when(F.col("room") >= F.col("in_bucket"), 1).when(F.col("room") <= 0, 0)
+            .otherwise((F.col("copies_taken") >= F.col("copies")).cast("int")))
+    settled = rows.filter(~partly).withColumn("more", more)
+    counted = rows.filter(partly).withColumn("more", (in_task <= F.col("left")).cast("int"))
+    chosen = settled.unionByName(counted)
     times = F.least(F.col("epochs") + F.col("more"), F.lit(max_epochs)).cast("long")
     return chosen.select("doc_id", "text_key", "size", "source", "source_size", "target", times.alias("times"),
                          (times * F.col("size")).alias("taken"))
