@@ -3,9 +3,9 @@
 Messages are nodes of reply trees. Iterative self-joins over (tree, node) double the
 distance each round: after round k every node knows its 2^k-th ancestor, its root, its
 depth and the sum of the scores on the way, so a chain of n messages takes log2(n) rounds.
-Branches (root-to-leaf paths) are ranked by mean score, then depth, then node; the best of each
-root becomes one conversation. Its members are enumerated by the same tables from the
-longest jump to the shortest, joined with their texts and put together in order.
+Branches (root-to-leaf paths) are ranked within their root by mean score, then depth, then node; all of them, the
+best `branches`, or those of at least `min_score` become conversations, one a path. Their members are enumerated by the
+same tables from the longest jump to the shortest, joined with their texts and put together in order.
 
 The template marks turns as <turn>ROLE<say>TEXT</turn>. In roles and texts a backslash
 becomes \\b and < becomes \\l, so control strings cannot occur inside and the original
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areabook.llm.common import left_join, stager
+from areabook.operators.rank import rank_by
 
 TURN, SAY, END = "<turn>", "<say>", "</turn>"
 LOSS_ROLE = "assistant"
@@ -68,40 +69,51 @@ def branches(nodes: DataFrame, st) -> tuple[DataFrame, list[DataFrame]]:
     return reduce(DataFrame.unionByName, placed).drop("up"), jumps
 
 
-def best_paths(nodes: DataFrame, st) -> DataFrame:
-    """(tree, root, node, depth): the members of the best branch of every root."""
+def paths(nodes: DataFrame, st, keep: int | None = None, min_score: float | None = None) -> DataFrame:
+    """(tree, root, rank, node, depth, score): the members of every chosen branch; score is the branch's mean."""
     placed, jumps = branches(nodes, st)
     inner = nodes.select("tree", F.col("parent").alias("node")).distinct().withColumn("inner", F.lit(True))
     leaves = left_join(placed, inner, ["tree", "node"]).filter("inner is null")
-    mean = F.col("score") / (F.col("depth") + 1)
-    best = leaves.groupBy("tree", "root").agg(
-        F.max_by("node", F.struct(mean, F.col("depth"), F.col("node"))).alias("node"))
-    members = st.stage(best, "leaves")
+    leaves = st.stage(leaves.select("tree", "root", "node", "depth", (F.col("score") / (F.col("depth") + 1)).alias("mean")), "leaves")
+    # an only leaf is the first; the leaves of other roots are ranked exactly and without one task a root
+    n = leaves.groupBy("tree", "root").agg(F.count("*").alias("n"))
+    counted = left_join(leaves, n, ["tree", "root"])
+    chosen = counted.filter("n = 1").select("tree", "root", F.lit(1).cast("long").alias("rank"), "node", "mean")
+    several = st.stage(counted.filter("n > 1").withColumn("at", F.struct("mean", "depth", "node")), "branches")
+    if not several.isEmpty():
+        ranked = rank_by(several, "at", ["tree", "root"], descending=True, out="rank", stager=st)
+        chosen = chosen.unionByName(ranked.select("tree", "root", "rank", "node", "mean"))
+    if keep is not None:
+        chosen = chosen.filter(F.col("rank") <= keep)
+    if min_score is not None:
+        chosen = chosen.filter(F.col("mean") >= min_score)
+    members = st.stage(chosen.withColumnRenamed("mean", "score"), "chosen")
     for k in reversed(range(len(jumps))):
         hop = jumps[k].select(F.col("tree").alias("h_tree"), F.col("node").alias("h_node"), "up")
         more = members.join(hop, members["tree"].eqNullSafe(hop["h_tree"]) & (members["node"] == hop["h_node"])) \
-            .select("tree", "root", F.col("up").alias("node"))
-        members = st.stage(members.select("tree", "root", "node").unionByName(more), f"members{k}")
+            .select("tree", "root", "rank", F.col("up").alias("node"), "score")
+        members = st.stage(members.unionByName(more), f"members{k}")
     return left_join(members, placed.select("tree", "node", "depth"), ["tree", "node"])
 
 
-def format_trees(nodes: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
-    """nodes(tree, node, parent, role, text, score) -> (tree, root, n_turns, formatted, loss) a chosen path."""
+def format_trees(nodes: DataFrame, loss_role: str = LOSS_ROLE, keep: int | None = None, min_score: float | None = None) -> DataFrame:
+    """nodes(tree, node, parent, role, text, score) -> (tree, root, rank, score, n_turns, formatted, loss) a chosen path;
+    `keep` is how many paths of a root are, `min_score` from which mean score on (default: all)."""
     st = stager(nodes.sparkSession, "chat")
     nodes = st.stage(nodes.select("tree", "node", "parent", "role", "text", F.col("score").cast("double").alias("score")), "messages")
-    path = best_paths(nodes, st)
+    path = paths(nodes, st, keep, min_score)
     said = nodes.groupBy("tree", "node").agg(F.min(F.struct("parent", "score", "role", "text")).alias("x")) \
         .select("tree", "node", "x.role", "x.text")
     turns = left_join(path, said, ["tree", "node"]).select(
-        "tree", "root", "depth", (F.col("role") == loss_role).alias("scored"),
+        "tree", "root", "rank", "score", "depth", (F.col("role") == loss_role).alias("scored"),
         F.concat(F.lit(TURN), escape(F.col("role")), F.lit(SAY)).alias("head"), escape(F.col("text")).alias("body"))
     size = F.length("head") + F.length("body") + F.lit(len(END))
-    before = Window.partitionBy("tree", "root").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("tree", "root", "rank").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
     row = F.struct("depth", F.concat("head", "body", F.lit(END)).alias("turn"),
                    F.coalesce("scored", F.lit(False)).alias("scored"), "start", F.length("body").alias("len"))
-    return (turns.groupBy("tree", "root").agg(F.array_sort(F.collect_list(row)).alias("t"))
-            .select("tree", "root", F.size("t").cast("long").alias("n_turns"),
+    return (turns.groupBy("tree", "root", "rank").agg(F.array_sort(F.collect_list(row)).alias("t"), F.first("score").alias("score"))
+            .select("tree", "root", "rank", "score", F.size("t").cast("long").alias("n_turns"),
                     F.array_join(F.transform("t", lambda x: x["turn"]), "").alias("formatted"),
                     F.transform(F.filter("t", lambda x: x["scored"]),
                                 lambda x: F.struct(x["start"].cast("int").alias("start"), x["len"].alias("len"))).alias("loss")))
