@@ -4,11 +4,13 @@ Every whole text is scanned once for candidate spans: three base kinds with fixe
 patterns, and long opaque tokens that no base span covers whole. Positions are code points, from the
 running lengths of the pieces between matches (a window within a document's matches).
 Candidate values travel as SHA-256 hashes. Each value is counted over the corpus by
-distinct owners and repositories (source, and source with language, here): a value
-that `example_owners` or more owners hold is a widely copied example, where it looks random
-(digits and many distinct characters) only if that is also `example_share` of all owners; one
-held by at most `live_owners` that looks random is a live-looking credential, any other is
-shared. Base spans are always reported; opaque tokens that are no examples when they look
+distinct owners and repositories (source, and source with language, here), and by distinct texts that hold
+it. A value that does not look random (digits and many distinct characters) is a widely copied example if
+`example_owners` hold it. One that does is rarely written twice by chance: it is an example if `random_spread`
+independent places hold it (owners or distinct texts, whichever are fewer: forks of one text are one place), or
+`wide_owners` owners whatever their texts; a live-looking credential if at most `live_spread` places do (its owner's, or
+a fork's); any other value is shared. None of this depends on how many owners the corpus has.
+Base spans are always reported; opaque tokens that are no examples when they look
 random, when they reach beyond a base span that they overlap (then the whole token is
 reported beside it), or when their value is a base credential elsewhere.
 
@@ -34,10 +36,8 @@ KINDS = ("assign", "access", "hex")
 #: The method's own kind: a run of 20 or more token characters with digits and letters.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-EXAMPLE_OWNERS = 4
-LIVE_OWNERS = 1
-#: Share of all owners that makes a random-looking value an example.
-EXAMPLE_SHARE = 0.5
+#: Owners of an example that looks ordinary; independent places, or owners, of one that looks random; places of a live credential.
+EXAMPLE_OWNERS, RANDOM_SPREAD, WIDE_OWNERS, LIVE_SPREAD = 4, 12, 100, 2
 
 
 def _found(text: Column, pattern: str, kind: str, rank: int, hint: Column | None, group: int = 0) -> Column:
@@ -80,25 +80,28 @@ def candidates(docs: DataFrame) -> DataFrame:
         (digit & (F.size(chars) >= 8)).alias("random"))
 
 
-def ownership(cand: DataFrame, all_owners: int, example_owners: int = EXAMPLE_OWNERS, live_owners: int = LIVE_OWNERS,
-              example_share: float = EXAMPLE_SHARE) -> DataFrame:
-    """(value, owners, repos, based, random, class) a candidate value; class example, live or shared."""
+def ownership(cand: DataFrame, example_owners: int = EXAMPLE_OWNERS, random_spread: int = RANDOM_SPREAD,
+              wide_owners: int = WIDE_OWNERS, live_spread: int = LIVE_SPREAD) -> DataFrame:
+    """(value, owners, repos, texts, based, random, class) a candidate value; class example, live or shared."""
+    flags = [F.max("based").alias("based"), F.max("random").alias("random")]
     n = (cand.groupBy("value", "owner", "repo").agg(F.max(F.col("rank") < 3).alias("based"), F.max("random").alias("random"))
-         .groupBy("value", "owner").agg(F.count("*").alias("repos"), F.max("based").alias("based"), F.max("random").alias("random"))
-         .groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"),
-                               F.max("based").alias("based"), F.max("random").alias("random")))
-    common = ~F.col("random") | (F.col("owners") >= example_share * all_owners)
-    return n.select("value", "owners", "repos", "based", "random",
-                    F.when((F.col("owners") >= example_owners) & common, "example")
-                    .when((F.col("owners") <= live_owners) & F.col("random"), "live").otherwise("shared").alias("class"))
+         .groupBy("value", "owner").agg(F.count("*").alias("repos"), *flags)
+         .groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), *flags))
+    # distinct texts first: a value with a third of all spans costs one row a task and text, whoever holds it
+    texts = cand.select("value", "text_key").distinct().groupBy("value").agg(F.count("*").alias("texts"))
+    spread = F.least("owners", "texts")
+    return n.join(texts, "value").select(
+        "value", "owners", "repos", "texts", "based", "random",
+        F.when(~F.col("random"), F.when(F.col("owners") >= example_owners, "example").otherwise("shared"))
+        .when((spread >= random_spread) | (F.col("owners") >= wide_owners), "example")
+        .when(spread <= live_spread, "live").otherwise("shared").alias("class"))
 
 
 def spans(docs: DataFrame, **options) -> DataFrame:
-    """All reported spans: (doc_id, text_key, kind, rank, start, end, vlen, value, class, owners, repos)."""
+    """All reported spans: (doc_id, text_key, kind, rank, start, end, vlen, value, class, owners, repos, texts)."""
     st = stager(docs.sparkSession, "secrets")
     cand = st.stage(candidates(docs), "candidates")
-    all_owners = docs.agg(F.count_distinct(F.coalesce("source", F.lit("")))).first()[0]
-    own = ownership(cand, all_owners, **options)
+    own = ownership(cand, **options)
     one = cand.drop("owner", "repo", "random").distinct()
     # an opaque token inside a base span says nothing new; one that reaches beyond it does
     order = Window.partitionBy(*KEY).orderBy("start", "rank")
@@ -111,7 +114,7 @@ def spans(docs: DataFrame, **options) -> DataFrame:
     out = one.join(own, "value")
     added = (F.col("class") != "example") & (F.col("random") | F.col("based") | F.col("_meets"))
     return out.filter((F.col("rank") < 3) | added).select(
-        *KEY, "kind", "rank", "start", "end", "vlen", "value", "class", "owners", "repos")
+        *KEY, "kind", "rank", "start", "end", "vlen", "value", "class", "owners", "repos", "texts")
 
 
 def scan(docs: DataFrame, **options) -> DataFrame:
