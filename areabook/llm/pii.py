@@ -14,15 +14,17 @@ values different ones:
   account's digits are permuted, letters stay, the check digits are made anew;
 * ssn: ddd-dd-dddd with a valid area, group and serial; permuted among valid numbers;
 * ip: dotted quads of 0-255; the 32 bits are permuted;
-* date: valid calendar dates of 1900-2099 as yyyy-mm-dd, dd.mm.yyyy or dd/mm/yyyy; permuted among those days.
-  mm/dd/yyyy where the day is above 12 (dd/mm otherwise), permuted among the days above 12.
+* date: valid calendar dates of 1900-2099 as yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy, or mm/dd/yyyy where the day is
+  above 12 (dd/mm otherwise). Days of the month above 12 are permuted among themselves, and so are the others, in every
+  spelling: equal dates stay equal, and mm/dd stays told from dd/mm.
 
 Dates, numbers, addresses and telephone numbers after a blank end a run of digits before them. IPv6
-addresses and national numbers of bare digits or blanks have no format here and stay.
+addresses, national numbers of bare digits or blanks, cards with dots and dates with one digit or a two-digit year
+have no format here and stay.
 
 The permutation is a generalised (unbalanced) Feistel network on Z_a x Z_b, a*b being
 the format's size: odd rounds add a keyed SHA-256 of one half to the other modulo a, even
-rounds modulo b. It is a bijection for any a and b; only mm/dd dates walk its cycles. E-mail
+rounds modulo b. It is a bijection for any a and b; dates walk its cycles to the next day of their kind. E-mail
 addresses have no number format; their local part becomes a keyed hash under the same key
 (`email`), linked but not permuted.
 
@@ -47,7 +49,7 @@ _STOP = (rf"(?<![0-9-])(?:(?:19|20)[0-9]{{2}}-{_MONTH}-{_DAY}(?![0-9])|[0-9]{{2}
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9])",
+    "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9])",
     "phone": (r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
               r"|(?<![0-9+])\+(?!1[^0-9]?[0-9])[1-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])"
               r"|(?<![0-9A-Za-z])(?:1[ .-])?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9-])"
@@ -64,8 +66,8 @@ SHORT_CODES = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Days from 1900-01-01 to 2099-12-31, and their factors 17 * 4297.
 DAY_FACTORS = (17, 4297)
-#: Steps along a cycle of days for mm/dd (each ends it with a chance of 0.6).
-US_STEPS = 64
+#: Steps along a cycle of days to one of the same kind (each ends it with a chance of 0.4 or 0.6).
+STEPS = 96
 #: Valid numbers: 898 areas (001-899 without 666) * 99 groups, and 9999 serials.
 SSN_FACTORS = (898 * 99, 9999)
 
@@ -268,22 +270,23 @@ def _ip(m: Column, key: str) -> Column:
 
 def _date(m: Column, key: str) -> Column:
     first, second = F.substring(m, 1, 2), F.substring(m, 4, 2)
-    iso, us = F.substring(m, 5, 1) == "-", (F.substring(m, 3, 1) == "/") & (second.cast("int") > 12)
+    iso, us = F.substring(m, 5, 1).isin("-", "/"), (F.substring(m, 3, 1) == "/") & (second.cast("int") > 12)
     year, span = F.substring(m, 7, 4), DAY_FACTORS[0] * DAY_FACTORS[1]
-    norm = F.when(iso, m).when(us, F.concat_ws("-", year, first, second)).otherwise(F.concat_ws("-", year, second, first))
+    norm = F.when(iso, F.replace(m, F.lit("/"), F.lit("-"))).when(us, F.concat_ws("-", year, first, second)).otherwise(F.concat_ws("-", year, second, first))
     origin = F.lit("1900-01-01").cast("date")
     day = F.datediff(F.try_to_timestamp(norm, F.lit("yyyy-MM-dd")).cast("date"), origin).cast("long")
     date_of = lambda d: F.date_add(origin, d.cast("int"))
     permuted = lambda d: feistel(d, F.lit(DAY_FACTORS[0]).cast("long"), F.lit(DAY_FACTORS[1]).cast("long"), F.lit("date"), key)
-    # days of the month above 12 only, so that mm/dd is told from dd/mm: on to the next such day of the cycle
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(US_STEPS)), permuted(day),
-                         lambda d, _: F.when(F.dayofmonth(date_of(d)) > 12, d).otherwise(permuted(d)))
+    # days of the month above 12 go to such days and others to others, so that mm/dd is told from dd/mm: on along the cycle
+    late = lambda d: F.dayofmonth(date_of(d)) > 12
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), permuted(day),
+                         lambda d, _: F.when(late(d) == late(day), d).otherwise(permuted(d)))
 
     def shown(p):
         out, sep = F.date_format(date_of(p), "yyyy-MM-dd"), F.substring(m, 3, 1)
         y, mm, dd = F.substring(out, 1, 4), F.substring(out, 6, 2), F.substring(out, 9, 2)
-        return F.when(iso, out).when(us, F.concat(mm, sep, dd, sep, y)).otherwise(F.concat(dd, sep, mm, sep, y))
-    return F.when(day.between(0, span - 1), _let(F.when(us, walked).otherwise(permuted(day)), shown))
+        return F.when(iso, F.replace(out, F.lit("-"), F.substring(m, 5, 1))).when(us, F.concat(mm, sep, dd, sep, y)).otherwise(F.concat(dd, sep, mm, sep, y))
+    return F.when(day.between(0, span - 1), _let(walked, shown))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -295,7 +298,7 @@ def kind_of(m: Column) -> Column:
     """The format of one match of ANY."""
     return (F.when(m.contains("@"), "email").when(m.startswith("+") | m.contains("("), "phone")
             .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip")
-            .when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2[0-9]{4})$"), "date")
+            .when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2[0-9]{4})$"), "date")
             .when(m.rlike(r"^(1[.-])?[0-9]{3}([.-])[0-9]{3}\2[0-9]{4}$"), "phone")
             .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(m.rlike("^[A-Z]"), "iban").otherwise("card"))
 

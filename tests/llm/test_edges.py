@@ -110,6 +110,33 @@ def test_mixing_hot_length_is_cut_exactly(spark):
     assert got.filter("times > 3").count() == 0
 
 
+def test_fit_budget_takes_the_same_share_of_every_length():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for n, longest in ((500, 1000), (5000, 20_000), (20_000, 20_000), (3000, 400_000)):
+        drawn = rng.integers(1, longest, n)
+        lengths, counts = np.unique(drawn, return_counts=True)
+        for share in (0.1, 0.3, 0.7):
+            budget = int(share * drawn.sum())
+            take = mixing.fit_budget(lengths, counts, budget)
+            assert (take >= 0).all() and (take <= counts).all() and abs(int((take * lengths).sum()) - budget) <= 2
+            for fifth in np.array_split(np.arange(len(lengths)), 5):
+                assert abs(take[fifth].sum() / counts[fifth].sum() - share) < 0.05
+
+
+def test_mixing_counts_repeated_rows_across_tasks(spark):
+    """One document repeated over many tasks, of which the budget takes some copies: as many as fit, whatever the tasks."""
+    rows, counts = [(None, "a b c", "s1")] * 300 + [(7, "a b c", "s1")] * 40 + [(i, "d e f", "s2") for i in range(30)], []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = mixing.mix(docs, weights=(1, 9), bucket_rows=16).collect()
+        assert len(got) == len(rows)
+        target = next(r.target for r in got if r.source == "s1")
+        assert abs(sum(r.taken for r in got if r.source == "s1") - target) <= 3
+        counts.append(sorted((r.doc_id is None, r.times) for r in got if r.source == "s1"))
+    assert counts[0] == counts[1]
+
+
 def test_fit_budget_is_exact_when_it_can_be():
     import numpy as np
     for budget in range(0, 60):
@@ -134,14 +161,30 @@ def test_secrets(docs, empty):
     same(out.filter("doc_id is null or doc_id <> 10"), [tuple(r) for r in docs.filter("doc_id is null or doc_id <> 10").collect()])
 
 
+def plain_class(held):
+    """Class of a random-looking value held by (owner, text) pairs."""
+    owners, texts = len({o for o, _ in held}), len({t for _, t in held})
+    return ("example" if min(owners, texts) >= 12 or owners >= 100 else "live" if min(owners, texts) <= 2 else "shared")
+
+
 def test_secrets_tell_examples_from_owners(spark):
-    shared, own = "token: " + "Sample0123456789abcDEF", "x Zq9r8T7y6U5i4O3p2A1s0Dff y"
-    rows = [(i, shared, "en", f"s{i}") for i in range(6)] + [(10, own, "en", "s1"), (11, own, "en", "s1")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    kinds = {(r.doc_id, r.kind): r["class"] for r in secrets.spans(docs).collect()}
-    assert all(kinds[(i, "assign")] == "example" for i in range(6))
-    assert kinds[(10, "token")] == "live" and kinds[(11, "token")] == "live"
-    assert [r.text for r in secrets.redact(docs).orderBy("doc_id").collect()][:1] == [shared]
+    """Values of 1, 2, 20 and 1,000 owners among 3,000, as copies of one text and in texts of their own."""
+    cases = {f"Zq{k}r8T7y6U5i4O3p2A1s0Dff": (n, fork) for k, (n, fork) in enumerate([(1, False), (2, True), (2, False), (20, True), (20, False),
+                                                                                     (1000, True), (1000, False), (3, False)])}
+    rows = [(f"o{i}", f"x {v} y" if fork else f"text {i}: {v}") for v, (n, fork) in cases.items() for i in range(n)]
+    rows += [(f"t{i}", f"nothing {i}") for i in range(2000)]
+    docs = spark.createDataFrame([(i, t, "en", o) for i, (o, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    found = {(r.doc_id, r["class"]) for r in secrets.spans(docs).collect()}
+    want, classes = set(), {}
+    for i, (_, t) in enumerate(rows):
+        for v in cases:
+            if v in t:
+                classes[v] = c = plain_class([x for x in rows if v in x[1]]) if v not in classes else classes[v]
+                want |= {(i, c)} if c != "example" else set()
+    assert found == want
+    assert [classes[v] for v in cases] == ["live", "live", "live", "live", "example", "example", "example", "shared"]
+    text = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert all(("[SECRET]" in text[i]) == any(v in t and classes[v] != "example" for v in cases) for i, (_, t) in enumerate(rows))
 
 
 def test_simhash(docs, empty):
@@ -222,13 +265,54 @@ def test_chat(spark):
             ("t", 3, 1, "assistant", "good \\l", 0.9), ("t", 4, 3, None, None, 0.5), ("u", 1, 99, "assistant", "orphan", None),
             (None, 1, None, "user", "x", 0.0), ("c", 1, 2, "user", "loop", 0.0), ("c", 2, 1, "user", "loop", 0.0)]
     nodes = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
-    got = {r.tree: r for r in chat.read_back(chat.format_trees(nodes)).collect()}
+    got = {r.tree: r for r in chat.read_back(chat.format_trees(nodes, keep=1)).collect()}
     assert set(got) == {"t", "u", None}
     assert [tuple(x) for x in got["t"].turns] == [("user", "q \\ <turn> é"), ("assistant", "good \\l"), ("", "")]
     assert got["t"].loss_text == ["good \\l"] and got["u"].loss_text == ["orphan"]
     assert chat.format_trees(nodes.limit(0)).count() == 0
 
 
+def all_paths(rows):
+    """[(tree, root, rank, mean, texts)] of every root-to-leaf path, ranked in its root."""
+    by = {(t, n): (p, text or "", s or 0.0) for t, n, p, _, text, s in rows}
+    inner, found = {(t, p) for (t, _), (p, _, _) in by.items()}, {}
+    for t, n in by:
+        if (t, n) not in inner:
+            path, at = [], n
+            while at is not None and (t, at) in by:
+                path.append(at)
+                at = by[t, at][0]
+            mean = sum(by[t, x][2] for x in path) / len(path)
+            found.setdefault((t, path[-1]), []).append((mean, len(path), n, [by[t, x][1] for x in reversed(path)]))
+    return [(t, root, k + 1, round(m, 9), texts) for (t, root), paths in found.items()
+            for k, (m, _, _, texts) in enumerate(sorted(paths, reverse=True))]
+
+
+def test_chat_ranks_every_branch(spark):
+    import random
+    rng = random.Random(8)
+    rows = [("two", 1, None, "user", "q", 0.9), ("two", 2, 1, "assistant", "best", 1.0), ("two", 3, 1, "assistant", "other", 0.5)]
+    rows += [("big", i, None if i < 3 else rng.randrange(i), "user", f"<{i}> \\ é", rng.choice([0.0, 0.25, 0.5])) for i in range(120)]
+    nodes = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                                  "tree string, node long, parent long, role string, text string, score double, rank string, n int")
+    want = all_paths(rows)
+
+    def made(**options):
+        return sorted((r.tree, r.root, r["rank"], round(r.score, 9), [x.text for x in r.turns])
+                      for r in chat.read_back(chat.format_trees(nodes, **options)).collect())
+    assert made() == sorted(want) and [w[2:4] for w in want if w[0] == "two"] == [(1, 0.95), (2, 0.7)]
+    assert made(keep=2) == sorted(w for w in want if w[2] <= 2)
+    assert made(min_score=0.3) == sorted(w for w in want if w[3] >= 0.3)
+
+
+def test_chat_very_long_text_and_turns(spark):
+    long = "<\\l " * 60_000
+    nodes = spark.createDataFrame([("t", 0, None, "user", long, 0.0), ("t", 1, 0, "assistant", long, 0.0)],
+                                  "tree string, node long, parent long, role string, text string, score double")
+    r = chat.read_back(chat.format_trees(nodes)).first()
+    assert [x.text for x in r.turns] == [long, long] and r.loss_text == [long]
+
+
 def test_chat_long_chain(spark):
     n = 300
     nodes = spark.range(n).selectExpr("7L as tree", "id as node", "if(id > 0, id - 1, null) as parent", "'user' as role",
@@ -434,3 +518,20 @@ def test_substring_dedup_splits_blocks_of_a_shared_phrase(spark):
     cols = ["doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)]
     for split_windows in (100, 1 << 21):
         same(rlz_dedup.dedup(docs, **options, split_windows=split_windows).select(*cols), brute.substring_dedup(rows))
+
+
+def test_pii_links_every_spelling_of_a_date(spark):
+    """Every day of a leap year in every spelling: one new day, another for other days, told apart as before."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(366)]
+    forms = ["%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%d/%m/%Y"]
+    texts = [", ".join(d.strftime(f) for f in (*forms, *["%m/%d/%Y"] * (d.day > 12))) for d in days]
+    new = []
+    for d, r in zip(days, pseudonyms(spark, texts)):
+        shown = r.text.split(", ")
+        read = {dt.datetime.strptime(s, f).date() for s, f in zip(shown, forms)}
+        if d.day > 12:
+            read.add(dt.datetime.strptime(shown[4], "%m/%d/%Y").date())
+        assert len(read) == 1 and r.n_date == len(shown)
+        new += read
+        assert (new[-1].day > 12) == (d.day > 12)
+    assert len(set(new)) == 366 and sum(a == b for a, b in zip(days, new)) < 4
