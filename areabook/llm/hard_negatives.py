@@ -11,11 +11,9 @@ segments, bound a score from both sides. Pairs go through the levels from wide t
 a pair stays while its bounds leave it a chance. What passes the last level is scored exactly, the likeliest rows of
 an anchor first: a row whose upper bound is under the k-th best score already known needs none.
 
-* Positives of an anchor: the k best rows of its label. A pair goes when its upper bound is under
-  the k-th best lower bound.
+* Positives of an anchor: the k best rows of its label.
 * Negatives of a (anchor, positive): the best rows of other labels with a score from low to high of
-  the positive's, as exact fractions. A pair goes when its bounds lie outside all of the anchor's score ranges, or when in each
-  range it reaches, enough pairs surely inside have a lower bound above its upper bound.
+  the positive's, as exact fractions; a pair also goes when its bounds lie outside all of the anchor's score ranges.
 
 On Spark: rows are written once, packed in blocks of at most `BLOCK_ROWS` rows with their summaries;
 anchors, a stated query set, likewise in blocks of `ANCHOR_ROWS`. Row blocks are dealt over groups, anchor
@@ -129,8 +127,15 @@ class Block:
         self.means, self.devs = read("means", np.float64, segments), read("devs", np.float64, segments)
         self.extra = None if row.get(prefix + "extra") is None else read("extra", np.int64, -1)
 
-    def lengths(self, level: slice) -> np.ndarray:
-        return np.sqrt((self.means[:, level] ** 2 + self.devs[:, level] ** 2).sum(axis=1))
+    def prepare(self) -> Block:
+        """Level by level: means, deviations, and the lengths that rounding is measured by; and the vectors for scoring."""
+        self.levels = []
+        for level in _levels(self.width):
+            mean, dev = np.ascontiguousarray(self.means[:, level]), np.ascontiguousarray(self.devs[:, level])
+            self.levels.append((mean, dev, np.sqrt((mean ** 2 + dev ** 2).sum(axis=1))))
+        self.floats = self.vectors.astype(np.float64)
+        self.largest = float(np.abs(self.floats).max(initial=0))
+        return self
 
     def widened(self, width: int) -> Block:
         """The same rows with zeros appended (blocks of shorter vectors)."""
@@ -141,72 +146,68 @@ class Block:
         return self
 
 
-def bounds(a: Block, b: Block, level: slice, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(lower, upper) bounds of all scores of a's rows with the given rows of b, one level of segments."""
-    mean = a.means[:, level] @ b.means[rows, level].T
-    dev = a.devs[:, level] @ b.devs[rows, level].T
+def _times(matrix: np.ndarray, rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Products of the given rows with the vector; of all rows first where most are wanted."""
+    return matrix[rows] @ vector if 4 * len(rows) < len(matrix) else (matrix @ vector)[rows]
+
+
+def bounds(a: Block, i: int, b: Block, level: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower bound, middle, upper bound) of the scores of a's row i with the given rows of b, by one level of segments."""
+    (am, ad, al), (bm, bd, bl) = a.levels[level], b.levels[level]
+    mean, dev = _times(bm, rows, am[i]), _times(bd, rows, ad[i])
     # rounding of the sums, against the product of the lengths; scores are integers
-    slack = 0.01 + 1e-12 * a.lengths(level)[:, None] * b.lengths(level)[None, rows]
-    return mean - dev - slack, mean + dev + slack
+    dev = dev + (0.01 + 1e-12 * al[i] * bl[rows])
+    return mean - dev, mean, mean + dev
 
 
 def exact(a: Block, i: int, b: Block, rows: np.ndarray) -> np.ndarray:
+    """Scores as integers: sums of doubles below 2^53 are exact, larger ones are added as 64-bit integers."""
+    if a.largest * b.largest * a.width < 2**53:
+        return _times(b.floats, rows, a.floats[i]).astype(np.int64)
     return b.vectors[rows].astype(np.int64) @ a.vectors[i].astype(np.int64)
 
 
-def _kth(x: np.ndarray, k: int) -> np.ndarray:
-    """k-th largest of each row; minus infinity where there are fewer."""
-    if x.shape[1] < k:
-        return np.full(len(x), -np.inf)
-    return np.partition(x, x.shape[1] - k, axis=1)[:, x.shape[1] - k]
-
-
-def _refine(a: Block, b: Block, alive: np.ndarray, prune) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """alive (anchors x rows), less what the levels rule out one after the other; and the last level's bounds."""
-    low = high = np.zeros(alive.shape)
-    for level in _levels(a.width):
-        rows = np.flatnonzero(alive.any(axis=0))
-        if not len(rows):
-            break
-        part, low, high = alive[:, rows], np.full(alive.shape, -np.inf), np.full(alive.shape, -np.inf)
-        low[:, rows], high[:, rows] = bounds(a, b, level, rows)
-        alive[:, rows] = prune(low[:, rows], high[:, rows], part)
-    return alive, low, high
-
-
-def _worth(a: Block, i: int, b: Block, rows: np.ndarray, low: np.ndarray, high: np.ndarray, k: int, ranges) -> np.ndarray:
-    """The rows still worth an exact score, once the likeliest ones of each range (by the middle of their bounds) have theirs:
-    a row whose upper bound is under the k-th best score known in every range it can reach cannot be among the k best."""
-    keep, guess = np.zeros(len(rows), dtype=bool), (low + high) / 2
-    for bottom, top in ranges:
-        may = np.flatnonzero((high >= bottom) & (low <= top))
-        likely = may[np.argsort(-np.where(guess[may] <= top, guess[may], -np.inf), kind="stable")[:SEEDS * k]]
-        known = exact(a, i, b, rows[likely])
-        known = np.sort(known[(known >= bottom) & (known <= top)])
-        cut = known[-k] if len(known) >= k else bottom
-        keep[may[high[may] >= cut]] = True
-    return rows[keep]
+def _cut(a: Block, i: int, b: Block, rows: np.ndarray, middle: np.ndarray, k: int, bottom: float, top: float) -> float:
+    """The k-th best score of a range, as far as its likeliest rows show."""
+    fit = np.flatnonzero(middle <= top)
+    n = SEEDS * k
+    if len(fit) > n:
+        fit = fit[np.argpartition(middle[fit], len(fit) - n)[len(fit) - n:]]
+    known = exact(a, i, b, rows[fit])
+    known = np.sort(known[(known >= bottom) & (known <= top)])
+    return known[-k] if len(known) >= k else bottom
+
+
+def worth(a: Block, i: int, b: Block, rows: np.ndarray, k: int, ranges: list[tuple[float, float]]) -> np.ndarray:
+    """The rows that can be among the k best of one of the score ranges, level by level; at the last level the likeliest rows of
+    each range are scored, and a row under the k-th best score known in every range cannot be among the k best."""
+    least, most = min(r[0] for r in ranges), max(r[1] for r in ranges)
+    for level in range(len(b.levels)):
+        low, middle, high = bounds(a, i, b, level, rows)
+        if level == len(b.levels) - 1:
+            least = min(_cut(a, i, b, rows, middle, k, *r) for r in ranges)
+        rows = rows[(high >= least) & (low <= most)]
+    return rows
 
 
 def _best(scores: np.ndarray, rows: np.ndarray, b: Block, k: int) -> np.ndarray:
     """Places of the k best, by score, then id, then row."""
+    if len(scores) > 4 * k:                       # ties at the k-th score stay in
+        near = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+        return near[_best(scores[near], rows[near], b, k)] if len(near) < len(scores) else near[
+            np.lexsort((b.rids[rows], b.nulls[rows], b.ids[rows], -scores))[:k]]
     return np.lexsort((b.rids[rows], b.nulls[rows], b.ids[rows], -scores))[:k]
 
 
 def best_positives(a: Block, b: Block, k: int) -> Iterator[tuple]:
     """(anchor, row, score) of the k best rows of the anchor's label in one pair of blocks."""
-    alive = (a.labels[:, None] == b.labels[None, :]) & (a.rids[:, None] != b.rids[None, :])
-
-    def prune(low, high, alive):
-        return alive & (high >= _kth(np.where(alive, low, -np.inf), k)[:, None])
-
-    alive, low, high = _refine(a, b, alive, prune)
-    for i in np.flatnonzero(alive.any(axis=1)):
-        rows = np.flatnonzero(alive[i])
-        rows = _worth(a, i, b, rows, low[i, rows], high[i, rows], k, [(-np.inf, np.inf)])
-        scores = exact(a, i, b, rows)
-        for j in _best(scores, rows, b, k):
-            yield i, rows[j], int(scores[j])
+    for i in range(a.n):
+        rows = np.flatnonzero((b.labels == a.labels[i]) & (b.rids != a.rids[i]))
+        if len(rows):
+            rows = worth(a, i, b, rows, k, [(-np.inf, np.inf)])
+            scores = exact(a, i, b, rows)
+            for j in _best(scores, rows, b, k):
+                yield i, rows[j], int(scores[j])
 
 
 def score_range(positive: np.ndarray, low: int = LOW, high: int = HIGH) -> tuple[np.ndarray, np.ndarray]:
@@ -217,24 +218,14 @@ def score_range(positive: np.ndarray, low: int = LOW, high: int = HIGH) -> tuple
 def best_negatives(a: Block, b: Block, k: int, low: int, high: int) -> Iterator[tuple]:
     """(anchor, place of the positive score, row, score) of the k best rows of other labels in each range."""
     bottom, top = score_range(a.extra, low, high)
-    places = a.extra.shape[1]
-    alive = (a.labels[:, None] != b.labels[None, :]) & (bottom <= top).any(axis=1)[:, None]
-
-    def prune(lower, upper, alive):
-        keep = np.zeros_like(alive)
-        for p in range(places):
-            lo, hi = bottom[:, p, None], top[:, p, None]
-            may = alive & (upper >= lo) & (lower <= hi) & (lo <= hi)
-            sure = may & (lower >= lo) & (upper <= hi)
-            keep |= may & (upper >= _kth(np.where(sure, lower, -np.inf), k)[:, None])
-        return keep
-
-    alive, lower, upper = _refine(a, b, alive, prune)
-    for i in np.flatnonzero(alive.any(axis=1)):
-        rows = np.flatnonzero(alive[i])
-        rows = _worth(a, i, b, rows, lower[i, rows], upper[i, rows], k, list(zip(bottom[i], top[i])))
+    for i in range(a.n):
+        places = np.flatnonzero(bottom[i] <= top[i])
+        rows = np.flatnonzero(b.labels != a.labels[i])
+        if not len(places) or not len(rows):
+            continue
+        rows = worth(a, i, b, rows, k, [(bottom[i, p], top[i, p]) for p in places])
         scores = exact(a, i, b, rows)
-        for p in range(places):
+        for p in places:
             inside = np.flatnonzero((scores >= bottom[i, p]) & (scores <= top[i, p]))
             for j in _best(scores[inside], rows[inside], b, k):
                 yield i, p, rows[inside[j]], int(scores[inside[j]])
@@ -251,7 +242,7 @@ def _met(batches: Iterator[pa.RecordBatch], schema: pa.Schema, what: str, k: int
             row = batch.slice(one, 1).to_pylist()[0]
             a, b = Block(row, "a_"), Block(row, "b_")
             width = max(a.width, b.width)
-            a, b = a.widened(width), b.widened(width)
+            a, b = a.widened(width).prepare(), b.widened(width).prepare()
             found = ([(i, 0, j, s) for i, j, s in best_positives(a, b, k)] if what == "positives"
                      else list(best_negatives(a, b, k, low, high)))
             if found:

@@ -119,17 +119,17 @@ def test_bounds_hold_and_prune(monkeypatch):
     pack = lambda lab: {"x_" + k: w for k, w in {
         "n": 400, "width": 64, "ids": np.arange(400).tobytes(), "nulls": np.zeros(400, bool).tobytes(), "rids": np.arange(400).tobytes(),
         "labels": lab.tobytes(), "vectors": v.astype(np.int32).tobytes(), "means": means.tobytes(), "devs": devs.tobytes(), "extra": None}.items()}
-    b = hard.Block(pack(np.zeros(400, np.int64)), "x_")
+    b, every = hard.Block(pack(np.zeros(400, np.int64)), "x_").prepare(), np.arange(400)
     spread = []
-    for level in hard._levels(64):
-        low, high = hard.bounds(b, b, level, np.arange(400))
+    for level in range(len(hard.WIDTHS)):
+        low, _, high = (np.stack(x) for x in zip(*[hard.bounds(b, i, b, level, every) for i in every]))
         assert (low <= v @ v.T).all() and (v @ v.T <= high).all()
         spread.append((high - low).mean())
     assert spread == sorted(spread, reverse=True)
     # vectors whose neighbouring components go together: most pairs are never scored
     smooth = np.cumsum(np.random.default_rng(5).integers(-60, 60, (400, 64)), axis=1)
     v, (means, devs) = smooth, hard.summaries(smooth)
-    b = hard.Block(pack(np.zeros(400, np.int64)), "x_")
+    b = hard.Block(pack(np.zeros(400, np.int64)), "x_").prepare()
     scored, plain = [], hard.exact
     monkeypatch.setattr(hard, "exact", lambda a, i, b, rows: scored.append(len(rows)) or plain(a, i, b, rows))
     got = list(hard.best_positives(b, b, 5))
