@@ -259,3 +259,57 @@ def repair(rows):
         out[conv] = (gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit,
                      sha("\n".join(said)))
     return out
+
+
+def host_reputation(pages, labels, two_label, threshold=0.5, z=1.645):
+    """pages (page, host), labels {page: bad} -> {host: (posterior mean, blocked)}: beta-binomial shrinkage from suffix to
+    domain to host, prior strengths by moments, in plain Python."""
+    import math
+    hosts = defaultdict(lambda: [0, 0])
+    for page, host in pages:
+        hosts[host][0] += page in labels
+        hosts[host][1] += labels.get(page, 0)
+
+    def parts(host):
+        name = re.sub(r":\d*$", "", re.sub(r"^.*@", "", host)).split(".")
+        k = 2 if ".".join(name[-2:]) in two_label else 1
+        return ".".join(name[-k - 1:]), ".".join(name[-k:])
+
+    inside = lambda p: min(max(p, 1e-6), 1 - 1e-6)
+
+    def shrink(units, parent):
+        """units {name: (n, bad)}, parent {name: rate} -> {name: (a, b)}."""
+        over = scale = noise = 0.0
+        for u, (n, bad) in units.items():
+            p = inside(parent[u])
+            var = p * (1 - p)
+            over += (bad - n * p) ** 2 - n * var
+            scale += n * (n - 1) * var
+            noise += 2 * n * (n - 1) * var * var
+        if not scale:
+            rho = 0.1
+        else:
+            est, err = over / scale, math.sqrt(noise) / scale
+            near = min(max(est, 0.0), 1.0)
+            lo, hi = max(0.0, near - 8 * err), min(1.0, near + 8 * err)
+            x = [lo + (k + 0.5) / 4000 * (hi - lo) for k in range(4000)]
+            top = max(-((v - est) / err) ** 2 / 2 for v in x)
+            w = [math.exp(-((v - est) / err) ** 2 / 2 - top) for v in x]
+            rho = min(sum(a * b for a, b in zip(x, w)) / sum(w), 0.999)
+        m = round(1 / rho - 1, 6)
+        return {u: (bad + m * inside(parent[u]), n - bad + m * (1 - inside(parent[u]))) for u, (n, bad) in units.items()}
+
+    rate = lambda ab: ab[0] / (ab[0] + ab[1])
+    domains, suffixes = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for h, (n, bad) in hosts.items():
+        for level, name in ((domains, parts(h)), (suffixes, parts(h)[1])):
+            level[name][0] += n
+            level[name][1] += bad
+    p0 = (sum(b for _, b in hosts.values()) + 1) / (sum(n for n, _ in hosts.values()) + 2)
+    of_suffix = {s: rate(ab) for s, ab in shrink(suffixes, dict.fromkeys(suffixes, p0)).items()}
+    of_domain = {d: rate(ab) for d, ab in shrink(domains, {d: of_suffix[d[1]] for d in domains}).items()}
+    out = {}
+    for h, (a, b) in shrink(hosts, {h: of_domain[parts(h)] for h in hosts}).items():
+        mean = a / (a + b)
+        out[h] = (mean, mean - z * math.sqrt(mean * (1 - mean) / (a + b + 1)) > threshold)
+    return out

@@ -71,6 +71,9 @@ def test_op3(spark, con):
     got = {r.page_id: r for r in Q.op3_url_filter(spark, SF).collect()}
     pages = rows(con, "pages", "page_id, url")
     assert set(got) == {p for p, _ in pages}
+    table = lambda t: spark.read.parquet(f"{SF}/{t}.parquet")
+    labels = {r.page_id: r.bad for r in Q.page_labels(table("pages"), table("documents"), table("labels")).collect()}
+    blocked = {h: b for h, (_, b) in brute.host_reputation([(p, r.host) for p, r in got.items()], labels, url_filter.TWO_LABEL_SUFFIXES).items()}
     for page, url in pages:
         m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
         host, path = (m[1].translate(brute.LOWER), m[2]) if m else ("", "")
@@ -78,7 +81,28 @@ def test_op3(spark, con):
         r = max(fit, key=lambda r: len(r[1] + r[2]), default=None)
         assert (got[page].host, got[page].path) == (host, path)
         assert got[page].rule == (r and r[1] + r[2])
-        assert got[page].verdict == (r[0] if r else got[page].verdict) and got[page].verdict in ("allow", "block")
+        assert got[page].verdict == (r[0] if r else "block" if blocked[host] else "allow")
+
+
+def test_op3_judges_planted_hosts_as_plain_python(spark):
+    """Hosts on both sides of the bound, some with few labels, under shared domains and two-label suffixes."""
+    import random
+    rng = random.Random(12)
+    hosts = [(f"h{i}.{'bad' if i % 3 == 0 else 'good'}{i % 5}.{('com', 'org', 'co.uk')[i % 3]}", rng.choice([0, 1, 3, 40]), 0.95 if i % 3 == 0 else 0.05)
+             for i in range(60)]
+    pages, labels = [], {}
+    for host, n, rate in hosts:
+        for k in range(n + 2):
+            pages.append((len(pages), host))
+            if k < n:
+                labels[len(pages) - 1] = int(rng.random() < rate)
+    p = spark.createDataFrame(pages, "page_id long, host string")
+    lab = spark.createDataFrame(list(labels.items()), "page_id long, bad int")
+    got = {r.host: (r.posterior, r.blocked) for r in url_filter.host_reputation(p, lab).collect()}
+    want = brute.host_reputation(pages, labels, url_filter.TWO_LABEL_SUFFIXES)
+    assert set(got) == set(want) and len({b for _, b in want.values()}) == 2
+    for h in want:
+        assert got[h] == (pytest.approx(want[h][0], abs=1e-9), want[h][1])
 
 
 def test_op4(spark, docs):
