@@ -4,7 +4,8 @@ The reference is the whole corpus, cut into index blocks. Every window of `windo
 hashed; a window's block follows from the smallest five-word hash inside it, so runs of
 neighbouring windows, and equal windows everywhere, fall into the same block. A block
 lists, for each distinct window, its first place in the corpus (smallest doc_id, then
-position). Windows are joined by their 64-bit hash; no reference text is compared. The runs of
+position). Windows are joined by the 64-bit hash of that smallest phrase and 32 bits of their own hash (96 bits: 0.003
+false pairs expected among the 2e13 windows of 100 TB); no reference text is compared. The runs of
 a document are merged into factors afterwards: from a window known from a smaller doc_id the
 factor runs on as long as the next window's first place continues in the same reference
 document, so text copied from a document that itself copied an older one can be several
@@ -16,7 +17,9 @@ inside a chunk themselves: a window goes to its block only for the chunk's small
 that has it. A passage in very many documents thus costs one entry a chunk, not one a document.
 Blocks hold about `block_bytes` of text each, so their number grows with the corpus. A first
 pass counts the windows of each block; one of more than `split_windows` (many different windows
-that share a phrase) is split by window hash, so equal windows still meet and results stay.
+that share a phrase) is split by window hash, so equal windows still meet and results stay. A task settles its blocks one
+after the other, so the number of tasks is bounded (`MAX_TASKS`) whatever the number of blocks. What a chunk sends is
+packed: a phrase hash a run, four bytes a window, and the documents and places of the runs as compressed columns.
 
 Edge cases: NULL or empty texts have no words and keep nothing; texts of fewer than
 `window` words are kept whole; rows with a NULL doc_id are kept whole and are no
@@ -28,6 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,24 +44,45 @@ CHUNK_WORDS = 1 << 19
 BLOCK_BYTES = 6 << 20
 SPLIT_WINDOWS = 1 << 21
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+MAX_TASKS = 1 << 16
 ENTRY = "block long, runs binary, hashes binary, done binary"
 FACTOR = "doc_id long, text_key long, start int, n_windows int, ref_doc long, ref_start int"
-_RUN = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("n", "<i4")])
 _HIT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("n", "<i4"), ("ref", "<i8"), ("at", "<i4")])
 
 
-def _block_of(h: np.ndarray, window: int, blocks: int) -> np.ndarray:
-    """Index block of each window: from the smallest anchor hash inside it."""
+def _anchors(h: np.ndarray, window: int) -> np.ndarray:
+    """The smallest anchor hash inside each window."""
     a = rolling(h, ANCHOR)
     n = len(h) - window + 1
     low = a[:n].copy()
     for k in range(1, window - ANCHOR + 1):
         np.minimum(low, a[k:k + n], out=low)
-    low ^= low >> np.uint64(32)
+    return low
+
+
+def _block_of(anchor: np.ndarray, blocks: int) -> np.ndarray:
+    """Index block of each window, from its anchor."""
+    low = anchor ^ (anchor >> np.uint64(32))
     low *= _MIX
     return ((low >> np.uint64(33)) % np.uint64(blocks)).astype(np.int64)
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, one behind the other, compressed (each as differences: they grow slowly)."""
+    raw = b"".join(np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unpack(data: bytes, types: list[str]) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    types_ = [np.dtype(t) for t in types]
+    n, at, out = len(raw) // sum(t.itemsize for t in types_), 0, []
+    for t in types_:
+        out.append(np.cumsum(np.frombuffer(raw, t, n, at), dtype=t))
+        at += n * t.itemsize
+    return out
+
+
 def _breaks(*conditions: np.ndarray) -> np.ndarray:
     """First rows of runs: where any of the arrays says that a row does not continue the one before."""
     new = np.zeros(len(conditions[0]) + 1, dtype=bool)
@@ -80,13 +105,13 @@ def _hits(doc, key, pos, ref, at) -> np.ndarray:
     return out
 
 
-def _first_places(h, doc, pos):
-    """For each window, the smallest (doc, pos) with its hash."""
-    order = np.lexsort((pos, doc, h))
-    hs = h[order]
-    head = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1])))
-    place = np.repeat(order[head], np.diff(np.append(head, len(hs))))
-    first = np.empty(len(h), dtype=np.int64)
+def _first_places(doc, pos, *hashes):
+    """For each window, the smallest (doc, pos) with its hashes."""
+    order = np.lexsort((pos, doc, *hashes))
+    same = [np.diff(h[order]) == 0 for h in hashes]
+    head = np.flatnonzero(np.concatenate(([True], ~np.logical_and.reduce(same))))
+    place = np.repeat(order[head], np.diff(np.append(head, len(order))))
+    first = np.empty(len(order), dtype=np.int64)
     first[order] = place
     return first
 
@@ -112,7 +137,7 @@ class _Chunk:
         h = word_hashes(text.encode().split())
         self.words += len(h)
         if len(h) >= self.window:
-            self.parts.append((doc, key, rolling(h, self.window), _block_of(h, self.window, self.blocks)))
+            self.parts.append((doc, key, rolling(h, self.window), _anchors(h, self.window)))
 
     def rows(self):
         """One entry a block: runs and hashes of the windows it must place, and what is settled here."""
@@ -122,9 +147,10 @@ class _Chunk:
         doc = np.repeat(np.array([p[0] for p in self.parts], dtype=np.int64), sizes)
         key = np.repeat(np.array([p[1] for p in self.parts], dtype=np.int64), sizes)
         pos = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-        h, block = np.concatenate([p[2] for p in self.parts]), np.concatenate([p[3] for p in self.parts])
+        h, anchor = np.concatenate([p[2] for p in self.parts]), np.concatenate([p[3] for p in self.parts])
+        block = _block_of(anchor, self.blocks)
         self.parts, self.words = [], 0
-        first = _first_places(h, doc, pos)
+        first = _first_places(doc, pos, h)
         known = doc[first] < doc
         block = self._spread(block, h, doc, known)
         order = np.argsort(block, kind="stable")       # text order stays inside a block
@@ -133,16 +159,13 @@ class _Chunk:
         for i, j in zip(bounds, np.append(bounds[1:], len(order))):
             rows = order[i:j]
             new, old = rows[~known[rows]], rows[known[rows]]
-            runs = np.empty(0, dtype=_RUN)
-            if len(new):
-                f = _breaks(np.diff(doc[new]) != 0, np.diff(key[new]) != 0, np.diff(pos[new]) != 1)
-                runs = np.empty(len(f), dtype=_RUN)
-                runs["doc"], runs["key"], runs["start"] = doc[new][f], key[new][f], pos[new][f]
-                runs["n"] = np.diff(np.append(f, len(new)))
+            f = _breaks(np.diff(doc[new]) != 0, np.diff(key[new]) != 0, np.diff(pos[new]) != 1, np.diff(anchor[new]) != 0) if len(new) else new
+            at = new[f] if len(new) else new
             out["block"].append(int(block[rows[0]]))
-            out["runs"].append(runs.tobytes())
-            out["hashes"].append(h[new].tobytes())
-            out["done"].append(_hits(doc[old], key[old], pos[old], doc[first[old]], pos[first[old]]).tobytes())
+            out["runs"].append(_pack(doc[at], key[at], pos[at], np.diff(np.append(f, len(new))).astype(np.int32)))
+            out["hashes"].append(anchor[at].tobytes() + (h[new] >> np.uint64(32)).astype(np.uint32).tobytes())
+            hits = _hits(doc[old], key[old], pos[old], doc[first[old]], pos[first[old]])
+            out["done"].append(_pack(*[np.ascontiguousarray(hits[c]) for c in _HIT.names]))
         return pa.RecordBatch.from_pydict(out, schema=pa.schema(
             [("block", pa.int64()), ("runs", pa.binary()), ("hashes", pa.binary()), ("done", pa.binary())]))
 
@@ -159,7 +182,7 @@ def _counts(window: int, blocks: int, chunk_words: int):
             for text in b.column(0):
                 h = word_hashes(text.as_py().encode().split())
                 if len(h) >= window:
-                    found.append(_block_of(h, window, blocks))
+                    found.append(_block_of(_anchors(h, window), blocks))
                     words += len(h)
                 if words >= chunk_words:
                     yield total(found)
@@ -184,16 +207,23 @@ def _entries(window: int, blocks: int, chunk_words: int, split: dict[int, int]):
 
 def _settle(group: pd.DataFrame) -> pd.DataFrame:
     """One index block: places all its windows and returns the runs known from a smaller doc_id."""
-    runs = np.frombuffer(b"".join(group["runs"]), dtype=_RUN)
-    h = np.frombuffer(b"".join(group["hashes"]), dtype=np.uint64)
-    n = runs["n"].astype(np.int64)
-    doc, key = np.repeat(runs["doc"], n), np.repeat(runs["key"], n)
-    ahead = np.concatenate(([0], np.cumsum(n)[:-1])) if len(n) else n
-    pos = (np.repeat(runs["start"].astype(np.int64) - ahead, n) + np.arange(len(h))).astype(np.int32)
-    done = np.frombuffer(b"".join(group["done"]), dtype=_HIT)
-    out = [done]
+    cols, anchors, hashes, out = [], [], [], []
+    for runs, data, done in zip(group["runs"], group["hashes"], group["done"]):
+        cols.append(_unpack(runs, ["<i8", "<i8", "<i4", "<i4"]))
+        n = len(cols[-1][0])
+        anchors.append(np.frombuffer(data, np.uint64, n))
+        hashes.append(np.frombuffer(data, np.uint32, -1, 8 * n))
+        done = _unpack(done, [_HIT[c].str for c in _HIT.names])
+        out.append(np.empty(len(done[0]), dtype=_HIT))
+        for name, v in zip(_HIT.names, done):
+            out[-1][name] = v
+    doc, key, start, n = (np.concatenate(c) for c in zip(*cols))
+    h, n = np.concatenate(hashes), n.astype(np.int64)
     if len(h):
-        first = _first_places(h, doc, pos)
+        ahead = np.concatenate(([0], np.cumsum(n)[:-1]))
+        pos = (np.repeat(start.astype(np.int64) - ahead, n) + np.arange(len(h))).astype(np.int32)
+        doc, key = np.repeat(doc, n), np.repeat(key, n)
+        first = _first_places(doc, pos, h, np.repeat(np.concatenate(anchors), n))
         k = np.flatnonzero(doc[first] < doc)
         out.append(_hits(doc[k], key[k], pos[k], doc[first[k]], pos[first[k]]))
     hits = np.concatenate(out)
@@ -219,8 +249,8 @@ def entries(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTE
 def pieces(docs: DataFrame, window: int = WINDOW, **options) -> DataFrame:
     """Runs of windows known from a smaller doc_id: (doc_id, text_key, start, n_windows, ref_doc, ref_start)."""
     sent, blocks = entries(docs, window, **options)
-    # the number of tasks grows with the corpus, whatever the session's number of shuffle partitions
-    tasks = max(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # tasks grow with the corpus up to a bound; beyond it a task has several blocks, sorted and settled one by one
+    tasks = max(min(blocks, MAX_TASKS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return sent.repartition(tasks, "block").groupBy("block").applyInPandas(_settle, FACTOR)
 
 
