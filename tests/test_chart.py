@@ -84,6 +84,7 @@ def test_zero_denominators_are_logged_or_fail_a_strict_month(spark):
 
 def test_repeated_keys_are_logged_or_fail_a_strict_month(spark):
     out, inp = Stager(spark, "repeats").root, _b_inputs(spark)
+    inp.loan, inp.kpi = inp.loan.filter("area_code = '01'"), inp.kpi.filter("area_code = '01'")     # no ratio divides by zero
     inp.balance_txn = inp.balance_txn.unionByName(inp.balance_txn.filter("area_code = '01' and fin_id_lv3 < 3").replace("01", "99", ["area_code"]))
     inp.dim_criteria_xlsx = inp.dim_criteria_xlsx.unionByName(inp.dim_criteria_xlsx.filter("criteria_code = 'FN01'"))
     jobs.run_kpi_b(spark, inp, out, 199812)
@@ -94,3 +95,11 @@ def test_repeated_keys_are_logged_or_fail_a_strict_month(spark):
         with pytest.raises(jobs.DuplicateKeys, match=what):
             jobs.run_kpi_b(spark, inp, strict, 199812, strict=True)
         assert Mart(spark, strict).snapshot().entries == []
+
+
+def test_the_chart_of_accounts_is_the_reviewed_one():
+    """A second, fixed source beside the rules that both sides read: the lists' digest as reviewed, and their shapes."""
+    import hashlib
+    lists = "\n".join(f"{r.key}:{r.prefix or ''}:{','.join(map(str, r.direct))}:{','.join(map(str, r.pool or ()))}" for r in R.CHART_ACCOUNTS)
+    assert hashlib.sha256(lists.encode()).hexdigest() == "d0be70a8a342c8e8f0e73695a775503f5207662712e8e9612580679d71946601"
+    assert len({a for r in R.CHART_ACCOUNTS for a in (*r.direct, *r.pool_accounts)}) == 109
