@@ -5,15 +5,17 @@ import random
 from pyspark.sql import functions as F
 
 from areabook.functions.columns import month_key_of
+from areabook.operators.drivers import loan_month_area
+from areabook.operators.kpi import headcount_cumulative, headcount_in_month, headcount_monthly_avg
 from areabook.operators.ledger import ledger_monthly_sums, ledger_rule_sums
+from areabook.plans import kpi_store as K
 from areabook.plans import rules as R
 from areabook.plans.loan_store import month_area_from_store, refresh_loan_store
 from areabook.plans.rules import AccountRule
 from areabook.plans.staging import Stager
-from areabook.operators.drivers import loan_month_area
-from areabook.sources import schemas, testdata
+from areabook.sources import schemas, sinks, testdata
 from tests.conftest import SF_SMALL
-from tests.helpers import D, code, ledger
+from tests.helpers import D, code, kpi, ledger
 
 
 def counted(spark, rows, schema):
@@ -75,3 +77,31 @@ def test_rule_sums_are_the_sums_of_matching_rows(spark):
     got = {(r.ym, r.rule, r.area_code): [r.direct_sum, r.n_rows, r.head_sum]
            for r in ledger_monthly_sums(ledger(spark, rows), [199801, 199802, 199803], rules).collect()}
     assert got == want
+
+
+def kpi_rows(spark, path, table, month):
+    return spark.read.parquet(f"{path}/{table}").filter(F.col("ym") == month).count()
+
+
+def test_bitmaps_are_made_after_the_exchange_and_values_written_once(spark, monkeypatch):
+    path = f"{Stager(spark, 'kpi-once').root}/kpi_store"
+    # a month, an area and a manager with several codes, without values, without an area, without a manager
+    facts = [(199801, "01", "E1", "S01", 1), (199801, "01", "E1", "S02", None), (199801, None, "E2", "S01", 2), (199801, "02", None, "S01", 3),
+             (199802, "01", "E3", "S01", 4), (199803, "01", "E1", "S01", 5)]
+    staged = []
+    monkeypatch.setattr(sinks, "Stager", lambda *a: staged.append(a) or Stager(*a))
+    K.refresh_kpi_store(kpi(spark, facts), [199801, 199802, 199803], path)
+    assert not staged                            # what is published is not written a second time before
+    for months in (199801, [199801, 199802, 199803]):
+        for stored, direct in ((K.headcount_cumulative_from_store, headcount_cumulative), (K.headcount_in_month_from_store, headcount_in_month),
+                               (K.headcount_monthly_avg_from_store, headcount_monthly_avg)):
+            want = direct(kpi(spark, facts), months)
+            assert sorted(map(str, stored(spark, path, months).select(want.columns).collect())) == sorted(map(str, want.collect()))
+    # a month whose values are gone keeps its bitmaps, a month without rows keeps nothing
+    K.refresh_kpi_store(kpi(spark, [(199802, "01", "E3", "S01", None)]), [199802, 199803], path)
+    assert [kpi_rows(spark, path, t, 199802) for t in ("bitmaps", "values_kpi_code", "values_criteria_code")] == [1, 0, 0]
+    assert [kpi_rows(spark, path, t, 199803) for t in ("bitmaps", "values_kpi_code", "values_criteria_code")] == [0, 0, 0]
+    assert kpi_rows(spark, path, "values_kpi_code", 199801) == 3
+    rows = spark.createDataFrame([(199801, "01", "E1", 1)], "ym int, area_code string, employee_id string, n long")
+    plan = K._bits(rows, K._managers(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange hashpartitioning(ym")
