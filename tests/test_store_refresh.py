@@ -1,9 +1,11 @@
 """Store refreshes read each source once, and aggregate the ledger by the rules that a row matches."""
 
 import random
+import threading
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from areabook.functions.columns import month_key_of
 from areabook.operators.drivers import loan_month_area
 from areabook.operators.kpi import headcount_cumulative, headcount_in_month, headcount_monthly_avg
@@ -105,3 +107,14 @@ def test_bitmaps_are_made_after_the_exchange_and_values_written_once(spark, monk
     rows = spark.createDataFrame([(199801, "01", "E1", 1)], "ym int, area_code string, employee_id string, n long")
     plan = K._bits(rows, K._managers(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange hashpartitioning(ym")
+
+
+def test_scorecard_republish_builds_side_by_side(spark, monkeypatch):
+    both, build = threading.Barrier(2, timeout=120), E._build
+
+    def waits(*args):
+        both.wait()                              # breaks if one build waits for the other
+        return build(*args)
+    monkeypatch.setattr(E, "_build", waits)
+    months = {r.month_key: r["count"] for r in E._scorecard_republish(spark, SF_SMALL).groupBy("month_key").count().collect()}
+    assert sorted(months) == sorted(E.BACKFILL_MONTHS) and all(months.values())
