@@ -118,3 +118,20 @@ def test_scorecard_republish_builds_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(E, "_build", waits)
     months = {r.month_key: r["count"] for r in E._scorecard_republish(spark, SF_SMALL).groupBy("month_key").count().collect()}
     assert sorted(months) == sorted(E.BACKFILL_MONTHS) and all(months.values())
+
+
+def test_months_are_written_together(spark):
+    path, months = f"{Stager(spark, 'together').root}/t", [199801, 199802, 199803, 199804]
+    rows = spark.range(0, 64, 1, 8).select((199801 + F.col("id") % 4).cast("int").alias("ym"), "id")
+    sinks.publish_month(rows, path, partition_col="ym", months=months, full=months)
+    files = [f.split("/")[-2] for f in spark.read.parquet(path).inputFiles()]
+    assert sorted(files) == [f"ym={m}" for m in months]          # not one file a task and month
+    assert sorted((r.ym, r.id) for r in spark.read.parquet(path).collect()) == sorted((199801 + i % 4, i) for i in range(64))
+
+
+def test_store_months_read_each_date_column_once(spark, monkeypatch):
+    want = {name: testdata.months(spark, SF_SMALL, name, R.TEST_MONTH) for name in ("ledger", "balance_txn", "loan", "kpi")}
+    reads, read = [], testdata._read
+    monkeypatch.setattr(testdata, "_read", lambda s, d, name, *cols: reads.append((name, *cols)) or read(s, d, name, *cols))
+    assert testdata.store_months(spark, SF_SMALL, R.TEST_MONTH) == want
+    assert sorted(reads) == [("lineitem", "l_shipdate"), ("orders", "o_orderdate")]
