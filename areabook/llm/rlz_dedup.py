@@ -18,7 +18,8 @@ that has it. A passage in very many documents thus costs one entry a chunk, not
 Blocks hold about `block_bytes` of text each, so their number grows with the corpus. A first
 pass counts the windows of each block; one of more than `split_windows` (many different windows
 that share a phrase) is split by window hash, so equal windows still meet and results stay. A task settles its blocks one
-after the other, so the number of tasks is bounded (`MAX_TASKS`) whatever the number of blocks. What a chunk sends is
+after the other, so the number of tasks is bounded (`MAX_TASKS`) whatever the number of blocks; of a block it holds the
+windows of `SLICE_WINDOWS` at a time (or of one phrase), and kept texts leave in batches of `TRIM_BYTES`. What a chunk sends is
 packed: a phrase hash a run, four bytes a window, and the documents and places of the runs as compressed columns.
 
 Edge cases: NULL or empty texts have no words and keep nothing; texts of fewer than
@@ -31,6 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,8 @@ BLOCK_BYTES = 6 << 20
 SPLIT_WINDOWS = 1 << 21
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 MAX_TASKS = 1 << 16
+SLICE_WINDOWS = 1 << 17
+TRIM_BYTES = 4 << 20
 ENTRY = "block long, runs binary, hashes binary, done binary"
 FACTOR = "doc_id long, text_key long, start int, n_windows int, ref_doc long, ref_start int"
 _HIT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("n", "<i4"), ("ref", "<i8"), ("at", "<i4")])
@@ -92,27 +96,29 @@ def _breaks(*conditions: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _hits(doc, key, pos, ref, at) -> np.ndarray:
-    """Runs of windows known from a reference, merged along the reference; rows in text order."""
+def _hits(doc, key, pos, n, ref, at) -> np.ndarray:
+    """Runs of `n` windows known from a reference, merged along the reference; rows in text order."""
     if not len(doc):
         return np.empty(0, dtype=_HIT)
     d = np.diff
-    first = _breaks(d(doc) != 0, d(key) != 0, d(pos) != 1, d(ref) != 0, d(at) != 1)
+    first = _breaks(d(doc) != 0, d(key) != 0, d(pos) != n[:-1], d(ref) != 0, d(at) != n[:-1])
     out = np.empty(len(first), dtype=_HIT)
     for name, v in (("doc", doc), ("key", key), ("start", pos), ("ref", ref), ("at", at)):
         out[name] = v[first]
-    out["n"] = np.diff(np.append(first, len(doc)))
+    out["n"] = np.add.reduceat(n, first)
     return out
 
 
-def _first_places(doc, pos, *hashes):
-    """For each window, the smallest (doc, pos) with its hashes."""
-    order = np.lexsort((pos, doc, *hashes))
-    same = [np.diff(h[order]) == 0 for h in hashes]
-    head = np.flatnonzero(np.concatenate(([True], ~np.logical_and.reduce(same))))
-    place = np.repeat(order[head], np.diff(np.append(head, len(order))))
-    first = np.empty(len(order), dtype=np.int64)
-    first[order] = place
+def _first_places(place: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """For each window, the smallest place of those with its hash. A place is one number: the
+    document's rank, then the position in 32 bits."""
+    order = np.argsort(h)
+    same = h[order]
+    head = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
+    del same
+    least = np.minimum.reduceat(place[order], head)
+    first = np.empty_like(place)
+    first[order] = np.repeat(least, np.diff(np.append(head, len(order))))
     return first
 
 
@@ -144,27 +150,28 @@ class _Chunk:
         if not self.parts:
             return None
         sizes = np.array([len(p[2]) for p in self.parts])
-        doc = np.repeat(np.array([p[0] for p in self.parts], dtype=np.int64), sizes)
-        key = np.repeat(np.array([p[1] for p in self.parts], dtype=np.int64), sizes)
+        docs, keys = (np.array([p[c] for p in self.parts], dtype=np.int64) for c in (0, 1))
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         pos = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
         h, anchor = np.concatenate([p[2] for p in self.parts]), np.concatenate([p[3] for p in self.parts])
-        block = _block_of(anchor, self.blocks)
         self.parts, self.words = [], 0
-        first = _first_places(doc, pos, h)
-        known = doc[first] < doc
-        block = self._spread(block, h, doc, known)
+        ranked, rank = np.unique(docs, return_inverse=True)
+        first = _first_places((rank << 32)[row] | pos, h)
+        known = first >> 32 < rank[row]
+        block = self._spread(_block_of(anchor, self.blocks), h, docs[row], known)
         order = np.argsort(block, kind="stable")       # text order stays inside a block
         bounds = np.flatnonzero(np.concatenate(([True], np.diff(block[order]) != 0)))
         out = {"block": [], "runs": [], "hashes": [], "done": []}
         for i, j in zip(bounds, np.append(bounds[1:], len(order))):
             rows = order[i:j]
             new, old = rows[~known[rows]], rows[known[rows]]
-            f = _breaks(np.diff(doc[new]) != 0, np.diff(key[new]) != 0, np.diff(pos[new]) != 1, np.diff(anchor[new]) != 0) if len(new) else new
+            f = _breaks(np.diff(row[new]) != 0, np.diff(pos[new]) != 1, np.diff(anchor[new]) != 0) if len(new) else new
             at = new[f] if len(new) else new
             out["block"].append(int(block[rows[0]]))
-            out["runs"].append(_pack(doc[at], key[at], pos[at], np.diff(np.append(f, len(new))).astype(np.int32)))
+            out["runs"].append(_pack(docs[row[at]], keys[row[at]], pos[at], np.diff(np.append(f, len(new))).astype(np.int32)))
             out["hashes"].append(anchor[at].tobytes() + (h[new] >> np.uint64(32)).astype(np.uint32).tobytes())
-            hits = _hits(doc[old], key[old], pos[old], doc[first[old]], pos[first[old]])
+            hits = _hits(docs[row[old]], keys[row[old]], pos[old], np.ones(len(old), dtype=np.int32),
+                         ranked[first[old] >> 32], first[old].astype(np.int32))
             out["done"].append(_pack(*[np.ascontiguousarray(hits[c]) for c in _HIT.names]))
         return pa.RecordBatch.from_pydict(out, schema=pa.schema(
             [("block", pa.int64()), ("runs", pa.binary()), ("hashes", pa.binary()), ("done", pa.binary())]))
@@ -205,6 +212,41 @@ def _entries(window: int, blocks: int, chunk_words: int, split: dict[int, int]):
     return run
 
 
+def _slices(anchor: np.ndarray, n: np.ndarray):
+    """The runs of a block by phrase, about SLICE_WINDOWS windows at a time; a phrase stays together."""
+    order = np.argsort(anchor, kind="stable")
+    phrases = np.append(np.flatnonzero(np.concatenate(([True], np.diff(anchor[order]) != 0))), len(order))
+    ends = np.cumsum(n[order])[phrases[1:] - 1]
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_WINDOWS, "right")))
+        yield order[phrases[at]:phrases[to]]
+        at = to
+
+
+def _placed(doc, key, start, n, anchor, h) -> np.ndarray:
+    """The runs of windows known from a smaller doc_id, of all windows of a block."""
+    docs, rank = np.unique(doc, return_inverse=True)
+    ahead, found = np.cumsum(n) - n, []
+    for runs in _slices(anchor, n) if len(n) else ():
+        m = n[runs]
+        row = np.repeat(np.arange(len(runs), dtype=np.int32), m)
+        step = np.arange(len(row)) - (np.cumsum(m) - m)[row]
+        pos = start[runs][row] + step
+        phrase = np.unique(anchor[runs], return_inverse=True)[1].astype(np.uint64) << np.uint64(32)
+        first = _first_places((rank[runs] << 32)[row] | pos, phrase[row] | h[ahead[runs][row] + step])
+        k = np.flatnonzero(first >> 32 < rank[runs][row])
+        if len(k):
+            f = _breaks(np.diff(row[k]) != 0, np.diff(pos[k]) != 1, np.diff(first[k]) != 1)
+            found.append((runs[row[k[f]]], pos[k[f]], np.diff(np.append(f, len(k))), first[k[f]]))
+    if not found:
+        return np.empty(0, dtype=_HIT)
+    run, pos, m, first = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((pos, run))                     # text order again
+    run, pos, m, first = run[order], pos[order], m[order], first[order]
+    return _hits(doc[run], key[run], pos, m, docs[first >> 32], first.astype(np.int32))
+
+
 def _settle(group: pd.DataFrame) -> pd.DataFrame:
     """One index block: places all its windows and returns the runs known from a smaller doc_id."""
     cols, anchors, hashes, out = [], [], [], []
@@ -218,14 +260,7 @@ def _settle(group: pd.DataFrame) -> pd.DataFrame:
         for name, v in zip(_HIT.names, done):
             out[-1][name] = v
     doc, key, start, n = (np.concatenate(c) for c in zip(*cols))
-    h, n = np.concatenate(hashes), n.astype(np.int64)
-    if len(h):
-        ahead = np.concatenate(([0], np.cumsum(n)[:-1]))
-        pos = (np.repeat(start.astype(np.int64) - ahead, n) + np.arange(len(h))).astype(np.int32)
-        doc, key = np.repeat(doc, n), np.repeat(key, n)
-        first = _first_places(doc, pos, h, np.repeat(np.concatenate(anchors), n))
-        k = np.flatnonzero(doc[first] < doc)
-        out.append(_hits(doc[k], key[k], pos[k], doc[first[k]], pos[first[k]]))
+    out.append(_placed(doc, key, start, n.astype(np.int64), np.concatenate(anchors), np.concatenate(hashes)))
     hits = np.concatenate(out)
     return pd.DataFrame({"doc_id": hits["doc"], "text_key": hits["key"], "start": hits["start"], "n_windows": hits["n"],
                          "ref_doc": hits["ref"], "ref_start": hits["at"]})
@@ -268,33 +303,51 @@ def parse(start: np.ndarray, n: np.ndarray, ref: np.ndarray, at: np.ndarray, win
     return out
 
 
+def _cut(batch: pa.RecordBatch, text: int):
+    """The batch in slices of about TRIM_BYTES of text (or one longer document)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TRIM_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _trim(window: int):
+    fields = ("start", "n_windows", "ref_doc", "ref_start")
+
+    def kept_of(b):
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(b.column(3)), 0).to_numpy())
+        flat = b.column(3).flatten()
+        runs = [flat.field(c).to_numpy(zero_copy_only=False) for c in fields]
+        n_words, removed, kept, factors, upto, at = [], [], [], [], [0], 0
+        for text, end in zip(b.column(2), ends.tolist()):
+            words = (text.as_py() or "").encode().split()
+            found = parse(*(c[at:end] for c in runs), window) if end > at else []
+            n_words.append(len(words))
+            gone = 0
+            if found:
+                mask = np.zeros(len(words), dtype=bool)
+                for s, m, _, _ in found:
+                    mask[s:s + m] = True
+                gone = int(mask.sum())
+                words = [w for w, x in zip(words, mask.tolist()) if not x]
+            removed.append(gone)
+            kept.append(b" ".join(words).decode())
+            factors += found
+            upto.append(len(factors))
+            at = end
+        types = [("start", pa.int32()), ("n_words", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]
+        columns = list(zip(*factors)) if factors else [()] * len(types)
+        struct = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, types)], fields=[pa.field(*t) for t in types])
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
+             pa.ListArray.from_arrays(pa.array(upto, pa.int32()), struct)],
+            ["doc_id", "text_key", "n_words", "n_removed", "kept_text", "factors"])
+
     def run(batches):
         for b in batches:
-            ids, keys = b.column(0), b.column(1)
-            n_words, removed, kept, factors = [], [], [], []
-            for text, runs in zip(b.column(2), b.column(3)):
-                words = (text.as_py() or "").encode().split()
-                runs, gone, found = runs.as_py(), 0, []
-                if runs:
-                    cols = [np.array([r[c] for r in runs]) for c in ("start", "n_windows", "ref_doc", "ref_start")]
-                    found = parse(*cols, window)
-                    mask = np.zeros(len(words), dtype=bool)
-                    for s, m, _, _ in found:
-                        mask[s:s + m] = True
-                    gone = int(mask.sum())
-                    words, total = [w for w, x in zip(words, mask.tolist()) if not x], len(words)
-                else:
-                    total = len(words)
-                n_words.append(total)
-                removed.append(gone)
-                kept.append(b" ".join(words).decode())
-                factors.append([{"start": s, "n_words": m, "ref_doc": r, "ref_start": a} for s, m, r, a in found])
-            yield pa.RecordBatch.from_arrays(
-                [ids, keys, pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                 pa.array(factors, pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()),
-                                                       ("ref_doc", pa.int64()), ("ref_start", pa.int32())])))],
-                ["doc_id", "text_key", "n_words", "n_removed", "kept_text", "factors"])
+            yield from map(kept_of, _cut(b, 2))
     return run
 
 

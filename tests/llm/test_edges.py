@@ -520,6 +520,50 @@ def test_substring_dedup_splits_blocks_of_a_shared_phrase(spark):
         same(rlz_dedup.dedup(docs, **options, split_windows=split_windows).select(*cols), brute.substring_dedup(rows))
 
 
+def test_substring_dedup_settles_a_block_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 4000)) for _ in range(80)]
+    texts += [" ".join(t.split()[500:1500]) + " " + texts[i - 1] for i, t in enumerate(texts[:20])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100, 200)), pa.array(range(100)), pa.array(texts)], ["doc_id", "text_key", "text"])
+    group = pd.concat(b.to_pandas() for b in rlz_dedup._entries(13, 1, 100_000, {})([batch]))
+    windows = sum(map(len, group["hashes"])) / 4
+    whole = rlz_dedup._settle(group)
+    tracemalloc.start()
+    rlz_dedup._settle(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows > 350_000 and peak < 50 * windows        # bytes a window; 56 with all windows of a block at once
+    for n in (1, 1000, 1 << 30):
+        monkeypatch.setattr(rlz_dedup, "SLICE_WINDOWS", n)
+        pd.testing.assert_frame_equal(rlz_dedup._settle(group), whole)
+    assert set(whole["doc_id"]) == set(range(180, 200)) and whole["n_windows"].sum() == sum(len(t.split()) - 24 for t in texts[80:])
+
+
+def test_substring_dedup_returns_texts_in_small_batches():
+    import pyarrow as pa
+    texts = [f"{i} " + "some words of a text " * 400 for i in range(2000)] + [None, "", " ".join(["long"] * 2_000_000), "end"]
+    runs = [[{"start": 1, "n_windows": 2, "ref_doc": 7, "ref_start": 3}] if i % 2 else None for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts), pa.array(runs, pa.list_(pa.struct(
+            [("start", pa.int32()), ("n_windows", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])))],
+        ["doc_id", "text_key", "text", "runs"])
+    got = list(rlz_dedup._trim(13)([batch.slice(1), batch.slice(0, 0)]))
+    assert all(b.num_rows == 1 or b.nbytes < 5 << 20 for b in got) and len(got) > 4
+    rows = [r for b in got for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(1, len(texts)))
+    for r in rows:
+        words = (texts[r["doc_id"]] or "").split()
+        gone = range(1, min(15, len(words))) if r["doc_id"] % 2 else range(0)
+        assert (r["n_words"], r["n_removed"]) == (len(words), len(gone))
+        assert r["kept_text"] == " ".join(w for i, w in enumerate(words) if i not in gone)
+        assert r["factors"] == ([{"start": 1, "n_words": 14, "ref_doc": 7, "ref_start": 3}] if r["doc_id"] % 2 else [])
+
+
 def test_pii_links_every_spelling_of_a_date(spark):
     """Every day of a leap year in every spelling: one new day, another for other days, told apart as before."""
     days = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(366)]
